@@ -65,7 +65,7 @@ def with_provincia(df: DataFrame, lat: str, lng: str, out: str) -> DataFrame:
 def provincia_by_range(df: DataFrame, dim_ubicacion: DataFrame, lat: str, lng: str, out: str) -> DataFrame:
     """Province by the boxes of the location dimension; of overlapping boxes the lowest id wins.
 
-    The boxes are few (one per province, checked below), so they are gathered into one array that is
+    The dimension has one row per province, so its boxes are gathered into one array that is
     scanned per row: no range join, no shuffle of ``df`` and no row multiplied by overlapping boxes.
     """
     cajas = (
@@ -77,10 +77,11 @@ def provincia_by_range(df: DataFrame, dim_ubicacion: DataFrame, lat: str, lng: s
         .scalar()
     )
     dentro = F.filter(
-        cajas,
+        "_cajas",
         lambda c: F.col(lat).between(c.latitud_min, c.latitud_max) & F.col(lng).between(c.longitud_min, c.longitud_max),
     )
-    return df.withColumn(out, F.coalesce(F.try_element_at(dentro, F.lit(1)).provincia, F.lit(geo.SIN_UBICACION)))
+    nombre = F.coalesce(F.try_element_at(dentro, F.lit(1)).provincia, F.lit(geo.SIN_UBICACION))
+    return df.withColumn("_cajas", cajas).withColumn(out, nombre).drop("_cajas")
 
 
 def categoria_efectiva(col):

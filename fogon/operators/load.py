@@ -95,26 +95,30 @@ def run_etl(extracted: Extracted, almacen: Warehouse) -> dict[str, int]:
     for df in nuevos.values():
         horas = df.select("fecha_hora")
         eventos = horas if eventos is None else eventos.unionByName(horas)
-
-    cargadas = {}
-    cargadas["dim_tiempo"] = almacen.append(
-        dims.missing_tiempo(eventos, almacen.table("dim_tiempo")), "dim_tiempo"
-    )
-    cargadas["dim_categorias"] = almacen.append(
-        dims.missing_categorias(lineas, almacen.table("dim_categorias")), "dim_categorias"
+    # One staged row becomes one fact row; counting staged Parquet reads footers only.
+    cargadas = {tabla: df.count() for tabla, df in nuevos.items()}
+
+    def add_dimension(tabla: str, faltan: DataFrame) -> DataFrame:
+        faltan = almacen.stage(faltan, tabla)
+        cargadas[tabla] = faltan.count()
+        if cargadas[tabla]:
+            almacen.append(faltan, tabla)
+        return almacen.table(tabla)
+
+    tiempo = add_dimension("dim_tiempo", dims.missing_tiempo(eventos, almacen.table("dim_tiempo")))
+    categorias = add_dimension(
+        "dim_categorias", dims.missing_categorias(lineas, almacen.table("dim_categorias"))
     )
-    tiempo, categorias = almacen.table("dim_tiempo"), almacen.table("dim_categorias")
-    cargadas["dim_productos"] = almacen.append(
-        dims.missing_productos(dims.assign_categoria(lineas, categorias), almacen.table("dim_productos")),
+    add_dimension(
         "dim_productos",
+        dims.missing_productos(dims.assign_categoria(lineas, categorias), almacen.table("dim_productos")),
     )
-    cargadas["fact_pedidos"] = almacen.append(
-        load_fact_pedidos(nuevos["fact_pedidos"], tiempo), "fact_pedidos"
-    )
-    cargadas["fact_reservas"] = almacen.append(
-        load_fact_reservas(nuevos["fact_reservas"], tiempo), "fact_reservas"
-    )
-    cargadas["fact_detalle_pedidos"] = almacen.append(
-        load_fact_detalle(lineas, tiempo, categorias), "fact_detalle_pedidos"
-    )
+    cargas = {
+        "fact_pedidos": lambda df: load_fact_pedidos(df, tiempo),
+        "fact_reservas": lambda df: load_fact_reservas(df, tiempo),
+        "fact_detalle_pedidos": lambda df: load_fact_detalle(df, tiempo, categorias),
+    }
+    for tabla, carga in cargas.items():
+        if cargadas[tabla]:
+            almacen.append(carga(nuevos[tabla]), tabla)
     return cargadas

@@ -10,7 +10,6 @@ import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from fogon.operators import cubes
 from fogon.operators.graph import copurchase, delivery, nodes
@@ -36,6 +35,7 @@ class Context:
         self.src = SourceTables(spark, sf_dir)
         self.carpeta = f"{shared_dir(spark)}/fogon-{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:8]}"
         self.cargadas: dict[str, int] = {}
+        self._tablas: dict[str, DataFrame] = {}
 
     def escrita(self, nombre: str, df: DataFrame) -> DataFrame:
         """``df`` as a written table: later plans start from its files."""
@@ -68,29 +68,32 @@ class Context:
         return almacen
 
     def t(self, nombre: str) -> DataFrame:
-        return self.almacen.table(nombre)
+        """A warehouse table; its files are listed once, after the load."""
+        if nombre not in self._tablas:
+            self._tablas[nombre] = self.almacen.table(nombre)
+        return self._tablas[nombre]
 
     tiempo = property(lambda self: self.t("dim_tiempo"))
-    ubicacion = property(lambda self: self.t("dim_ubicacion"))
     categorias = property(lambda self: self.t("dim_categorias"))
     productos = property(lambda self: self.t("dim_productos"))
     pedidos = property(lambda self: self.t("fact_pedidos"))
     reservas = property(lambda self: self.t("fact_reservas"))
     detalle = property(lambda self: self.t("fact_detalle_pedidos"))
 
-    def cubos(self) -> dict[str, DataFrame]:
+    def cubo(self, nombre: str) -> DataFrame:
         ti, ca, pr = self.tiempo, self.categorias, self.productos
-        return {
-            "cubo_pedidos_tiempo": cubes.cubo_pedidos_tiempo(ti, self.pedidos),
-            "cubo_reservas_tiempo": cubes.cubo_reservas_tiempo(ti, self.reservas),
-            "cubo_pedidos_ubicacion": cubes.cubo_pedidos_ubicacion(self.pedidos, ti),
-            "cubo_actividad_zona": cubes.cubo_actividad_zona(self.pedidos, ti),
-            "cubo_matriz_od": cubes.cubo_matriz_od(self.pedidos, ti),
-            "cubo_productos_tiempo": cubes.cubo_productos_tiempo(ti, self.detalle, ca),
-            "cubo_productos_ubicacion": cubes.cubo_productos_ubicacion(self.detalle, ti, ca),
-            "cubo_top_productos_anual": cubes.cubo_top_productos_anual(self.detalle, ti, pr, ca),
-            "cubo_frecuencia_uso": cubes.cubo_frecuencia_uso(self.detalle, pr, ca),
+        argumentos = {
+            "cubo_pedidos_tiempo": (ti, self.pedidos),
+            "cubo_reservas_tiempo": (ti, self.reservas),
+            "cubo_pedidos_ubicacion": (self.pedidos, ti),
+            "cubo_actividad_zona": (self.pedidos, ti),
+            "cubo_matriz_od": (self.pedidos, ti),
+            "cubo_productos_tiempo": (ti, self.detalle, ca),
+            "cubo_productos_ubicacion": (self.detalle, ti, ca),
+            "cubo_top_productos_anual": (self.detalle, ti, pr, ca),
+            "cubo_frecuencia_uso": (self.detalle, pr, ca),
         }
+        return getattr(cubes, nombre)(*argumentos[nombre])
 
     # --- graph ---
 

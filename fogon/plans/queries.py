@@ -115,7 +115,7 @@ def _(c: Context) -> DataFrame:
 @query("S06")
 def _(c: Context) -> DataFrame:
     base = f"w_{c.carpeta.rsplit('-', 1)[-1]}"
-    c.almacen.register(base, {f"{base}_{n}": df for n, df in c.cubos().items()})
+    c.almacen.register(base, {f"{base}_{n}": c.cubo(n) for n in CUBOS})
     total = None
     for tabla in [f"{base}.{t}" for t in schemas.TABLAS]:
         fila = c.spark.table(tabla).agg(F.count(F.lit(1)).alias("filas"))
@@ -431,12 +431,12 @@ CUBOS = [
     "cubo_productos_tiempo", "cubo_productos_ubicacion", "cubo_top_productos_anual", "cubo_frecuencia_uso",
 ]
 for _i, _nombre in enumerate(CUBOS, start=1):
-    REGISTRO[f"C{_i:02d}"] = lambda c, n=_nombre: c.cubos()[n]
+    REGISTRO[f"C{_i:02d}"] = lambda c, n=_nombre: c.cubo(n)
 
 REGISTRO |= {
-    "C10": lambda c: cubes.metricas_desde_cubo(c.cubos()["cubo_pedidos_tiempo"]),
-    "C11": lambda c: cubes.ranking_desde_cubo(c.cubos()["cubo_actividad_zona"]),
-    "C12": lambda c: cubes.reservas_desde_cubo(c.cubos()["cubo_reservas_tiempo"]),
+    "C10": lambda c: cubes.metricas_desde_cubo(c.cubo("cubo_pedidos_tiempo")),
+    "C11": lambda c: cubes.ranking_desde_cubo(c.cubo("cubo_actividad_zona")),
+    "C12": lambda c: cubes.reservas_desde_cubo(c.cubo("cubo_reservas_tiempo")),
     "A01": lambda c: report.ventas_categoria_mes(c.detalle, c.tiempo, c.categorias),
     "A02": lambda c: report.top_productos_ingresos(c.detalle, c.tiempo, c.productos, c.categorias),
     "A03": lambda c: report.mezcla_tipo_pedido(c.pedidos, c.tiempo),
