@@ -348,7 +348,7 @@ Q: dict[str, str] = {
     "D13": f"""select provincia_cliente as origen, provincia_restaurante as destino, count(*) as pedidos, {_INGRESOS} as valor_flujo
  from @vp where provincia_cliente <> 'Sin Ubicación' and provincia_restaurante <> 'Sin Ubicación' group by 1, 2""",
     "D14": "select origen, " + ", ".join(
-        f"""coalesce(sum(pedidos) filter (where destino = '{p}'), 0) as "{p}" """ for p in PROVINCIAS) + " from @D13 group by origen",
+        f"""cast(coalesce(sum(pedidos) filter (where destino = '{p}'), 0) as bigint) as "{p}" """ for p in PROVINCIAS) + " from @D13 group by origen",
     "D15": """select origen || ' → ' || destino as flujo, pedidos, valor_flujo from @D13 order by valor_flujo desc, origen, destino limit 10""",
     "D16": f"""select 'restaurantes' as analisis, count(*) as filas, sum(total_pedidos) as total_pedidos, {r('sum(ingresos_totales)')} as total_valor,
  sum(restaurantes_activos) as restaurantes, sum(clientes_atendidos) as usuarios, {_mayor('provincia', 'ingresos_totales')} as lider,
@@ -527,8 +527,8 @@ Q |= {
  f.id_menu, true as activo, f.fuente_datos from @fd f join @categorias c using (nombre_categoria)""",
     "E17": "select id_pedido, fuente_datos from @pedido where id_pedido % 4 = 0 and fuente_datos = 'postgres'",
     "E18": f"""select id_pedido, tiempo_id, id_usuario, id_restaurante, id_repartidor, estado, tipo, total_pedido::double as total_pedido,
- cantidad_items, ulat as usuario_latitud, ulng as usuario_longitud, rlat as restaurante_latitud, rlng as restaurante_longitud,
- provincia_cliente, provincia_restaurante, {_iso('f.ts')} as fecha_creacion, fuente_datos, anio, mes
+ cast(cantidad_items as int) as cantidad_items, {r('ulat', 8)} as usuario_latitud, {r('ulng', 8)} as usuario_longitud,
+ {r('rlat', 8)} as restaurante_latitud, {r('rlng', 8)} as restaurante_longitud, provincia_cliente, provincia_restaurante, {_iso('f.ts')} as fecha_creacion, fuente_datos, anio, mes
  from @fp f join {_TIEMPO_ID} on mi.m = date_trunc('minute', f.ts)""",
     "E19": f"""select id_reserva, tiempo_id, id_usuario, id_restaurante, estado, {_iso('f.ts')} as fecha_creacion, fuente_datos, anio, mes
  from @fr f join {_TIEMPO_ID} on mi.m = date_trunc('minute', f.ts)""",
@@ -536,7 +536,7 @@ Q |= {
  estado_pedido, tipo_pedido, cantidad, precio_unitario::double as precio_unitario, subtotal::double as subtotal, provincia_cliente,
  provincia_restaurante, {_iso('f.ts')} as fecha_creacion, fuente_datos, anio, mes
  from @fd f join {_TIEMPO_ID} on mi.m = date_trunc('minute', f.ts) join @categorias c using (nombre_categoria)""",
-    "E21": """select tabla, filas as primera, 0 as segunda, filas from @S06 where tabla <> 'dim_ubicacion'""",
+    "E21": """select tabla, filas as primera, 0::bigint as segunda, filas from @S06 where tabla <> 'dim_ubicacion'""",
     "E22": f"""select id_pedido, id_detalle, case when id_pedido % 10 = 0 then d.id_producto + 100000000 else d.id_producto end as id_producto,
  case when id_pedido % 7 = 0 then 0 else cantidad end as cantidad,
  case when id_pedido % 7 <> 0 and id_pedido % 10 <> 0 then {r('precio * cantidad')} end as subtotal,
@@ -730,6 +730,13 @@ TABLAS["puntos"] = _T02.replace("{palabras}", _palabras("smal", "wigdet"))
 Q["T02_pagina"] = """select i.*, s.score, (select count(*) from @puntos) as total from @indice i join @puntos s using (id_producto)
  order by score desc, id_producto limit 10 offset 10"""
 
+# DuckDB sums integers into 128 bits; these results are 64-bit columns.
+_SUMA_ENTERA = re.compile(
+    r"\bsum\((cantidad|cantidad_items|items_vendidos|items|pedidos|pedidos_entregados|total_pedidos|total_reservas|"
+    r"reservas_confirmadas|reservas_pendientes|reservas_canceladas|total_transacciones|restaurantes_activos|usuarios_activos|"
+    r"restaurantes_utilizados|clientes_atendidos|unidades|unidades_vendidas|productos_unicos|ventas_totales|total_referidos)\)"
+    r"(?!\s*(filter|over))"
+)
 _REF = re.compile(r"(?<!')@(\w+)")
 
 
@@ -746,7 +753,8 @@ def _sql(nombre: str) -> str:
 
     visit(Q[nombre])
     ctes = ",\n".join(f"t_{ref} as ({_REF.sub(r't_\1', fuentes[ref])})" for ref in orden)
-    return (f"with {ctes}\n" if ctes else "") + _REF.sub(r"t_\1", Q[nombre])
+    texto = (f"with {ctes}\n" if ctes else "") + _REF.sub(r"t_\1", Q[nombre])
+    return _SUMA_ENTERA.sub(r"cast(sum(\1) as bigint)", texto)
 
 
 def oracle_sql() -> dict[str, str]:
