@@ -23,8 +23,13 @@ def to_event_ts(col: Column) -> Column:
     return texto.try_cast("timestamp_ntz")
 
 
+def epoch_minutes(ts: Column) -> Column:
+    """Minutes since 1970 of the wall clock, out of its date and time fields."""
+    return F.unix_date(ts.cast("date")).cast("bigint") * 1440 + F.hour(ts) * 60 + F.minute(ts)
+
+
 def epoch_seconds(ts: Column) -> Column:
-    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
+    return epoch_minutes(ts) * 60 + F.second(ts)
 
 
 def fecha(ts: Column) -> Column:

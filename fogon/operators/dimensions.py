@@ -14,15 +14,11 @@ from fogon.functions.ordered import join_nullsafe, row_numbers
 CATEGORIA_EN_BLANCO = "Especialidad"
 
 
-def _minute(ts):
-    return F.floor(cal.epoch_seconds(ts) / 60)
-
-
 def build_dim_tiempo(events: DataFrame) -> DataFrame:
     """One row per minute seen in ``fecha_hora``; its id is the epoch second of the first event in it."""
     primero = (
         events.filter(F.col("fecha_hora").isNotNull())
-        .groupBy(_minute(F.col("fecha_hora")).alias("_minuto"))
+        .groupBy(cal.epoch_minutes(F.col("fecha_hora")).alias("_minuto"))
         .agg(F.min("fecha_hora").alias("ts"))
     )
     ts = F.col("ts")
@@ -49,7 +45,7 @@ def missing_tiempo(events: DataFrame, dim: DataFrame) -> DataFrame:
 def assign_tiempo(events: DataFrame, dim: DataFrame) -> DataFrame:
     """Add ``tiempo_id``. An id lies inside its minute, so the minute number is the join key."""
     ids = dim.select(F.floor(F.col("tiempo_id") / 60).alias("_minuto"), "tiempo_id")
-    con_minuto = events.withColumn("_minuto", _minute(F.col("fecha_hora")))
+    con_minuto = events.withColumn("_minuto", cal.epoch_minutes(F.col("fecha_hora")))
     return con_minuto.join(ids, "_minuto", "left").drop("_minuto")
 
 
