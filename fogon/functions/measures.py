@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fogon.functions.sizing import fits_broadcast
+from fogon.schemas import PARTICIONES
 
 
 def uno_si(cond: Column) -> Column:
@@ -66,20 +67,24 @@ def por_tiempo(
     first summed per (keys, tiempo_id): the shuffle then carries sums instead of rows, a busy minute
     shrinks to one row per key, and the join reuses that partitioning. Values counted distinct are kept
     as extra keys in that step.
+
+    Year and month are joined too. They follow from the minute, so no row is lost, and a filter on them
+    then reaches the partition columns of the facts.
     """
     distintos, distintos_tiempo = distintos or {}, distintos_tiempo or {}
-    tiempo = dim_tiempo.select("tiempo_id", *dict.fromkeys([*llaves_tiempo, *distintos_tiempo.values()]))
+    enlace = ["tiempo_id", *PARTICIONES]
+    tiempo = dim_tiempo.select(*dict.fromkeys([*enlace, *llaves_tiempo, *distintos_tiempo.values()]))
     hechos = hechos.select(
-        "tiempo_id",
+        *enlace,
         *llaves,
         *[c.alias(f"_s_{n}") for n, c in sumas.items()],
         *[c.alias(f"_d_{n}") for n, c in distintos.items()],
     )
     if not fits_broadcast(tiempo):
-        claves = ["tiempo_id", *llaves, *[f"_d_{n}" for n in distintos]]
+        claves = [*enlace, *llaves, *[f"_d_{n}" for n in distintos]]
         hechos = hechos.groupBy(*claves).agg(*[F.sum(f"_s_{n}").alias(f"_s_{n}") for n in sumas])
     return (
-        hechos.join(tiempo, "tiempo_id")
+        hechos.join(tiempo, enlace)
         .groupBy(*llaves, *llaves_tiempo)
         .agg(
             *[F.sum(f"_s_{n}").alias(n) for n in sumas],

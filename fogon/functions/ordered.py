@@ -4,6 +4,9 @@ A window over a whole group sorts that group in one task. Here a group is cut in
 monotone function of the sort key: bucket totals (few rows) give each bucket its offset, and the
 window runs inside one bucket only. Equal values are collapsed to one row with a count first, so ties
 never pile up either. The results are exact.
+
+That takes more shuffles than a plain window, so callers name the table the rows come from: when all of it is
+no larger than the input of one ordinary task, no group can be larger either, and the plain way is taken.
 """
 
 from __future__ import annotations
@@ -11,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fogon.functions.sizing import fits_one_task
+
 
 def numeric_bucket(value: Column, per_octave: int = 64) -> Column:
     """Order-preserving bucket number: steps about 1 % wide in either direction from zero."""
@@ -50,21 +55,27 @@ def join_nullsafe(left: DataFrame, right: DataFrame, keys: list[str], how: str =
     return junto if how in ("left_semi", "left_anti") else junto.drop(*[f"_r_{k}" for k in keys])
 
 
-def rank_desc(df: DataFrame, group: list[str], value: str, out: str) -> DataFrame:
+def rank_desc(df: DataFrame, group: list[str], value: str, out: str, origin: DataFrame) -> DataFrame:
     """SQL ``rank()`` by ``value`` descending inside each group."""
+    if fits_one_task(origin):
+        return df.withColumn(out, F.rank().over(Window.partitionBy(*group).orderBy(F.desc(value))).cast("long"))
     antes = counts_before(df, group, value, descending=True)
     rangos = antes.select(*group, value, (F.col("antes") + 1).cast("long").alias(out))
     return join_nullsafe(df, rangos, [*group, value])
 
 
-def row_numbers(df: DataFrame, value: str, out: str, bucket=text_bucket) -> DataFrame:
+def row_numbers(df: DataFrame, value: str, out: str, origin: DataFrame, bucket=text_bucket) -> DataFrame:
     """1-based row number of distinct values in ascending order, over the whole DataFrame."""
+    if fits_one_task(origin):
+        return df.withColumn(out, F.row_number().over(Window.orderBy(value)).cast("long"))
     antes = counts_before(df, [], value, bucket=bucket)
     return df.join(antes.select(value, (F.col("antes") + 1).alias(out)), value)
 
 
-def median(df: DataFrame, group: list[str], value: str, out: str) -> DataFrame:
+def median(df: DataFrame, group: list[str], value: str, out: str, origin: DataFrame) -> DataFrame:
     """Exact continuous median per group (NULLs ignored)."""
+    if fits_one_task(origin):
+        return df.groupBy(*group).agg(F.percentile(F.col(value).cast("double"), 0.5).alias(out))
     datos = df.filter(F.col(value).isNotNull())
     antes = counts_before(datos, group, value)
     totales = datos.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))

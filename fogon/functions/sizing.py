@@ -14,3 +14,8 @@ def fits_broadcast(df: DataFrame) -> bool:
     """True when Spark itself would broadcast ``df`` in an equi-join."""
     limite = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     return plan_bytes(df) <= limite
+
+
+def fits_one_task(df: DataFrame) -> bool:
+    """True when ``df`` is no larger than what one scan task reads anyway."""
+    return plan_bytes(df) <= df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()

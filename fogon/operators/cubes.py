@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fogon.functions.geo import SIN_UBICACION
 from fogon.functions.measures import ESTADOS, TIPOS, conteos, doble, o_cero, pct, por_tiempo, razon, uno_si
-from fogon.functions.ordered import join_nullsafe, rank_desc
+from fogon.functions.ordered import rank_desc
 
 DIA = ["fecha", "anio", "mes", "trimestre", "dia_semana", "es_fin_semana"]
 MES = ["anio", "mes"]
@@ -32,7 +32,7 @@ def tipo_flujo() -> Column:
 
 def _dias(dim_tiempo: DataFrame, por_dia: DataFrame) -> DataFrame:
     """Every day of the dimension, with its measures or none; one row per day on both sides."""
-    return join_nullsafe(dim_tiempo.select(*DIA).distinct(), por_dia, DIA, "left")
+    return dim_tiempo.select(*DIA).distinct().join(por_dia, DIA, "left")
 
 
 def _entero(*nombres: str) -> list[Column]:
@@ -195,7 +195,7 @@ def cubo_top_productos_anual(
         .groupBy(*llaves)
         .agg(F.sum("n").alias("total_ventas"), F.sum("monto").alias("monto"), F.sum("unidades").alias("unidades_vendidas"))
     )
-    return rank_desc(ventas, ["anio"], "monto", "ranking_ingresos").select(
+    return rank_desc(ventas, ["anio"], "monto", "ranking_ingresos", fact_detalle).select(
         F.col("id_producto").alias("producto_id"), F.col("nombre").alias("nombre_producto"), "nombre_categoria", "anio",
         "total_ventas", doble("monto").alias("ingresos_totales"), "unidades_vendidas", "ranking_ingresos",
     )
@@ -216,7 +216,7 @@ def cubo_frecuencia_uso(fact_detalle: DataFrame, dim_productos: DataFrame, dim_c
             F.min("desde").alias("primera_compra"), F.max("hasta").alias("ultima_compra"),
         )
     )
-    return rank_desc(uso, ["id_usuario"], "veces_comprado", "ranking_preferencia_usuario").select(
+    return rank_desc(uso, ["id_usuario"], "veces_comprado", "ranking_preferencia_usuario", fact_detalle).select(
         "id_usuario", F.col("id_producto").alias("producto_id"), F.col("nombre").alias("producto"), "nombre_categoria",
         "veces_comprado", "unidades_totales",
         razon("monto", "n_montos").alias("gasto_promedio_por_compra"), doble("monto").alias("gasto_total_producto"),

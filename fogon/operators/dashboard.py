@@ -287,7 +287,7 @@ def analisis_precios(fact_detalle: DataFrame, dim_categorias: DataFrame, source:
         *_medidas_linea(), F.min("precio_unitario").alias("minimo"), F.max("precio_unitario").alias("maximo"),
         F.count_distinct("id_producto").alias("productos_en_categoria"),
     )
-    medianas = median(lineas, ["categoria_id"], "precio_unitario", "mediana")
+    medianas = median(lineas, ["categoria_id"], "precio_unitario", "mediana", fact_detalle)
     return (
         join_nullsafe(base, medianas, ["categoria_id"], "left")
         .join(dim_categorias, "categoria_id")

@@ -93,7 +93,7 @@ def missing_categorias(products: DataFrame, dim: DataFrame, columna: str = "cate
         .join(dim, "nombre_categoria", "left_anti")
     )
     base = dim.agg(F.coalesce(F.max("categoria_id"), F.lit(0))).scalar()
-    return row_numbers(nuevas, "nombre_categoria", "_n").select(
+    return row_numbers(nuevas, "nombre_categoria", "_n", products).select(
         (base + F.col("_n")).cast("int").alias("categoria_id"), "nombre_categoria"
     )
 

@@ -49,7 +49,7 @@ class Warehouse:
     def init(self) -> "Warehouse":
         """Create every table empty where it is missing, and seed the locations."""
         for name, columnas in schemas.TABLAS.items():
-            vacia = self.spark.createDataFrame([], schemas.ddl(columnas))
+            vacia = self.spark.range(0).select(*[F.lit(None).cast(t).alias(c) for c, t in columnas.items()])
             if name == "dim_ubicacion":
                 vacia = seed_ubicacion(self.spark)
             escritor = vacia.write.mode("ignore")

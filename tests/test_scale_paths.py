@@ -6,10 +6,10 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from fogon.functions import ordered
+from fogon.functions import ordered, sizing
 from fogon.functions.knn import k_nearest
 from fogon.functions.pairs import pairs_within
-from fogon.operators import cubes, report
+from fogon.operators import cubes, dashboard, report
 from fogon.operators.graph.copurchase import copurchase
 from fogon.operators.graph.delivery import routes
 
@@ -111,19 +111,44 @@ def test_long_routes_pool_by_pool(spark):
     assert rows(rutas[("pool", 40)]) == rows(rutas[("fila", 0)])
 
 
-def test_ranks_and_medians_with_ties(spark):
+@pytest.mark.parametrize("por_cubetas", [True, False])
+def test_ranks_and_medians_with_ties(spark, monkeypatch, por_cubetas):
+    monkeypatch.setattr(ordered, "fits_one_task", lambda df: not por_cubetas)
     n = 4000
     v = np.where(RNG.random(n) < 0.34, 100.0, np.round(RNG.normal(0, 500, n), 2))
     df = spark.createDataFrame(pd.DataFrame({"g": RNG.choice(["a", "b", "c"], n, p=[0.7, 0.2, 0.1]), "v": v, "i": np.arange(n)}))
     esperado = df.withColumn("r", F.rank().over(Window.partitionBy("g").orderBy(F.desc("v"))).cast("bigint"))
-    assert rows(ordered.rank_desc(df, ["g"], "v", "r").select("g", "v", "i", "r")) == rows(esperado.select("g", "v", "i", "r"))
-    assert rows(ordered.median(df, ["g"], "v", "m")) == rows(df.groupBy("g").agg(F.percentile("v", 0.5).alias("m")).select("g", "m"))
+    assert rows(ordered.rank_desc(df, ["g"], "v", "r", df).select("g", "v", "i", "r")) == rows(esperado.select("g", "v", "i", "r"))
+    medianas = df.groupBy("g").agg(F.percentile("v", 0.5).alias("m")).select("g", "m")
+    assert rows(ordered.median(df, ["g"], "v", "m", df)) == rows(medianas)
     nombres = spark.createDataFrame([(x,) for x in ("ñandú", "b", "", "aa", "ab", "a", "Z", "é")], "s string")
-    numerados = dict(map(tuple, ordered.row_numbers(nombres, "s", "n").collect()))
+    numerados = dict(map(tuple, ordered.row_numbers(nombres, "s", "n", nombres).collect()))
     assert [s for s, _ in sorted(numerados.items(), key=lambda x: x[1])] == ["", "Z", "a", "aa", "ab", "b", "é", "ñandú"]
     assert sorted(numerados.values()) == list(range(1, 9))
 
 
+def test_whole_cubes_by_buckets(ctx, monkeypatch):
+    consultas = {
+        "C08": lambda: cubes.cubo_top_productos_anual(ctx.detalle, ctx.tiempo, ctx.productos, ctx.categorias),
+        "C09": lambda: cubes.cubo_frecuencia_uso(ctx.detalle, ctx.productos, ctx.categorias),
+        "D21": lambda: dashboard.analisis_precios(ctx.detalle, ctx.categorias),
+    }
+    directo = {n: rows(q()) for n, q in consultas.items()}
+    monkeypatch.setattr(ordered, "fits_one_task", lambda df: False)
+    assert {n: rows(q()) for n, q in consultas.items()} == directo
+
+
+def test_size_check_reads_file_sizes(ctx, spark):
+    assert sizing.fits_one_task(ctx.detalle) and sizing.plan_bytes(ctx.tiempo) < 10**6
+    assert not sizing.fits_broadcast(ctx.detalle.crossJoin(ctx.detalle.limit(10**6)))
+
+
+def test_year_filter_on_a_cube_prunes_fact_partitions(ctx):
+    cubo = cubes.cubo_pedidos_ubicacion(ctx.pedidos, ctx.tiempo).filter("anio = 1997 and mes = 3")
+    plan = cubo._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(anio" in plan and "= 1997" in plan
+
+
 def test_rollup_without_broadcast_is_the_same(ctx, spark):
     """With a time dimension too large to broadcast, facts are summed per minute before the join."""
     consultas = {
