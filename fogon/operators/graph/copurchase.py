@@ -11,17 +11,19 @@ from fogon.functions.pairs import BLOQUE, pairs_within
 def copurchase(contiene: DataFrame, pedidos: DataFrame, bloque: int = BLOQUE) -> DataFrame:
     """COMPRADO_CON edges: one row per direction, computed inside each source.
 
+    ``contiene`` holds an order's product once, as ``edges_contiene`` makes it; give it as a written table,
+    since it is read several times.
     support = orders with both / all orders of the source; confidence = orders with both / orders with the
     first product.
     """
-    cestas = contiene.select("source_db", "id_pedido", "id_producto").distinct()
+    cestas = contiene.select("source_db", "id_pedido", "id_producto")
     pares_por_pedido = pairs_within(cestas, ["source_db", "id_pedido"], "id_producto", bloque)
     juntos = pares_por_pedido.groupBy("source_db", "id_producto1", "id_producto2").agg(
         F.count(F.lit(1)).alias("frecuencia")
     )
     ventas = cestas.groupBy("source_db", "id_producto").agg(F.count(F.lit(1)).alias("total"))
     # One row per source: safe to broadcast.
-    totales = F.broadcast(pedidos.groupBy("source_db").agg(F.count_distinct("id_pedido").alias("total_pedidos")))
+    totales = F.broadcast(pedidos.groupBy("source_db").agg(F.count(F.lit(1)).alias("total_pedidos")))
     v1, v2 = (ventas.withColumnsRenamed({"id_producto": f"id_producto{i}", "total": f"total{i}"}) for i in (1, 2))
     pares = (
         juntos.join(v1, ["source_db", "id_producto1"]).join(v2, ["source_db", "id_producto2"]).join(totales, "source_db")

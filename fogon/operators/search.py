@@ -43,18 +43,20 @@ def _max_edits(n: Column) -> Column:
     return F.when(n <= 2, 0).when(n <= 5, 1).otherwise(2)
 
 
-def search_scores(index: DataFrame, q: str) -> DataFrame:
-    """All matching products with ``score``.
+def search_scores(indice: DataFrame, q: str) -> DataFrame:
+    """All matching products with ``score``; ``indice`` is the token table made by ``postings``.
 
     Query words are compared with the vocabulary (distinct words per field), not with the products; only
     the postings of words that matched are read on. A word found by a typo weighs 1 - edits / length. For
     each query word the best matching word of a field counts, the field score is their weighted BM25 sum,
     and the best field gives the score of the product.
     """
-    indice = postings(index)
-    documentos = index.agg(F.count(F.lit(1)).cast("double")).scalar()
+    documentos = indice.agg(F.count_distinct("id_producto").cast("double")).scalar()
     vocabulario = indice.groupBy("campo", "token").agg(F.count(F.lit(1)).cast("double").alias("df"))
-    largos = indice.select("id_producto", "campo", "largo").distinct().groupBy("campo").agg(F.avg("largo").alias("largo_medio"))
+    # The terms of a field add up to its length, so the sum of tf over all products is the sum of lengths.
+    largos = indice.groupBy("campo").agg(
+        (F.sum("tf").cast("double") / F.count_distinct("id_producto")).alias("largo_medio")
+    )
 
     palabra = F.col("palabra")
     coincidencias = (
@@ -85,9 +87,9 @@ def paginate(df: DataFrame, orden: list[Column | str], page: int = 1, size: int
     return df.orderBy(*orden).offset((page - 1) * size).limit(size).withColumn("total", total)
 
 
-def search(index: DataFrame, q: str, page: int = 1, size: int = 10) -> DataFrame:
+def search(index: DataFrame, indice: DataFrame, q: str, page: int = 1, size: int = 10) -> DataFrame:
     """One page of products by score; only the page is joined back to the product columns."""
-    pagina = paginate(search_scores(index, q), [F.desc("score"), "id_producto"], page, size)
+    pagina = paginate(search_scores(indice, q), [F.desc("score"), "id_producto"], page, size)
     return index.join(pagina, "id_producto").orderBy(F.desc("score"), "id_producto")
 
 

@@ -1,6 +1,6 @@
 """Everything a registered query needs: source tables, the loaded warehouse, the graph tables.
 
-The warehouse and the co-purchase edges are written once per application and input folder, below the shared
+The warehouse, the search index and the larger edge tables are written once per application and input folder, below the shared
 folder named by ``spark.checkpoint.dir``; every query then reads those Parquet tables.
 """
 
@@ -11,7 +11,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fogon.operators import cubes
+from fogon.operators import cubes, search
 from fogon.operators.graph import copurchase, delivery, nodes
 from fogon.operators.load import Extracted, extract_all, run_etl
 from fogon.session import shared_dir, tune
@@ -115,7 +115,8 @@ class Context:
 
     @cached_property
     def contiene(self) -> DataFrame:
-        return nodes.edges_contiene(self._lineas_grafo(), self.nodos["Pedido"], self.nodos["Producto"])
+        lineas = self._lineas_grafo()
+        return self.escrita("contiene", nodes.edges_contiene(lineas, self.nodos["Pedido"], self.nodos["Producto"]))
 
     @cached_property
     def proviene(self) -> DataFrame:
@@ -151,6 +152,16 @@ class Context:
     def entrega(self) -> DataFrame:
         return delivery.delivery_distances(self.paradas)
 
+    # --- search ---
+
+    @cached_property
+    def indice(self) -> DataFrame:
+        return self.escrita("indice", search.build_search_index(self.src.producto))
+
+    @cached_property
+    def tokens(self) -> DataFrame:
+        return self.escrita("tokens", search.postings(self.indice))
+
     def aristas(self) -> dict[str, DataFrame]:
         return {
             "CONTIENE": self.contiene, "COMPRADO_CON": self.comprado_con, "REFIERE": self.refiere,

@@ -630,10 +630,6 @@ REGISTRO |= {
 # --- Search and operational reads ---------------------------------------------------------------------
 
 
-def _indice(c: Context) -> DataFrame:
-    return search.build_search_index(c.src.producto)
-
-
 def _cambios(c: Context) -> DataFrame:
     k = F.col("id_producto")
     base = search.build_search_index(c.src.producto).select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("seq"))
@@ -647,13 +643,13 @@ def _cambios(c: Context) -> DataFrame:
 
 
 REGISTRO |= {
-    "T01": lambda c: _indice(c),
-    "T01_tokens": lambda c: search.postings(_indice(c)),
-    "T02": lambda c: search.search_scores(_indice(c), "smal wigdet brand#2"),
-    "T02_pagina": lambda c: search.search(_indice(c), "smal wigdet", 2, 10),
-    "T03": lambda c: search.search_category(_indice(c), "Postre", 1, 20),
+    "T01": lambda c: c.indice,
+    "T01_tokens": lambda c: c.tokens,
+    "T02": lambda c: search.search_scores(c.tokens, "smal wigdet brand#2"),
+    "T02_pagina": lambda c: search.search(c.indice, c.tokens, "smal wigdet", 2, 10),
+    "T03": lambda c: search.search_category(c.indice, "Postre", 1, 20),
     "T04": lambda c: search.paginate(c.src.usuario.select("id_usuario", "nombre"), ["nombre", "id_usuario"], 3, 25),
-    "T05": lambda c: search.apply_index_changes(_indice(c), _cambios(c)),
+    "T05": lambda c: search.apply_index_changes(c.indice, _cambios(c)),
     "O01": lambda c: operations.open_orders_by_driver(c.src.pedido, c.src.detalle).select(
         "id_repartidor", "id_pedido", "fecha_hora", "estado", _texto_lineas().alias("detalle")
     ),

@@ -207,7 +207,7 @@ def test_search_typo_and_field_weights(spark):
     ], "id_producto bigint, nombre string, categoria string, descripcion string, precio double, id_menu bigint")
     indice = search.build_search_index(productos)
     assert {r.descripcion for r in indice.filter("id_producto > 2").collect()} == {search.SIN_DESCRIPCION}
-    hallados = search.search(indice, "piza").collect()
+    hallados = search.search(indice, search.postings(indice), "piza").collect()
     assert [r.id_producto for r in hallados] == [1, 2] and {r.total for r in hallados} == {2}
     assert [r.id_producto for r in search.search_category(indice, "Bebidas", 1, 10).collect()] == [3, 4]
     assert search.search_category(indice, "bebidas", 1, 10).count() == 0
