@@ -719,6 +719,19 @@ Q |= {
     "O09_reservas": "select * from @reserva",
 }
 
+# Greedy routes, one step of every driver per round.
+TABLAS["ruta"] = f"""select distinct source_db, id_repartidor, 0 as orden, latitud_actual as lat, longitud_actual as lng, 0.0::double as total,
+ []::bigint[] as vistos, null::bigint as id_usuario, null::varchar as nombre, null::double as tramo from @paradas
+ union all select source_db, id_repartidor, orden + 1, latitud, longitud,
+ total + case when orden = 0 then {r('d')} else d end, list_append(vistos, sig), sig, sig_nombre, {r('d')}
+ from (select *, row_number() over (partition by source_db, id_repartidor order by round(d, 9), sig) as rn from (
+  select w.source_db, w.id_repartidor, w.orden, w.total, w.vistos, s.id_usuario as sig, s.nombre as sig_nombre, s.latitud, s.longitud,
+  {km('w.lat', 'w.lng', 's.latitud', 's.longitud')} as d from t_ruta w join @paradas s on s.source_db = w.source_db
+  and s.id_repartidor = w.id_repartidor and not list_contains(w.vistos, s.id_usuario))) where rn = 1"""
+Q["G17"] = f"""select source_db, id_repartidor, orden, id_usuario, nombre, tramo as distancia_tramo, {r('total')} as distancia_acumulada,
+ count(*) over w as total_paradas, max({r('total')}) over w as distancia_total from @ruta where orden > 0
+ window w as (partition by source_db, id_repartidor)"""
+
 
 def _palabras(*palabras: str) -> str:
     return ", ".join(f"('{p}')" for p in palabras)
@@ -753,7 +766,7 @@ def _sql(nombre: str) -> str:
 
     visit(Q[nombre])
     ctes = ",\n".join(f"t_{ref} as ({_REF.sub(r't_\1', fuentes[ref])})" for ref in orden)
-    texto = (f"with {ctes}\n" if ctes else "") + _REF.sub(r"t_\1", Q[nombre])
+    texto = (f"with recursive {ctes}\n" if ctes else "") + _REF.sub(r"t_\1", Q[nombre])
     return _SUMA_ENTERA.sub(r"cast(sum(\1) as bigint)", texto)
 
 
