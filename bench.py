@@ -45,6 +45,7 @@ def main() -> None:
         "metric": "headline_queries_total", "value": round(sum(tiempos.values()), 3), "unit": "sec", "queries": tiempos,
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
     }))
+    ctx.drop()
     spark.stop()
 
 

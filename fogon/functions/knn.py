@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from fogon.functions.geo import distancia_km
 
-NIVELES = 9  # sides 4, 1, 1/4 … of the Earth radius; the finest is about 100 m
+NIVELES = 12  # sides 4, 1, 1/4 … of the Earth radius; the finest is about 1.5 m
 
 
 def _cells(df: DataFrame) -> DataFrame:

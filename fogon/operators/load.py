@@ -74,22 +74,23 @@ def extract_all(rel: dict[str, DataFrame], doc: dict[str, DataFrame]) -> Extract
     return Extracted(pedidos, reservas, detalle)
 
 
-def run_etl(extracted: Extracted, almacen: Warehouse) -> dict[str, int]:
+def run_etl(extracted: Extracted, almacen: Warehouse, incremental: bool = False) -> dict[str, int]:
     """Load what the warehouse does not have yet; returns rows loaded per table.
 
     Facts are looked up by their natural key first, so a second run over the same input loads nothing. The
     new rows are staged once; dimensions and facts are then derived from the staged columns, not from the
-    sources again.
+    sources again. ``incremental`` stages the extracted rows as well, before the lookup: the size of a small
+    batch is then known, and the lookup does not shuffle the facts.
     """
     almacen.init()
-    nuevos = {
-        tabla: almacen.stage(dims.only_new(df, almacen.table(tabla), schemas.CLAVES[tabla]), tabla)
-        for tabla, df in (
-            ("fact_pedidos", extracted.pedidos),
-            ("fact_reservas", extracted.reservas),
-            ("fact_detalle_pedidos", extracted.detalle),
-        )
-    }
+    nuevos = {}
+    for tabla, df in (
+        ("fact_pedidos", extracted.pedidos),
+        ("fact_reservas", extracted.reservas),
+        ("fact_detalle_pedidos", extracted.detalle),
+    ):
+        lote = almacen.stage(df, f"lote_{tabla}") if incremental else df
+        nuevos[tabla] = almacen.stage(dims.only_new(lote, almacen.table(tabla), schemas.CLAVES[tabla]), tabla)
     lineas = nuevos["fact_detalle_pedidos"]
     eventos = None
     for df in nuevos.values():

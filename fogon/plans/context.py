@@ -11,10 +11,11 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fogon.functions.sizing import plan_bytes
 from fogon.operators import cubes, search
 from fogon.operators.graph import copurchase, delivery, nodes
 from fogon.operators.load import Extracted, extract_all, run_etl
-from fogon.session import shared_dir, tune
+from fogon.session import shared_dir, size_shuffles, tune
 from fogon.sources.testdata import SourceTables
 from fogon.sources.warehouse import Warehouse
 
@@ -33,6 +34,7 @@ class Context:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.src = SourceTables(spark, sf_dir)
+        size_shuffles(spark, sum(plan_bytes(self.src.raw(t)) for t in ("orders", "lineitem", "events")))
         self.carpeta = f"{shared_dir(spark)}/fogon-{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:8]}"
         self.cargadas: dict[str, int] = {}
         self._tablas: dict[str, DataFrame] = {}
@@ -43,6 +45,12 @@ class Context:
         df.write.mode("overwrite").parquet(ruta)
         return self.spark.read.schema(df.schema).parquet(ruta)
 
+    def drop(self) -> None:
+        """Delete the written tables of this context."""
+        _CONTEXTS.pop((self.spark.sparkContext.applicationId, self.src.sf_dir), None)
+        ruta = self.spark._jvm.org.apache.hadoop.fs.Path(self.carpeta)
+        ruta.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(ruta, True)
+
     # --- warehouse ---
 
     @cached_property

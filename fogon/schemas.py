@@ -13,6 +13,9 @@ PEDIDO_DOC = ddl({
     "id_pedido": "BIGINT", "id_usuario": "BIGINT", "id_restaurante": "BIGINT", "id_repartidor": "BIGINT",
     "fecha_hora": "STRING", "estado": "STRING", "tipo": "STRING", "detalles": f"ARRAY<{LINEA}>",
 })
+RESERVA_DOC = ddl({
+    "id_reserva": "BIGINT", "id_usuario": "BIGINT", "id_restaurante": "BIGINT", "fecha_hora": "STRING", "estado": "STRING",
+})
 USUARIO_API = "STRUCT<id_usuario: BIGINT, nombre: STRING, latitud: DOUBLE, longitud: DOUBLE, id_referido: BIGINT>"
 RESPUESTA_USUARIOS = ddl({"message": "STRING", "total": "BIGINT", "usuarios": f"ARRAY<{USUARIO_API}>"})
 ELEMENTO_OSM = "STRUCT<type: STRING, lat: DOUBLE, lon: DOUBLE, tags: MAP<STRING, STRING>>"

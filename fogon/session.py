@@ -24,6 +24,24 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Shuffled data one task should get before adaptive execution merges or splits partitions.
+BYTES_POR_PARTICION = 64 * 1024 * 1024
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Set the initial number of shuffle partitions by the size of the input, unless the session sets it.
+
+    The fixed default suits neither tiny nor huge inputs. Adaptive execution merges partitions that turn out
+    small, so erring high is cheap; a partition that does not fit in memory spills.
+    """
+    clave = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    particiones = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if spark.conf.get(clave, None) is None and input_bytes > particiones * BYTES_POR_PARTICION:
+        particiones = min(-(-input_bytes // BYTES_POR_PARTICION), 100_000)
+        spark.conf.set(clave, str(particiones))
+    return particiones
+
+
 def local_session(cpus: str | int = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
     """Session for tests and the bench; a cluster brings its own."""
     builder = (

@@ -12,6 +12,7 @@ from fogon.functions.pairs import pairs_within
 from fogon.operators import cubes, dashboard, report
 from fogon.operators.graph.copurchase import copurchase
 from fogon.operators.graph.delivery import routes
+from fogon.session import size_shuffles
 
 RNG = np.random.default_rng(7)
 
@@ -138,6 +139,15 @@ def test_whole_cubes_by_buckets(ctx, monkeypatch):
     assert {n: rows(q()) for n, q in consultas.items()} == directo
 
 
+def test_shuffle_partitions_follow_the_input(spark):
+    clave = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        assert size_shuffles(spark, 10**6) == 4 and spark.conf.get(clave, None) is None
+        assert size_shuffles(spark, 10**12) == 14902 and spark.conf.get(clave) == "14902"
+    finally:
+        spark.conf.unset(clave)
+
+
 def test_size_check_reads_file_sizes(ctx, spark):
     assert sizing.fits_one_task(ctx.detalle) and sizing.plan_bytes(ctx.tiempo) < 10**6
     assert not sizing.fits_broadcast(ctx.detalle.crossJoin(ctx.detalle.limit(10**6)))

@@ -1,10 +1,10 @@
 import json
 
 from fogon import schemas
-from fogon.operators.load import run_etl
+from fogon.operators import dimensions
 from fogon.sources import export, readers
 from fogon.sources.warehouse import Warehouse
-from fogon.streaming.incremental import stream_orders
+from fogon.streaming.incremental import stream_feed
 
 
 def test_osm_file(spark, tmp_path):
@@ -48,17 +48,26 @@ def test_incremental_load_and_replay(spark, ctx, tmp_path):
     docs = ctx.src.pedido_doc.withColumn("fecha_hora", ctx.src.pedido_doc.fecha_hora.cast("string"))
     docs.filter("id_pedido % 2 = 0").coalesce(1).write.json(feed)
     almacen = Warehouse(spark, str(tmp_path / "w")).init()
-    dims = ctx.documental
 
-    def correr(punto):
-        stream_orders(spark, feed, almacen, dims, str(tmp_path / punto), max_files=1).awaitTermination()
-        return almacen.table("fact_pedidos").count(), almacen.table("fact_detalle_pedidos").count()
+    def correr(punto, kind="pedidos", carpeta=feed):
+        stream_feed(spark, kind, carpeta, almacen, ctx.documental, str(tmp_path / punto), max_files=1).awaitTermination()
+        return tuple(almacen.table(t).count() for t in schemas.HECHOS)
 
     pares = correr("cp")
-    assert pares[0] == docs.filter("id_pedido % 2 = 0").count()
+    assert pares[0] == docs.filter("id_pedido % 2 = 0").count() and pares[1] == 0
     docs.filter("id_pedido % 2 = 1").coalesce(1).write.mode("append").json(feed)
     todos = correr("cp")
-    assert todos == (docs.count(), ctx.src.de_fuente("detalle", "mongo").count())
+    assert todos == (docs.count(), 0, ctx.src.de_fuente("detalle", "mongo").count())
     assert correr("otro_cp") == todos
-    assert set(almacen.table("fact_pedidos").columns) == set(schemas.HECHOS["fact_pedidos"])
-    assert callable(run_etl)
+    reservas = str(tmp_path / "reservas")
+    ctx.src.de_fuente("reserva", "mongo").coalesce(1).write.json(reservas)
+    assert correr("cp_r", "reservas", reservas) == (todos[0], ctx.src.de_fuente("reserva", "mongo").count(), todos[2])
+
+
+def test_small_batch_does_not_shuffle_the_target(spark, ctx, tmp_path):
+    lote = ctx.pedidos.filter("id_pedido < 40").select("id_pedido", "fuente_datos")
+    lote.unionAll(spark.sql("select -1L, 'mongo'")).write.parquet(str(tmp_path / "lote"))
+    nuevas = dimensions.only_new(spark.read.parquet(str(tmp_path / "lote")), ctx.pedidos, schemas.CLAVES["fact_pedidos"])
+    assert [tuple(r) for r in nuevas.collect()] == [(-1, "mongo")]
+    plan = nuevas._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan and "SortMergeJoin" not in plan
