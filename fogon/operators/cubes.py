@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fogon.functions.geo import SIN_UBICACION
 from fogon.functions.measures import ESTADOS, TIPOS, conteos, doble, o_cero, pct, por_tiempo, razon, uno_si
 from fogon.functions.ordered import rank_desc
+from fogon.functions.sizing import fits_broadcast
 
 DIA = ["fecha", "anio", "mes", "trimestre", "dia_semana", "es_fin_semana"]
 MES = ["anio", "mes"]
@@ -202,11 +203,19 @@ def cubo_top_productos_anual(
 
 
 def cubo_frecuencia_uso(fact_detalle: DataFrame, dim_productos: DataFrame, dim_categorias: DataFrame) -> DataFrame:
+    """Purchases per user and product. Users rarely repeat a product, so lines are summed ahead of the
+    product join only when that join has to shuffle them."""
     llaves = ["id_usuario", "id_producto", "nombre", "nombre_categoria"]
-    previo = fact_detalle.groupBy("id_usuario", *CLAVE_PRODUCTO).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("cantidad").alias("unidades"), F.sum("subtotal").alias("monto"),
-        F.count("subtotal").alias("n_montos"), F.min("fecha_creacion").alias("desde"), F.max("fecha_creacion").alias("hasta"),
+    sumas = {"n": F.lit(1), "unidades": F.col("cantidad"), "monto": F.col("subtotal"),
+             "n_montos": uno_si(F.col("subtotal").isNotNull())}
+    creada = F.col("fecha_creacion")
+    previo = fact_detalle.select(
+        "id_usuario", *CLAVE_PRODUCTO, *[c.alias(n) for n, c in sumas.items()], creada.alias("desde"), creada.alias("hasta")
     )
+    if not fits_broadcast(dim_productos):
+        previo = previo.groupBy("id_usuario", *CLAVE_PRODUCTO).agg(
+            *[F.sum(n).alias(n) for n in sumas], F.min("desde").alias("desde"), F.max("hasta").alias("hasta")
+        )
     uso = (
         con_producto(previo, dim_productos, dim_categorias)
         .groupBy(*llaves)
