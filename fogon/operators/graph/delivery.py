@@ -411,11 +411,21 @@ def restaurant_subgraph(
     restaurantes: DataFrame, proviene: DataFrame, contiene: DataFrame, pertenece: DataFrame, asignado: DataFrame,
     id_restaurante: int | None = None,
 ) -> DataFrame:
-    """Orders, products, users and drivers around each restaurant (or one), all optional."""
-    llave = ["id_pedido", "source_db"]
+    """Orders, products, users and drivers around each restaurant (or one), all optional.
+
+    A busy restaurant or a long order would be the side of an outer join that cannot be split. So what matches
+    is joined inner (there either side may be split), and what has no match is added by anti-joins with
+    distinct keys.
+    """
+    sitio, llave = ["id_restaurante", "source_db"], ["id_pedido", "source_db"]
     nodos = restaurantes if id_restaurante is None else restaurantes.filter(F.col("id_restaurante") == id_restaurante)
-    return (
-        nodos.select("id_restaurante", "source_db").join(proviene, ["id_restaurante", "source_db"], "left")
-        .join(contiene, llave, "left").join(pertenece, llave, "left").join(asignado, llave, "left")
-        .select("id_restaurante", "source_db", "id_pedido", "id_producto", "cantidad", "id_usuario", "id_repartidor")
+    nodos = nodos.select(*sitio)
+    pedidos = proviene.join(nodos, sitio, "left_semi")
+    filas = (
+        contiene.join(pedidos, llave)
+        .unionByName(pedidos.join(contiene.select(*llave).distinct(), llave, "left_anti"), allowMissingColumns=True)
+        # One user and at most one driver per order.
+        .join(pertenece, llave, "left").join(asignado, llave, "left")
+        .unionByName(nodos.join(proviene.select(*sitio).distinct(), sitio, "left_anti"), allowMissingColumns=True)
     )
+    return filas.select("id_restaurante", "source_db", "id_pedido", "id_producto", "cantidad", "id_usuario", "id_repartidor")

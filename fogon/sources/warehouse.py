@@ -79,7 +79,7 @@ class Warehouse:
 
     def register(self, database: str = "warehouse", views: dict[str, DataFrame] | None = None) -> None:
         """Catalog tables over the folders, plus temporary views for the given cubes."""
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{self.path('_database')}'")
         for name, columnas in schemas.TABLAS.items():
             particiones = f"PARTITIONED BY ({', '.join(schemas.PARTICIONES)})" if name in schemas.HECHOS else ""
             self.spark.sql(

@@ -225,3 +225,42 @@ def test_route_is_a_permutation_of_the_stops(ctx):
     a, b = ruta.alias("a"), ruta.alias("b")
     saltos = a.join(b, (F.col("a.source_db") == F.col("b.source_db")) & (F.col("a.id_repartidor") == F.col("b.id_repartidor")) & (F.col("b.orden") == F.col("a.orden") + 1))
     assert saltos.filter("b.distancia_acumulada < a.distancia_acumulada").count() == 0
+
+
+def test_subgraph_keeps_what_has_no_match(spark):
+    """A restaurant without orders, an order without lines and an order without a driver all stay."""
+    from fogon.operators.graph.delivery import restaurant_subgraph
+
+    def tabla(filas, columnas):
+        return spark.createDataFrame(filas, ", ".join(f"{c} {'string' if c == 'source_db' else 'bigint'}" for c in columnas.split()))
+
+    restaurantes = tabla([(1, "pg"), (2, "pg"), (1, "mongo")], "id_restaurante source_db")
+    proviene = tabla([(10, 1, "pg"), (11, 1, "pg"), (10, 1, "mongo"), (12, 9, "pg")], "id_pedido id_restaurante source_db")
+    contiene = tabla([(10, 5, "pg", 2), (10, 6, "pg", 1), (12, 5, "pg", 1)], "id_pedido id_producto source_db cantidad")
+    pertenece = tabla([(10, 7, "pg"), (11, 8, "pg")], "id_pedido id_usuario source_db")
+    asignado = tabla([(10, 3, "pg")], "id_pedido id_repartidor source_db")
+    todo = {tuple(r) for r in restaurant_subgraph(restaurantes, proviene, contiene, pertenece, asignado).collect()}
+    assert todo == {
+        (1, "pg", 10, 5, 2, 7, 3), (1, "pg", 10, 6, 1, 7, 3), (1, "pg", 11, None, None, 8, None),
+        (1, "mongo", 10, None, None, None, None), (2, "pg", None, None, None, None, None),
+    }
+    uno = restaurant_subgraph(restaurantes, proviene, contiene, pertenece, asignado, 2)
+    assert one(uno) == [(2, "pg", None, None, None, None, None)]
+
+
+def test_purge_takes_restaurants_of_the_user_and_their_products(spark):
+    usuario = spark.createDataFrame([(1,)], "id_usuario bigint")
+    tablas = {
+        "restaurante": spark.createDataFrame([(1, 1), (2, 5)], "id_restaurante bigint, id_admin bigint"),
+        "menu": spark.createDataFrame([(1, 1), (2, 2)], "id_menu bigint, id_restaurante bigint"),
+        "producto": spark.createDataFrame([(5, 1), (6, 2)], "id_producto bigint, id_menu bigint"),
+        "reserva": spark.createDataFrame([(1, 1, 2), (2, 5, 1), (3, 5, 2)], "id_reserva bigint, id_usuario bigint, id_restaurante bigint"),
+        "pedido": _pedidos(spark, [
+            (1, 1, 2, None, None, None, None, []), (2, 5, 1, None, None, None, None, []),
+            (3, 5, 2, None, None, None, None, [(5, 1, 1.0), (6, 1, 1.0)]), (4, 5, None, None, None, None, None, None),
+        ]),
+    }
+    quedan, resumen = maintenance.purge_users(tablas, usuario)
+    assert dict(one(resumen)) == {"reserva": 2, "pedido": 2, "restaurante": 1, "menu": 1, "producto": 1}
+    pedidos = {r.id_pedido: r.detalles for r in quedan["pedido"].collect()}
+    assert [d.id_producto for d in pedidos[3]] == [6] and pedidos[4] is None and set(pedidos) == {3, 4}
