@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -69,3 +71,18 @@ def shared_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
+
+
+def ship(spark: SparkSession) -> None:
+    """Put this package on the executors' Python path, once per application.
+
+    Functions of the package are pickled by reference, so Python workers that do not share the driver's file system
+    need the code itself. Spark serves the archive to every executor, present and future.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_fogon_shipped", False):
+        return
+    paquete = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.join(tempfile.mkdtemp(prefix="fogon-package-"), "fogon_package")
+    context.addPyFile(shutil.make_archive(base, "zip", os.path.dirname(paquete), os.path.basename(paquete)))
+    context._fogon_shipped = True

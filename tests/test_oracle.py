@@ -4,8 +4,9 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as entry_points
+from fogon.plans import oracle, queries
 
-CONSULTAS, ORACULO = entry_points.queries(), entry_points.oracle_sql()
+CONSULTAS, ORACULO = queries.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +21,7 @@ def test_same_as_sql(spark, sf_dir, con, nombre):
 
 def test_every_query_has_a_twin():
     assert set(CONSULTAS) == set(ORACULO)
+    assert CONSULTAS.keys() <= entry_points.queries().keys()
 
 
 def test_entry(spark):
