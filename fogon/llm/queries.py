@@ -6,12 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fogon.llm import op1_packing as op1
 from fogon.llm import op4_substrings as op4
+from fogon.llm import op8_jaccard as op8
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_substring_dedup": op4.op4_substring_dedup}
+    return {
+        "op1_curve_packing": op1.op1_curve_packing,
+        "op4_substring_dedup": op4.op4_substring_dedup,
+        "op8_jaccard_join": op8.op8_jaccard_join,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**op4.SQL}
+    return {**op1.SQL, **op4.SQL, **op8.SQL}
