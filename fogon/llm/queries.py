@@ -7,15 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from fogon.llm import op1_packing as op1
+from fogon.llm import op3_rules as op3
 from fogon.llm import op4_substrings as op4
+from fogon.llm import op5_toxicity as op5
 from fogon.llm import op8_jaccard as op8
+from fogon.llm import op10_secrets as op10
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_curve_packing": op1.op1_curve_packing,
+        "op3_decision_list": op3.op3_decision_list,
         "op4_substring_dedup": op4.op4_substring_dedup,
+        "op5_toxicity": op5.op5_toxicity,
         "op8_jaccard_join": op8.op8_jaccard_join,
+        "op10_secret_scan": op10.op10_secret_scan,
     }
 
 
