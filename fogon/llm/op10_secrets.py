@@ -162,19 +162,20 @@ def _listed(spans: Column) -> Column:
 
 def redact(docs: DataFrame, q: float = FDR, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every found span, overlapping ones merged, replaced by ``mark``; n_chars follows the text."""
-    found = scan(docs, q, tuple(docs.columns))
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+    found = scan(rows, q, ("text", "row"))
     text = F.coalesce("text", F.lit(""))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     cleaned = F.aggregate("found", start, lambda s, x: F.struct(
         F.greatest(s["at"], x["end"]).alias("at"),
         F.when(x["start"] >= s["at"], F.concat(s["out"], F.substring(text, s["at"] + 1, x["start"] - s["at"]), F.lit(mark))).otherwise(s["out"]).alias("out")),
         lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
-    new = F.when(F.size("found") > 0, cleaned).otherwise(F.col("text"))
-    out = found.withColumn("_new", new)
-    return out.select(*[
-        F.col("_new").alias(c) if c == "text"
-        else F.when(F.size("found") > 0, F.length("_new").cast("long")).otherwise(F.col(c)).alias(c) if c == "n_chars"
-        else F.col(c) for c in docs.columns])
+    hit = F.size("found") > 0
+    out = found.withColumn("new", F.when(hit, cleaned).otherwise(F.col("text")))
+    new = {"text": F.col("new")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(hit, F.length("new").cast("long")).otherwise(F.col("row.n_chars"))
+    return out.select(*[new[c].alias(c) if c in new else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
