@@ -62,6 +62,18 @@ def nombre_dia(dia: Column) -> Column:
     return etiqueta(dia, NOMBRES_DIA)
 
 
+def atributos_tiempo(tiempo_id: Column) -> dict[str, Column]:
+    """Attributes of a minute of the time dimension out of its id, which counts seconds of the wall clock since 1970."""
+    dia = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(tiempo_id / 86400).cast("int"))
+    resto = F.pmod(tiempo_id, F.lit(86400))
+    hora = F.floor(resto / 3600).cast("int")
+    return {
+        "fecha": dia.cast("string"), "hora": hora, "minuto": F.floor(resto % 3600 / 60).cast("int"), "anio": F.year(dia),
+        "mes": F.month(dia), "dia": F.day(dia), "trimestre": F.quarter(dia), "dia_semana": dia_semana(dia),
+        "es_fin_semana": es_fin_semana(dia), "es_horario_pico": es_horario_pico(hora),
+    }
+
+
 def periodo_dia(hora: Column) -> Column:
     return (
         F.when(hora.between(6, 11), "Mañana (6-11)")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fogon.functions.sizing import fits_broadcast
+from fogon.functions.calendar import atributos_tiempo
 from fogon.schemas import PARTICIONES
 
 
@@ -52,39 +52,31 @@ TIPOS = {"pedidos_restaurante": "en restaurante", "pedidos_recoger": "para recog
 
 def por_tiempo(
     hechos: DataFrame,
-    dim_tiempo: DataFrame,
     llaves: list[str],
     llaves_tiempo: list[str],
     sumas: dict[str, Column],
     distintos: dict[str, Column] | None = None,
     distintos_tiempo: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Group facts by their own keys and by attributes of their minute (inner join on ``tiempo_id``).
+    """Group facts by their own keys and by attributes of their minute.
 
     ``sumas`` are additive measures; ``distintos`` and ``distintos_tiempo`` are distinct counts over fact
-    expressions and over columns of the dimension. When the dimension is small enough to be broadcast,
-    the join comes first and Spark's partial aggregation does the rest. When it is not, the facts are
-    first summed per (keys, tiempo_id): the shuffle then carries sums instead of rows, a busy minute
-    shrinks to one row per key, and the join reuses that partitioning. Values counted distinct are kept
-    as extra keys in that step.
-
-    Year and month are joined too. They follow from the minute, so no row is lost, and a filter on them
-    then reaches the partition columns of the facts.
+    expressions and over attributes of the minute. The load gives every fact a minute of the time dimension, and the
+    id of a minute is a point in time within it, so all of its attributes follow from the fact's own ``tiempo_id``; year
+    and month are the partition columns, so a filter on them prunes. The facts are shuffled once, after partial sums.
+    A fact without a minute is left out.
     """
     distintos, distintos_tiempo = distintos or {}, distintos_tiempo or {}
-    enlace = ["tiempo_id", *PARTICIONES]
-    tiempo = dim_tiempo.select(*dict.fromkeys([*enlace, *llaves_tiempo, *distintos_tiempo.values()]))
-    hechos = hechos.select(
-        *enlace,
-        *llaves,
-        *[c.alias(f"_s_{n}") for n, c in sumas.items()],
-        *[c.alias(f"_d_{n}") for n, c in distintos.items()],
-    )
-    if not fits_broadcast(tiempo):
-        claves = [*enlace, *llaves, *[f"_d_{n}" for n in distintos]]
-        hechos = hechos.groupBy(*claves).agg(*[F.sum(f"_s_{n}").alias(f"_s_{n}") for n in sumas])
+    atributos = atributos_tiempo(F.col("tiempo_id"))
+    del_tiempo = dict.fromkeys([*llaves_tiempo, *distintos_tiempo.values()])
     return (
-        hechos.join(tiempo, enlace)
+        hechos.filter(F.col("tiempo_id").isNotNull())
+        .select(
+            *llaves,
+            *[F.col(c) if c in PARTICIONES else atributos[c].alias(c) for c in del_tiempo],
+            *[c.alias(f"_s_{n}") for n, c in sumas.items()],
+            *[c.alias(f"_d_{n}") for n, c in distintos.items()],
+        )
         .groupBy(*llaves, *llaves_tiempo)
         .agg(
             *[F.sum(f"_s_{n}").alias(n) for n in sumas],

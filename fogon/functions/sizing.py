@@ -1,4 +1,4 @@
-"""Size checks behind the choice of a join strategy."""
+"""Size estimates of inputs."""
 
 from __future__ import annotations
 
@@ -8,14 +8,3 @@ from pyspark.sql import DataFrame
 def plan_bytes(df: DataFrame) -> int:
     """Catalyst's upper estimate of the size of ``df`` (file sizes scaled by the columns read)."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """True when Spark itself would broadcast ``df`` in an equi-join."""
-    limite = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return plan_bytes(df) <= limite
-
-
-def fits_one_task(df: DataFrame) -> bool:
-    """True when ``df`` is no larger than what one scan task reads anyway."""
-    return plan_bytes(df) <= df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()

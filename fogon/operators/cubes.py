@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from fogon.functions.geo import SIN_UBICACION
 from fogon.functions.measures import ESTADOS, TIPOS, conteos, doble, o_cero, pct, por_tiempo, razon, uno_si
 from fogon.functions.ordered import rank_desc
-from fogon.functions.sizing import fits_broadcast
 
 DIA = ["fecha", "anio", "mes", "trimestre", "dia_semana", "es_fin_semana"]
 MES = ["anio", "mes"]
@@ -50,7 +49,7 @@ def _pedidos() -> dict[str, Column]:
 
 def cubo_pedidos_tiempo(dim_tiempo: DataFrame, fact_pedidos: DataFrame) -> DataFrame:
     sumas = {**_pedidos(), "n": uno_si(F.col("id_pedido").isNotNull()), **fuentes("pedidos")}
-    por_dia = por_tiempo(fact_pedidos, dim_tiempo, [], DIA, sumas)
+    por_dia = por_tiempo(fact_pedidos, [], DIA, sumas)
     return _dias(dim_tiempo, por_dia).select(
         *DIA,
         F.coalesce("n", F.lit(0)).cast("bigint").alias("total_pedidos"),
@@ -65,7 +64,7 @@ def cubo_reservas_tiempo(dim_tiempo: DataFrame, fact_reservas: DataFrame) -> Dat
     estados = conteos("estado", {"reservas_confirmadas": "confirmada", "reservas_pendientes": "pendiente",
                                  "reservas_canceladas": "cancelada"})
     sumas = {"n": uno_si(F.col("id_reserva").isNotNull()), **estados, **fuentes("reservas")}
-    por_dia = por_tiempo(fact_reservas, dim_tiempo, [], DIA, sumas)
+    por_dia = por_tiempo(fact_reservas, [], DIA, sumas)
     return _dias(dim_tiempo, por_dia).select(
         *DIA,
         F.coalesce("n", F.lit(0)).cast("bigint").alias("total_reservas"),
@@ -80,7 +79,7 @@ def cubo_pedidos_ubicacion(fact_pedidos: DataFrame, dim_tiempo: DataFrame) -> Da
     sumas = {**_pedidos(), "pedidos_misma_provincia": uno_si(local()), "pedidos_inter_provincia": uno_si(externo()),
              **fuentes("pedidos")}
     distintos = {"usuarios_unicos": F.col("id_usuario"), "restaurantes_unicos": F.col("id_restaurante")}
-    cubo = por_tiempo(fact_pedidos.dropna(subset=llaves), dim_tiempo, llaves, [*MES, "trimestre"], sumas, distintos)
+    cubo = por_tiempo(fact_pedidos.dropna(subset=llaves), llaves, [*MES, "trimestre"], sumas, distintos)
     return cubo.select(
         *llaves, *MES, "trimestre",
         F.col("n").alias("total_pedidos"),
@@ -97,7 +96,7 @@ def cubo_actividad_zona(fact_pedidos: DataFrame, dim_tiempo: DataFrame) -> DataF
                  "usuarios_activos": F.col("id_usuario"), "provincias_origen_clientes": F.col("provincia_cliente")}
     sumas = {**_pedidos(), "externos": uno_si(externo()), **fuentes("transacciones")}
     con_zona = fact_pedidos.filter(F.col("provincia_restaurante") != SIN_UBICACION)
-    cubo = por_tiempo(con_zona, dim_tiempo, ["provincia_restaurante"], [*MES, "trimestre"], sumas, distintos)
+    cubo = por_tiempo(con_zona, ["provincia_restaurante"], [*MES, "trimestre"], sumas, distintos)
     return cubo.select(
         F.col("provincia_restaurante").alias("provincia"), *MES, "trimestre", *distintos,
         F.col("n").alias("total_transacciones"),
@@ -116,7 +115,7 @@ def cubo_matriz_od(fact_pedidos: DataFrame, dim_tiempo: DataFrame) -> DataFrame:
     llaves = ["provincia_cliente", "provincia_restaurante"]
     distintos = {"usuarios_unicos": F.col("id_usuario"), "restaurantes_unicos": F.col("id_restaurante")}
     sumas = {"n": F.lit(1), "monto": F.col("total_pedido"), **fuentes("pedidos")}
-    cubo = por_tiempo(fact_pedidos.dropna(subset=llaves), dim_tiempo, llaves, MES, sumas, distintos)
+    cubo = por_tiempo(fact_pedidos.dropna(subset=llaves), llaves, MES, sumas, distintos)
     return cubo.select(
         F.col("provincia_cliente").alias("origen"), F.col("provincia_restaurante").alias("destino"), *MES,
         F.col("n").alias("total_pedidos"),
@@ -141,7 +140,7 @@ def cubo_productos_tiempo(dim_tiempo: DataFrame, fact_detalle: DataFrame, dim_ca
         **conteos("estado_pedido", {"productos_entregados": "entregado", "productos_pendientes": "pendiente"}),
         **fuentes("productos"),
     }
-    por_dia = por_tiempo(lineas, dim_tiempo, [], DIA, sumas, {"productos_unicos": F.col("id_producto")})
+    por_dia = por_tiempo(lineas, [], DIA, sumas, {"productos_unicos": F.col("id_producto")})
     return _dias(dim_tiempo, por_dia).select(
         *DIA,
         F.coalesce("n", F.lit(0)).cast("bigint").alias("total_productos_vendidos"),
@@ -165,7 +164,7 @@ def cubo_productos_ubicacion(fact_detalle: DataFrame, dim_tiempo: DataFrame, dim
     distintos = {"productos_unicos": F.col("id_producto"), "restaurantes_vendedores": F.col("id_restaurante"),
                  "usuarios_compradores": F.col("id_usuario")}
     sumas = {**medidas_linea(), "locales": uno_si(local()), **fuentes("ventas")}
-    cubo = por_tiempo(lineas, dim_tiempo, [*provincias, "nombre_categoria"], [*MES, "trimestre"], sumas, distintos)
+    cubo = por_tiempo(lineas, [*provincias, "nombre_categoria"], [*MES, "trimestre"], sumas, distintos)
     return cubo.select(
         *provincias, "nombre_categoria", *MES, "trimestre",
         F.col("n").alias("total_ventas"),
@@ -189,22 +188,22 @@ def cubo_top_productos_anual(
     fact_detalle: DataFrame, dim_tiempo: DataFrame, dim_productos: DataFrame, dim_categorias: DataFrame
 ) -> DataFrame:
     """Lines are summed by product before the dimension joins, which then see one row per product and year."""
-    por_producto = por_tiempo(fact_detalle, dim_tiempo, CLAVE_PRODUCTO, ["anio"], medidas_linea())
+    por_producto = por_tiempo(fact_detalle, CLAVE_PRODUCTO, ["anio"], medidas_linea())
     llaves = ["id_producto", "nombre", "nombre_categoria", "anio"]
     ventas = (
         con_producto(por_producto, dim_productos, dim_categorias)
         .groupBy(*llaves)
         .agg(F.sum("n").alias("total_ventas"), F.sum("monto").alias("monto"), F.sum("unidades").alias("unidades_vendidas"))
     )
-    return rank_desc(ventas, ["anio"], "monto", "ranking_ingresos", fact_detalle).select(
+    return rank_desc(ventas, ["anio"], "monto", "ranking_ingresos").select(
         F.col("id_producto").alias("producto_id"), F.col("nombre").alias("nombre_producto"), "nombre_categoria", "anio",
         "total_ventas", doble("monto").alias("ingresos_totales"), "unidades_vendidas", "ranking_ingresos",
     )
 
 
 def cubo_frecuencia_uso(fact_detalle: DataFrame, dim_productos: DataFrame, dim_categorias: DataFrame) -> DataFrame:
-    """Purchases per user and product. Users rarely repeat a product, so lines are summed ahead of the
-    product join only when that join has to shuffle them."""
+    """Purchases per user and product. Users rarely repeat a product, so summing lines ahead of the product join
+    would shuffle them once more for little."""
     llaves = ["id_usuario", "id_producto", "nombre", "nombre_categoria"]
     sumas = {"n": F.lit(1), "unidades": F.col("cantidad"), "monto": F.col("subtotal"),
              "n_montos": uno_si(F.col("subtotal").isNotNull())}
@@ -212,10 +211,6 @@ def cubo_frecuencia_uso(fact_detalle: DataFrame, dim_productos: DataFrame, dim_c
     previo = fact_detalle.select(
         "id_usuario", *CLAVE_PRODUCTO, *[c.alias(n) for n, c in sumas.items()], creada.alias("desde"), creada.alias("hasta")
     )
-    if not fits_broadcast(dim_productos):
-        previo = previo.groupBy("id_usuario", *CLAVE_PRODUCTO).agg(
-            *[F.sum(n).alias(n) for n in sumas], F.min("desde").alias("desde"), F.max("hasta").alias("hasta")
-        )
     uso = (
         con_producto(previo, dim_productos, dim_categorias)
         .groupBy(*llaves)
@@ -225,7 +220,7 @@ def cubo_frecuencia_uso(fact_detalle: DataFrame, dim_productos: DataFrame, dim_c
             F.min("desde").alias("primera_compra"), F.max("hasta").alias("ultima_compra"),
         )
     )
-    return rank_desc(uso, ["id_usuario"], "veces_comprado", "ranking_preferencia_usuario", fact_detalle).select(
+    return rank_desc(uso, ["id_usuario"], "veces_comprado", "ranking_preferencia_usuario").select(
         "id_usuario", F.col("id_producto").alias("producto_id"), F.col("nombre").alias("producto"), "nombre_categoria",
         "veces_comprado", "unidades_totales",
         razon("monto", "n_montos").alias("gasto_promedio_por_compra"), doble("monto").alias("gasto_total_producto"),

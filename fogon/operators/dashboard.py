@@ -45,7 +45,7 @@ def ticket() -> Column:
 
 def kpis(fact_pedidos: DataFrame, dim_tiempo: DataFrame, source: str = "Todos") -> DataFrame:
     return por_tiempo(
-        _vendidos(fact_pedidos, source), dim_tiempo, [], [], sumas(), distintos_tiempo={"dias_activos": "fecha"}
+        _vendidos(fact_pedidos, source), [], [], sumas(), distintos_tiempo={"dias_activos": "fecha"}
     ).select(
         "dias_activos", F.coalesce("n", F.lit(0)).alias("pedidos_totales"), ingresos().alias("ingresos_totales"),
         ticket().alias("ticket_promedio_general"), F.col("entregados").alias("pedidos_entregados"),
@@ -74,7 +74,7 @@ def _periodo(grano: str) -> Column:
 
 def tendencia(fact_pedidos: DataFrame, dim_tiempo: DataFrame, source: str = "Todos", grano: str = "dia") -> DataFrame:
     return (
-        por_tiempo(_vendidos(fact_pedidos, source), dim_tiempo, [], _GRANOS[grano], sumas())
+        por_tiempo(_vendidos(fact_pedidos, source), [], _GRANOS[grano], sumas())
         .select(_periodo(grano).alias("periodo"), F.col("n").alias("pedidos"), ingresos().alias("ingresos"),
                 ticket().alias("ticket_promedio"), F.coalesce("items", F.lit(0)).alias("items"))
         .orderBy("periodo")
@@ -287,7 +287,7 @@ def analisis_precios(fact_detalle: DataFrame, dim_categorias: DataFrame, source:
         *_medidas_linea(), F.min("precio_unitario").alias("minimo"), F.max("precio_unitario").alias("maximo"),
         F.count_distinct("id_producto").alias("productos_en_categoria"),
     )
-    medianas = median(lineas, ["categoria_id"], "precio_unitario", "mediana", fact_detalle)
+    medianas = median(lineas, ["categoria_id"], "precio_unitario", "mediana")
     return (
         join_nullsafe(base, medianas, ["categoria_id"], "left")
         .join(dim_categorias, "categoria_id")
@@ -326,7 +326,7 @@ def resumen_productos(categorias: DataFrame, top: DataFrame, precios: DataFrame)
 
 def por_dia_semana(fact_pedidos: DataFrame, dim_tiempo: DataFrame, source: str = "Todos") -> DataFrame:
     return (
-        por_tiempo(_vendidos(fact_pedidos, source), dim_tiempo, [], ["dia_semana", "es_fin_semana"], sumas())
+        por_tiempo(_vendidos(fact_pedidos, source), [], ["dia_semana", "es_fin_semana"], sumas())
         .orderBy("dia_semana")
         .select("dia_semana", cal.nombre_dia(F.col("dia_semana")).alias("nombre_dia"), "es_fin_semana",
                 F.col("n").alias("pedidos"), ingresos().alias("ingresos"), ticket().alias("ticket_promedio"))
@@ -342,7 +342,7 @@ def resumen_finde(por_dia: DataFrame) -> DataFrame:
 
 def por_hora(fact_pedidos: DataFrame, dim_tiempo: DataFrame, source: str = "Todos") -> DataFrame:
     return (
-        por_tiempo(_vendidos(fact_pedidos, source), dim_tiempo, [], ["hora"], sumas(),
+        por_tiempo(_vendidos(fact_pedidos, source), [], ["hora"], sumas(),
                    {"usuarios_activos": F.col("id_usuario")})
         .orderBy("hora")
         .select("hora", cal.periodo_dia(F.col("hora")).alias("periodo_dia"), F.col("n").alias("pedidos"),
@@ -370,7 +370,7 @@ def top_horas(por_hora: DataFrame, n: int = 5) -> DataFrame:
 
 def pico_vs_normal(fact_pedidos: DataFrame, dim_tiempo: DataFrame, source: str = "Todos") -> DataFrame:
     return (
-        por_tiempo(_vendidos(fact_pedidos, source), dim_tiempo, [], ["es_horario_pico"], sumas(),
+        por_tiempo(_vendidos(fact_pedidos, source), [], ["es_horario_pico"], sumas(),
                    {"usuarios_activos": F.col("id_usuario")}, {"horas_diferentes": "hora"})
         .orderBy(F.desc("es_horario_pico"))
         .select("es_horario_pico",
@@ -398,7 +398,7 @@ def participacion_pico(pico: DataFrame) -> DataFrame:
 
 def detalle_horas_pico(fact_pedidos: DataFrame, dim_tiempo: DataFrame, source: str = "Todos") -> DataFrame:
     return (
-        por_tiempo(_vendidos(fact_pedidos, source), dim_tiempo, [], ["hora", "es_horario_pico"], sumas())
+        por_tiempo(_vendidos(fact_pedidos, source), [], ["hora", "es_horario_pico"], sumas())
         .select("hora", "es_horario_pico", F.col("n").alias("pedidos_en_esta_hora"))
         .orderBy("hora")
     )

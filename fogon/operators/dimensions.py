@@ -9,7 +9,6 @@ from fogon import schemas
 from fogon.functions import calendar as cal
 from fogon.functions import geo
 from fogon.functions.ordered import join_nullsafe, row_numbers
-from fogon.functions.sizing import fits_broadcast
 
 # Fixed value: category of products whose category is blank when they are loaded.
 CATEGORIA_EN_BLANCO = "Especialidad"
@@ -94,7 +93,7 @@ def missing_categorias(products: DataFrame, dim: DataFrame, columna: str = "cate
         .join(dim, "nombre_categoria", "left_anti")
     )
     base = dim.agg(F.coalesce(F.max("categoria_id"), F.lit(0))).scalar()
-    return row_numbers(nuevas, "nombre_categoria", "_n", products).select(
+    return row_numbers(nuevas, "nombre_categoria", "_n").select(
         (base + F.col("_n")).cast("int").alias("categoria_id"), "nombre_categoria"
     )
 
@@ -144,10 +143,8 @@ def upsert_productos(lines: DataFrame, dim: DataFrame) -> DataFrame:
 def only_new(df: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose key is not in ``target``; repeats inside ``df`` stay. NULL keys compare equal.
 
-    When the keys of ``df`` are small enough to be broadcast (an increment, staged), the target is reduced
-    to those keys first: its key columns are scanned, but nothing of it is shuffled.
+    The target is reduced to the keys of ``df`` first. Where those are few (an increment, staged), Spark broadcasts them:
+    the key columns of the target are scanned, but nothing of it is shuffled.
     """
-    cargadas = target.select(*keys)
-    if fits_broadcast(df.select(*keys)):
-        cargadas = join_nullsafe(cargadas, df.select(*keys), keys, "left_semi")
+    cargadas = join_nullsafe(target.select(*keys), df.select(*keys), keys, "left_semi")
     return join_nullsafe(df, cargadas, keys, "left_anti")

@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fogon.functions.geo import RADIO_TIERRA_KM, distancia_km
+from fogon.functions.geo import distancia_km
 from fogon.functions.knn import k_nearest
 from fogon.functions.measures import o_cero, pct, razon
 from fogon.functions.pairs import BLOQUE, pairs_within
-from fogon.session import shared_dir
 
 
 def _in_sources(df: DataFrame, sources: list[str] | None) -> DataFrame:
@@ -53,8 +50,9 @@ def nearest_driver(distancias: DataFrame) -> DataFrame:
     )
 
 
-def k_nearest_drivers(distancias: DataFrame, k: int = 5) -> DataFrame:
-    return distancias.filter(F.col("puesto") <= k).select(
+def k_nearest_drivers(restaurantes: DataFrame, repartidores: DataFrame, k: int = 5) -> DataFrame:
+    """The k nearest available drivers of each restaurant, for any k."""
+    return driver_distances(restaurantes, repartidores, k).select(
         "source_db", "id_restaurante", "restaurante", "id_repartidor", "repartidor",
         F.col("latitud").alias("repartidor_lat"), F.col("longitud").alias("repartidor_lng"), "distancia_km",
         F.current_timestamp().alias("fecha_calculo"),
@@ -126,9 +124,6 @@ def stop_matrix(stops: DataFrame, bloque: int = BLOQUE) -> DataFrame:
 
 PARADA = "struct<id: bigint, nombre: string, lat: double, lng: double>"
 TRAMO = "struct<id_usuario: bigint, nombre: string, distancia_tramo: double, distancia_acumulada: double>"
-# Stops of one driver that are walked inside one row; drivers with more are walked pool by pool.
-MAX_PARADAS = 200
-RUTA = ["source_db", "id_repartidor", "orden", "id_usuario", "nombre", "distancia_tramo", "distancia_acumulada"]
 
 
 def _walk(paradas: Column, lat: Column, lng: Column) -> Column:
@@ -166,7 +161,7 @@ def _walk(paradas: Column, lat: Column, lng: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.size(paradas)), inicio, paso, lambda estado: estado.ruta)
 
 
-def _small_routes(stops: DataFrame) -> DataFrame:
+def _walked(stops: DataFrame) -> DataFrame:
     parada = F.struct(
         F.col("id_usuario").alias("id"), "nombre", F.col("latitud").alias("lat"), F.col("longitud").alias("lng")
     )
@@ -178,106 +173,28 @@ def _small_routes(stops: DataFrame) -> DataFrame:
     ).select("source_db", "id_repartidor", (F.col("pos") + 1).alias("orden"), "t.*")
 
 
-def _km_np(lat: float, lng: float, lats: np.ndarray, lngs: np.ndarray) -> np.ndarray:
-    a, b = np.radians(lat), np.radians(lats)
-    coseno = np.cos(a) * np.cos(b) * np.cos(np.radians(lngs) - np.radians(lng)) + np.sin(a) * np.sin(b)
-    return np.arccos(np.clip(coseno, -1.0, 1.0)) * RADIO_TIERRA_KM
-
-
-HOLGURA_KM = 0.001  # far above the rounding noise of a distance
-
-
-def _walk_pool(pool: pd.DataFrame) -> pd.DataFrame:
-    """Greedy steps that are certain knowing only the stops around the current position.
-
-    The pool holds every stop left within ``radio`` of its centre. From a position at distance c of the
-    centre, stops outside are at least radio - c away, so a nearer stop of the pool is the next one.
-    """
-    pool = pool.sort_values("id_usuario").reset_index(drop=True)
-    lats, lngs = pool["latitud"].to_numpy(), pool["longitud"].to_numpy()
-    lat = lat0 = pool["lat"].iloc[0]
-    lng = lng0 = pool["lng"].iloc[0]
-    total, orden = pool["total"].iloc[0], int(pool["orden"].iloc[0])
-    radio = np.inf if pool["completo"].iloc[0] else pool["d"].max()
-    libres = np.ones(len(pool), dtype=bool)
-    filas = []
-    while libres.any():
-        d = np.where(libres, _km_np(lat, lng, lats, lngs), np.inf)
-        j = int(d.argmin())
-        centro = float(_km_np(lat0, lng0, np.array([lat]), np.array([lng]))[0])
-        if filas and d[j] + centro + HOLGURA_KM >= radio:
-            break
-        orden += 1
-        total += round(float(d[j]), 2) if orden == 1 else float(d[j])
-        filas.append((j, orden, round(float(d[j]), 2), round(total, 2), total))
-        libres[j] = False
-        lat, lng = lats[j], lngs[j]
-    visita = pool.iloc[[f[0] for f in filas]][["source_db", "id_repartidor", "id_usuario", "nombre", "latitud", "longitud"]]
-    visita = visita.reset_index(drop=True)
-    for i, c in enumerate(("orden", "distancia_tramo", "distancia_acumulada", "total"), start=1):
-        visita[c] = [f[i] for f in filas]
-    return visita
-
-
-VISITA = (
-    "source_db string, id_repartidor bigint, id_usuario bigint, nombre string, latitud double, longitud double, "
-    "orden int, distancia_tramo double, distancia_acumulada double, total double"
-)
-
-
-def _large_routes(stops: DataFrame, pool: int) -> DataFrame:
-    """Routes of drivers with any number of stops.
-
-    A greedy route is sequential, but a driver's stops never meet in one task: each round takes the ``pool``
-    stops nearest to the current position (a top-k, cut before the shuffle), walks while the next stop is
-    certain, and continues from there. Drivers advance side by side. Each round is checkpointed, so a lost
-    executor costs one round.
-    """
-    shared_dir(stops.sparkSession)
-    conductor = ["source_db", "id_repartidor"]
-    quedan = stops.select(*conductor, "id_usuario", "nombre", "latitud", "longitud").checkpoint()
-    posicion = stops.groupBy(*conductor).agg(
-        F.first("latitud_actual").alias("lat"), F.first("longitud_actual").alias("lng"),
-        F.lit(0.0).alias("total"), F.lit(0).alias("orden"),
-    ).checkpoint()
-    visitas = None
-    while not quedan.isEmpty():
-        cerca = Window.partitionBy(*conductor).orderBy("d", "id_usuario")
-        elegidas = (
-            quedan.join(posicion, conductor)
-            .withColumn("d", _km("lat", "lng", "latitud", "longitud"))
-            .withColumn("puesto", F.row_number().over(cerca)).filter(F.col("puesto") <= pool).drop("puesto")
-        )
-        restantes = quedan.groupBy(*conductor).agg((F.count(F.lit(1)) <= pool).alias("completo"))
-        ronda = (
-            elegidas.join(restantes, conductor)
-            .groupBy(*conductor).applyInPandas(_walk_pool, VISITA).checkpoint()
-        )
-        visitas = ronda if visitas is None else visitas.unionAll(ronda)
-        posicion = ronda.groupBy(*conductor).agg(F.max_by(F.struct(
-            F.col("latitud").alias("lat"), F.col("longitud").alias("lng"), "total", "orden"), "orden").alias("p")
-        ).select(*conductor, "p.*")
-        quedan = quedan.join(ronda, [*conductor, "id_usuario"], "left_anti").checkpoint()
-    return visitas.select(*RUTA)
-
-
-def routes(stops: DataFrame, max_paradas: int = MAX_PARADAS, pool: int = 1000) -> DataFrame:
+def routes(stops: DataFrame) -> DataFrame:
     """Greedy open route of every driver through the users to visit, starting at the driver.
 
     ``stops``: source_db, id_repartidor, id_usuario, nombre, latitud, longitud, latitud_actual,
-    longitud_actual. Drivers with more than ``max_paradas`` stops take another exact way, ``pool`` stops at a
-    time (keep it at 1000 or less: up to there Spark cuts a top-k before the shuffle).
+    longitud_actual. A greedy route is sequential, so the stops of one driver are walked inside one row, whatever their
+    number; memory grows with the stops of a driver, time with their square. Drivers without a position have no
+    route, see ``unroutable``.
     """
-    conductor = ["source_db", "id_repartidor"]
-    paradas = stops.groupBy(*conductor).agg(F.count(F.lit(1)).alias("total_paradas"))
-    grandes = paradas.filter(F.col("total_paradas") > max_paradas).select(*conductor)
-    rutas = _small_routes(stops.join(grandes, conductor, "left_anti")).select(*RUTA)
-    if not grandes.isEmpty():
-        rutas = rutas.unionByName(_large_routes(stops.join(grandes, conductor, "left_semi"), pool))
-    totales = rutas.groupBy(*conductor).agg(
-        F.count(F.lit(1)).alias("total_paradas"), F.max("distancia_acumulada").alias("distancia_total")
+    rutas = _walked(stops.dropna(subset=["latitud_actual", "longitud_actual"]))
+    conductor = Window.partitionBy("source_db", "id_repartidor")
+    return rutas.withColumns({
+        "total_paradas": F.count(F.lit(1)).over(conductor), "distancia_total": F.max("distancia_acumulada").over(conductor),
+    })
+
+
+def unroutable(stops: DataFrame) -> DataFrame:
+    """Drivers with stops but without a position, their number of stops and the reason."""
+    return (
+        stops.filter(F.col("latitud_actual").isNull() | F.col("longitud_actual").isNull())
+        .groupBy("source_db", "id_repartidor").agg(F.count(F.lit(1)).alias("total_paradas"))
+        .withColumn("motivo", F.lit("Repartidor sin ubicación"))
     )
-    return rutas.join(totales, conductor)
 
 
 # --- Reports ------------------------------------------------------------------------------------------
@@ -290,19 +207,21 @@ def _con_pedidos(nodos: DataFrame, aristas: DataFrame, clave: str, sources: list
 
 
 def top_drivers(
-    repartidores: DataFrame, asignado: DataFrame, sources: list[str] | None = None, limit: int = 20
+    repartidores: DataFrame, asignado: DataFrame, sources: list[str] | None = None, limit: int | None = 20
 ) -> DataFrame:
-    return (
+    """Drivers by number of orders; ``limit`` cuts the list, None keeps all."""
+    todos = (
         _con_pedidos(repartidores, asignado, "id_repartidor", sources)
         .select("id_repartidor", F.col("nombre").alias("nombre_repartidor"), F.col("source_db").alias("fuente_datos"),
                 F.col("latitud_actual").alias("latitud"), F.col("longitud_actual").alias("longitud"),
                 F.col("n").alias("total_pedidos_asignados"))
-        .orderBy(F.desc("total_pedidos_asignados"), "nombre_repartidor", "id_repartidor", "fuente_datos").limit(limit)
     )
+    orden = [F.desc("total_pedidos_asignados"), "nombre_repartidor", "id_repartidor", "fuente_datos"]
+    return todos if limit is None else todos.orderBy(*orden).limit(limit)
 
 
 def driver_activity(top: DataFrame) -> DataFrame:
-    """Leader, mean of the active drivers and their share, over a list of top drivers."""
+    """Leader, mean of the active drivers and their share, over all drivers (``top_drivers`` without a limit)."""
     n = F.col("total_pedidos_asignados")
     return top.agg(
         F.min_by("nombre_repartidor", F.struct(-n, "nombre_repartidor")).alias("lider"), F.max(n).alias("pedidos_lider"),

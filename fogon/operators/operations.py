@@ -13,7 +13,9 @@ ESTADOS_ABIERTOS = ["pendiente", "en preparacion", "listo"]
 def open_orders_by_driver(pedido: DataFrame, detalle: DataFrame) -> DataFrame:
     """Open orders of each driver, oldest first, with their lines."""
     abiertos = pedido.filter(F.col("estado").isin(ESTADOS_ABIERTOS) & F.col("id_repartidor").isNotNull())
-    return nest_orders(abiertos, detalle).orderBy("id_repartidor", "fecha_hora", "id_pedido")
+    # Only the lines of open orders are gathered.
+    lineas = detalle.join(abiertos.select("id_pedido"), "id_pedido", "left_semi")
+    return nest_orders(abiertos, lineas).orderBy("id_repartidor", "fecha_hora", "id_pedido")
 
 
 def unassigned_orders(pedido: DataFrame) -> DataFrame:

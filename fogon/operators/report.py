@@ -51,7 +51,7 @@ def _previo(df: DataFrame, orden: list[str], grupo: list[str] | None = None, **c
 
 
 def ventas_categoria_mes(fact_detalle: DataFrame, dim_tiempo: DataFrame, dim_categorias: DataFrame) -> DataFrame:
-    por_mes = por_tiempo(fact_detalle, dim_tiempo, ["categoria_id"], ["anio", "mes"], medidas_linea())
+    por_mes = por_tiempo(fact_detalle, ["categoria_id"], ["anio", "mes"], medidas_linea())
     return (
         por_mes.join(dim_categorias.dropna(subset=["nombre_categoria"]), "categoria_id")
         .groupBy("nombre_categoria", "anio", "mes")
@@ -67,7 +67,7 @@ def ventas_categoria_mes(fact_detalle: DataFrame, dim_tiempo: DataFrame, dim_cat
 def top_productos_ingresos(
     fact_detalle: DataFrame, dim_tiempo: DataFrame, dim_productos: DataFrame, dim_categorias: DataFrame, n: int = 10
 ) -> DataFrame:
-    por_producto = por_tiempo(fact_detalle, dim_tiempo, CLAVE_PRODUCTO, ["anio"], medidas_linea())
+    por_producto = por_tiempo(fact_detalle, CLAVE_PRODUCTO, ["anio"], medidas_linea())
     return (
         con_producto(por_producto, dim_productos, dim_categorias)
         .groupBy("anio", F.col("nombre").alias("nombre_producto"), "nombre_categoria")
@@ -80,7 +80,7 @@ def top_productos_ingresos(
 
 def mezcla_tipo_pedido(fact_pedidos: DataFrame, dim_tiempo: DataFrame) -> DataFrame:
     return (
-        por_tiempo(fact_pedidos, dim_tiempo, [], ["mes", "anio"], {**sumas(), **conteos("tipo", TIPOS)})
+        por_tiempo(fact_pedidos, [], ["mes", "anio"], {**sumas(), **conteos("tipo", TIPOS)})
         .select(
             "mes", "anio", *TIPOS, F.col("filas").alias("total_pedidos"),
             pct("pedidos_restaurante", "filas").alias("pct_restaurante"),
@@ -92,7 +92,7 @@ def mezcla_tipo_pedido(fact_pedidos: DataFrame, dim_tiempo: DataFrame) -> DataFr
 
 def crecimiento_categoria(fact_detalle: DataFrame, dim_tiempo: DataFrame, dim_categorias: DataFrame) -> DataFrame:
     anual = (
-        por_tiempo(fact_detalle, dim_tiempo, ["categoria_id"], ["anio"], medidas_linea())
+        por_tiempo(fact_detalle, ["categoria_id"], ["anio"], medidas_linea())
         .join(dim_categorias.dropna(subset=["nombre_categoria"]), "categoria_id")
         .groupBy("nombre_categoria", "anio")
         .agg(F.sum("n").alias("ventas_anuales"), doble(F.sum("monto")).alias("ingresos_anuales"))
@@ -107,7 +107,7 @@ def crecimiento_categoria(fact_detalle: DataFrame, dim_tiempo: DataFrame, dim_ca
 def actividad_dia_semana(fact_pedidos: DataFrame, dim_tiempo: DataFrame) -> DataFrame:
     """Days of the week with at least one order, so the outer join of the time dimension is not needed."""
     return (
-        por_tiempo(fact_pedidos, dim_tiempo, [], ["dia_semana", "es_fin_semana"], sumas())
+        por_tiempo(fact_pedidos, [], ["dia_semana", "es_fin_semana"], sumas())
         .filter("n > 0")
         .select(
             "dia_semana", F.coalesce(cal.nombre_dia(F.col("dia_semana")), F.lit("Desconocido")).alias("nombre_dia"),
@@ -120,7 +120,7 @@ def actividad_dia_semana(fact_pedidos: DataFrame, dim_tiempo: DataFrame) -> Data
 
 def finde_vs_laboral(fact_pedidos: DataFrame, dim_tiempo: DataFrame) -> DataFrame:
     return (
-        por_tiempo(fact_pedidos.filter(F.col("id_pedido").isNotNull()), dim_tiempo, [], ["es_fin_semana"], sumas(),
+        por_tiempo(fact_pedidos.filter(F.col("id_pedido").isNotNull()), [], ["es_fin_semana"], sumas(),
                    distintos_tiempo={"dias_analizados": "fecha"})
         .orderBy("es_fin_semana")
         .select(
@@ -133,7 +133,7 @@ def finde_vs_laboral(fact_pedidos: DataFrame, dim_tiempo: DataFrame) -> DataFram
 
 def actividad_provincia_tipodia(fact_pedidos: DataFrame, dim_tiempo: DataFrame) -> DataFrame:
     return (
-        por_tiempo(_con_provincia(fact_pedidos), dim_tiempo, ["provincia_restaurante"], ["es_fin_semana"], sumas(),
+        por_tiempo(_con_provincia(fact_pedidos), ["provincia_restaurante"], ["es_fin_semana"], sumas(),
                    distintos_tiempo={"dias_con_actividad": "fecha"})
         .orderBy("provincia_restaurante", "es_fin_semana")
         .select(
@@ -145,7 +145,7 @@ def actividad_provincia_tipodia(fact_pedidos: DataFrame, dim_tiempo: DataFrame)
 
 def eficiencia_estados(fact_pedidos: DataFrame, dim_tiempo: DataFrame) -> DataFrame:
     return (
-        por_tiempo(fact_pedidos, dim_tiempo, [], ["es_fin_semana"], sumas())
+        por_tiempo(fact_pedidos, [], ["es_fin_semana"], sumas())
         .orderBy("es_fin_semana")
         .select(
             _tipo_dia("Laborables").alias("tipo_dia"), F.col("pedidos_entregados").alias("entregados"),
@@ -157,7 +157,7 @@ def eficiencia_estados(fact_pedidos: DataFrame, dim_tiempo: DataFrame) -> DataFr
 
 
 def crecimiento_mensual(fact_pedidos: DataFrame, dim_tiempo: DataFrame) -> DataFrame:
-    mensual = por_tiempo(fact_pedidos, dim_tiempo, [], ["anio", "mes"], sumas()).select(
+    mensual = por_tiempo(fact_pedidos, [], ["anio", "mes"], sumas()).select(
         "anio", "mes", F.col("n").alias("pedidos_mes"), ingresos().alias("ingresos_mes"),
         ticket().alias("ticket_promedio_mes"), F.col("items").alias("items_mes"),
     )
@@ -176,7 +176,7 @@ def _con_provincia(fact_pedidos: DataFrame) -> DataFrame:
 def expansion_geografica(fact_pedidos: DataFrame, dim_tiempo: DataFrame) -> DataFrame:
     distintos = {"restaurantes_activos": _con_fuente("id_restaurante"), "usuarios_activos": _con_fuente("id_usuario")}
     return (
-        por_tiempo(_con_provincia(fact_pedidos), dim_tiempo, ["provincia_restaurante"], ["anio", "mes"], sumas(), distintos)
+        por_tiempo(_con_provincia(fact_pedidos), ["provincia_restaurante"], ["anio", "mes"], sumas(), distintos)
         .select(
             "anio", "mes", F.col("provincia_restaurante").alias("provincia"), *distintos,
             F.col("n").alias("total_transacciones"), ingresos().alias("volumen_negocio"), ticket().alias("ticket_promedio"),
@@ -192,7 +192,7 @@ def flujos_interprovinciales(fact_pedidos: DataFrame, dim_tiempo: DataFrame) ->
     )
     distintos = {"usuarios_participantes": _con_fuente("id_usuario")}
     return (
-        por_tiempo(con_flujo, dim_tiempo, ["tipo_flujo"], ["anio", "mes"], sumas(), distintos)
+        por_tiempo(con_flujo, ["tipo_flujo"], ["anio", "mes"], sumas(), distintos)
         .select("anio", "mes", "tipo_flujo", F.col("n").alias("pedidos_totales"), ingresos().alias("valor_total"),
                 ticket().alias("ticket_promedio"), *distintos)
         .orderBy(F.desc("anio"), F.desc("mes"), "tipo_flujo")
@@ -201,7 +201,7 @@ def flujos_interprovinciales(fact_pedidos: DataFrame, dim_tiempo: DataFrame) ->
 
 def crecimiento_trimestral(fact_pedidos: DataFrame, dim_tiempo: DataFrame) -> DataFrame:
     trimestral = por_tiempo(
-        fact_pedidos, dim_tiempo, [], ["anio", "trimestre"], sumas(), distintos_tiempo={"dias_activos": "fecha"}
+        fact_pedidos, [], ["anio", "trimestre"], sumas(), distintos_tiempo={"dias_activos": "fecha"}
     ).withColumn("ingresos_trimestre", ingresos())
     return (
         _previo(trimestral, ["anio", "trimestre"], n_anterior="n", ingresos_anterior="ingresos_trimestre")
@@ -217,7 +217,7 @@ def crecimiento_trimestral(fact_pedidos: DataFrame, dim_tiempo: DataFrame) -> Da
 
 def resumen_general(fact_pedidos: DataFrame, dim_tiempo: DataFrame) -> DataFrame:
     return por_tiempo(
-        fact_pedidos, dim_tiempo, [], [], sumas(), distintos_tiempo={"dias_con_datos": "fecha"}
+        fact_pedidos, [], [], sumas(), distintos_tiempo={"dias_con_datos": "fecha"}
     ).select(
         "dias_con_datos", F.coalesce("n", F.lit(0)).alias("pedidos_totales"), ingresos().alias("ingresos_totales"),
         ticket().alias("ticket_promedio_general"), F.col("items").alias("items_totales"),

@@ -43,11 +43,31 @@ def _max_edits(n: Column) -> Column:
     return F.when(n <= 2, 0).when(n <= 5, 1).otherwise(2)
 
 
+def _swaps(palabra: Column) -> Column:
+    """The words that a swap of two neighbouring letters makes of a word."""
+    lugares = F.filter(F.sequence(F.lit(1), F.greatest(F.length(palabra) - 1, F.lit(1))), lambda i: i < F.length(palabra))
+    return F.transform(lugares, lambda i: F.concat(
+        F.substring(palabra, F.lit(1), i - 1), F.substring(palabra, i + 1, F.lit(1)), F.substring(palabra, i, F.lit(1)),
+        F.substring(palabra, i + 2, F.length(palabra))))
+
+
+def edits(token: Column, palabra: Column) -> Column:
+    """Edits between two words up to 2, else 3: letters put in, left out or changed, and neighbours swapped."""
+    def hasta(otra: Column, mas: int) -> Column:
+        d = F.levenshtein(token, otra, 2 - mas)
+        return F.when(d >= 0, d + mas).otherwise(3)
+
+    una = _swaps(palabra)
+    con_una = F.array_min(F.concat(F.array(F.lit(3)), F.transform(una, lambda w: hasta(w, 1))))
+    con_dos = F.when(F.exists(una, lambda w: F.array_contains(_swaps(w), token)), 2).otherwise(3)
+    return F.least(hasta(palabra, 0), con_una, con_dos)
+
+
 def search_scores(indice: DataFrame, q: str) -> DataFrame:
     """All matching products with ``score``; ``indice`` is the token table made by ``postings``.
 
     Query words are compared with the vocabulary (distinct words per field), not with the products; only
-    the postings of words that matched are read on. A word found by a typo weighs 1 - edits / length. For
+    the postings of words that matched are joined on. A word found by a typo weighs 1 - edits / length. For
     each query word the best matching word of a field counts, the field score is their weighted BM25 sum,
     and the best field gives the score of the product.
     """
@@ -61,8 +81,8 @@ def search_scores(indice: DataFrame, q: str) -> DataFrame:
     palabra = F.col("palabra")
     coincidencias = (
         vocabulario.select("*", F.explode(F.array_distinct(tokens(F.lit(q)))).alias("palabra"))
-        .withColumn("errores", F.levenshtein("token", "palabra", 2))
-        .filter((F.col("errores") >= 0) & (F.col("errores") <= _max_edits(F.length(palabra))))
+        .withColumn("errores", edits(F.col("token"), palabra))
+        .filter((F.abs(F.length("token") - F.length(palabra)) <= 2) & (F.col("errores") <= _max_edits(F.length(palabra))))
         .withColumn("idf", F.ln((documentos - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1))
         .withColumn("peso", F.lit(1.0) - F.col("errores") / F.length(palabra))
     )

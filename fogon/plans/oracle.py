@@ -155,11 +155,12 @@ TABLAS = {
  as total_referidos from @nu u""",
     "niveles": """select *, case when total_referidos > 5 then 'Alto' when total_referidos > 2 then 'Medio'
  when total_referidos > 0 then 'Bajo' else 'Sin referidos' end as nivel_influencia from @refs""",
-    "dist": f"""select * from (select r.source_db, r.id_restaurante, r.nombre as restaurante, d.id_repartidor,
+    "dist10": f"""select * from (select r.source_db, r.id_restaurante, r.nombre as restaurante, d.id_repartidor,
  d.nombre as repartidor, d.latitud_actual as latitud, d.longitud_actual as longitud,
  {km('r.latitud', 'r.longitud', 'd.latitud_actual', 'd.longitud_actual')} as distancia_km,
  row_number() over (partition by r.source_db, r.id_restaurante order by round({km('r.latitud', 'r.longitud', 'd.latitud_actual', 'd.longitud_actual')}, 9), d.id_repartidor) as puesto
- from @nr r join @nd d on r.source_db = d.source_db and d.estado = 'disponible') where puesto <= 5""",
+ from @nr r join @nd d on r.source_db = d.source_db and d.estado = 'disponible') where puesto <= 10""",
+    "dist": "select * from @dist10 where puesto <= 5",
     "paradas": """select distinct p.fuente_datos as source_db, p.id_repartidor, u.id_usuario, u.nombre, u.latitud, u.longitud,
  d.latitud_actual, d.longitud_actual from @pedido p join @nu u on u.id_usuario = p.id_usuario and u.source_db = p.fuente_datos
  join @nd d on d.id_repartidor = p.id_repartidor and d.source_db = p.fuente_datos where p.estado <> 'entregado'""",
@@ -632,15 +633,17 @@ Q |= {
     "G27": f"""select count(*) as total_usuarios, {n_si('total_referidos > 0')} as usuarios_con_referidos,
  {div('sum(total_referidos)', 'count(*)')} as promedio_referidos_por_usuario, max(total_referidos) as max_referidos,
  sum(total_referidos) as total_referencias from @refs""",
-    "G28": f"""select nivel_influencia, count(*) as cantidad_usuarios,
+    "G28_postgres": f"""select nivel_influencia, count(*) as cantidad_usuarios,
  {pct('count(*)', '(select count(*) from @usuario)')} as porcentaje from @niveles where source_db = 'postgres' group by 1""",
+    "G28": f"""select nivel_influencia, count(*) as cantidad_usuarios,
+ {pct('count(*)', '(select count(*) from @niveles)')} as porcentaje from @niveles group by 1""",
     "G29": f"select {pct('usuarios_con_referidos', 'total_usuarios')} as tasa_engagement_pct from @G27",
     "G30": f"""select id_repartidor, nombre as nombre_repartidor, source_db as fuente_datos, latitud_actual as latitud, longitud_actual as longitud,
  total as total_pedidos_asignados from ({_con('@nd', '@asignado', 'id_repartidor')})
  order by total desc, nombre, id_repartidor, source_db limit 20""",
     "G31": f"""select first(nombre_repartidor order by total_pedidos_asignados desc, nombre_repartidor) as lider,
  max(total_pedidos_asignados) as pedidos_lider, {r('avg(total_pedidos_asignados) filter (where total_pedidos_asignados > 0)', 4)} as promedio_activos,
- {n_si('total_pedidos_asignados > 0')} as activos, {pct(n_si('total_pedidos_asignados > 0'), 'count(*)')} as actividad_pct from @G30""",
+ {n_si('total_pedidos_asignados > 0')} as activos, {pct(n_si('total_pedidos_asignados > 0'), 'count(*)')} as actividad_pct from @conductores""",
     "G32": f"""select id_restaurante, nombre as nombre_restaurante, source_db as fuente_datos, latitud, longitud, total as total_pedidos_recibidos
  from ({_con('@nr', '@proviene', 'id_restaurante')}) order by total desc, nombre, id_restaurante, source_db limit 20""",
     "G33": f"""select id_restaurante, nombre_restaurante, fuente_datos, total_pedidos_recibidos,
@@ -671,6 +674,8 @@ Q |= {
  order by total_referidos desc, zona_lat, zona_lng, id_usuario limit 10""",
     "G40": f"""select source_db, id_restaurante, restaurante, id_repartidor, repartidor, latitud as repartidor_lat, longitud as repartidor_lng,
  {r('distancia_km', 4)} as distancia_km from @dist""",
+    "G40_k10": f"""select source_db, id_restaurante, restaurante, id_repartidor, repartidor, latitud as repartidor_lat, longitud as repartidor_lng,
+ {r('distancia_km', 4)} as distancia_km from @dist10""",
     "G41": """select id_restaurante, id_pedido, id_repartidor, id_usuario, source_db from @proviene
  join @asignado using (id_pedido, source_db) join @pertenece using (id_pedido, source_db)""",
     "G42": "select * from @cc where frecuencia >= 2",
@@ -692,7 +697,7 @@ Q |= {
  select t.id_producto, t.campo, q.palabra, max((1.0::double - q.errores::double / length(q.palabra)::double)
  * ln(1 + ((select count(*) from @indice) - q.df + 0.5::double) / (q.df + 0.5::double))
  * (t.tf * 2.2::double / (t.tf + 1.2::double * (0.25::double + 0.75::double * t.largo / l.medio)))) as s
- from @tf t join (select * from (select v.campo, v.token, v.df, p.palabra, levenshtein(v.token, p.palabra) as errores
+ from @tf t join (select * from (select v.campo, v.token, v.df, p.palabra, damerau_levenshtein(v.token, p.palabra) as errores
   from (select campo, token, count(*)::double as df from @tf group by 1, 2) v, (values {{palabras}}) p(palabra))
   where errores <= case when length(palabra) <= 2 then 0 when length(palabra) <= 5 then 1 else 2 end) q
  on q.campo = t.campo and q.token = t.token
@@ -737,6 +742,9 @@ def _palabras(*palabras: str) -> str:
     return ", ".join(f"('{p}')" for p in palabras)
 
 
+TABLAS["conductores"] = f"""select id_repartidor, nombre as nombre_repartidor, total as total_pedidos_asignados
+ from ({_con('@nd', '@asignado', 'id_repartidor')})"""
+
 _T02 = Q["T02"]
 Q["T02"] = _T02.replace("{palabras}", _palabras("smal", "wigdet", "brand", "2"))
 TABLAS["puntos"] = _T02.replace("{palabras}", _palabras("smal", "wigdet"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -313,7 +314,7 @@ def _(c: Context) -> DataFrame:
     """Rows loaded per table by a first and by a second run over the same input."""
     from fogon.operators.load import run_etl
 
-    destino = warehouse.Warehouse(c.spark, f"{c.carpeta}/etl")
+    destino = warehouse.Warehouse(c.spark, f"{c.carpeta}/etl-{uuid.uuid4().hex[:8]}")
     primera, segunda = run_etl(c.extraido, destino), run_etl(c.extraido, destino)
     tablas = None
     for t in primera:
@@ -560,6 +561,11 @@ def _top_conductores(c: Context) -> DataFrame:
     return delivery.top_drivers(c.nodos["Repartidor"], c.asignado)
 
 
+def _cercanos(c: Context, k: int) -> DataFrame:
+    vecinos = delivery.k_nearest_drivers(c.src.en_fuentes("restaurante"), c.src.en_fuentes("repartidor"), k)
+    return _redondo(vecinos, "distancia_km").drop("fecha_calculo")
+
+
 def _top_restaurantes(c: Context) -> DataFrame:
     return delivery.top_restaurants(c.nodos["Restaurante"], c.proviene)
 
@@ -606,10 +612,11 @@ REGISTRO |= {
     "G25": lambda c: copurchase.copurchase_coverage(_metricas_compras(c)),
     "G26": lambda c: influence.influence_network(c.nodos["Usuario"], c.refiere, None, None),
     "G27": lambda c: influence.influence_metrics(c.nodos["Usuario"], c.refiere),
-    "G28": lambda c: influence.influence_distribution(c.nodos["Usuario"], c.refiere, ["postgres"]),
+    "G28": lambda c: influence.influence_distribution(c.nodos["Usuario"], c.refiere, None),
+    "G28_postgres": lambda c: influence.influence_distribution(c.nodos["Usuario"], c.refiere, ["postgres"]),
     "G29": lambda c: influence.engagement(influence.influence_metrics(c.nodos["Usuario"], c.refiere)),
     "G30": lambda c: _top_conductores(c),
-    "G31": lambda c: delivery.driver_activity(_top_conductores(c)),
+    "G31": lambda c: delivery.driver_activity(delivery.top_drivers(c.nodos["Repartidor"], c.asignado, limit=None)),
     "G32": lambda c: _top_restaurantes(c),
     "G33": lambda c: delivery.restaurant_distribution(_top_restaurantes(c)),
     "G34": lambda c: _metricas_entrega(c),
@@ -618,7 +625,8 @@ REGISTRO |= {
     "G37": lambda c: delivery.efficiency_ranking(_eficiencia(c)),
     "G38": lambda c: copurchase.combos_by_price(c.comprado_con, c.nodos["Producto"]),
     "G39": lambda c: influence.influencers_by_zone(c.nodos["Usuario"], c.refiere, "postgres"),
-    "G40": lambda c: _redondo(delivery.k_nearest_drivers(c.distancias, 5), "distancia_km").drop("fecha_calculo"),
+    "G40": lambda c: _cercanos(c, 5),
+    "G40_k10": lambda c: _cercanos(c, 10),
     "G41": lambda c: delivery.delivery_chains(c.proviene, c.asignado, c.pertenece),
     "G42": lambda c: copurchase.copurchase_network(c.comprado_con, 2),
     "G43": lambda c: influence.referral_network(c.nodos["Usuario"], c.refiere),

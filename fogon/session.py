@@ -36,11 +36,14 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     The fixed default suits neither tiny nor huge inputs. Adaptive execution merges partitions that turn out
     small, so erring high is cheap; a partition that does not fit in memory spills.
     """
-    clave = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    particiones = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if spark.conf.get(clave, None) is None and input_bytes > particiones * BYTES_POR_PARTICION:
-        particiones = min(-(-input_bytes // BYTES_POR_PARTICION), 100_000)
+    clave, propia = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.fogon.initialPartitionNum"
+    actual, nuestra = spark.conf.get(clave, None), spark.conf.get(propia, None)
+    if actual is not None and actual != nuestra:
+        return int(actual)
+    particiones = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes // BYTES_POR_PARTICION), int(nuestra or 0))
+    if particiones > int(spark.conf.get("spark.sql.shuffle.partitions")):
         spark.conf.set(clave, str(particiones))
+        spark.conf.set(propia, str(particiones))
     return particiones
 
 

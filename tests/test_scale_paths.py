@@ -11,7 +11,8 @@ from fogon.functions.knn import k_nearest
 from fogon.functions.pairs import pairs_within
 from fogon.operators import cubes, dashboard, report
 from fogon.operators.graph.copurchase import copurchase
-from fogon.operators.graph.delivery import routes
+from fogon.operators.graph.delivery import routes, unroutable
+from fogon.operators.search import edits
 from fogon.session import size_shuffles
 
 RNG = np.random.default_rng(7)
@@ -96,61 +97,68 @@ def _greedy(paradas: pd.DataFrame):
     return orden
 
 
-def test_long_routes_pool_by_pool(spark):
-    """A driver with many stops takes the pooled way; the order equals that of plain greedy steps."""
+def test_routes_of_any_length(spark):
+    """The order equals that of plain greedy steps, also with more than 1,000 stops; no position means no route."""
     filas = []
-    for conductor, n in ((1, 140), (2, 9), (3, 60)):
+    for conductor, n in ((1, 1100), (2, 9), (3, 60)):
         for u in range(n):
             filas.append(("pg", conductor, u, f"u{u}", float(RNG.normal(9.9, 0.2)), float(RNG.normal(-84, 0.2)), 9.9, -84.0))
-    pdf = pd.DataFrame(filas, columns=["source_db", "id_repartidor", "id_usuario", "nombre", "latitud", "longitud", "latitud_actual", "longitud_actual"])
-    df = spark.createDataFrame(pdf)
-    rutas = {("pool", 40): routes(df, max_paradas=10, pool=40), ("fila", 0): routes(df, max_paradas=1000)}
-    for ruta in rutas.values():
-        orden = ruta.orderBy("id_repartidor", "orden").toPandas()
-        for conductor, grupo in pdf.groupby("id_repartidor"):
-            assert list(orden[orden["id_repartidor"] == conductor]["id_usuario"]) == _greedy(grupo)
-    assert rows(rutas[("pool", 40)]) == rows(rutas[("fila", 0)])
-
-
-@pytest.mark.parametrize("por_cubetas", [True, False])
-def test_ranks_and_medians_with_ties(spark, monkeypatch, por_cubetas):
-    monkeypatch.setattr(ordered, "fits_one_task", lambda df: not por_cubetas)
+    columnas = ["source_db", "id_repartidor", "id_usuario", "nombre", "latitud", "longitud", "latitud_actual", "longitud_actual"]
+    pdf = pd.DataFrame(filas, columns=columnas)
+    sin_lugar = spark.createDataFrame([("pg", 9, 1, "x", 9.0, -84.0, None, None)], spark.createDataFrame(pdf).schema)
+    df = spark.createDataFrame(pdf).unionByName(sin_lugar)
+    orden = routes(df).orderBy("id_repartidor", "orden").toPandas()
+    assert set(orden["id_repartidor"]) == {1, 2, 3}
+    for conductor, grupo in pdf.groupby("id_repartidor"):
+        assert list(orden[orden["id_repartidor"] == conductor]["id_usuario"]) == _greedy(grupo)
+    assert rows(unroutable(df)) == [("pg", 9, 1, "Repartidor sin ubicación")]
+
+
+def test_ranks_and_medians_with_ties(spark):
     n = 4000
     v = np.where(RNG.random(n) < 0.34, 100.0, np.round(RNG.normal(0, 500, n), 2))
     df = spark.createDataFrame(pd.DataFrame({"g": RNG.choice(["a", "b", "c"], n, p=[0.7, 0.2, 0.1]), "v": v, "i": np.arange(n)}))
     esperado = df.withColumn("r", F.rank().over(Window.partitionBy("g").orderBy(F.desc("v"))).cast("bigint"))
-    assert rows(ordered.rank_desc(df, ["g"], "v", "r", df).select("g", "v", "i", "r")) == rows(esperado.select("g", "v", "i", "r"))
+    assert rows(ordered.rank_desc(df, ["g"], "v", "r").select("g", "v", "i", "r")) == rows(esperado.select("g", "v", "i", "r"))
     medianas = df.groupBy("g").agg(F.percentile("v", 0.5).alias("m")).select("g", "m")
-    assert rows(ordered.median(df, ["g"], "v", "m", df)) == rows(medianas)
+    assert rows(ordered.median(df, ["g"], "v", "m")) == rows(medianas)
     nombres = spark.createDataFrame([(x,) for x in ("ñandú", "b", "", "aa", "ab", "a", "Z", "é")], "s string")
-    numerados = dict(map(tuple, ordered.row_numbers(nombres, "s", "n", nombres).collect()))
+    numerados = dict(map(tuple, ordered.row_numbers(nombres, "s", "n").collect()))
     assert [s for s, _ in sorted(numerados.items(), key=lambda x: x[1])] == ["", "Z", "a", "aa", "ab", "b", "é", "ñandú"]
     assert sorted(numerados.values()) == list(range(1, 9))
 
 
-def test_whole_cubes_by_buckets(ctx, monkeypatch):
-    consultas = {
-        "C08": lambda: cubes.cubo_top_productos_anual(ctx.detalle, ctx.tiempo, ctx.productos, ctx.categorias),
-        "C09": lambda: cubes.cubo_frecuencia_uso(ctx.detalle, ctx.productos, ctx.categorias),
-        "D21": lambda: dashboard.analisis_precios(ctx.detalle, ctx.categorias),
-    }
-    directo = {n: rows(q()) for n, q in consultas.items()}
-    monkeypatch.setattr(ordered, "fits_one_task", lambda df: False)
-    assert {n: rows(q()) for n, q in consultas.items()} == directo
-
-
 def test_shuffle_partitions_follow_the_input(spark):
     clave = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     try:
         assert size_shuffles(spark, 10**6) == 4 and spark.conf.get(clave, None) is None
         assert size_shuffles(spark, 10**12) == 14902 and spark.conf.get(clave) == "14902"
+        assert size_shuffles(spark, 2 * 10**12) == 29803 and spark.conf.get(clave) == "29803"
     finally:
         spark.conf.unset(clave)
+        spark.conf.unset("spark.fogon.initialPartitionNum")
+
+
+def test_size_check_reads_file_sizes(ctx):
+    assert 0 < sizing.plan_bytes(ctx.tiempo) < 10**6
+
+
+def test_time_cubes_shuffle_facts_once(ctx, spark):
+    """No join by minute: with broadcast off, the only shuffles are those of the aggregation."""
+    umbral = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for nombre in ("cubo_pedidos_ubicacion", "cubo_actividad_zona"):
+            plan = ctx.cubo(nombre)._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" not in plan and "hashpartitioning(tiempo_id" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", umbral)
 
 
-def test_size_check_reads_file_sizes(ctx, spark):
-    assert sizing.fits_one_task(ctx.detalle) and sizing.plan_bytes(ctx.tiempo) < 10**6
-    assert not sizing.fits_broadcast(ctx.detalle.crossJoin(ctx.detalle.limit(10**6)))
+def test_swapped_letters_are_one_edit(spark):
+    pares = [("sopa", "spoa", 1), ("sopa", "sopa", 0), ("abcd", "badc", 2), ("abcd", "acbe", 2), ("ab", "", 2), ("abcdef", "fedcba", 3)]
+    df = spark.createDataFrame(pares, "t string, p string, e int")
+    assert all(r.e == r.x for r in df.select("e", edits(F.col("t"), F.col("p")).alias("x")).collect())
 
 
 def test_year_filter_on_a_cube_prunes_fact_partitions(ctx):
