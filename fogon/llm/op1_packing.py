@@ -14,6 +14,7 @@ from __future__ import annotations
 import json
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -132,6 +133,11 @@ class Tokens:
         return self.encoder.encode_to_numpy(text, disallowed_special=())
 
 
+@lru_cache(maxsize=2)
+def _tokens(path: str) -> Tokens:
+    return Tokens(path)
+
+
 def powers_of_two(n: int) -> list[int]:
     """n as a sum of descending powers of two."""
     return [1 << b for b in range(n.bit_length() - 1, -1, -1) if n >> b & 1]
@@ -139,7 +145,7 @@ def powers_of_two(n: int) -> list[int]:
 
 def _pack(batches: Iterator[pa.RecordBatch], path: str, length: int, end: int) -> Iterator[pa.RecordBatch]:
     """Pieces of the documents of one partition in their order."""
-    tokens = Tokens(path)
+    tokens = _tokens(path)
     base, sequence = TaskContext.get().partitionId() << 40, 0
     open_pieces: list[tuple] = []  # of the sequence being filled: doc_id, start, ids, doc_tokens
     filled = 0

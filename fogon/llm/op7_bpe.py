@@ -15,6 +15,7 @@ from __future__ import annotations
 import base64
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -102,11 +103,16 @@ def _cut_bytes(raw: bytes, lengths: np.ndarray) -> list[bytes]:
     return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
 
-def _encode_words(block: pa.Table, ranks_path: str, pattern: str) -> pa.Table:
-    """Words of one bucket -> in their place, ids of each and how many."""
+@lru_cache(maxsize=2)
+def _encoder(ranks: str, pattern: str):
     import tiktoken
 
-    encode = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=load_ranks(ranks_path), special_tokens={}).encode_ordinary
+    return tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=load_ranks(ranks), special_tokens={}).encode_ordinary
+
+
+def _encode_words(block: pa.Table, ranks_path: str, pattern: str) -> pa.Table:
+    """Words of one bucket -> in their place, ids of each and how many."""
+    encode = _encoder(ranks_path, pattern)
     known: dict[bytes, bytes] = {}
     rows = []
     for r in block.to_pylist():
