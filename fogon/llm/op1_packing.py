@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fogon.llm.store import partitions, prepare
-from fogon.llm.words import mix, slices
+from fogon.llm.words import mix, slices, tidy
 
 LENGTH = 2048
 END = 1
@@ -202,10 +202,10 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = END)
     on the executors.
     """
     spark = prepare(docs.sparkSession)
-    keyed = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_with_keys, "doc_id long, text string, curve long")
+    keyed = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda it: tidy(_with_keys(it)), "doc_id long, text string, curve long")
     # doc_id spreads documents of one key, such as copies, over several ranges.
     ranged = keyed.repartitionByRange(partitions(spark), "curve", "doc_id").sortWithinPartitions("curve", "doc_id", F.xxhash64("text"))
-    return ranged.select("doc_id", "text").mapInArrow(lambda it: _pack(it, tokenizer, length, end), PIECE)
+    return ranged.select("doc_id", "text").mapInArrow(lambda it: tidy(_pack(it, tokenizer, length, end)), PIECE)
 
 
 def op1_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

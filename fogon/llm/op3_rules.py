@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fogon.llm.store import cut, prepare
-from fogon.llm.words import BYTE_SYMBOLS, BYTES, slices
+from fogon.llm.words import BYTES, BYTE_SYMBOLS, slices, tidy
 
 REPEAT_WINDOW = 8
 SAMPLE = 20_000
@@ -114,7 +114,7 @@ def _stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def statistics(docs: DataFrame) -> DataFrame:
     """doc_id and the counts of every row of docs(doc_id, text). Null text counts as empty."""
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_stats, STATS)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda it: tidy(_stats(it)), STATS)
 
 
 @dataclass(frozen=True)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fogon.llm.store import partitions, prepare
-from fogon.llm.words import planes, slices, unplanes
+from fogon.llm.words import planes, slices, tidied, tidy, unplanes
 
 WINDOW = 50
 CHUNK_WINDOWS = 2_000_000
@@ -157,9 +157,9 @@ def removal_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     spark = prepare(docs.sparkSession)
     buckets = BUCKETS_PER_PARTITION * partitions(spark)
     blocks = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        lambda it: _hash_windows(it, window, buckets), BLOCK)
-    found = blocks.groupBy("bucket").applyInArrow(_repeated, FOUND)
-    return found.groupBy("chunk").applyInArrow(lambda t: _intervals(t, window), SPANS)
+        lambda it: tidy(_hash_windows(it, window, buckets)), BLOCK)
+    found = blocks.groupBy("bucket").applyInArrow(lambda t: tidied(_repeated(t)), FOUND)
+    return found.groupBy("chunk").applyInArrow(lambda t: tidied(_intervals(t, window)), SPANS)
 
 
 def _cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,7 +183,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """
     spans = removal_spans(docs, window)
     joined = docs.select(F.col("doc_id").cast("long"), "text").join(spans, "doc_id", "left")
-    return joined.mapInArrow(_cut_texts, "doc_id long, n_words long, n_removed long, kept string")
+    return joined.mapInArrow(lambda it: tidy(_cut_texts(it)), "doc_id long, n_words long, n_removed long, kept string")
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

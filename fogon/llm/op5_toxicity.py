@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fogon.llm.store import prepare
-from fogon.llm.words import LOWER_SYMBOLS, BYTES, Words, mix, slices, words_of
+from fogon.llm.words import BYTES, LOWER_SYMBOLS, Words, mix, slices, tidy, words_of
 
 SAMPLE = 10_000
 VOCABULARY = 1024
@@ -158,7 +158,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, vocabulary: in
     labelled = labelled.groupBy(F.xxhash64("text").alias("t"), F.length("text").alias("l")).agg(
         F.min("doc_id").alias("doc_id"), F.min_by("text", "doc_id").alias("text"), F.avg("toxic").alias("toxic")).select(
         "doc_id", "text", F.when(F.col("toxic") >= 0.5, 1.0).otherwise(0.0).alias("toxic"))
-    rows = labelled.mapInArrow(_explode, "doc_id long, toxic double, feature long, n long")
+    rows = labelled.mapInArrow(lambda it: tidy(_explode(it)), "doc_id long, toxic double, feature long, n long")
     total = labelled.groupBy("toxic").count().collect()
     size = {r["toxic"]: r["count"] for r in total}
     n1, n0 = size.get(1.0, 0), size.get(0.0, 0)
@@ -223,7 +223,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     prepare(docs.sparkSession)
     rest = docs.drop("expected_severity", "p_toxic", "grade", "toxic")
     schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in rest.schema)}, expected_severity double, p_toxic double, grade int"
-    return rest.mapInArrow(lambda it: _score(it, model), schema).withColumn("toxic", F.col("p_toxic") >= model.cut)
+    return rest.mapInArrow(lambda it: tidy(_score(it, model)), schema).withColumn("toxic", F.col("p_toxic") >= model.cut)
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

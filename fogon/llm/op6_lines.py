@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fogon.llm.store import prepare
-from fogon.llm.words import BYTE_SYMBOLS, BYTES, SPACES, WORDS, Powers, mix, texts
+from fogon.llm.words import BYTES, BYTE_SYMBOLS, SPACES, WORDS, Powers, mix, texts, tidy
 
 LINES = 3
 OTHER = Powers(0xE7037ED1A0B428DB)
@@ -69,7 +69,7 @@ def _windows(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBat
 def later_windows(docs: DataFrame, k: int = LINES) -> DataFrame:
     """(doc_id, lines): first lines of the windows that are later occurrences, for documents with any."""
     windows = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        lambda it: _windows(it, k), "h1 long, h2 long, doc_id long, line int, again boolean")
+        lambda it: tidy(_windows(it, k)), "h1 long, h2 long, doc_id long, line int, again boolean")
     least = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most")
     elsewhere = windows.filter("not again").join(least, ["h1", "h2"]).filter("doc_id > least").select("doc_id", "line")
     # A window that occurs again in its document is later there wherever else it occurs.
@@ -109,7 +109,7 @@ def dedup_lines(docs: DataFrame, k: int = LINES) -> DataFrame:
     rest = docs.drop("n_lines", "n_removed", "lines")
     joined = rest.join(later_windows(docs, k).withColumnRenamed("doc_id", "_doc"), F.col("doc_id") == F.col("_doc"), "left").drop("_doc")
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema), "n_lines long, n_removed long"])
-    out = joined.mapInArrow(lambda it: _cut(it, k), schema)
+    out = joined.mapInArrow(lambda it: tidy(_cut(it, k)), schema)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(rest.schema["n_chars"].dataType))
     return out

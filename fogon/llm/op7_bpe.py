@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fogon.llm.store import cut, partitions, prepare
-from fogon.llm.words import planes, unplanes
+from fogon.llm.words import planes, tidied, tidy, unplanes
 
 CHUNK_CHARS = 8_000_000
 BUCKETS_PER_PARTITION = 4
@@ -163,9 +163,9 @@ def encode(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     """
     spark = prepare(docs.sparkSession)
     buckets = BUCKETS_PER_PARTITION * partitions(spark)
-    chunks = cut(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda it: _explode(it, pattern, buckets), CHUNK), "bpe")
-    words = chunks.filter("bucket is not null").groupBy("bucket").applyInArrow(lambda t: _encode_words(t, ranks, pattern), CHUNK)
-    return chunks.filter("bucket is null").union(words).groupBy("chunk").applyInArrow(_reassemble, ENCODED)
+    chunks = cut(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda it: tidy(_explode(it, pattern, buckets)), CHUNK), "bpe")
+    words = chunks.filter("bucket is not null").groupBy("bucket").applyInArrow(lambda t: tidied(_encode_words(t, ranks, pattern)), CHUNK)
+    return chunks.filter("bucket is null").union(words).groupBy("chunk").applyInArrow(lambda t: tidied(_reassemble(t)), ENCODED)
 
 
 def _decode(batches: Iterator[pa.RecordBatch], ranks: str) -> Iterator[pa.RecordBatch]:
@@ -180,7 +180,7 @@ def decode(encoded: DataFrame, ranks: str) -> DataFrame:
     prepare(encoded.sparkSession)
     rest = encoded.drop("decoded")
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema), "decoded binary"])
-    return rest.mapInArrow(lambda it: _decode(it, ranks), schema)
+    return rest.mapInArrow(lambda it: tidy(_decode(it, ranks)), schema)
 
 
 def op7_bpe_words(spark: SparkSession, sf_dir: str) -> DataFrame:

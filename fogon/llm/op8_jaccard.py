@@ -26,11 +26,11 @@ from pyspark.sql import functions as F
 
 from fogon.llm.components import components
 from fogon.llm.store import cut, partitions, prepare
-from fogon.llm.words import WORDS, mix, planes, slices, unplanes
+from fogon.llm.words import WORDS, mix, planes, slices, tidied, tidy, unplanes
 
 SHINGLE = 5
 PERCENT = 75
-CHUNK_SHINGLES = 2_000_000
+CHUNK_SHINGLES = 1_000_000
 BUCKETS_PER_PARTITION = 4
 BLOCK_DOCS = 1024
 VERIFY_COST = 20.0  # verifying a candidate, in postings read
@@ -318,9 +318,9 @@ def jaccard_classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     """
     spark = prepare(docs.sparkSession)
     buckets = BUCKETS_PER_PARTITION * partitions(spark)
-    blocks = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda it: _hash_shingles(it, shingle, buckets), BLOCK)
-    shared = blocks.groupBy("bucket").applyInArrow(_shared, BLOCK)
-    table = cut(shared.groupBy("chunk").applyInArrow(lambda t: _documents(t, percent), DOCS), "jaccard-docs")
+    blocks = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda it: tidy(_hash_shingles(it, shingle, buckets)), BLOCK)
+    shared = blocks.groupBy("bucket").applyInArrow(lambda t: tidied(_shared(t)), BLOCK)
+    table = cut(shared.groupBy("chunk").applyInArrow(lambda t: tidied(_documents(t, percent)), DOCS), "jaccard-docs")
 
     same = ["n_shingles", "f1", "f2"]
     classes = table.filter("near").groupBy(*same).agg(F.min("doc_id").alias("rep"))
@@ -328,14 +328,14 @@ def jaccard_classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
             .select("rep", "n_shingles", "tokens", "dfs"))
     reps = cut(reps, "jaccard-reps")
 
-    entries = reps.mapInArrow(lambda it: _entries(it, percent), "token long, rep long")
+    entries = reps.mapInArrow(lambda it: tidy(_entries(it, percent)), "token long, rep long")
     least = entries.groupBy("token").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).filter("least < most")
     stars = entries.join(least, "token").filter("rep <> least").select(F.col("rep").alias("a"), F.col("least").alias("b")).distinct()
     member = components(stars, "jaccard-families")
     families = member.select(F.col("node").alias("rep"), F.col("component").alias("family")).union(
         member.select(F.col("component").alias("rep"), F.col("component").alias("family")).distinct())
 
-    forests = _block_rows(reps, families, buckets).groupBy("block").applyInArrow(lambda t: _forest(t, percent), "a long, b long")
+    forests = _block_rows(reps, families, buckets).groupBy("block").applyInArrow(lambda t: tidied(_forest(t, percent)), "a long, b long")
     found = components(forests, "jaccard-links")
 
     named = classes.join(found, classes.rep == found.node, "left").select(*same, F.coalesce("component", "rep").alias("component_id"))

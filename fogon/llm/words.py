@@ -7,6 +7,8 @@ so that the hash of any range is the difference of two prefix sums times a power
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -128,6 +130,29 @@ def words_of(data: np.ndarray, bounds: np.ndarray, first: int = 0) -> Words:
     return Words(first, bounds, data, starts, ends, np.searchsorted(bounds, starts, side="right") - 1)
 
 
+def release() -> None:
+    """Give freed memory back to the system: idle Python workers stay alive beside the next stage's."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+
+def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; then memory is released."""
+    try:
+        yield from batches
+    finally:
+        release()
+
+
+def tidied(table: pa.Table) -> pa.Table:
+    """The table, after memory is released."""
+    release()
+    return table
+
+
 def planes(x: np.ndarray) -> bytes:
     """Bytes of a whole-number array, all first bytes before all second bytes: small numbers then compress well."""
     return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
