@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from fogon.llm.components import components
 from fogon.llm.store import cut, partitions, prepare
-from fogon.llm.words import mix
+from fogon.llm.words import mix, tidied, tidy
 
 COSINE = 0.95
 TABLES = 8
@@ -137,7 +137,7 @@ def _placed(batches: Iterator[pa.RecordBatch], tables: int, blocks: int, probes:
 
 def _count(block: pa.Table, per_table: int, cosine: float) -> pa.Table:
     """Links of the cells, or the pair of parts of one cell, in a block: (rep, links, label)."""
-    cell, part = (block.column(c).to_numpy() for c in ("cell", "part"))
+    cell, part, low, high = (block.column(c).to_numpy() for c in ("cell", "part", "low", "high"))
     home, rep, size = (block.column(c).to_numpy() for c in ("home", "rep", "size"))
     keys = block.column("keys").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(cell), -1)
     raw = [np.frombuffer(v, dtype=np.float64) for v in block.column("unit").to_pylist()]
@@ -148,15 +148,15 @@ def _count(block: pa.Table, per_table: int, cosine: float) -> pa.Table:
         own = order[f : f + n]
         if n < 2 or not home[own].any():
             continue
-        sides = np.unique(part[own])
+        sides = low[own[0]], high[own[0]]
         for d in {len(raw[i]) for i in own}:
             same = np.array([i for i in own if len(raw[i]) == d])
-            a, b = same[part[same] == sides[0]], same[part[same] == sides[-1]]
+            a, b = same[part[same] == sides[0]], same[part[same] == sides[1]]
             if not len(a) or not len(b):
                 continue
             hit = np.stack([raw[i] for i in a]) @ np.stack([raw[i] for i in b]).T >= cosine
             hit &= home[a][:, None] | home[b][None, :]
-            if len(sides) == 1:
+            if sides[0] == sides[1]:
                 hit &= rep[a][:, None] < rep[b][None, :]
             r, c = np.nonzero(hit)
             if not len(r):
@@ -217,16 +217,16 @@ def link_vectors(vectors: DataFrame, cosine: float = COSINE, tables: int = TABLE
     classes = cut(classes, "lattice-classes")
 
     table = cut(classes.select("rep", "size", "v").mapInArrow(
-        lambda it: _placed(it, tables, blocks, probes, scale), "rep long, size long, unit binary, keys array<long>"), "lattice-cells")
+        lambda it: tidy(_placed(it, tables, blocks, probes, scale)), "rep long, size long, unit binary, keys array<long>"), "lattice-cells")
     placed = table.select("rep", F.posexplode("keys").alias("at", "cell")).select("rep", "cell", (F.col("at") % (1 + probes) == 0).alias("home"))
     crowd = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("home").alias("any")).filter((F.col("n") > 1) & F.col("any"))
     dealt = placed.join(crowd.select("cell", F.ceil(F.col("n") / PART).cast("long").alias("parts")), "cell")
     dealt = dealt.withColumn("part", F.pmod(F.xxhash64("rep", F.lit(7)), F.col("parts"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     key = F.when(F.col("parts") == 1, F.concat(F.lit("s"), F.pmod("cell", F.lit(small)).cast("string"))).otherwise(
         F.concat_ws(":", "cell", F.least("part", "other"), F.greatest("part", "other")))
-    dealt = dealt.withColumn("block", key).join(table, "rep")
-    counted = dealt.select("block", "cell", "part", "home", "rep", "size", "unit", "keys").groupBy("block").applyInArrow(
-        lambda t: _count(t, 1 + probes, cosine), "rep long, links long, label long")
+    dealt = dealt.withColumns({"block": key, "low": F.least("part", "other"), "high": F.greatest("part", "other")}).join(table, "rep")
+    counted = dealt.select("block", "cell", "part", "low", "high", "home", "rep", "size", "unit", "keys").groupBy("block").applyInArrow(
+        lambda t: tidied(_count(t, 1 + probes, cosine)), "rep long, links long, label long")
     counted = cut(counted, "lattice-links")
 
     links = counted.groupBy("rep").agg(F.sum("links").alias("links"))
