@@ -6,6 +6,7 @@ passes through the driver. Dimensions are written before the facts that point to
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -15,7 +16,7 @@ from fogon import schemas
 from fogon.functions import calendar as cal
 from fogon.operators import dimensions as dims
 from fogon.operators import extract
-from fogon.sources.warehouse import Warehouse
+from fogon.sources.warehouse import Warehouse, out_of_range
 
 
 def _stamp(df: DataFrame) -> DataFrame:
@@ -80,27 +81,32 @@ def run_etl(extracted: Extracted, almacen: Warehouse, incremental: bool = False)
     Facts are looked up by their natural key first, so a second run over the same input loads nothing. The
     new rows are staged once; dimensions and facts are then derived from the staged columns, not from the
     sources again. ``incremental`` stages the extracted rows as well, before the lookup: the size of a small
-    batch is then known, and the lookup does not shuffle the facts.
+    batch is then known, and the lookup does not shuffle the facts. Rows with a value that its column cannot hold go to
+    the reject table with the reason; the others are loaded. Each run stages in a folder of its own.
     """
     almacen.init()
-    nuevos = {}
+    corrida = uuid.uuid4().hex
+    nuevos, cargadas = {}, {}
     for tabla, df in (
         ("fact_pedidos", extracted.pedidos),
         ("fact_reservas", extracted.reservas),
         ("fact_detalle_pedidos", extracted.detalle),
     ):
-        lote = almacen.stage(df, f"lote_{tabla}") if incremental else df
-        nuevos[tabla] = almacen.stage(dims.only_new(lote, almacen.table(tabla), schemas.CLAVES[tabla]), tabla)
+        lote = almacen.stage(df, f"lote_{tabla}", corrida) if incremental else df
+        filas = almacen.stage(dims.only_new(lote, almacen.table(tabla), schemas.CLAVES[tabla]), tabla, corrida)
+        motivo = out_of_range(filas, tabla)
+        todas, malas = filas.agg(F.count(F.lit(1)), F.count(motivo)).first()
+        if malas:
+            almacen.reject(filas.withColumn("motivo", motivo).filter("motivo is not null"), tabla)
+        nuevos[tabla], cargadas[tabla] = filas.filter(motivo.isNull()) if malas else filas, todas - malas
     lineas = nuevos["fact_detalle_pedidos"]
     eventos = None
     for df in nuevos.values():
         horas = df.select("fecha_hora")
         eventos = horas if eventos is None else eventos.unionByName(horas)
-    # One staged row becomes one fact row; counting staged Parquet reads footers only.
-    cargadas = {tabla: df.count() for tabla, df in nuevos.items()}
 
     def add_dimension(tabla: str, faltan: DataFrame) -> DataFrame:
-        faltan = almacen.stage(faltan, tabla)
+        faltan = almacen.stage(faltan, tabla, corrida)
         cargadas[tabla] = faltan.count()
         if cargadas[tabla]:
             almacen.append(faltan, tabla)
@@ -122,4 +128,5 @@ def run_etl(extracted: Extracted, almacen: Warehouse, incremental: bool = False)
     for tabla, carga in cargas.items():
         if cargadas[tabla]:
             almacen.append(carga(nuevos[tabla]), tabla)
+    almacen.drop_staging(corrida)
     return cargadas

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fogon import schemas
@@ -71,12 +71,23 @@ class Warehouse:
         else:
             filas.hint("rebalance").write.mode("append").parquet(self.path(table))
 
-    def stage(self, df: DataFrame, name: str) -> DataFrame:
-        """``df`` written below the warehouse, replacing the staging of the previous run."""
-        ruta = self.path(f"_staging/{name}")
+    def stage(self, df: DataFrame, name: str, run: str = "manual") -> DataFrame:
+        """``df`` written below the warehouse, in a folder of the run: runs side by side do not meet."""
+        ruta = self.path(f"_staging/{run}/{name}")
         df.write.mode("overwrite").parquet(ruta)
         return self.spark.read.schema(df.schema).parquet(ruta)
 
+    def drop_staging(self, run: str) -> None:
+        ruta = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(f"_staging/{run}"))
+        ruta.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(ruta, True)
+
+    def reject(self, df: DataFrame, table: str) -> None:
+        """Append rows that cannot be loaded, with their ``motivo``, to the reject table of a fact."""
+        df.write.mode("append").parquet(self.path(f"_rechazos/{table}"))
+
+    def rejects(self, table: str) -> DataFrame:
+        return self.spark.read.parquet(self.path(f"_rechazos/{table}"))
+
     def register(self, database: str = "warehouse", views: dict[str, DataFrame] | None = None) -> None:
         """Catalog tables over the folders, plus temporary views for the given cubes."""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{self.path('_database')}'")
@@ -92,6 +103,15 @@ class Warehouse:
             df.createOrReplaceTempView(name)
 
 
+def out_of_range(df: DataFrame, table: str) -> Column:
+    """Which values of a row the types of the table cannot hold; null if all fit."""
+    malos = [
+        F.when(F.col(c).isNotNull() & F.col(c).try_cast(tipo).isNull(), F.lit(f"{c} fuera de rango"))
+        for c, tipo in schemas.TABLAS[table].items() if c in df.columns
+    ]
+    return F.nullif(F.concat_ws(", ", *malos), F.lit(""))
+
+
 def init_warehouse(spark: SparkSession, base: str) -> Warehouse:
     return Warehouse(spark, base).init()
 

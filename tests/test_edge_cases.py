@@ -132,6 +132,25 @@ def test_reload_and_source_overlap(spark, tmp_path):
     assert spark.sql("select count(*) from prueba_recarga.fact_detalle_pedidos where anio = 2024").first()[0] == 4
 
 
+def test_bad_values_are_rejected_and_the_rest_loaded(spark, tmp_path):
+    usuario, restaurante, producto = _dims(spark)
+    docs = _pedidos(spark, [
+        (1, 1, 7, None, "2024-01-01T12:00:10Z", "listo", "para recoger", [(5, 2, 3.0)]),
+        (2, 1, 7, None, "2024-01-01T12:00:10Z", "listo", "para recoger", [(5, 2, 150_000_000.0)]),
+    ])
+    sin_reservas = spark.createDataFrame([], "id_reserva bigint, id_usuario bigint, id_restaurante bigint, fecha_hora timestamp_ntz, estado string")
+    lote = load.Extracted(
+        extract.union_sources(mongo=extract.extract_pedidos_doc(docs, usuario, restaurante)),
+        extract.union_sources(mongo=extract.extract_reservas_doc(sin_reservas)),
+        extract.union_sources(mongo=extract.extract_detalle_doc(docs, producto, usuario, restaurante)),
+    )
+    almacen = Warehouse(spark, str(tmp_path / "w"))
+    cargadas = load.run_etl(lote, almacen)
+    assert (cargadas["fact_pedidos"], cargadas["fact_detalle_pedidos"]) == (1, 1)
+    assert one(almacen.rejects("fact_pedidos").select("id_pedido", "motivo")) == [(2, "total_pedido fuera de rango")]
+    assert almacen.table("fact_pedidos").count() == 1
+
+
 def test_blank_category_is_replaced_at_load_only(spark):
     df = spark.createDataFrame([("",), ("  ",), (None,), ("Postre",)], "c string")
     assert sorted(r[0] for r in df.select(dimensions.categoria_efectiva(F.col("c"))).collect()) == ["Especialidad"] * 3 + ["Postre"]
