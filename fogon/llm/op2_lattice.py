@@ -169,10 +169,10 @@ def _count(block: pa.Table, per_table: int, cosine: float) -> pa.Table:
             label = ids.copy()
             ax, ay = at[: len(x)], at[len(x) :]
             while len(ids):
-                low = np.minimum(label[ax], label[ay])
+                least = np.minimum(label[ax], label[ay])
                 new = label.copy()
-                np.minimum.at(new, ax, low)
-                np.minimum.at(new, ay, low)
+                np.minimum.at(new, ax, least)
+                np.minimum.at(new, ay, least)
                 if (new == label).all():
                     break
                 label = new
