@@ -4,6 +4,7 @@
    sequences of word numbers, the most frequent words having the smallest.
 2. Words travel by hash bucket, packed with their numbers in the chunk. A bucket sees every word of its share of all words, and
    encodes each distinct one once, however many chunks hold it.
+   Words and sequences are made by two passes over the texts: splitting again is cheaper than moving the sequences twice.
 3. The ids go back to the chunks, are joined with the sequences by word number and reassembled by position.
 
 A word that makes up a third of all text is one entry per chunk. Decoding joins ids with the token-byte table, which is as
@@ -23,10 +24,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fogon.llm.store import cut, partitions, prepare
+from fogon.llm.store import partitions, prepare
 from fogon.llm.words import planes, tidied, tidy, unplanes
 
-CHUNK_CHARS = 8_000_000
+CHUNK_CHARS = 16_000_000
 BUCKETS_PER_PARTITION = 4
 
 CHUNK = "chunk long, bucket int, numbers binary, lengths binary, words binary, docs binary, valid binary, counts binary, sequence binary"
@@ -53,8 +54,11 @@ def _batch(rows: list[dict]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r.get(n) for r in rows], type=kinds[k]) for n, k in fields], names=[n for n, _ in fields])
 
 
-def _explode(batches: Iterator[pa.RecordBatch], pattern: str, buckets: int) -> Iterator[pa.RecordBatch]:
-    """doc_id, text -> one row with the sequences of a chunk, and one row per bucket with its words."""
+def _explode(batches: Iterator[pa.RecordBatch], pattern: str, buckets: int | None) -> Iterator[pa.RecordBatch]:
+    """doc_id, text -> one row per bucket with the words of a chunk or, without buckets, one row with its sequences.
+
+    A chunk's id depends on its documents and words, so rows of two passes that differ never meet.
+    """
     import regex
     import zstandard
 
@@ -65,23 +69,27 @@ def _explode(batches: Iterator[pa.RecordBatch], pattern: str, buckets: int) -> I
 
     def close() -> pa.RecordBatch:
         nonlocal made
-        chunk = (part << 32) | made
+        raw = [w.encode() for w in numbers]
+        docs = np.array([i or 0 for i in ids], dtype=np.int64).tobytes()
+        chunk = (zlib.crc32(b"\0".join(raw), zlib.crc32(docs)) << 31) | (zlib.crc32(b"%d:%d" % (part, made)) >> 1)
         made += 1
         counts = np.array([len(s) for s in sequences], dtype=np.uint32)
         flat = np.concatenate([np.zeros(0, dtype=np.uint32), *sequences])
         order = np.argsort(-np.bincount(flat, minlength=len(numbers)), kind="stable")
         rank = np.empty(len(order), dtype=np.uint32)
         rank[order] = np.arange(len(order), dtype=np.uint32)
-        rows = [{"chunk": chunk, "docs": np.array([i or 0 for i in ids], dtype=np.int64).tobytes(), "valid": bytes(i is not None for i in ids),
-                 "counts": planes(counts), "sequence": pack(planes(rank[flat]))}]
-        raw = [w.encode() for w in numbers]
+        if buckets is None:
+            head = {"chunk": chunk, "docs": docs, "valid": bytes(i is not None for i in ids), "counts": planes(counts), "sequence": pack(planes(rank[flat]))}
+            numbers.clear(), ids.clear(), sequences.clear()
+            return _batch([head])
+        rows = []
         bucket = np.array([zlib.crc32(w) for w in raw], dtype=np.uint32) % np.uint32(buckets)
         lengths = np.array([len(w) for w in raw], dtype=np.uint32)
         by_bucket = np.lexsort((rank, bucket))
         first = np.flatnonzero(np.r_[True, np.diff(bucket[by_bucket]) != 0]) if len(raw) else []
         for at in np.split(by_bucket, first[1:]) if len(raw) else []:
-            rows.append({"chunk": chunk, "bucket": int(bucket[at[0]]), "numbers": planes(np.diff(rank[at], prepend=np.uint32(0)).astype(np.uint32)),
-                         "lengths": planes(lengths[at]), "words": b"".join([raw[i] for i in at])})
+            rows.append({"chunk": chunk, "bucket": int(bucket[at[0]]), "numbers": pack(planes(np.diff(rank[at], prepend=np.uint32(0)).astype(np.uint32))),
+                         "lengths": pack(planes(lengths[at])), "words": pack(b"".join([raw[i] for i in at]))})
         numbers.clear(), ids.clear(), sequences.clear()
         return _batch(rows)
 
@@ -112,17 +120,21 @@ def _encoder(ranks: str, pattern: str):
 
 def _encode_words(block: pa.Table, ranks_path: str, pattern: str) -> pa.Table:
     """Words of one bucket -> in their place, ids of each and how many."""
+    import zstandard
+
     encode = _encoder(ranks_path, pattern)
+    pack, unpack = zstandard.ZstdCompressor(level=3).compress, zstandard.ZstdDecompressor().decompress
     known: dict[bytes, bytes] = {}
     rows = []
     for r in block.to_pylist():
-        words = _cut_bytes(r["words"], unplanes(r["lengths"], np.uint32))
+        words = _cut_bytes(unpack(r["words"]), unplanes(unpack(r["lengths"]), np.uint32))
         for w in words:
             if w not in known:
                 known[w] = np.array(encode(w.decode()), dtype=np.uint32).tobytes()
         made = [known[w] for w in words]
         ids = np.frombuffer(b"".join(made), dtype=np.uint32)
-        rows.append({"chunk": r["chunk"], "bucket": r["bucket"], "numbers": r["numbers"], "lengths": planes(np.array([len(m) // 4 for m in made], dtype=np.uint32)), "words": planes(ids)})
+        rows.append({"chunk": r["chunk"], "bucket": r["bucket"], "numbers": r["numbers"], 
+                     "lengths": pack(planes(np.array([len(m) // 4 for m in made], dtype=np.uint32))), "words": pack(planes(ids))})
     return pa.Table.from_batches([_batch(rows)])
 
 
@@ -130,17 +142,20 @@ def _reassemble(block: pa.Table) -> pa.Table:
     """Sequences and word ids of a chunk -> ids of each document."""
     import zstandard
 
+    unpack = zstandard.ZstdDecompressor().decompress
     rows = block.to_pylist()
-    head = next(r for r in rows if r["sequence"] is not None)
+    head = next((r for r in rows if r["sequence"] is not None), None)
     blocks = [r for r in rows if r["sequence"] is None]
     none = np.zeros(0, dtype=np.uint32)
-    number = np.concatenate([none, *(np.cumsum(unplanes(r["numbers"], np.uint32), dtype=np.uint32) for r in blocks)])
-    lengths = np.concatenate([none, *(unplanes(r["lengths"], np.uint32) for r in blocks)]).astype(np.int64)
-    tokens = np.concatenate([none, *(unplanes(r["words"], np.uint32) for r in blocks)])
+    number = np.concatenate([none, *(np.cumsum(unplanes(unpack(r["numbers"]), np.uint32), dtype=np.uint32) for r in blocks)])
+    lengths = np.concatenate([none, *(unplanes(unpack(r["lengths"]), np.uint32) for r in blocks)]).astype(np.int64)
+    tokens = np.concatenate([none, *(unplanes(unpack(r["words"]), np.uint32) for r in blocks)])
     starts = np.cumsum(lengths) - lengths
     start, length = np.zeros(len(number), dtype=np.int64), np.zeros(len(number), dtype=np.int64)
     start[number], length[number] = starts, lengths
-    sequence = unplanes(zstandard.ZstdDecompressor().decompress(head["sequence"]), np.uint32)
+    sequence = unplanes(unpack(head["sequence"]), np.uint32) if head else none
+    if head is None or len(number) != (int(sequence.max()) + 1 if len(sequence) else 0):
+        raise ValueError("the two passes over the documents gave different rows; write the documents first")
     counts = unplanes(head["counts"], np.uint32).astype(np.int64)
     ends = np.cumsum(counts)
     ids, totals = [], []
@@ -160,12 +175,15 @@ def encode(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
 
     Each match of pattern is encoded alone, without special tokens. Null text counts as empty and has no ids. A null doc_id stays
     null, repeated rows stay repeated. ranks is the path of the rank file on the executors.
+    docs is read twice and has to give the same rows in the same order both times, as a scan of files does; if it does not,
+    the job fails rather than mix them up.
     """
     spark = prepare(docs.sparkSession)
     buckets = BUCKETS_PER_PARTITION * partitions(spark)
-    chunks = cut(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda it: tidy(_explode(it, pattern, buckets)), CHUNK), "bpe")
-    words = chunks.filter("bucket is not null").groupBy("bucket").applyInArrow(lambda t: tidied(_encode_words(t, ranks, pattern)), CHUNK)
-    return chunks.filter("bucket is null").union(words).groupBy("chunk").applyInArrow(lambda t: tidied(_reassemble(t)), ENCODED)
+    texts = docs.select(F.col("doc_id").cast("long"), "text")
+    sequences = texts.mapInArrow(lambda it: tidy(_explode(it, pattern, None)), CHUNK)
+    words = texts.mapInArrow(lambda it: tidy(_explode(it, pattern, buckets)), CHUNK).groupBy("bucket").applyInArrow(lambda t: tidied(_encode_words(t, ranks, pattern)), CHUNK)
+    return sequences.union(words).groupBy("chunk").applyInArrow(lambda t: tidied(_reassemble(t)), ENCODED)
 
 
 def _decode(batches: Iterator[pa.RecordBatch], ranks: str) -> Iterator[pa.RecordBatch]:
