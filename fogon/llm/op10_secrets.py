@@ -1,6 +1,8 @@
 """Secret scans with Spark expressions only: fixed patterns, and a battery of randomness tests for other strings.
 
-Every run of 20 or more key characters is a candidate. Its encoding is the smallest alphabet that holds its characters (hex,
+Every run of 20 or more key characters (a ``=`` only as padding at its end), cut at the spans of fixed patterns, is a candidate,
+and so are the pieces of 20 or more characters into which the separators of either base 64, or of both, divide it: a key after a name, a
+path or a prefix is tested by itself. A candidate's encoding is the smallest alphabet that holds its characters (hex,
 base 32, base 36, base 62, base 64). Under the hypothesis that the string is uniformly random in that alphabet, three
 tests give p-values: chi-squared of the symbol counts, runs above and below the middle of the alphabet, and lag-1 serial
 correlation. Three times the least of them is the string's p-value. Prose, identifiers and paths reject the hypothesis, keys do not.
@@ -21,7 +23,11 @@ from fogon.llm.store import cut, prepare
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"(?<![0-9a-f])[0-9a-f]{24,}"
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
+RUN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}(?:=+(?![A-Za-z0-9+/_=-]))?"
+# Candidates within a run: base 64 characters, those of the URL form, letters and digits alone.
+PIECES = [r"[A-Za-z0-9+/]{20,}=*", r"[A-Za-z0-9_-]{20,}=*", r"[A-Za-z0-9]{20,}=*"]
+# Stands for the characters of a fixed pattern's span; no key character.
+MASK = "\x01"
 KINDS = ["assign", "access", "hex", "random"]
 # Alphabets, smallest first: pattern of a whole string (padding cut off) and symbols in order.
 ALPHABETS = [
@@ -106,6 +112,41 @@ def randomness(symbols: Column) -> Column:
     return F.when(alphabet.isNotNull() & (F.length(s) >= 20), F.transform(base, tests)[0])
 
 
+def _masked(text: Column, base: Column) -> Column:
+    """``text`` of the same length with MASK in place of the spans, and of one separator right after each."""
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    covered = F.aggregate(F.array_sort(base), start, lambda s, x: F.struct(
+        F.greatest(s["at"], x["end"]).alias("at"),
+        F.concat(s["out"], F.substring(text, s["at"] + 1, F.greatest(x["start"] - s["at"], F.lit(0))),
+                 F.repeat(F.lit(MASK), F.greatest(x["end"] - F.greatest(s["at"], x["start"]), F.lit(0)))).alias("out")),
+        lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
+    return F.when(F.size(base) > 0, F.regexp_replace(covered, f"(?<={MASK})[/+_-]", MASK)).otherwise(text)
+
+
+def _candidates(text: Column) -> Column:
+    """Places of all runs of key characters and of the pieces within them, each place once."""
+    def pieces(run: Column) -> Column:
+        s = F.substring(text, run["start"] + 1, run["end"] - run["start"])
+        within = F.concat(*[_at(s, p, 3) for p in PIECES])
+        moved = F.transform(within, lambda x: F.struct(
+            (run["start"] + x["start"]).alias("start"), x["kind"].alias("kind"), (run["start"] + x["end"]).alias("end")))
+        return F.when(s.rlike("[+/_-]"), moved).otherwise(F.array(run))
+
+    return F.array_distinct(F.flatten(F.transform(_at(text, RUN, 3), pieces)))
+
+
+def _merged(spans: Column) -> Column:
+    """Overlapping spans of one kind as one."""
+    def step(out: Column, x: Column) -> Column:
+        last = F.element_at(out, -1)
+        return F.when((F.size(out) > 0) & (F.get(out, F.size(out) - 1)["end"] > x["start"]), F.concat(
+            F.slice(out, 1, F.size(out) - 1),
+            F.array(F.struct(last["start"].alias("start"), last["kind"].alias("kind"), F.greatest(last["end"], x["end"]).alias("end")))),
+        ).otherwise(F.concat(out, F.array(x)))
+
+    return F.aggregate(F.array_sort(spans), F.array().cast(f"array<{SPAN}>"), step)
+
+
 def _bin(p: Column) -> Column:
     return F.least(F.floor(-F.log10(F.greatest(p, F.lit(1e-300))) * BINS_PER_DECADE), F.lit(BINS_PER_DECADE * DECADES)).cast("int")
 
@@ -128,18 +169,17 @@ def scan(docs: DataFrame, q: float = FDR, keep: tuple[str, ...] = ()) -> DataFra
     """doc_id, the columns in ``keep``, and found: array of (start, kind, end), sorted; kind is an index into KINDS.
 
     Places count code points, the end is exclusive. Null and empty texts have no spans. Every row of the input has one row;
-    a null doc_id stays null. A candidate that overlaps a span of a fixed pattern is not reported again.
+    a null doc_id stays null. What a span of a fixed pattern covers is not reported again; overlapping random spans are one.
     """
     prepare(docs.sparkSession)
     text = F.coalesce(F.col("text"), F.lit(""))
     named = docs.select(F.col("doc_id"), *[F.col(c).alias(f"_{c}") for c in keep], text.alias("t"))
     places = named.select(
         "doc_id", *[f"_{c}" for c in keep], "t",
-        F.concat(_at(F.col("t"), ASSIGN, 0, 1, 6), F.when(F.contains("t", F.lit("AKIA")), _at(F.col("t"), ACCESS, 1)).otherwise(F.array().cast(f"array<{SPAN}>")), _at(F.col("t"), HEX, 2)).alias("base"),
-        _at(F.col("t"), CANDIDATE, 3).alias("long"))
-    free = F.filter("long", lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
-    judged = F.filter(F.transform(free, lambda c: F.struct(c.alias("span"), randomness(F.substring("t", c["start"] + 1, c["end"] - c["start"])).alias("r"))), lambda x: x["r"].isNotNull())
-    scanned = cut(places.select("doc_id", *[f"_{c}" for c in keep], "base", F.transform(judged, lambda x: F.struct(
+        F.concat(_at(F.col("t"), ASSIGN, 0, 1, 6), F.when(F.contains("t", F.lit("AKIA")), _at(F.col("t"), ACCESS, 1)).otherwise(F.array().cast(f"array<{SPAN}>")), _at(F.col("t"), HEX, 2)).alias("base"))
+    masked = places.withColumn("m", _masked(F.col("t"), F.col("base")))
+    judged = F.filter(F.transform(_candidates(F.col("m")), lambda c: F.struct(c.alias("span"), randomness(F.substring("m", c["start"] + 1, c["end"] - c["start"])).alias("r"))), lambda x: x["r"].isNotNull())
+    scanned = cut(masked.select("doc_id", *[f"_{c}" for c in keep], "base", F.transform(judged, lambda x: F.struct(
         x["span"].alias("span"), _class(x["r"]["n"]).alias("length_class"), _bin(x["r"]["p"]).alias("bin"), _bin(x["r"]["p_prose"]).alias("prose"))).alias("judged")), "secrets")
     limits = cutoffs(scanned.select(F.explode("judged").alias("j")).select("j.length_class", "j.bin"), q)
     # One row: at most 41 (class, cut) pairs.
@@ -150,7 +190,7 @@ def scan(docs: DataFrame, q: float = FDR, keep: tuple[str, ...] = ()) -> DataFra
         cut_bin = F.coalesce(F.element_at("cuts", x["length_class"]), F.lit(never))
         return (x["bin"] < cut_bin) & (x["prose"] >= F.least(cut_bin, F.lit(4 * BINS_PER_DECADE)))
 
-    added = F.transform(F.filter("judged", random), lambda x: x["span"])
+    added = _merged(F.transform(F.filter("judged", random), lambda x: x["span"]))
     found = F.array_sort(F.concat("base", added))
     return scanned.withColumn("cuts", table).select("doc_id", *[F.col(f"_{c}").alias(c) for c in keep], found.alias("found"))
 
