@@ -92,6 +92,57 @@ def test_lines(odd, none):
     assert op6_lines.dedup_lines(none).count() == 0
 
 
+def same_id_rows():
+    """Rows of one doc_id with different and equal texts, all of which repeat words and lines of document 1."""
+    rng = random.Random(21)
+    shared = [prose(rng, 60) for _ in range(4)]
+    own = [prose(rng, 60) for _ in range(6)]
+    a, b = [own[0], *shared, own[1]], [*shared[:3], own[2]]
+    c = [own[3], own[4], own[5], own[0]]  # as many lines as b, none repeated
+    return [(i, None if t is None else "\n".join(t)) for i, t in [(1, shared), (7, a), (7, b), (7, c), (7, None), (7, ["short"]), (7, a), (7, a), (8, b), (8, b)]]
+
+
+def brute_substrings(rows, window=50):
+    """Kept words of each row, by windows that a smaller doc_id holds."""
+    words = [(d, (t or "").encode().split()) for d, t in rows]
+    least = {}
+    for d, w in words:
+        for i in range(len(w) - window + 1):
+            g = tuple(w[i : i + window])
+            least[g] = min(d, least.get(g, d))
+    out = []
+    for d, w in words:
+        gone = {p for i in range(len(w) - window + 1) if least[tuple(w[i : i + window])] < d for p in range(i, i + window)}
+        out.append((d, len(gone), b" ".join(x for i, x in enumerate(w) if i not in gone).decode()))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("chunk", [1, 700, 2_000_000])
+def test_substrings_of_rows_with_one_id(spark, monkeypatch, chunk):
+    monkeypatch.setattr(op4_substrings, "CHUNK_WINDOWS", chunk)
+    rows = same_id_rows() + [(9, "word " * 400), (10, "x " * 60 + "word " * 300), (10, "word " * 120), (3, "a b c " * 100), (5, "c a b " * 90)]
+    for parts in (1, len(rows)):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        out = op4_substrings.dedup_substrings(df).collect()
+        assert sorted((r.doc_id, r.n_removed, r.kept) for r in out) == brute_substrings(rows)
+
+
+def test_substrings_send_a_hash_once_per_chunk():
+    """One text that repeats a word and many that share a passage: the buckets get each hash once, however often it occurs."""
+    import pyarrow as pa
+
+    texts = ["word " * 5000] + ["word " * 300 + f"w{i} " * 20 for i in range(300)]
+    rows = [np.arange(len(texts)), np.arange(len(texts)), np.array([len(t.split()) for t in texts])]
+    data = pa.array(texts)
+    w = next(op4_substrings.slices(data, 1 << 30))
+    first, hashes = w.windows(w.hashes(), 50)
+    out = op4_substrings._chunk(0, 0, 7, rows, w.doc[first], first, hashes).to_pylist()
+    sent = np.concatenate([np.frombuffer(x["hashes"], dtype=np.uint64) for x in out if x["bucket"] >= 0])
+    assert len(sent) == len(np.unique(sent)) == len(np.unique(hashes)) < len(hashes) / 5
+    own = next(x for x in out if x["bucket"] < 0)
+    assert len(sent) + (len(own["places"]) + len(own["copies"])) // 4 == len(hashes)
+
+
 def test_packing(odd, none):
     import public_tokenizers
 
