@@ -4,6 +4,7 @@ Every three consecutive lines are hashed (128 bits). A window that occurs in a d
 own document, is a later occurrence; the lines that such windows cover are merged and removed. Windows without a word, such
 as runs of empty lines, don't count. A window's first document is found by an aggregation that combines before the shuffle, so a
 window of a third of all documents costs a row per task; the join back is an inner one that adaptive execution can split.
+What is removed belongs to a row's doc_id and text (64 bits of hash), so rows that share a doc_id don't lose each other's lines.
 """
 
 from __future__ import annotations
@@ -37,9 +38,9 @@ def line_table(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def _windows(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    """doc_id, text -> h1, h2, doc_id, line (of the first), again (the same window starts earlier in the document)."""
+    """doc_id, text, print -> h1, h2, doc_id, print, line (of the first), again (the same window starts earlier in the document)."""
     for batch in batches:
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
+        ids, prints = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2))
         offsets, raw = texts(batch.column(1))
         at = 0
         while at < len(offsets) - 1:
@@ -61,19 +62,19 @@ def _windows(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBat
                 a, b = order[1:], order[:-1]
                 again[a] = (owner[a] == owner[b]) & (h1[a] == h1[b]) & (h2[a] == h2[b])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h1), pa.array(h2), pa.array(ids[at + owner]), pa.array(place.astype(np.int32)), pa.array(again)],
-                    names=["h1", "h2", "doc_id", "line", "again"])
+                    [pa.array(h1), pa.array(h2), pa.array(ids[at + owner]), pa.array(prints[at + owner]), pa.array(place.astype(np.int32)), pa.array(again)],
+                    names=["h1", "h2", "doc_id", "print", "line", "again"])
             at = to
 
 
 def later_windows(docs: DataFrame, k: int = LINES) -> DataFrame:
-    """(doc_id, lines): first lines of the windows that are later occurrences, for documents with any."""
-    windows = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        lambda it: tidy(_windows(it, k)), "h1 long, h2 long, doc_id long, line int, again boolean")
+    """(doc_id, print, lines): first lines of the windows that are later occurrences, one row for each doc_id and text with any."""
+    windows = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("print")).mapInArrow(
+        lambda it: tidy(_windows(it, k)), "h1 long, h2 long, doc_id long, print long, line int, again boolean")
     least = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most")
-    elsewhere = windows.filter("not again").join(least, ["h1", "h2"]).filter("doc_id > least").select("doc_id", "line")
+    elsewhere = windows.filter("not again").join(least, ["h1", "h2"]).filter("doc_id > least").select("doc_id", "print", "line")
     # A window that occurs again in its document is later there wherever else it occurs.
-    return elsewhere.union(windows.filter("again").select("doc_id", "line")).groupBy("doc_id").agg(F.collect_list("line").alias("lines"))
+    return elsewhere.union(windows.filter("again").select("doc_id", "print", "line")).groupBy("doc_id", "print").agg(F.collect_set("line").alias("lines"))
 
 
 def _cut(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
@@ -103,11 +104,12 @@ def dedup_lines(docs: DataFrame, k: int = LINES) -> DataFrame:
     """``docs`` with lines removed from text, and the columns n_lines and n_removed; n_chars, where it exists, follows the text.
 
     Documents of fewer than three lines keep them. Null text stays null and counts as one line. Rows of one doc_id are one
-    document as regards which occurrence comes first. A null doc_id is left as it is. Columns named like the added ones are replaced.
+    document as regards which occurrence comes first; each loses the lines of its own text only. A null doc_id is left as it is. Columns named like the added ones are replaced.
     """
     prepare(docs.sparkSession)
     rest = docs.drop("n_lines", "n_removed", "lines")
-    joined = rest.join(later_windows(docs, k).withColumnRenamed("doc_id", "_doc"), F.col("doc_id") == F.col("_doc"), "left").drop("_doc")
+    later = later_windows(docs, k).withColumnsRenamed({"doc_id": "_doc", "print": "_print"})
+    joined = rest.join(later, (F.col("doc_id") == F.col("_doc")) & (F.xxhash64("text") == F.col("_print")), "left").drop("_doc", "_print")
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema), "n_lines long, n_removed long"])
     out = joined.mapInArrow(lambda it: tidy(_cut(it, k)), schema)
     if "n_chars" in docs.columns:

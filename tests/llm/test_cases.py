@@ -102,6 +102,22 @@ def same_id_rows():
     return [(i, None if t is None else "\n".join(t)) for i, t in [(1, shared), (7, a), (7, b), (7, c), (7, None), (7, ["short"]), (7, a), (7, a), (8, b), (8, b)]]
 
 
+def test_lines_of_rows_with_one_id(spark):
+    rows = same_id_rows()
+    # One row a partition: equal rows meet in no task before the join.
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(len(rows))
+    out = op6_lines.dedup_lines(df).collect()
+    seen = rows[0][1].split("\n")
+
+    def kept(d, t):
+        return t if d == 1 or t is None else "\n".join(x for x in t.split("\n") if x not in seen)
+
+    first = lambda r: (r[0], r[1] or "", r[1] is None)
+    expected = [(d, kept(d, t)) if d == 7 else (d, t if d == 1 else "") for d, t in rows]
+    # Document 8 repeats all of b: its last window ends in the line that 7 has after the shared ones.
+    assert sorted([(r.doc_id, r.text) for r in out], key=first) == sorted(expected, key=first)
+
+
 def brute_substrings(rows, window=50):
     """Kept words of each row, by windows that a smaller doc_id holds."""
     words = [(d, (t or "").encode().split()) for d, t in rows]
