@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fogon.functions.geo import distancia_km
+from fogon.functions.geo import RADIO_TIERRA_KM, distancia_km
 from fogon.functions.knn import k_nearest
 from fogon.functions.measures import o_cero, pct, razon
 from fogon.functions.pairs import BLOQUE, pairs_within
+from fogon.session import shared_dir, ship
 
 
 def _in_sources(df: DataFrame, sources: list[str] | None) -> DataFrame:
@@ -122,70 +127,107 @@ def stop_matrix(stops: DataFrame, bloque: int = BLOQUE) -> DataFrame:
 
 # --- Routes -------------------------------------------------------------------------------------------
 
-PARADA = "struct<id: bigint, nombre: string, lat: double, lng: double>"
-TRAMO = "struct<id_usuario: bigint, nombre: string, distancia_tramo: double, distancia_acumulada: double>"
-
+# Stops of one driver that meet in one task; up to 1000 Spark cuts a top-k before the shuffle.
+POOL = 1000
+HOLGURA_KM = 0.001  # far above the rounding noise of a distance
+VISITA = (
+    "source_db string, id_repartidor bigint, id_usuario bigint, nombre string, latitud double, longitud double, "
+    "orden int, tramo double, total double"
+)
 
-def _walk(paradas: Column, lat: Column, lng: Column) -> Column:
-    """Greedy route over an array of stops: repeatedly the nearest stop left (of equals the smaller id).
-
-    The first leg counts rounded to 2 digits, the following ones unrounded.
-    """
-    inicio = F.struct(
-        lat.alias("lat"), lng.alias("lng"), F.lit(0.0).alias("total"), paradas.cast(f"array<{PARADA}>").alias("quedan"),
-        F.array().cast(f"array<{TRAMO}>").alias("ruta"),
-    )
-
-    def paso(estado: Column, i: Column) -> Column:
-        opciones = F.transform(
-            estado.quedan,
-            lambda p: F.struct(distancia_km(estado.lat, estado.lng, p.lat, p.lng).alias("d"), p.id.alias("id"), p.alias("p")),
-        )
 
-        def avanzar(mejor: Column) -> Column:
-            tramo = F.round(mejor.d, 2)
-            total = estado.total + F.when(i == 1, tramo).otherwise(mejor.d)
-            fila = F.struct(
-                mejor.id.alias("id_usuario"), mejor.p.nombre.alias("nombre"), tramo.alias("distancia_tramo"),
-                F.round(total, 2).alias("distancia_acumulada"),
-            )
-            return F.struct(
-                mejor.p.lat.alias("lat"), mejor.p.lng.alias("lng"), total.alias("total"),
-                F.filter(estado.quedan, lambda p: p.id != mejor.id).alias("quedan"),
-                F.concat(estado.ruta, F.array(fila).cast(f"array<{TRAMO}>")).alias("ruta"),
-            )
+def _km_np(lat: float, lng: float, lats: np.ndarray, lngs: np.ndarray) -> np.ndarray:
+    a, b = np.radians(lat), np.radians(lats)
+    coseno = np.cos(a) * np.cos(b) * np.cos(np.radians(lngs) - np.radians(lng)) + np.sin(a) * np.sin(b)
+    return np.arccos(np.clip(coseno, -1.0, 1.0)) * RADIO_TIERRA_KM
 
-        # One-element transform: the chosen stop is computed once, not once per use.
-        return F.element_at(F.transform(F.array(F.array_min(opciones)), avanzar), 1)
 
-    return F.aggregate(F.sequence(F.lit(1), F.size(paradas)), inicio, paso, lambda estado: estado.ruta)
+def _walk_pool(pool: pd.DataFrame) -> pd.DataFrame:
+    """Greedy steps that are certain knowing only the stops around the current position (of equals the smaller id).
 
-
-def _walked(stops: DataFrame) -> DataFrame:
-    parada = F.struct(
-        F.col("id_usuario").alias("id"), "nombre", F.col("latitud").alias("lat"), F.col("longitud").alias("lng")
-    )
-    por_conductor = stops.groupBy("source_db", "id_repartidor").agg(
-        F.collect_list(parada).alias("paradas"), F.first("latitud_actual").alias("lat0"), F.first("longitud_actual").alias("lng0")
+    The pool holds every stop left within ``radio`` of its centre. From a position at distance c of the
+    centre, stops outside are at least radio - c away, so a nearer stop of the pool is the next one. Stops without
+    a position come last, by id; a pool that holds one holds every stop with a position.
+    """
+    pool = pool.sort_values("id_usuario").reset_index(drop=True)
+    lats, lngs = pool["latitud"].to_numpy(dtype=float), pool["longitud"].to_numpy(dtype=float)
+    lat, lng, total, orden = (pool[c].iloc[0] for c in ("lat", "lng", "total", "orden"))
+    lat0, lng0 = lat, lng
+    d = pool["d"].to_numpy(dtype=float)
+    radio = np.inf if pool["completo"].iloc[0] or np.isnan(d).any() else d.max()
+    libres = np.ones(len(pool), dtype=bool)
+    filas = []
+    while libres.any():
+        j = int(np.where(libres, np.nan_to_num(d, nan=1e300), np.inf).argmin())
+        if filas and np.isfinite(radio) and d[j] + float(_km_np(lat0, lng0, np.array([lat]), np.array([lng]))[0]) + HOLGURA_KM >= radio:
+            break
+        # The first leg of a route counts rounded to 2 digits, the following ones unrounded.
+        orden, total = orden + 1, total + (d[j] if orden else pool["d2"].iloc[j])
+        filas.append((j, orden, d[j], total))
+        libres[j] = False
+        lat, lng = lats[j], lngs[j]
+        d = _km_np(lat, lng, lats, lngs)
+    visita = pool.iloc[[f[0] for f in filas]][["source_db", "id_repartidor", "id_usuario", "nombre", "latitud", "longitud"]]
+    visita = visita.reset_index(drop=True)
+    for i, c in enumerate(("orden", "tramo", "total"), start=1):
+        visita[c] = [f[i] for f in filas]
+    return visita
+
+
+def _walked(stops: DataFrame, pool: int) -> DataFrame:
+    """Each round takes the ``pool`` stops nearest to a driver's position (a top-k, cut before the shuffle), walks while the
+    next stop is certain, and continues from there. Drivers advance side by side. Rounds are tables in the shared folder."""
+    spark = stops.sparkSession
+    ship(spark)
+    carpeta = f"{shared_dir(spark)}/rutas-{uuid.uuid4().hex}"
+    conductor = ["source_db", "id_repartidor"]
+    stops.select(
+        "source_db", F.col("id_repartidor").cast("bigint"), F.col("id_usuario").cast("bigint"), "nombre",
+        *[F.col(c).cast("double") for c in ("latitud", "longitud", "latitud_actual", "longitud_actual")],
+    ).write.parquet(f"{carpeta}/paradas")
+    paradas = spark.read.parquet(f"{carpeta}/paradas")
+    leer = spark.read.schema(VISITA + ", ronda int")
+    posicion = paradas.groupBy(*conductor).agg(
+        F.first("latitud_actual").alias("lat"), F.first("longitud_actual").alias("lng"), F.lit(0.0).alias("total"), F.lit(0).alias("orden"),
     )
-    return por_conductor.select(
-        "source_db", "id_repartidor", F.posexplode(_walk(F.col("paradas"), F.col("lat0"), F.col("lng0"))).alias("pos", "t")
-    ).select("source_db", "id_repartidor", (F.col("pos") + 1).alias("orden"), "t.*")
-
-
-def routes(stops: DataFrame) -> DataFrame:
+    quedan, faltan, ronda = paradas, paradas.count(), 0
+    while faltan > 0:
+        cerca = Window.partitionBy(*conductor).orderBy(F.asc_nulls_last("d"), "id_usuario")
+        elegidas = (
+            quedan.drop("latitud_actual", "longitud_actual").join(posicion, conductor)
+            .withColumn("d", _km("lat", "lng", "latitud", "longitud"))
+            .withColumn("puesto", F.row_number().over(cerca)).filter(F.col("puesto") <= pool).drop("puesto")
+            .withColumn("d2", F.round("d", 2))
+        )
+        restantes = quedan.groupBy(*conductor).agg((F.count(F.lit(1)) <= pool).alias("completo"))
+        destino = f"{carpeta}/visitas/ronda={ronda}"
+        elegidas.join(restantes, conductor).groupBy(*conductor).applyInPandas(_walk_pool, VISITA).write.parquet(destino)
+        ultima = spark.read.schema(VISITA).parquet(destino)
+        n = ultima.count()
+        if n == 0:
+            break
+        faltan, ronda = faltan - n, ronda + 1
+        posicion = ultima.groupBy(*conductor).agg(F.max_by(F.struct(
+            F.col("latitud").alias("lat"), F.col("longitud").alias("lng"), "total", "orden"), "orden").alias("p")
+        ).select(*conductor, "p.*")
+        quedan = paradas.join(leer.parquet(f"{carpeta}/visitas"), [*conductor, "id_usuario"], "left_anti")
+    visitas = leer.parquet(f"{carpeta}/visitas") if ronda else spark.createDataFrame([], VISITA)
+    numero = [F.when(~F.isnan(c), F.round(c, 2)).alias(a) for c, a in (("tramo", "distancia_tramo"), ("total", "distancia_acumulada"))]
+    return visitas.select(*conductor, "orden", "id_usuario", "nombre", *numero)
+
+
+def routes(stops: DataFrame, pool: int = POOL) -> DataFrame:
     """Greedy open route of every driver through the users to visit, starting at the driver.
 
     ``stops``: source_db, id_repartidor, id_usuario, nombre, latitud, longitud, latitud_actual,
-    longitud_actual. A greedy route is sequential, so the stops of one driver are walked inside one row, whatever their
-    number; memory grows with the stops of a driver, time with their square. Drivers without a position have no
-    route, see ``unroutable``.
+    longitud_actual. A greedy route is sequential, but at most ``pool`` stops of a driver meet in one task, whatever
+    their number (keep it at 1000 or less). Drivers without a position have no route, see ``unroutable``.
     """
-    rutas = _walked(stops.dropna(subset=["latitud_actual", "longitud_actual"]))
-    conductor = Window.partitionBy("source_db", "id_repartidor")
-    return rutas.withColumns({
-        "total_paradas": F.count(F.lit(1)).over(conductor), "distancia_total": F.max("distancia_acumulada").over(conductor),
-    })
+    rutas = _walked(stops.dropna(subset=["latitud_actual", "longitud_actual"]), pool)
+    conductor = ["source_db", "id_repartidor"]
+    # Summed before the join, so that a driver's stops don't meet in one window.
+    totales = rutas.groupBy(*conductor).agg(F.count(F.lit(1)).alias("total_paradas"), F.max("distancia_acumulada").alias("distancia_total"))
+    return rutas.join(totales, conductor)
 
 
 def unroutable(stops: DataFrame) -> DataFrame:

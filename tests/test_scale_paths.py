@@ -11,6 +11,7 @@ from fogon.functions.knn import k_nearest
 from fogon.functions.pairs import pairs_within
 from fogon.operators import cubes, dashboard, report
 from fogon.operators.graph.copurchase import copurchase
+from fogon.operators.graph import delivery
 from fogon.operators.graph.delivery import routes, unroutable
 from fogon.operators.search import edits
 from fogon.session import size_shuffles
@@ -114,6 +115,24 @@ def test_routes_of_any_length(spark):
     assert rows(unroutable(df)) == [("pg", 9, 1, "Repartidor sin ubicación")]
 
 
+def test_routes_hold_a_pool_at_a_time(spark, monkeypatch):
+    """No task gets more stops of a driver than the pool, and the route is the greedy one; stops without a position come last."""
+    filas = [("pg", c, u, f"u{u}", float(RNG.normal(9.9, 0.2)), float(RNG.normal(-84, 0.2)), 9.9, -84.0) for c, n in ((1, 60), (2, 12), (3, 5)) for u in range(n)]
+    columnas = ["source_db", "id_repartidor", "id_usuario", "nombre", "latitud", "longitud", "latitud_actual", "longitud_actual"]
+    pdf = pd.DataFrame(filas, columns=columnas)
+    df = spark.createDataFrame(pdf)
+    perdidas = spark.createDataFrame([("pg", 3, u, "x", None, None, 9.9, -84.0) for u in (101, 100)], df.schema)
+
+    with monkeypatch.context() as m:
+        original = delivery._walk_pool
+        m.setattr(delivery, "_walk_pool", lambda pool: original(pool) if len(pool) <= 20 else 1 / 0)
+        orden = routes(df.unionByName(perdidas), pool=20).orderBy("id_repartidor", "orden").toPandas()
+    for conductor, grupo in pdf.groupby("id_repartidor"):
+        esperado = _greedy(grupo) + ([100, 101] if conductor == 3 else [])
+        assert list(orden[orden["id_repartidor"] == conductor]["id_usuario"]) == esperado
+    assert set(orden.groupby("id_repartidor")["total_paradas"].first()) == {60, 12, 7}
+
+
 def test_ranks_and_medians_with_ties(spark):
     n = 4000
     v = np.where(RNG.random(n) < 0.34, 100.0, np.round(RNG.normal(0, 500, n), 2))
