@@ -14,6 +14,8 @@ is reported only if it is long enough that a text of its length would be: the sy
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -45,71 +47,128 @@ BINS_PER_DECADE, DECADES = 20, 30
 LONGEST_CLASS = 40
 FDR = 0.05
 SPAN = "struct<start:int,kind:int,end:int>"
+HIT = "struct<start:int,kind:int,end:int,s:string>"
+HITS = 256  # matches of a block whose places are summed together
 
 
-def _at(text: Column, pattern: str, kind: int, group: int = 0, least: int = 0) -> Column:
-    """Places of the matches, from the lengths of what lies between them. Text without a match isn't split."""
+def _with(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is computed once: a column inside a lambda is computed anew for every element."""
+    return F.transform(F.array(value), f)[0]
+
+
+def _hits(text: Column, pattern: str, kind: int, group: int = 0, least: int = 0) -> Column:
+    """(start, kind, end, s) of the matches whose group is long enough. Text without a match isn't split.
+
+    Places are running sums of the lengths of matches and of what lies between them, within blocks and then over the blocks, so that no
+    long array is copied for each of its elements.
+    """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    judged = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), found.alias("hit"), judged.alias("part"))
-    steps = F.aggregate(
-        F.filter(parts, lambda x: x["hit"].isNotNull()),
-        F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out")),
-        lambda s, x: F.struct(
-            (s["at"] + F.length(x["gap"]) + F.length(x["hit"])).alias("at"),
-            F.when(F.length(x["part"]) >= least, F.concat(s["out"], F.array(F.struct(
-                (s["at"] + F.length(x["gap"])).alias("start"), F.lit(kind).alias("kind"),
-                (s["at"] + F.length(x["gap"]) + F.length(x["hit"])).alias("end"))))).otherwise(s["out"]).alias("out")),
-        lambda s: s["out"])
-    return F.when(F.regexp_like(text, F.lit(pattern)), steps).otherwise(F.array().cast(f"array<{SPAN}>"))
+    judged = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
+    zipped = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), found.alias("hit"), judged.alias("part"))
+
+    def local(parts: Column) -> Column:
+        def block(b: Column) -> Column:
+            start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{HIT}>").alias("out"))
+            return F.aggregate(F.slice(parts, b * HITS + 1, HITS), start, lambda s, x: F.struct(
+                (s["at"] + F.length(x["gap"]) + F.length(x["hit"])).alias("at"),
+                F.when(F.length(x["part"]) >= least, F.concat(s["out"], F.array(F.struct(
+                    (s["at"] + F.length(x["gap"])).alias("start"), F.lit(kind).alias("kind"),
+                    (s["at"] + F.length(x["gap"]) + F.length(x["hit"])).alias("end"), x["hit"].alias("s"))))).otherwise(s["out"]).alias("out")))
+        return F.transform(F.sequence(F.lit(0), F.ceil(F.size(parts) / HITS).cast("int") - 1), block)
+
+    def shifted(blocks: Column) -> Column:
+        totals = F.aggregate(blocks, F.array(F.lit(0)), lambda s, x: F.concat(s, F.array(F.element_at(s, -1) + x["at"])))
+        return _with(totals, lambda t: F.flatten(F.transform(blocks, lambda x, i: F.transform(x["out"], lambda h: F.struct(
+            (h["start"] + F.get(t, i)).alias("start"), h["kind"].alias("kind"), (h["end"] + F.get(t, i)).alias("end"), h["s"].alias("s"))))))
+
+    hits = _with(F.filter(zipped, lambda x: x["hit"].isNotNull()), lambda parts: _with(local(parts), shifted))
+    return F.when(F.regexp_like(text, F.lit(pattern)), hits).otherwise(F.array().cast(f"array<{HIT}>"))
+
+
+def _spans(hits: Column) -> Column:
+    return F.transform(hits, lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end")))
+
+
+def _at(text: Column, pattern: str, kind: int, group: int = 0, least: int = 0) -> Column:
+    """Places of the matches."""
+    return _spans(_hits(text, pattern, kind, group, least))
 
 
 def _tail(z: Column) -> Column:
     """Two-sided normal tail of z >= 0: complementary error function by a rational exponent."""
-    x = z / F.lit(2.0**0.5)
-    t = 1 / (1 + x / 2)
     # Coefficients of the approximation of erfc with relative error below 1.2e-7.
     coefficients = [-1.26551223, 1.00002368, 0.37409196, 0.09678418, -0.18628806, 0.27886807, -1.13520398, 1.48851587, -0.82215223, 0.17087277]
-    exponent = F.lit(coefficients[-1])
-    for c in reversed(coefficients[:-1]):
-        exponent = exponent * t + c
-    return t * F.exp(exponent - x * x)
+
+    def at(x: Column) -> Column:
+        def value(t: Column) -> Column:
+            exponent = F.lit(coefficients[-1])
+            for c in reversed(coefficients[:-1]):
+                exponent = exponent * t + c
+            return t * F.exp(exponent - x * x)
+        return _with(1 / (1 + x / 2), value)
+
+    return _with(z / F.lit(2.0**0.5), at)
+
+
+def _wilson(chi: Column, k: Column) -> Column:
+    """Normal score of a chi-squared statistic divided by its k - 1 degrees of freedom; 0 where it is small."""
+    spread = F.lit(2.0) / (9 * (k - 1))
+    return F.greatest((F.pow(chi, F.lit(1 / 3)) - (1 - spread)) / F.sqrt(spread), F.lit(0.0))
 
 
 def randomness(symbols: Column) -> Column:
-    """struct(n, k, p): length without padding, alphabet size, and the battery's p-value; null if no alphabet fits."""
-    s = F.rtrim(symbols, F.lit("="))
-    alphabet = F.coalesce(*[F.when(s.rlike(p), F.lit(a)) for p, a in ALPHABETS])
-
-    def tests(x: Column) -> Column:
-        n, k = F.length(x["s"]).cast("double"), F.length(x["a"]).cast("double")
-        chars = x["chars"]
-        squares = F.aggregate(F.array_distinct(chars), F.lit(0.0), lambda total, c: total + F.pow(n - F.length(F.replace(x["s"], c, F.lit(""))), 2))
-        chi = F.greatest(k / n * squares - n, F.lit(0.0)) / (k - 1)
-        spread = F.lit(2.0) / (9 * (k - 1))
-        z_chi = F.greatest((F.pow(chi, F.lit(1 / 3)) - (1 - spread)) / F.sqrt(spread), F.lit(0.0))
-        values = x["values"]
-        mean = F.aggregate(values, F.lit(0.0), lambda a, v: a + v) / n
-        high = F.aggregate(values, F.lit(0.0), lambda a, v: a + F.when(v > k / 2, 1.0).otherwise(0.0))
+    """struct(n, k, p, p_prose): length without padding, alphabet size, the battery's p-value and that of prose; null if no alphabet fits.
+
+    Each step reads what the step before has made, so the work is linear in the length.
+    """
+    def with_alphabet(s: Column) -> Column:
+        return F.struct(s.alias("s"), F.coalesce(*[F.when(s.rlike(p), F.lit(a)) for p, a in ALPHABETS]).alias("a"))
+
+    def judged(x: Column) -> Column:
+        return F.when(x["a"].isNotNull() & (F.length(x["s"]) >= 20), _with(symbol_values(x), lambda y: _with(counts(y), lambda c: _with(moments(c), lambda m: _with(scores(m), verdict)))))
+
+    def symbol_values(x: Column) -> Column:
+        """The string's characters and their numbers in the alphabet."""
+        chars = F.split(x["s"], "")
+        return F.struct(x["s"].alias("s"), F.length(x["s"]).cast("double").alias("n"), F.length(x["a"]).cast("double").alias("k"), chars.alias("chars"),
+                        F.transform(chars, lambda c: F.instr(x["a"], c).cast("double") - 0.5).alias("values"))
+
+    def counts(x: Column) -> Column:
+        n, half, values = x["n"], x["k"] / 2, x["values"]
+        squares = F.aggregate(F.array_distinct(x["chars"]), F.lit(0.0), lambda total, c: total + F.pow(n - F.length(F.replace(x["s"], c, F.lit(""))), 2))
         pairs = F.zip_with(F.slice(values, 1, F.size(values) - 1), F.slice(values, 2, F.size(values)), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-        runs = F.aggregate(pairs, F.lit(1.0), lambda r, p: r + F.when((p["a"] > k / 2) != (p["b"] > k / 2), 1.0).otherwise(0.0))
+        return F.struct(
+            n.alias("n"), x["k"].alias("k"), values.alias("values"), pairs.alias("pairs"), squares.alias("squares"), half.alias("half"),
+            (F.aggregate(values, F.lit(0.0), lambda a, v: a + v) / n).alias("mean"))
+
+    def moments(x: Column) -> Column:
+        half, mean = x["half"], x["mean"]
+        return F.struct(
+            x["n"].alias("n"), x["k"].alias("k"), x["squares"].alias("squares"),
+            F.aggregate(x["values"], F.lit(0.0), lambda a, v: a + F.when(v > half, 1.0).otherwise(0.0)).alias("high"),
+            F.aggregate(x["pairs"], F.lit(1.0), lambda r, p: r + F.when((p["a"] > half) != (p["b"] > half), 1.0).otherwise(0.0)).alias("runs"),
+            F.aggregate(x["values"], F.lit(0.0), lambda a, v: a + F.pow(v - mean, 2)).alias("around"),
+            F.aggregate(x["pairs"], F.lit(0.0), lambda a, p: a + (p["a"] - mean) * (p["b"] - mean)).alias("lagged"))
+
+    def scores(x: Column) -> Column:
+        n, k, high = x["n"], x["k"], x["high"]
         expected = 2 * high * (n - high) / n + 1
         wide = (expected - 1) * (expected - 2) / (n - 1)
-        z_runs = F.when(wide > 0, F.abs(runs - expected) / F.sqrt(wide)).otherwise(F.lit(40.0))
-        around = F.aggregate(values, F.lit(0.0), lambda a, v: a + F.pow(v - mean, 2))
-        lagged = F.aggregate(pairs, F.lit(0.0), lambda a, p: a + (p["a"] - mean) * (p["b"] - mean))
-        z_serial = F.when(around > 0, F.abs(lagged / around + 1 / n) * F.sqrt(n)).otherwise(F.lit(40.0))
-        p = F.least(F.lit(1.0), 3 * F.least(*[_tail(F.least(z, F.lit(40.0))) for z in (z_chi, z_runs, z_serial)]))
-        # z of the chi-squared statistic that prose of this length would reach
+        # What the chi-squared statistic of prose of this length would be.
         prose = F.greatest(k * ((n - 1) * COINCIDENCE + 1) - n, F.lit(0.0)) / (k - 1)
-        z_prose = F.greatest((F.pow(prose, F.lit(1 / 3)) - (1 - spread)) / F.sqrt(spread), F.lit(0.0))
-        return F.struct(n.cast("int").alias("n"), k.cast("int").alias("k"), p.alias("p"),
-                        F.when(k <= 16, F.lit(0.0)).otherwise(_tail(F.least(z_prose, F.lit(40.0)))).alias("p_prose"))
+        return F.struct(
+            n.alias("n"), k.alias("k"),
+            _wilson(F.greatest(k / n * x["squares"] - n, F.lit(0.0)) / (k - 1), k).alias("z_chi"),
+            F.when(wide > 0, F.abs(x["runs"] - expected) / F.sqrt(wide)).otherwise(F.lit(40.0)).alias("z_runs"),
+            F.when(x["around"] > 0, F.abs(x["lagged"] / x["around"] + 1 / n) * F.sqrt(n)).otherwise(F.lit(40.0)).alias("z_serial"),
+            _wilson(prose, k).alias("z_prose"))
+
+    def verdict(x: Column) -> Column:
+        p = F.least(F.lit(1.0), 3 * F.least(*[_tail(F.least(x[z], F.lit(40.0))) for z in ("z_chi", "z_runs", "z_serial")]))
+        return F.struct(x["n"].cast("int").alias("n"), x["k"].cast("int").alias("k"), p.alias("p"),
+                        F.when(x["k"] <= 16, F.lit(0.0)).otherwise(_tail(F.least(x["z_prose"], F.lit(40.0)))).alias("p_prose"))
 
-    chars = F.split(s, "")
-    base = F.array(F.struct(s.alias("s"), alphabet.alias("a"), chars.alias("chars"),
-                            F.transform(chars, lambda c: F.instr(alphabet, c).cast("double") - 0.5).alias("values")))
-    return F.when(alphabet.isNotNull() & (F.length(s) >= 20), F.transform(base, tests)[0])
+    return _with(F.rtrim(symbols, F.lit("=")), lambda s: _with(with_alphabet(s), judged))
 
 
 def _masked(text: Column, base: Column) -> Column:
@@ -124,15 +183,17 @@ def _masked(text: Column, base: Column) -> Column:
 
 
 def _candidates(text: Column) -> Column:
-    """Places of all runs of key characters and of the pieces within them, each place once."""
+    """For each run of key characters, itself and the pieces within it with their places, each place once. Runs don't overlap."""
     def pieces(run: Column) -> Column:
-        s = F.substring(text, run["start"] + 1, run["end"] - run["start"])
-        within = F.concat(*[_at(s, p, 3) for p in PIECES])
+        within = F.concat(*[_hits(run["s"], p, 3) for p in PIECES])
         moved = F.transform(within, lambda x: F.struct(
-            (run["start"] + x["start"]).alias("start"), x["kind"].alias("kind"), (run["start"] + x["end"]).alias("end")))
-        return F.when(s.rlike("[+/_-]"), moved).otherwise(F.array(run))
+            (run["start"] + x["start"]).alias("start"), x["kind"].alias("kind"), (run["start"] + x["end"]).alias("end"), x["s"].alias("s")))
+        return F.when(run["s"].rlike("[+/_-]"), _with(F.array_sort(moved), once)).otherwise(F.array(run))
+
+    def once(x: Column) -> Column:
+        return F.filter(x, lambda y, i: (i == 0) | (F.get(x, i - 1) != y))
 
-    return F.array_distinct(F.flatten(F.transform(_at(text, RUN, 3), pieces)))
+    return F.transform(_hits(text, RUN, 3), pieces)
 
 
 def _merged(spans: Column) -> Column:
@@ -178,10 +239,15 @@ def scan(docs: DataFrame, q: float = FDR, keep: tuple[str, ...] = ()) -> DataFra
         "doc_id", *[f"_{c}" for c in keep], "t",
         F.concat(_at(F.col("t"), ASSIGN, 0, 1, 6), F.when(F.contains("t", F.lit("AKIA")), _at(F.col("t"), ACCESS, 1)).otherwise(F.array().cast(f"array<{SPAN}>")), _at(F.col("t"), HEX, 2)).alias("base"))
     masked = places.withColumn("m", _masked(F.col("t"), F.col("base")))
-    judged = F.filter(F.transform(_candidates(F.col("m")), lambda c: F.struct(c.alias("span"), randomness(F.substring("m", c["start"] + 1, c["end"] - c["start"])).alias("r"))), lambda x: x["r"].isNotNull())
-    scanned = cut(masked.select("doc_id", *[f"_{c}" for c in keep], "base", F.transform(judged, lambda x: F.struct(
-        x["span"].alias("span"), _class(x["r"]["n"]).alias("length_class"), _bin(x["r"]["p"]).alias("bin"), _bin(x["r"]["p_prose"]).alias("prose"))).alias("judged")), "secrets")
-    limits = cutoffs(scanned.select(F.explode("judged").alias("j")).select("j.length_class", "j.bin"), q)
+    def judged(run: Column) -> Column:
+        tested = F.transform(run, lambda c: F.struct(
+            F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end")).alias("span"), randomness(c["s"]).alias("r")))
+        return F.transform(F.filter(tested, lambda x: x["r"].isNotNull()), lambda x: F.struct(
+            x["span"].alias("span"), _class(x["r"]["n"]).alias("length_class"), _bin(x["r"]["p"]).alias("bin"), _bin(x["r"]["p_prose"]).alias("prose")))
+
+    runs = F.transform(_candidates(F.col("m")), judged)
+    scanned = cut(masked.select("doc_id", *[f"_{c}" for c in keep], "base", F.filter(runs, lambda x: F.size(x) > 0).alias("judged")), "secrets")
+    limits = cutoffs(scanned.select(F.explode(F.flatten("judged")).alias("j")).select("j.length_class", "j.bin"), q)
     # One row: at most 41 (class, cut) pairs.
     table = limits.agg(F.map_from_entries(F.collect_list(F.struct("length_class", "cut_bin"))).alias("cuts")).scalar()
     never = BINS_PER_DECADE * DECADES + 1
@@ -190,7 +256,7 @@ def scan(docs: DataFrame, q: float = FDR, keep: tuple[str, ...] = ()) -> DataFra
         cut_bin = F.coalesce(F.element_at("cuts", x["length_class"]), F.lit(never))
         return (x["bin"] < cut_bin) & (x["prose"] >= F.least(cut_bin, F.lit(4 * BINS_PER_DECADE)))
 
-    added = _merged(F.transform(F.filter("judged", random), lambda x: x["span"]))
+    added = F.flatten(F.transform("judged", lambda run: _merged(F.transform(F.filter(run, random), lambda x: x["span"]))))
     found = F.array_sort(F.concat("base", added))
     return scanned.withColumn("cuts", table).select("doc_id", *[F.col(f"_{c}").alias(c) for c in keep], found.alias("found"))
 

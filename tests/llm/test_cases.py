@@ -2,6 +2,7 @@
 
 import random
 import string
+import time
 
 import numpy as np
 import pytest
@@ -364,6 +365,67 @@ def test_secrets_beside_names_paths_and_fixed_patterns(spark):
     assert said[0] == said[1] and len(said[0]) <= 0.1 * len(prose_words)
 
 
+def test_secrets_in_very_long_runs(spark):
+    """The battery is linear in the length of a run, whatever separators it holds, and in the number of candidates."""
+    rng = random.Random(12)
+    symbols = string.ascii_letters + string.digits + "+/"
+    long_key = "".join(rng.choice(symbols) for _ in range(1_000_000))
+    many = ["".join(rng.choice(symbols) for _ in range(40)) for _ in range(10_000)]
+    rows = [(1, "x" * 100_000), (2, f"a {long_key} b"), (3, " ".join(many))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    began = time.monotonic()
+    found = {r.doc_id: r.found for r in op10_secrets.scan(df).collect()}
+    assert time.monotonic() - began < 60
+    assert found[1] == [] and [(s.start, s.kind, s.end) for s in found[2]] == [(2, 3, 1_000_002)]
+    assert len(found[3]) >= 9_900 and all(s.end - s.start <= 40 for s in found[3])
+
+
+def plain_battery(s):
+    """The three tests and their p-value for one string, step by step."""
+    import math
+    import re
+
+    alphabet = next((a for p, a in op10_secrets.ALPHABETS if re.match(p, s)), None)
+    if alphabet is None or len(s) < 20:
+        return None
+    n, k, v = len(s), len(alphabet), [alphabet.index(c) + 0.5 for c in s]
+    chi = max(k / n * sum(s.count(c) ** 2 for c in set(s)) - n, 0) / (k - 1)
+    spread = 2 / (9 * (k - 1))
+    z = [max((chi ** (1 / 3) - (1 - spread)) / math.sqrt(spread), 0)]
+    high = [x > k / 2 for x in v]
+    h, runs = sum(high), 1 + sum(a != b for a, b in zip(high, high[1:]))
+    expected = 2 * h * (n - h) / n + 1
+    wide = (expected - 1) * (expected - 2) / (n - 1)
+    z.append(abs(runs - expected) / math.sqrt(wide) if wide > 0 else 40)
+    mean = sum(v) / n
+    around = sum((x - mean) ** 2 for x in v)
+    lagged = sum((a - mean) * (b - mean) for a, b in zip(v, v[1:]))
+    z.append(abs(lagged / around + 1 / n) * math.sqrt(n) if around > 0 else 40)
+    return n, k, min(1, 3 * min(math.erfc(min(x, 40) / math.sqrt(2)) for x in z))
+
+
+def test_battery_against_plain_python(spark):
+    rng = random.Random(31)
+    kinds = [a for _, a in op10_secrets.ALPHABETS] + ["aab", "tionheanx", "0123456789", "_-", "+/A"]
+    strings = ["".join(rng.choice(a) for _ in range(rng.choice([19, 20, 33, 64, 200]))) for a in kinds for _ in range(12)]
+    rows = spark.createDataFrame([(s,) for s in strings], "s string").select("s", op10_secrets.randomness(F.col("s")).alias("r")).collect()
+    for row in rows:
+        expected = plain_battery(row.s)
+        assert (row.r is None) == (expected is None)
+        if expected:
+            assert (row.r.n, row.r.k) == expected[:2] and row.r.p == pytest.approx(expected[2], rel=1e-6, abs=1e-290)
+
+
+def test_cutoffs_against_plain_python(spark):
+    rng = random.Random(32)
+    rows = [(rng.randrange(5), min(rng.randrange(1, 601), rng.randrange(1, 601)) if rng.random() < 0.5 else rng.randrange(1, 12)) for _ in range(4000)]
+    found = {r.length_class: r.cut_bin for r in op10_secrets.cutoffs(spark.createDataFrame(rows, "length_class int, bin int"), 0.05).collect()}
+    for c in range(5):
+        bins = [b for k, b in rows if k == c]
+        passed = [b for b in set(bins) if 10 ** (-b / op10_secrets.BINS_PER_DECADE) * len(bins) <= 0.05 * sum(x >= b for x in bins)]
+        assert found.get(c) == min(passed, default=None)
+
+
 def test_pipeline_stages(spark, odd, none, tmp_path):
     labels = spark.createDataFrame([(i, int(i % 9 == 0)) for i in range(4, 20)], "doc_id long, toxic int")
     labels.write.parquet(f"{tmp_path}/labels.parquet")
