@@ -10,7 +10,7 @@ from fixtures import SCHEMA, odd_documents, prose, remove_lines, shingles, union
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from fogon.llm import components, op1_packing, op2_lattice, op3_rules, op4_substrings, op5_toxicity, op6_lines, op7_bpe, op8_jaccard, op9_urls, op10_secrets
+from fogon.llm import components, op1_packing, op13_fim, op2_lattice, op3_rules, op4_substrings, op5_toxicity, op6_lines, op7_bpe, op8_jaccard, op9_urls, op10_secrets
 
 ODD = odd_documents()
 
@@ -292,6 +292,45 @@ def test_lattice_recall_near_the_threshold():
     assert meet.mean() >= 0.97
 
 
+def plain_fim(doc, text, seed=42):
+    import hashlib
+    import re
+
+    t = text or ""
+    u = re.findall(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+", t)
+    digest = hashlib.sha256(f"{seed}:{'' if doc is None else doc}".encode()).hexdigest()
+    h = [int(digest[8 * i : 8 * i + 8], 16) for i in range(4)]
+    lo, hi = sorted((h[0] % (len(u) + 1), h[1] % (len(u) + 1)))
+    a, b, z = ("".join(x) for x in (u[:lo], u[lo:hi], u[hi:]))
+    if not t or any(m in t for m in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 50:
+        return len(u), "plain", None, None, t
+    if h[3] % 100 < 80:
+        return len(u), "spm", len(a), len(b), f"<S>{z}<P>{a}<M>{b}"
+    return len(u), "psm", len(a), len(b), f"<P>{a}<S>{z}<M>{b}"
+
+
+def test_fill_in_middle(spark, odd, none):
+    rng = random.Random(41)
+    texts = [prose(rng, rng.randrange(1, 30)) for _ in range(150)]
+    texts += [t + rng.choice([" ", "\n\n", "\t x <", " <P", "<S", "M> é"]) for t in texts] + ["<M> in it", "a<P>b", "  lead", "\x0b \x0c", "P>S>M>", "<<S", "東"] * 6
+    docs = odd.unionByName(spark.createDataFrame([(2000 + i, t, "en", "s", len(t)) for i, t in enumerate(texts)], SCHEMA))
+    clash = docs.withColumns({"pieces": F.lit(1), "form": F.lit("clash"), "n": F.lit("x"), "extra": F.lit(7)})
+    arranged = op13_fim.arrange(clash)
+    rows = op13_fim.restore(op13_fim.render(arranged)).collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        assert (r.n, r.form, r.prefix_chars, r.middle_chars, r.output) == plain_fim(r.doc_id, r.text)
+        assert r.restored == (r.text or "") and r.extra == 7
+        assert len(r.pieces) == (1 if r.form == "plain" else 6) and sum(p.length for p in r.pieces) == len(r.output.encode())
+    assert {r.form for r in rows} == {"plain", "psm", "spm"}
+    import hashlib
+    for r in op13_fim.digests(arranged).collect():
+        t = next(x.text for x in rows if (x.doc_id, x.n) == (r.doc_id, r.n))
+        assert r.output_sha256 == hashlib.sha256(plain_fim(r.doc_id, t)[4].encode()).hexdigest()
+        assert r.restored_sha256 == hashlib.sha256((t or "").encode()).hexdigest()
+    assert op13_fim.digests(op13_fim.arrange(none)).count() == 0
+
+
 def test_urls(spark):
     entries = spark.createDataFrame([
         ("domain", "bad.com", "add", 100), ("domain", "bad.com", "remove", 200), ("domain", "bad.com", "add", 300), ("domain", "bad.com", "add", 300),
