@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fogon.llm import op1_packing as op1
 from fogon.llm import op10_secrets as op10
+from fogon.llm import op11_spelling as op11
 from fogon.llm import op13_fim as op13
 from fogon.llm import op2_lattice as op2
 from fogon.llm import op3_rules as op3
@@ -31,10 +32,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_jaccard_join": op8.op8_jaccard_join,
         "op9_temporal_list": op9.op9_temporal_list,
         "op10_secret_scan": op10.op10_secret_scan,
+        "op11_bit_sliced": op11.op11_bit_sliced,
         "op13_piece_table": op13.op13_piece_table,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL twins of those that SQL can express; the others are tested against brute force."""
-    return {**op2.SQL, **op4.SQL, **op6.SQL, **op8.SQL, **op9.SQL, **op13.SQL}
+    return {**op2.SQL, **op4.SQL, **op6.SQL, **op8.SQL, **op9.SQL, **op11.SQL, **op13.SQL}

@@ -10,7 +10,7 @@ from fixtures import SCHEMA, odd_documents, prose, remove_lines, shingles, union
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from fogon.llm import components, op1_packing, op13_fim, op2_lattice, op3_rules, op4_substrings, op5_toxicity, op6_lines, op7_bpe, op8_jaccard, op9_urls, op10_secrets
+from fogon.llm import components, op1_packing, op11_spelling, op13_fim, op2_lattice, op3_rules, op4_substrings, op5_toxicity, op6_lines, op7_bpe, op8_jaccard, op9_urls, op10_secrets
 
 ODD = odd_documents()
 
@@ -331,6 +331,72 @@ def test_fill_in_middle(spark, odd, none):
     assert op13_fim.digests(op13_fim.arrange(none)).count() == 0
 
 
+def one_apart(a, b):
+    """Whether one inserted, deleted or replaced letter makes b of a."""
+    if a == b or abs(len(a) - len(b)) > 1:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    a, b = sorted((a, b), key=len)
+    return any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def plain_spelling(counts):
+    """word -> (form, root, n, n_near, form_n)."""
+    near = {w: [v for v in counts if one_apart(w, v)] for w in counts}
+    form = {}
+    for w, vs in near.items():
+        best = min(vs, key=lambda v: (-counts[v], v), default=None)
+        form[w] = best if best is not None and counts[best] >= 5 * counts[w] else None
+    def root(w):
+        return w if form[w] is None else root(form[w])
+    return {w: (form[w], root(w), counts[w], len(near[w]), counts[form[w]] if form[w] else None) for w in counts}
+
+
+@pytest.mark.parametrize("letters", [32_768, 60])
+def test_spelling(spark, none, monkeypatch, letters):
+    """Also with cells cut into many parts."""
+    import re
+    import zlib
+    from collections import Counter
+
+    monkeypatch.setattr(op11_spelling, "LETTERS", letters)
+    rng = random.Random(51)
+    base = ["".join(rng.choice("abcéß") for _ in range(rng.randrange(6, 10))) for _ in range(12)] + ["aaaaaaa", "y" * 300]
+    texts = []
+    for w in base:
+        texts.append(" ".join([w] * rng.choice([8, 40, 300])))
+        for _ in range(14):
+            i, v = rng.randrange(len(w)), w
+            v = rng.choice([v[:i] + v[i + 1 :], v[:i] + rng.choice("abcéßÿ") + v[i:], v[:i] + rng.choice("abcéß") + v[i + 1 :]])
+            texts.append(" ".join([rng.choice([v, v.upper(), v.title()])] * rng.choice([5, 6, 30, 60])))
+    rng.shuffle(texts)
+    texts += [" ".join([w] * n) for w, n in (("chainab", 6), ("chainabb", 50), ("chainabbc", 400))]
+    rows = [(i, ", ".join(texts[i::20])) for i in range(20)] * 2 + [(100, None), (101, ""), (102, "1 2 東京 !"), (None, " ".join([base[0]] * 30))]
+    found = [tuple(r) for r in op11_spelling.spelling_groups(spark.createDataFrame(rows, "doc_id long, text string").withColumn("word", F.lit(1)).repartition(5)).collect()]
+    counts = Counter()
+    for d, t in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", t or ""):
+            w = "".join(c.lower() if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if d is None else d}:{w}".encode())
+            counts[w if h % 199 else w[: h % len(w)] + w[h % len(w) + 1 :]] += 1
+    expected = plain_spelling({w: n for w, n in counts.items() if len(w) >= 6 and n >= 5})
+    assert len(found) == len(expected) and {r[0]: r[1:] for r in found} == expected
+    assert sum(r[1] is not None for r in found) > 10 and any(r[1] not in (None, r[2]) for r in found)
+    assert op11_spelling.spelling_groups(none).count() == 0
+
+
+def test_one_error_sets_against_all_pairs():
+    rng = random.Random(52)
+    words = sorted({"".join(rng.choice("ab") for _ in range(rng.randrange(3, 8))) for _ in range(150)})
+    lengths = np.array([len(w) for w in words])
+    codes = np.full((len(words), lengths.max()), 2, dtype=np.int32)
+    for i, w in enumerate(words):
+        codes[i, : len(w)] = ["ab".index(c) for c in w]
+    found = set(zip(*(x.tolist() for x in op11_spelling._pairs(op11_spelling.one_error(codes, lengths, 2)))))
+    assert found == {(i, j) for i, a in enumerate(words) for j, b in enumerate(words) if one_apart(a, b)}
+
+
 def test_urls(spark):
     entries = spark.createDataFrame([
         ("domain", "bad.com", "add", 100), ("domain", "bad.com", "remove", 200), ("domain", "bad.com", "add", 300), ("domain", "bad.com", "add", 300),
