@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from fogon.llm import op1_packing as op1
 from fogon.llm import op10_secrets as op10
 from fogon.llm import op11_spelling as op11
+from fogon.llm import op12_neighbours as op12
 from fogon.llm import op13_fim as op13
 from fogon.llm import op2_lattice as op2
 from fogon.llm import op3_rules as op3
@@ -33,6 +34,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_temporal_list": op9.op9_temporal_list,
         "op10_secret_scan": op10.op10_secret_scan,
         "op11_bit_sliced": op11.op11_bit_sliced,
+        "op12_adaptive_scan": op12.op12_adaptive_scan,
         "op13_piece_table": op13.op13_piece_table,
     }
 

@@ -10,7 +10,7 @@ from fixtures import SCHEMA, odd_documents, prose, remove_lines, shingles, union
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from fogon.llm import components, op1_packing, op11_spelling, op13_fim, op2_lattice, op3_rules, op4_substrings, op5_toxicity, op6_lines, op7_bpe, op8_jaccard, op9_urls, op10_secrets
+from fogon.llm import components, op1_packing, op11_spelling, op12_neighbours, op13_fim, op2_lattice, op3_rules, op4_substrings, op5_toxicity, op6_lines, op7_bpe, op8_jaccard, op9_urls, op10_secrets
 
 ODD = odd_documents()
 
@@ -397,6 +397,87 @@ def test_one_error_sets_against_all_pairs():
     assert found == {(i, j) for i, a in enumerate(words) for j, b in enumerate(words) if one_apart(a, b)}
 
 
+def plain_neighbours(rows, every=50, k=5):
+    """{query id: [(vec_id, score)]} of all pairs; rows (vec_id, vector) are usable."""
+    x = np.array([v for _, v in rows], dtype=np.float64)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    out = []
+    for i, (q, _) in enumerate(rows):
+        if q % every == 0:
+            score = x @ x[i]
+            best = sorted((j for j in range(len(rows)) if j != i), key=lambda j: (-round(score[j], 11), rows[j][0]))[:k]
+            out.append((q, [(rows[j][0], score[j]) for j in best]))
+    return out
+
+
+@pytest.mark.parametrize("block", [1024, 7])
+def test_nearest_neighbours(spark, monkeypatch, block):
+    """Clusters, copies of one vector, bad rows, other dimensions, repeated ids; also with lists cut into many blocks and batches."""
+    monkeypatch.setattr(op12_neighbours, "BLOCK", block)
+    monkeypatch.setattr(op12_neighbours, "BATCH", max(2, block // 4))
+    rng = np.random.default_rng(7)
+    base = rng.standard_normal((20, 64))
+    rows = [(i, (base[i % 20] + rng.standard_normal(64) * 0.4).astype(np.float32).tolist()) for i in range(2000)]
+    rows += [(3000 + i, rows[50][1]) for i in range(300)] + [(100, rows[7][1]), (100, rows[100][1])]
+    zero = [0.0] * 64
+    bad = [(4000, None), (4050, []), (4100, zero), (4150, [float("nan")] + zero[1:]), (4200, [None] + zero[1:]), (4250, [float("-inf")] + zero[1:]), (None, rows[0][1])]
+    small = [(5000, [1.0, 0.0]), (5001, [1.0, 1.0]), (5003, [0.0, 2.0]), (6000, [1.0, 2.0, 3.0])]
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows + bad + small], "vec_id long, embedding array<float>, score int")
+    found = {}
+    for r in op12_neighbours.nearest(df, df.filter("vec_id % 50 = 0")).collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    expected = plain_neighbours(rows)
+    right = total = 0
+    for q in {q for q, _ in expected}:
+        wanted = [b for p, b in expected if p == q]
+        got = sorted(found.pop(q))
+        assert [g[0] for g in got] == sorted(r for r in range(1, 6) for _ in wanted)
+        if len(wanted) == 1:
+            assert all(abs(a[2] - b[1]) < 1e-9 for a, b in zip(got, wanted[0]) if a[1] == b[0])
+            right += len({g[1] for g in got} & {b[0] for b in wanted[0]})
+            total += 5
+            if q in (50, 3000, 3250):
+                assert [g[1] for g in got] == [b[0] for b in wanted[0]]
+    assert right >= 0.95 * total
+    assert [(r, v, round(s, 9)) for r, v, s in sorted(found.pop(5000))] == [(1, 5001, round(0.5**0.5, 9)), (2, 5003, 0.0)]
+    assert found == {}
+    assert op12_neighbours.nearest(df.limit(0), df.limit(0)).count() == 0
+    assert op12_neighbours.nearest(df, df.limit(0)).count() == 0
+
+
+def test_abandoned_candidates():
+    """Most dimensions of far candidates are never read, and the nearest are found all the same."""
+    rng = np.random.default_rng(8)
+    base = rng.standard_normal((10, 128))
+    y = op12_neighbours.rotated(list(np.repeat(base, 100, axis=0) + 0.4 * rng.standard_normal((1000, 128))))
+    columns = [np.ascontiguousarray(y[:, i : i + 16]) for i in range(0, 128, 16)]
+    queries = y[::10]
+    r, c, distance, read = op12_neighbours.scan(columns, np.arange(1000), queries, np.full(100, np.inf), 6)
+    exact = ((queries[:, None, :] - y[None]) ** 2).sum(axis=2)
+    true = np.argsort(exact, axis=1)[:, :6]
+    hits = np.mean([len(set(c[r == i]) & set(true[i])) / 6 for i in range(100)])
+    assert hits >= 0.99 and np.allclose(distance, exact[r, c]) and read < 0.35 * 100 * 1000 * 128
+
+
+def test_recall_of_neighbours(spark):
+    """At least 0.9 of the true five nearest on vectors of random direction, the hardest ones."""
+    import pyarrow.parquet as pq
+
+    t = pq.read_table("/root/testdata/sf0.1/embeddings.parquet")
+    rows = list(zip(t.column("vec_id").to_pylist(), t.column("embedding").to_pylist()))
+    from fogon.llm.queries import queries
+
+    found = {}
+    for r in queries()["op12_adaptive_scan"](spark, "/root/testdata/sf0.1").collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    expected = dict(plain_neighbours(rows))
+    assert found.keys() == expected.keys()
+    assert all([a for a, *_ in sorted(x)] == [1, 2, 3, 4, 5] and [s for *_, s in sorted(x)] == sorted((s for *_, s in x), reverse=True) for x in found.values())
+    hits = sum(len({v for _, v, _ in found[q]} & {v for v, _ in expected[q]}) for q in expected)
+    assert hits >= 0.9 * 5 * len(expected)
+    print("recall", hits / 5 / len(expected))
+
+
 def test_urls(spark):
     entries = spark.createDataFrame([
         ("domain", "bad.com", "add", 100), ("domain", "bad.com", "remove", 200), ("domain", "bad.com", "add", 300), ("domain", "bad.com", "add", 300),
