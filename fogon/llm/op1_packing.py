@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fogon.llm.store import partitions, prepare
+from fogon.llm.store import buckets, prepare
 from fogon.llm.words import mix, slices, tidy
 
 LENGTH = 2048
@@ -201,10 +201,11 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = END)
     A null doc_id is kept as null; repeated rows are packed as often as they occur. tokenizer is the path of the vocabulary
     on the executors.
     """
-    spark = prepare(docs.sparkSession)
+    prepare(docs.sparkSession)
     keyed = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda it: tidy(_with_keys(it)), "doc_id long, text string, curve long")
     # doc_id spreads documents of one key, such as copies, over several ranges.
-    ranged = keyed.repartitionByRange(partitions(spark), "curve", "doc_id").sortWithinPartitions("curve", "doc_id", F.xxhash64("text"))
+    ranges = buckets(docs, "text", 1)
+    ranged = keyed.repartitionByRange(ranges, "curve", "doc_id").sortWithinPartitions("curve", "doc_id", F.xxhash64("text"))
     return ranged.select("doc_id", "text").mapInArrow(lambda it: tidy(_pack(it, tokenizer, length, end)), PIECE)
 
 

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fogon.llm.store import partitions, prepare
+from fogon.llm.store import buckets, prepare
 from fogon.llm.words import planes, slices, tidied, tidy, unplanes
 
 WINDOW = 50
@@ -180,10 +180,10 @@ def removal_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     Null, empty and short texts have no window. Rows with equal doc_id count as one document and do not repeat each other;
     rows with a null doc_id are left out, as "smaller" says nothing about them.
     """
-    spark = prepare(docs.sparkSession)
-    buckets, chunk_windows = BUCKETS_PER_PARTITION * partitions(spark), CHUNK_WINDOWS
+    prepare(docs.sparkSession)
+    dealt, chunk_windows = buckets(docs, "text", BUCKETS_PER_PARTITION), CHUNK_WINDOWS
     blocks = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("print")).mapInArrow(
-        lambda it: tidy(_hash_windows(it, window, buckets, chunk_windows)), BLOCK)
+        lambda it: tidy(_hash_windows(it, window, dealt, chunk_windows)), BLOCK)
     found = blocks.groupBy("bucket").applyInArrow(lambda t: tidied(_repeated(t)), FOUND)
     spans = found.groupBy("chunk").applyInArrow(lambda t: tidied(_intervals(t, window)), SPANS)
     # Rows of one doc_id and text lose the same words, whichever their chunks.

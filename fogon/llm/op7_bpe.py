@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fogon.llm.store import partitions, prepare
+from fogon.llm.store import buckets, prepare
 from fogon.llm.words import planes, tidied, tidy, unplanes
 
 CHUNK_CHARS = 16_000_000
@@ -178,11 +178,11 @@ def encode(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     docs is read twice and has to give the same rows in the same order both times, as a scan of files does; if it does not,
     the job fails rather than mix them up.
     """
-    spark = prepare(docs.sparkSession)
-    buckets = BUCKETS_PER_PARTITION * partitions(spark)
+    prepare(docs.sparkSession)
+    dealt = buckets(docs, "text", BUCKETS_PER_PARTITION)
     texts = docs.select(F.col("doc_id").cast("long"), "text")
     sequences = texts.mapInArrow(lambda it: tidy(_explode(it, pattern, None)), CHUNK)
-    words = texts.mapInArrow(lambda it: tidy(_explode(it, pattern, buckets)), CHUNK).groupBy("bucket").applyInArrow(lambda t: tidied(_encode_words(t, ranks, pattern)), CHUNK)
+    words = texts.mapInArrow(lambda it: tidy(_explode(it, pattern, dealt)), CHUNK).groupBy("bucket").applyInArrow(lambda t: tidied(_encode_words(t, ranks, pattern)), CHUNK)
     return sequences.union(words).groupBy("chunk").applyInArrow(lambda t: tidied(_reassemble(t)), ENCODED)
 
 
