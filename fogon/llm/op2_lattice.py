@@ -32,6 +32,7 @@ PROBES = 4
 SCALE = 0.22  # of the lattice, for unit vectors projected with orthonormal rows of a 64-dimensional space
 SEED = 20_240_607
 PART = 512  # vectors of a cell that meet in one part
+BLOCK_ROWS = 20_000  # rows of small cells that share a block, about
 
 
 def roots() -> np.ndarray:
@@ -203,23 +204,24 @@ def first_meeting(a: np.ndarray, b: np.ndarray, per_table: int) -> np.ndarray:
 def link_vectors(vectors: DataFrame, cosine: float = COSINE, tables: int = TABLES, blocks: int = BLOCKS, probes: int = PROBES, scale: float = SCALE) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of vectors (vec_id, embedding).
 
-    A vector that is null, empty, zero or holds null or non-finite components links with nothing. Vectors of
-    different lengths don't link. Copies (equal vectors) link with each other. Rows of one vec_id are one node that has the links
-    of all of them. A null vec_id links with nothing.
+    A vector that is null, empty, zero or holds null or non-finite components links with nothing, and neither does one of a null vec_id. Vectors of
+    different lengths don't link. Copies (equal vectors) link with each other. n_links counts the other rows that a row is linked with, copies and
+    near rows of its own vec_id included. Rows of one vec_id are one node as regards components: what any of them reaches, all of them do.
     """
     spark = prepare(vectors.sparkSession)
-    small = 4 * partitions(spark)
     rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("v"))
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     fine = F.coalesce(F.col("vec_id").isNotNull() & (F.size("v") > 0) & ~bad & F.exists("v", lambda x: x != 0), F.lit(False))
     good = rows.filter(fine).select("vec_id", "v", F.xxhash64("v").alias("h1"), F.hash("v").alias("h2"))
-    classes = good.groupBy("h1", "h2", "v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("size"))
-    classes = cut(classes, "lattice-classes")
+    same = ["h1", "h2", "v"]
+    classes = good.groupBy(*same).agg(F.min("vec_id").alias("least"), F.count("*").alias("size"))
+    classes = cut(classes.select(F.monotonically_increasing_id().alias("rep"), "least", "size", *same), "lattice-classes")
 
     table = cut(classes.select("rep", "size", "v").mapInArrow(
         lambda it: tidy(_placed(it, tables, blocks, probes, scale)), "rep long, size long, unit binary, keys array<long>"), "lattice-cells")
     placed = table.select("rep", F.posexplode("keys").alias("at", "cell")).select("rep", "cell", (F.col("at") % (1 + probes) == 0).alias("home"))
-    crowd = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("home").alias("any")).filter((F.col("n") > 1) & F.col("any"))
+    crowd = cut(placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("home").alias("any")).filter((F.col("n") > 1) & F.col("any")), "lattice-crowd")
+    small = max(4 * partitions(spark), (crowd.agg(F.sum("n")).first()[0] or 0) // BLOCK_ROWS)
     dealt = placed.join(crowd.select("cell", F.ceil(F.col("n") / PART).cast("long").alias("parts")), "cell")
     dealt = dealt.withColumn("part", F.pmod(F.xxhash64("rep", F.lit(7)), F.col("parts"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     key = F.when(F.col("parts") == 1, F.concat(F.lit("s"), F.pmod("cell", F.lit(small)).cast("string"))).otherwise(
@@ -230,14 +232,26 @@ def link_vectors(vectors: DataFrame, cosine: float = COSINE, tables: int = TABLE
     counted = cut(counted, "lattice-links")
 
     links = counted.groupBy("rep").agg(F.sum("links").alias("links"))
-    found = components(counted.select(F.col("rep").alias("a"), F.col("label").alias("b")), "lattice")
+    joined = counted.select(F.col("rep").alias("a"), F.col("label").alias("b")).union(_one_id(good, classes, same, "vec_id", "rep"))
+    found = components(joined, "lattice")
     named = classes.join(links, "rep", "left").join(found, classes.rep == found.node, "left").select(
-        "h1", "h2", "v", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
-    out = good.join(named, ["h1", "h2", "v"]).select("vec_id", "n_links", "component_id")
-    rest = rows.filter(~fine).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+        *same, "least", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component"))
+    smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    out = good.join(named.join(smallest, "component"), same).select("vec_id", "n_links", "component_id")
+    # A vector that takes no part still is of its vec_id's node.
+    rest = rows.filter(~fine).select("vec_id", F.lit(0).cast("long").alias("n_links"))
+    of_id = out.groupBy("vec_id").agg(F.min("component_id").alias("component_id"))
+    rest = rest.join(of_id, "vec_id", "left").select("vec_id", "n_links", F.coalesce("component_id", "vec_id").alias("component_id"))
     return out.union(rest).withColumn("kept", F.col("vec_id") == F.col("component_id"))
 
 
+def _one_id(rows: DataFrame, classes: DataFrame, same: list[str], key: str, node: str) -> DataFrame:
+    """Edges (a, b) between the classes of each id whose rows are of several classes, from every one to the smallest."""
+    mixed = rows.groupBy(key).agg(F.min(F.struct("h1", "h2")).alias("lo"), F.max(F.struct("h1", "h2")).alias("hi")).filter("lo <> hi").select(key)
+    own = rows.join(mixed, key, "left_semi").join(classes.select(*same, node), same).select(key, node)
+    return own.join(own.groupBy(key).agg(F.min(node).alias("least")), key).select(F.col(node).alias("a"), F.col("least").alias("b")).filter("a <> b").distinct()
+
+
 def op2_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
