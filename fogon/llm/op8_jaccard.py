@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fogon.llm.components import components
-from fogon.llm.store import cut, partitions, prepare
+from fogon.llm.store import buckets, cut, prepare
 from fogon.llm.words import WORDS, mix, planes, slices, tidied, tidy, unplanes
 
 SHINGLE = 5
@@ -36,7 +36,7 @@ BLOCK_DOCS = 1024
 VERIFY_COST = 20.0  # verifying a candidate, in postings read
 
 BLOCK = "bucket int, chunk long, docs binary, counts binary, hashes binary, dfs binary, about binary"
-DOCS = "doc_id long, n_shingles long, f1 long, f2 long, near boolean, tokens binary, dfs binary"
+DOCS = "doc_id long, print long, n_shingles long, f1 long, f2 long, near boolean, tokens binary, dfs binary"
 
 
 def _batch(schema: str, columns: dict[str, list]) -> pa.RecordBatch:
@@ -73,7 +73,7 @@ def shingle_sets(w, k: int) -> tuple[np.ndarray, np.ndarray]:
     return doc[new], win[new]
 
 
-def _hash_shingles(batches: Iterator[pa.RecordBatch], k: int, buckets: int) -> Iterator[pa.RecordBatch]:
+def _hash_shingles(batches: Iterator[pa.RecordBatch], k: int, dealt: int) -> Iterator[pa.RecordBatch]:
     """Blocks of (chunk, bucket), and one row per chunk about its documents."""
     part, made = TaskContext.get().partitionId(), 0
     held: list[tuple[np.ndarray, ...]] = []
@@ -81,11 +81,11 @@ def _hash_shingles(batches: Iterator[pa.RecordBatch], k: int, buckets: int) -> I
 
     def blocks() -> pa.RecordBatch:
         nonlocal made
-        ids, valid, n, f1, f2, doc, win = (np.concatenate(x) for x in zip(*held))
+        ids, prints, valid, n, f1, f2, doc, win = (np.concatenate(x) for x in zip(*held))
         held.clear()
         chunk = (part << 32) | made
         made += 1
-        bucket = ((win >> np.uint64(32)) % np.uint64(buckets)).astype(np.uint32)
+        bucket = ((win >> np.uint64(32)) % np.uint64(dealt)).astype(np.uint32)
         order = np.argsort(bucket, kind="stable")
         out: dict[str, list] = {x.split()[0]: [] for x in BLOCK.split(", ")}
 
@@ -94,8 +94,8 @@ def _hash_shingles(batches: Iterator[pa.RecordBatch], k: int, buckets: int) -> I
                 out[key].append(v)
 
         about = io.BytesIO()
-        np.savez(about, ids=ids, valid=valid, n=n, f1=f1, f2=f2)
-        row(chunk % buckets, chunk, None, None, None, None, about.getvalue())
+        np.savez(about, ids=ids, prints=prints, valid=valid, n=n, f1=f1, f2=f2)
+        row(chunk % dealt, chunk, None, None, None, None, about.getvalue())
         for f, m in zip(*_runs(bucket[order])):
             at = order[f : f + m]
             first, counts = _runs(doc[at])
@@ -105,14 +105,14 @@ def _hash_shingles(batches: Iterator[pa.RecordBatch], k: int, buckets: int) -> I
     for batch in batches:
         col = batch.column(0)
         valid_all = col.is_valid().to_numpy(zero_copy_only=False)
-        ids_all = col.fill_null(0).to_numpy(zero_copy_only=False)
+        ids_all, prints_all = col.fill_null(0).to_numpy(zero_copy_only=False), batch.column(2).to_numpy()
         for w in slices(batch.column(1)):
             doc, win = shingle_sets(w, k)
             n = np.bincount(doc, minlength=w.docs)
             ends = np.cumsum(n)
             valid = valid_all[w.first : w.first + w.docs]
             own = valid[doc]
-            held.append((ids_all[w.first : w.first + w.docs], valid, n, _sums(mix(win, 1), ends, n), _sums(mix(win, 2), ends, n), doc[own] + seen, win[own]))
+            held.append((ids_all[w.first : w.first + w.docs], prints_all[w.first : w.first + w.docs], valid, n, _sums(mix(win, 1), ends, n), _sums(mix(win, 2), ends, n), doc[own] + seen, win[own]))
             size += len(win)
             seen += w.docs
             if size >= CHUNK_SHINGLES or seen >= CHUNK_SHINGLES:
@@ -159,7 +159,7 @@ def _documents(blocks: pa.Table, percent: int) -> pa.Table:
     """
     rows = blocks.to_pylist()
     about = np.load(io.BytesIO(next(r["about"] for r in rows if r["about"] is not None)))
-    ids, valid, n, f1, f2 = (about[x] for x in ("ids", "valid", "n", "f1", "f2"))
+    ids, prints, valid, n, f1, f2 = (about[x] for x in ("ids", "prints", "valid", "n", "f1", "f2"))
     full = [r for r in rows if r["about"] is None]
     none = np.zeros(0, dtype=np.uint64)
     win = np.concatenate([none, *(np.frombuffer(r["hashes"], dtype=np.uint64) for r in full)])
@@ -181,6 +181,7 @@ def _documents(blocks: pa.Table, percent: int) -> pa.Table:
     carries = near & ~again
     out = {
         "doc_id": [int(ids[i]) if valid[i] else None for i in order],
+        "print": prints[order],
         "n_shingles": n[order],
         "f1": f1.view(np.int64)[order],
         "f2": f2.view(np.int64)[order],
@@ -310,21 +311,20 @@ def _block_rows(reps: DataFrame, families: DataFrame, small: int) -> DataFrame:
     return placed.select(key.alias("block"), "family", "part", "rep").join(reps, "rep")
 
 
-def jaccard_classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text).
+SAME = ["n_shingles", "f1", "f2"]
 
-    Null, empty and wordless texts have no shingles and link with nothing. Rows of one doc_id are one node. A null doc_id links
-    with nothing and has a null component. Other columns are ignored.
-    """
-    spark = prepare(docs.sparkSession)
-    buckets = BUCKETS_PER_PARTITION * partitions(spark)
-    blocks = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda it: tidy(_hash_shingles(it, shingle, buckets)), BLOCK)
+
+def _linked(docs: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows of docs (DOCS), classes of equal sets (node, their columns, least: the smallest row) and spanning links (a, b) of nodes."""
+    prepare(docs.sparkSession)
+    dealt = buckets(docs, "text", BUCKETS_PER_PARTITION)
+    blocks = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text")).mapInArrow(lambda it: tidy(_hash_shingles(it, shingle, dealt)), BLOCK)
     shared = blocks.groupBy("bucket").applyInArrow(lambda t: tidied(_shared(t)), BLOCK)
     table = cut(shared.groupBy("chunk").applyInArrow(lambda t: tidied(_documents(t, percent)), DOCS), "jaccard-docs")
 
-    same = ["n_shingles", "f1", "f2"]
-    classes = table.filter("near").groupBy(*same).agg(F.min("doc_id").alias("rep"))
-    reps = (table.filter("tokens is not null").withColumn("rep", F.col("doc_id")).join(classes, [*same, "rep"], "left_semi")
+    classes = table.filter("near").groupBy(*SAME).agg(F.min(F.struct("doc_id", "print")).alias("least"))
+    classes = cut(classes.select(F.monotonically_increasing_id().alias("node"), *SAME, "least"), "jaccard-classes")
+    reps = (table.filter("tokens is not null").join(classes.select(F.col("node").alias("rep"), *SAME, F.col("least.doc_id").alias("doc_id")), [*SAME, "doc_id"])
             .select("rep", "n_shingles", "tokens", "dfs"))
     reps = cut(reps, "jaccard-reps")
 
@@ -334,13 +334,45 @@ def jaccard_classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     member = components(stars, "jaccard-families")
     families = member.select(F.col("node").alias("rep"), F.col("component").alias("family")).union(
         member.select(F.col("component").alias("rep"), F.col("component").alias("family")).distinct())
+    forests = _block_rows(reps, families, dealt).groupBy("block").applyInArrow(lambda t: tidied(_forest(t, percent)), "a long, b long")
+    return table, classes, forests
+
+
+def _leads(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """The classes' columns with lead: the smallest row (doc_id, print) of the component."""
+    found = components(links, "jaccard-links")
+    named = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    smallest = named.groupBy("component").agg(F.min("least").alias("lead"))
+    return named.join(smallest, "component").select(*SAME, "lead")
 
-    forests = _block_rows(reps, families, buckets).groupBy("block").applyInArrow(lambda t: tidied(_forest(t, percent)), "a long, b long")
-    found = components(forests, "jaccard-links")
 
-    named = classes.join(found, classes.rep == found.node, "left").select(*same, F.coalesce("component", "rep").alias("component_id"))
-    near = table.filter("near").select("doc_id", *same).join(named, same, "left").select("doc_id", "n_shingles", "component_id")
-    return near.union(table.filter("not near").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+def jaccard_classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text).
+
+    Null, empty and wordless texts have no shingles and link with nothing. Rows of one doc_id are one node: what any of their texts reaches,
+    all of them do. A null doc_id links with nothing and has a null component. Other columns are ignored.
+    """
+    table, classes, links = _linked(docs, shingle, percent)
+    near = table.filter("near").select("doc_id", *SAME)
+    # Texts of one doc_id that are of several classes join these.
+    mixed = near.groupBy("doc_id").agg(F.min(F.struct(*SAME)).alias("lo"), F.max(F.struct(*SAME)).alias("hi")).filter("lo <> hi").select("doc_id")
+    own = near.join(mixed, "doc_id", "left_semi").join(classes.select(*SAME, "node"), SAME).select("doc_id", "node")
+    twins = own.join(own.groupBy("doc_id").agg(F.min("node").alias("b")), "doc_id").select(F.col("node").alias("a"), "b").distinct()
+    named = near.join(_leads(classes, links.union(twins)), SAME, "left").select("doc_id", "n_shingles", F.col("lead.doc_id").alias("component_id"))
+    of_id = named.groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
+    rest = table.filter("not near").select("doc_id", "n_shingles").join(of_id, "doc_id", "left")
+    return named.union(rest.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
+
+
+def first_of_classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, print): rows of which no row with a smaller doc_id (then xxhash64 of the text, which is print) is reached by links.
+
+    Here every row stands for itself, also those of one doc_id: a row leaves only because of its own text. Equal rows have one entry.
+    Rows with a null doc_id are left out.
+    """
+    table, classes, links = _linked(docs, shingle, percent)
+    leads = _leads(classes, links).select("lead.doc_id", "lead.print").distinct()
+    return leads.union(table.filter("not near and doc_id is not null").select("doc_id", "print").distinct())
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

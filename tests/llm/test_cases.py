@@ -44,6 +44,39 @@ def test_jaccard(spark, odd, none, monkeypatch, block):
     assert op8_jaccard.jaccard_classes(none).count() == 0
 
 
+def test_jaccard_rows_of_one_id(spark):
+    """Two texts of one id link what each of them links; in the pipeline a row goes only because of its own text."""
+    rng = random.Random(61)
+    a, b, z, y = (prose(rng, 60) for _ in range(4))
+    rows = [(3, a), (5, a), (5, b), (7, b), (9, z), (9, None), (9, y), (11, y), (11, y), (12, None), (13, z + " tail"), (13, a)]
+    df = spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in rows], SCHEMA).repartition(5)
+    got = [(r.doc_id, r.component_id) for r in op8_jaccard.jaccard_classes(df).collect()]
+    # 13 joins the group of 3 with that of 9.
+    assert sorted(got) == sorted((d, {12: 12}.get(d, 3)) for d, _ in rows)
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, df, "").collect()]
+    assert sorted(kept, key=str) == sorted([(3, a), (5, b), (9, z), (9, None), (9, y), (12, None)], key=str)
+
+
+def test_buckets_follow_the_input(spark, tmp_path):
+    """Ten times the input has ten times the buckets, at the same settings."""
+    from fogon.llm import store
+
+    made = {}
+    for n in (1, 10):
+        docs = spark.range(10_000 * n).select(F.col("id").alias("doc_id"), F.sha2(F.col("id").cast("string").cast("binary"), 512).alias("text"))
+        docs.write.parquet(f"{tmp_path}/{n}")
+        made[n] = store.input_bytes(spark.read.parquet(f"{tmp_path}/{n}"), "text")
+    assert 8 <= made[10] / made[1] <= 12
+    many = spark.read.parquet(f"{tmp_path}/10")
+    old, store.BUCKET_BYTES = store.BUCKET_BYTES, made[1] // 50
+    try:
+        assert 400 <= store.buckets(many, "text") <= 600
+        assert store.buckets(docs.limit(1), "text") >= 4 * store.partitions(spark)
+        assert store.input_bytes(spark.createDataFrame([("abc",), (None,)], "text string"), "text") in (3, *range(4, 200))
+    finally:
+        store.BUCKET_BYTES = old
+
+
 def test_prefix_bound():
     """Linked sets share at least min(k_a, k_b) tokens of their prefixes, whatever k each has."""
     rng = random.Random(1)
@@ -267,6 +300,21 @@ def test_lattice(spark, monkeypatch, part):
     assert op2_lattice.link_vectors(vectors(spark, [])).count() == 0
 
 
+def test_lattice_rows_of_one_id(spark):
+    rng = np.random.default_rng(62)
+    a, c = rng.standard_normal((2, 64))
+    near = lambda v, i: (v + rng.standard_normal(64) * 0.01).astype(np.float32).tolist()
+    A, B, C = near(a, 0), near(a, 1), near(a, 2)
+    rows = {r.vec_id: [] for r in ()}
+    for r in op2_lattice.link_vectors(vectors(spark, [(5, A, 0, 0), (5, B, 0, 0), (7, C, 0, 0)])).collect():
+        rows.setdefault(r.vec_id, []).append((r.n_links, r.component_id, r.kept))
+    assert rows == {5: [(2, 5, True)] * 2, 7: [(2, 5, False)]}
+    x, y = near(a, 0), near(c, 0)
+    out = op2_lattice.link_vectors(vectors(spark, [(3, x, 0, 0), (5, x, 0, 0), (5, y, 0, 0), (7, y, 0, 0), (7, None, 0, 0), (9, None, 0, 0), (11, B, 0, 0), (11, B, 0, 0)])).collect()
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in out)
+    assert got == [(3, 3, 3, True), (5, 1, 3, False), (5, 3, 3, False), (7, 0, 3, False), (7, 1, 3, False), (9, 0, 9, True), (11, 3, 3, False), (11, 3, 3, False)]
+
+
 def test_lattice_decoding_is_nearest():
     rng = np.random.default_rng(5)
     x = rng.standard_normal((300, 8)) * 2
