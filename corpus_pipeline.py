@@ -30,11 +30,15 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by similar sets of word shingles, the one of the smallest id; of rows of that id, one."""
-    kept = op8_jaccard.jaccard_classes(docs).filter("component_id = doc_id").select("doc_id").distinct()
-    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
-    named = docs.join(kept, "doc_id", "left_semi").withColumn("_row", F.row_number().over(one)).filter("_row = 1")
-    return named.select(docs.columns).union(docs.filter("doc_id is null"))
+    """Of rows linked by similar sets of word shingles, the one of the smallest id; of rows equal in id and text, one.
+
+    A row goes only because of its own text: other rows of its doc_id decide nothing. Rows without an id stay.
+    """
+    first = op8_jaccard.first_of_classes(docs).withColumnsRenamed({"doc_id": "_doc", "print": "_print"})
+    named = docs.join(first, (F.col("doc_id") == F.col("_doc")) & (F.xxhash64("text") == F.col("_print")))
+    one = Window.partitionBy("_doc", "_print").orderBy("text")
+    kept = named.withColumn("_row", F.row_number().over(one)).filter("_row = 1")
+    return kept.select(docs.columns).union(docs.filter("doc_id is null"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
