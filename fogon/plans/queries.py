@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from fogon import schemas
 from fogon.operators import cubes, dashboard, extract, load, maintenance, operations, report, search
 from fogon.operators import dimensions as dims
-from fogon.operators.graph import copurchase, delivery, influence, nodes
+from fogon.operators.graph import copurchase, delivery, influence, nodes, routing
 from fogon.plans.context import Context, context
 from fogon.sources import export, readers, warehouse
 
@@ -598,7 +598,7 @@ REGISTRO |= {
     "G14": lambda c: delivery.nearest_driver(c.distancias),
     "G15": lambda c: _redondo(c.entrega, "distancia_km"),
     "G16": lambda c: _redondo(delivery.stop_matrix(c.paradas), "distancia_km"),
-    "G17": lambda c: delivery.routes(c.paradas),
+    "G17": lambda c: routing.routes(c.paradas),
     "G18": lambda c: delivery.assign_drivers(
         c.src.pedido.withColumnRenamed("fuente_datos", "source_db"), c.src.en_fuentes("restaurante"), c.src.en_fuentes("repartidor")
     ),

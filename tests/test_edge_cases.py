@@ -9,7 +9,7 @@ from fogon.functions import calendar as cal
 from fogon.functions.geo import distancia_km, provincia
 from fogon.operators import dashboard, dimensions, extract, load, maintenance, search
 from fogon.operators.graph import nodes
-from fogon.operators.graph.delivery import routes
+from fogon.operators.graph.routing import routes
 from fogon.sources.warehouse import Warehouse
 
 

@@ -11,8 +11,8 @@ from fogon.functions.knn import k_nearest
 from fogon.functions.pairs import pairs_within
 from fogon.operators import cubes, dashboard, report
 from fogon.operators.graph.copurchase import copurchase
-from fogon.operators.graph import delivery
-from fogon.operators.graph.delivery import routes, unroutable
+from fogon.operators.graph import routing
+from fogon.operators.graph.routing import routes, unroutable
 from fogon.operators.search import edits
 from fogon.session import size_shuffles
 
@@ -124,8 +124,8 @@ def test_routes_hold_a_pool_at_a_time(spark, monkeypatch):
     perdidas = spark.createDataFrame([("pg", 3, u, "x", None, None, 9.9, -84.0) for u in (101, 100)], df.schema)
 
     with monkeypatch.context() as m:
-        original = delivery._walk_pool
-        m.setattr(delivery, "_walk_pool", lambda pool: original(pool) if len(pool) <= 20 else 1 / 0)
+        original = routing._walk
+        m.setattr(routing, "_walk", lambda pool: original(pool) if pool.num_rows <= 20 else 1 / 0)
         orden = routes(df.unionByName(perdidas), pool=20).orderBy("id_repartidor", "orden").toPandas()
     for conductor, grupo in pdf.groupby("id_repartidor"):
         esperado = _greedy(grupo) + ([100, 101] if conductor == 3 else [])
@@ -133,6 +133,27 @@ def test_routes_hold_a_pool_at_a_time(spark, monkeypatch):
     assert set(orden.groupby("id_repartidor")["total_paradas"].first()) == {60, 12, 7}
 
 
+def test_routes_of_one_very_long_driver(spark):
+    """One driver holds nearly all stops, thousands of them at one spot, some without an id or a place: each is visited once, greedily."""
+    n = 700
+    lat, lng = RNG.normal(9.9, 0.2, n), RNG.normal(-84, 0.2, n)
+    lat[:250], lng[:250] = 9.95, -84.05
+    filas = [("pg", 1, u, "u", float(lat[u]), float(lng[u]), 9.9, -84.0) for u in range(n)]
+    filas += [("pg", 1, None, "u", 9.95, -84.05, 9.9, -84.0)] * 2 + [("pg", 1, u, "u", None, None, 9.9, -84.0) for u in (n + 2, n + 1)]
+    filas += [("pg", None, 5, "u", 9.0, -84.0, 9.9, -84.0), (None, 4, 5, "u", 9.0, -84.0, 9.9, -84.0), ("pg", 2, 7, "u", 9.0, -84.0, 9.9, -84.0)]
+    tipos = "source_db string, id_repartidor long, id_usuario long, nombre string, latitud double, longitud double, latitud_actual double, longitud_actual double"
+    df = spark.createDataFrame(filas, tipos)
+    orden = routes(df, pool=200).orderBy("id_repartidor", "orden").toPandas()
+    uno = orden[orden["id_repartidor"] == 1]
+    assert list(uno["orden"]) == list(range(1, n + 5)) and set(uno["total_paradas"]) == {n + 4}
+    plano = pd.DataFrame(filas[: n + 2], columns=df.columns)
+    plano["id_usuario"] = plano["id_usuario"].fillna(10**9)
+    esperado = [None if u == 10**9 else u for u in _greedy(plano)] + [n + 1, n + 2]
+    assert [None if pd.isna(u) else int(u) for u in uno["id_usuario"]] == esperado
+    assert uno["distancia_acumulada"].dropna().is_monotonic_increasing and uno["distancia_tramo"].isna().sum() == 2
+    assert rows(unroutable(df)) == [("pg", None, 1, "Repartidor sin identificador"), (None, 4, 1, "Repartidor sin identificador")]
+
+
 def test_ranks_and_medians_with_ties(spark):
     n = 4000
     v = np.where(RNG.random(n) < 0.34, 100.0, np.round(RNG.normal(0, 500, n), 2))
