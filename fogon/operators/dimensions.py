@@ -9,6 +9,7 @@ from fogon import schemas
 from fogon.functions import calendar as cal
 from fogon.functions import geo
 from fogon.functions.ordered import join_nullsafe, row_numbers
+from fogon.sources.keys import KeyTable
 
 # Fixed value: category of products whose category is blank when they are loaded.
 CATEGORIA_EN_BLANCO = "Especialidad"
@@ -148,3 +149,9 @@ def only_new(df: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
     """
     cargadas = join_nullsafe(target.select(*keys), df.select(*keys), keys, "left_semi")
     return join_nullsafe(df, cargadas, keys, "left_anti")
+
+
+def only_new_keys(df: DataFrame, loaded: KeyTable, staged: bool) -> DataFrame:
+    """Rows whose key a fact table does not hold, by its key table: a staged batch reads the buckets of its own keys only."""
+    carpetas = loaded.folders(df if staged else None)
+    return only_new(df, loaded.read(df if staged else None), loaded.claves) if carpetas else df

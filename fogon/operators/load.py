@@ -12,7 +12,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fogon import schemas
 from fogon.functions import calendar as cal
 from fogon.operators import dimensions as dims
 from fogon.operators import extract
@@ -78,10 +77,10 @@ def extract_all(rel: dict[str, DataFrame], doc: dict[str, DataFrame]) -> Extract
 def run_etl(extracted: Extracted, almacen: Warehouse, incremental: bool = False) -> dict[str, int]:
     """Load what the warehouse does not have yet; returns rows loaded per table.
 
-    Facts are looked up by their natural key first, so a second run over the same input loads nothing. The
+    Facts are looked up by their natural key first, in the key table, so a second run over the same input loads nothing. The
     new rows are staged once; dimensions and facts are then derived from the staged columns, not from the
-    sources again. ``incremental`` stages the extracted rows as well, before the lookup: the size of a small
-    batch is then known, and the lookup does not shuffle the facts. Rows with a value that its column cannot hold go to
+    sources again. ``incremental`` stages the extracted rows as well, before the lookup: the batch and so the buckets of its
+    keys are then known, and only these are read. Rows with a value that its column cannot hold go to
     the reject table with the reason; the others are loaded. Each run stages in a folder of its own.
     """
     almacen.init()
@@ -93,7 +92,7 @@ def run_etl(extracted: Extracted, almacen: Warehouse, incremental: bool = False)
         ("fact_detalle_pedidos", extracted.detalle),
     ):
         lote = almacen.stage(df, f"lote_{tabla}", corrida) if incremental else df
-        filas = almacen.stage(dims.only_new(lote, almacen.table(tabla), schemas.CLAVES[tabla]), tabla, corrida)
+        filas = almacen.stage(dims.only_new_keys(lote, almacen.keys(tabla), staged=incremental), tabla, corrida)
         motivo = out_of_range(filas, tabla)
         todas, malas = filas.agg(F.count(F.lit(1)), F.count(motivo)).first()
         if malas:
@@ -127,6 +126,6 @@ def run_etl(extracted: Extracted, almacen: Warehouse, incremental: bool = False)
     }
     for tabla, carga in cargas.items():
         if cargadas[tabla]:
-            almacen.append(carga(nuevos[tabla]), tabla)
+            almacen.append(carga(nuevos[tabla]), tabla, cargadas[tabla], nuevos[tabla])
     almacen.drop_staging(corrida)
     return cargadas

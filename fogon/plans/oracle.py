@@ -526,6 +526,7 @@ Q |= {
  nombre_categoria from @categorias""",
     "E16": """select distinct f.id_producto as producto_id, f.nombre, cast(c.categoria_id as int) as categoria_id, f.precio as precio_actual,
  f.id_menu, true as activo, f.fuente_datos from @fd f join @categorias c using (nombre_categoria)""",
+    "E17_incremento": "select id_pedido + 1000000000 as id_pedido, fuente_datos from @pedido where id_pedido % 97 = 0",
     "E17": "select id_pedido, fuente_datos from @pedido where id_pedido % 4 = 0 and fuente_datos = 'postgres'",
     "E18": f"""select id_pedido, tiempo_id, id_usuario, id_restaurante, id_repartidor, estado, tipo, total_pedido::double as total_pedido,
  cast(cantidad_items as int) as cantidad_items, {r('ulat', 8)} as usuario_latitud, {r('ulng', 8)} as usuario_longitud,

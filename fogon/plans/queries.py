@@ -287,6 +287,14 @@ def _(c: Context) -> DataFrame:
     return dims.only_new(c.extraido.pedidos, cargados, schemas.CLAVES["fact_pedidos"]).select("id_pedido", "fuente_datos")
 
 
+@query("E17_incremento")
+def _(c: Context) -> DataFrame:
+    """A staged increment, half of it known: only the buckets of its own keys are read."""
+    conocido = c.extraido.pedidos.filter("id_pedido % 97 = 0").select("id_pedido", "fuente_datos")
+    lote = c.escrita("lote_pedidos", conocido.unionByName(conocido.withColumn("id_pedido", F.col("id_pedido") + 1000000000)))
+    return dims.only_new_keys(lote, c.almacen.keys("fact_pedidos"), staged=True)
+
+
 @query("E18")
 def _(c: Context) -> DataFrame:
     return _sin_sello(load.load_fact_pedidos(c.extraido.pedidos, c.tiempo), "fact_pedidos")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fogon import schemas
+from fogon.sources.keys import KeyTable
 
 # Seeded locations (id, name, lat min, lat max, lng min, lng max, active, description).
 UBICACIONES = [
@@ -58,19 +59,24 @@ class Warehouse:
             escritor.parquet(self.path(name))
         return self
 
-    def append(self, df: DataFrame, table: str) -> None:
-        """Append rows, conformed to the declared columns and types.
+    def append(self, df: DataFrame, table: str, rows: int | None = None, keys: DataFrame | None = None) -> None:
+        """Append rows, conformed to the declared columns and types; ``rows`` is their number and ``keys`` a cheaper source of
+        their keys, where there are such.
 
         Facts are rebalanced by partition first, so that every (anio, mes) folder gets few, evenly sized
-        files; adaptive execution splits a month that is too large for one task.
+        files; adaptive execution splits a month that is too large for one task. Their keys are added to the key table.
         """
         filas = conform(df, table)
         if table in schemas.HECHOS:
-            filas = filas.hint("rebalance", *schemas.PARTICIONES)
-            filas.write.mode("append").partitionBy(*schemas.PARTICIONES).parquet(self.path(table))
+            with self.keys(table).added(filas if keys is None else keys, rows):
+                rebalanceadas = filas.hint("rebalance", *schemas.PARTICIONES)
+                rebalanceadas.write.mode("append").partitionBy(*schemas.PARTICIONES).parquet(self.path(table))
         else:
             filas.hint("rebalance").write.mode("append").parquet(self.path(table))
 
+    def keys(self, table: str) -> "KeyTable":
+        return KeyTable(self, table)
+
     def stage(self, df: DataFrame, name: str, run: str = "manual") -> DataFrame:
         """``df`` written below the warehouse, in a folder of the run: runs side by side do not meet."""
         ruta = self.path(f"_staging/{run}/{name}")
