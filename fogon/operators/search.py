@@ -38,8 +38,13 @@ def postings(index: DataFrame) -> DataFrame:
     )
 
 
-def _max_edits(n: Column) -> Column:
+def allowed_edits(n: int) -> int:
     """Edits allowed by word length: none up to 2 characters, 1 up to 5, else 2."""
+    return 0 if n <= 2 else 1 if n <= 5 else 2
+
+
+def _max_edits(n: Column) -> Column:
+    """``allowed_edits`` of a column."""
     return F.when(n <= 2, 0).when(n <= 5, 1).otherwise(2)
 
 
@@ -63,13 +68,41 @@ def edits(token: Column, palabra: Column) -> Column:
     return F.least(hasta(palabra, 0), con_una, con_dos)
 
 
+def matching(candidates: DataFrame) -> DataFrame:
+    """Of pairs (token, palabra) those within the edits that the length of ``palabra`` allows, with ``errores``."""
+    palabra = F.col("palabra")
+    cercanas = candidates.filter(F.abs(F.length("token") - F.length(palabra)) <= 2).withColumn("errores", edits(F.col("token"), palabra))
+    return cercanas.filter(F.col("errores") <= _max_edits(F.length(palabra)))
+
+
+def weighted(matches: DataFrame, documentos: Column) -> DataFrame:
+    """Matches (with df, the number of products that have the token) with their idf and the weight of their typos."""
+    return matches.withColumn("idf", F.ln((documentos - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1)).withColumn(
+        "peso", F.lit(1.0) - F.col("errores") / F.length("palabra"))
+
+
+def scores(hits: DataFrame) -> DataFrame:
+    """(id_producto, score) from postings joined with weighted matches and the mean field lengths (``largo_medio``)."""
+    tf = F.col("tf").cast("double")
+    bm25 = tf * (K1 + 1) / (tf + (F.col("largo") / F.col("largo_medio") * B + (1 - B)) * K1)
+    campo = F.col("campo")
+    peso_campo = F.lit(1.0)
+    for nombre, peso in PESOS.items():
+        peso_campo = F.when(campo == nombre, peso).otherwise(peso_campo)
+    return (
+        hits.groupBy("id_producto", "campo", "palabra").agg(F.max(F.col("peso") * F.col("idf") * bm25).alias("s"))
+        .groupBy("id_producto", "campo").agg((F.sum("s") * F.first(peso_campo)).alias("s"))
+        .groupBy("id_producto").agg(F.round(F.max("s"), 6).alias("score"))
+    )
+
+
 def search_scores(indice: DataFrame, q: str) -> DataFrame:
     """All matching products with ``score``; ``indice`` is the token table made by ``postings``.
 
     Query words are compared with the vocabulary (distinct words per field), not with the products; only
     the postings of words that matched are joined on. A word found by a typo weighs 1 - edits / length. For
     each query word the best matching word of a field counts, the field score is their weighted BM25 sum,
-    and the best field gives the score of the product.
+    and the best field gives the score of the product. ``search_index`` keeps such a table, vocabulary and totals up to date.
     """
     documentos = indice.agg(F.count_distinct("id_producto").cast("double")).scalar()
     vocabulario = indice.groupBy("campo", "token").agg(F.count(F.lit(1)).cast("double").alias("df"))
@@ -77,28 +110,9 @@ def search_scores(indice: DataFrame, q: str) -> DataFrame:
     largos = indice.groupBy("campo").agg(
         (F.sum("tf").cast("double") / F.count_distinct("id_producto")).alias("largo_medio")
     )
-
-    palabra = F.col("palabra")
-    coincidencias = (
-        vocabulario.select("*", F.explode(F.array_distinct(tokens(F.lit(q)))).alias("palabra"))
-        .withColumn("errores", edits(F.col("token"), palabra))
-        .filter((F.abs(F.length("token") - F.length(palabra)) <= 2) & (F.col("errores") <= _max_edits(F.length(palabra))))
-        .withColumn("idf", F.ln((documentos - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1))
-        .withColumn("peso", F.lit(1.0) - F.col("errores") / F.length(palabra))
-    )
+    coincidencias = weighted(matching(vocabulario.select("*", F.explode(F.array_distinct(tokens(F.lit(q)))).alias("palabra"))), documentos)
     # One row per field: safe to broadcast.
-    hits = indice.join(coincidencias, ["campo", "token"]).join(F.broadcast(largos), "campo")
-    tf = F.col("tf").cast("double")
-    bm25 = tf * (K1 + 1) / (tf + (F.col("largo") / F.col("largo_medio") * B + (1 - B)) * K1)
-    campo = F.col("campo")
-    peso_campo = F.lit(1.0)
-    for nombre, peso in PESOS.items():
-        peso_campo = F.when(campo == nombre, peso).otherwise(peso_campo)
-    return (
-        hits.groupBy("id_producto", "campo", "palabra").agg(F.max(F.col("peso") * F.col("idf") * bm25).alias("s"))
-        .groupBy("id_producto", "campo").agg((F.sum("s") * F.first(peso_campo)).alias("s"))
-        .groupBy("id_producto").agg(F.round(F.max("s"), 6).alias("score"))
-    )
+    return scores(indice.join(coincidencias, ["campo", "token"]).join(F.broadcast(largos), "campo"))
 
 
 def paginate(df: DataFrame, orden: list[Column | str], page: int = 1, size: int = 10) -> DataFrame:

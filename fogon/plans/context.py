@@ -15,6 +15,7 @@ from fogon.functions.sizing import plan_bytes
 from fogon.operators import cubes, search
 from fogon.operators.graph import copurchase, delivery, nodes
 from fogon.operators.load import Extracted, extract_all, run_etl
+from fogon.operators.search_index import SearchIndex
 from fogon.session import shared_dir, size_shuffles, tune
 from fogon.sources.testdata import SourceTables
 from fogon.sources.warehouse import Warehouse
@@ -170,6 +171,10 @@ class Context:
     def tokens(self) -> DataFrame:
         return self.escrita("tokens", search.postings(self.indice))
 
+    @cached_property
+    def buscador(self) -> SearchIndex:
+        return SearchIndex(self.spark, f"{self.carpeta}/buscador").create(self.indice)
+
     def aristas(self) -> dict[str, DataFrame]:
         return {
             "CONTIENE": self.contiene, "COMPRADO_CON": self.comprado_con, "REFIERE": self.refiere,

@@ -333,7 +333,8 @@ Q: dict[str, str] = {
  {div('pedidos_totales', 'dias_activos')} as pedidos_por_dia from @D02""",
     "D04": _tendencia("fecha"),
     "D05": _tendencia("anio || '-' || lpad(mes::varchar, 2, '0')"),
-    "D06": _tendencia("anio || '-Q' || trimestre", "fuente_datos = 'postgres'"),
+    "D06": _tendencia("anio || '-Q' || trimestre"),
+    "D06_postgres": _tendencia("anio || '-Q' || trimestre", "fuente_datos = 'postgres'"),
     "D07": f"""select count(*) as periodos, sum(pedidos) as total_pedidos, {r('sum(ingresos)')} as total_ingresos,
  {r('avg(ticket_promedio)')} as ticket_promedio, sum(items) as total_items, {_mayor('periodo', 'ingresos')} as mejor_periodo,
  {_menor('periodo', 'ingresos')} as peor_periodo from @D05""",
@@ -480,7 +481,9 @@ def _con(nodos: str, aristas: str, clave: str) -> str:
 Q |= {
     # --- sources ---
     "S01": """select 'usuario' as tabla, count(*) as filas from customer union all select 'restaurante', count(*) from supplier
- union all select 'producto', count(*) from part union all select 'pedido', count(*) from orders union all select 'detalle', count(*) from lineitem""",
+ union all select 'producto', count(*) from part union all select 'pedido', count(*) from orders union all select 'detalle', count(*) from lineitem
+ union all select 'reserva', count(*) from events union all select 'repartidor', count(*) from supplier
+ union all select 'menu', count(distinct p_partkey % 40) from part""",
     "S02": """select p.id_pedido, id_usuario, estado, cast(coalesce(lineas, 0) as int) as lineas, coalesce(detalle, '') as detalle
  from @pedido p left join @lineas_texto l on l.id_pedido = p.id_pedido where fuente_datos = 'mongo'""",
     "S03": "select id_usuario, nombre, latitud, longitud, id_referido from @usuario",
@@ -748,6 +751,12 @@ TABLAS["conductores"] = f"""select id_repartidor, nombre as nombre_repartidor, t
 
 _T02 = Q["T02"]
 Q["T02"] = _T02.replace("{palabras}", _palabras("smal", "wigdet", "brand", "2"))
+Q["T02_indice"] = Q["T02"]
+# The same search over the changed products.
+TABLAS["palabras_cambiadas"] = TABLAS["palabras"].replace("@indice", "@T05")
+TABLAS["tf_cambiados"] = TABLAS["tf"].replace("@palabras", "@palabras_cambiadas")
+Q["T05_busqueda"] = _T02.replace("{palabras}", _palabras("smal", "wigdet", "v2", "brand", "2")).replace("@tf", "@tf_cambiados").replace("@indice", "@T05")
+Q["T05_productos"] = "select * from @T05"
 TABLAS["puntos"] = _T02.replace("{palabras}", _palabras("smal", "wigdet"))
 Q["T02_pagina"] = """select i.*, s.score, (select count(*) from @puntos) as total from @indice i join @puntos s using (id_producto)
  order by score desc, id_producto limit 10 offset 10"""

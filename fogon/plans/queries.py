@@ -12,6 +12,7 @@ from fogon import schemas
 from fogon.operators import cubes, dashboard, extract, load, maintenance, operations, report, search
 from fogon.operators import dimensions as dims
 from fogon.operators.graph import copurchase, delivery, influence, nodes, routing
+from fogon.operators.search_index import SearchIndex
 from fogon.plans.context import Context, context
 from fogon.sources import export, readers, warehouse
 
@@ -49,10 +50,15 @@ def _texto_lineas(detalles: str = "detalles") -> Column:
 
 @query("S01")
 def _(c: Context) -> DataFrame:
-    tablas = {"customer": "usuario", "supplier": "restaurante", "part": "producto", "orders": "pedido", "lineitem": "detalle"}
+    """Rows of each of the eight tables; repartidor and menu have no file of their own and are exported first."""
+    archivos = {"usuario": "customer", "restaurante": "supplier", "producto": "part", "pedido": "orders", "detalle": "lineitem", "reserva": "events"}
     total = None
-    for archivo, tabla in tablas.items():
-        df = readers.read_relational(c.spark, f"{archivo}.parquet", {"path": c.src.sf_dir})
+    for tabla in schemas.RELACIONALES:
+        if tabla in archivos:
+            df = readers.read_relational(c.spark, f"{archivos[tabla]}.parquet", {"path": c.src.sf_dir})
+        else:
+            c.escrita(f"relacional/{tabla}", c.relacional[tabla])
+            df = readers.read_relational(c.spark, tabla, {"path": f"{c.carpeta}/relacional"})
         fila = df.agg(F.count(F.lit(1)).alias("filas")).select(F.lit(tabla).alias("tabla"), "filas")
         total = fila if total is None else total.unionAll(fila)
     return total
@@ -511,7 +517,8 @@ REGISTRO |= {
     "D03": lambda c: dashboard.kpis_derivados(_kpis(c)),
     "D04": lambda c: _tendencia(c, "dia"),
     "D05": lambda c: _tendencia(c, "mes"),
-    "D06": lambda c: _tendencia(c, "trimestre", "PostgreSQL"),
+    "D06": lambda c: _tendencia(c, "trimestre"),
+    "D06_postgres": lambda c: _tendencia(c, "trimestre", "PostgreSQL"),
     "D07": lambda c: dashboard.resumen_tendencia(_tendencia(c, "mes")),
     "D08": lambda c: dashboard.estadisticas_tendencia(_tendencia(c, "mes")),
     "D09": lambda c: dashboard.crecimiento_promedio(_tendencia(c, "mes")),
@@ -658,6 +665,12 @@ def _cambios(c: Context) -> DataFrame:
     )
 
 
+def _cambiado(c: Context) -> SearchIndex:
+    """An index that was changed and is not built anew."""
+    buscador = SearchIndex(c.spark, f"{c.carpeta}/buscador-{uuid.uuid4().hex[:8]}").create(c.indice)
+    return buscador.apply(_cambios(c))
+
+
 REGISTRO |= {
     "T01": lambda c: c.indice,
     "T01_tokens": lambda c: c.tokens,
@@ -665,6 +678,9 @@ REGISTRO |= {
     "T02_pagina": lambda c: search.search(c.indice, c.tokens, "smal wigdet", 2, 10),
     "T03": lambda c: search.search_category(c.indice, "Postre", 1, 20),
     "T04": lambda c: search.paginate(c.src.usuario.select("id_usuario", "nombre"), ["nombre", "id_usuario"], 3, 25),
+    "T02_indice": lambda c: c.buscador.search_scores("smal wigdet brand#2"),
+    "T05_busqueda": lambda c: _cambiado(c).search_scores("smal wigdet v2 brand#2"),
+    "T05_productos": lambda c: _cambiado(c).products(),
     "T05": lambda c: search.apply_index_changes(c.indice, _cambios(c)),
     "O01": lambda c: operations.open_orders_by_driver(c.src.pedido, c.src.detalle).select(
         "id_repartidor", "id_pedido", "fecha_hora", "estado", _texto_lineas().alias("detalle")

@@ -68,3 +68,6 @@ CLAVES = {
     "dim_tiempo": ["fecha", "hora", "minuto"],
     "dim_categorias": ["nombre_categoria"],
 }
+
+# Tables of the relational source.
+RELACIONALES = ["usuario", "restaurante", "repartidor", "menu", "producto", "reserva", "pedido", "detalle"]
