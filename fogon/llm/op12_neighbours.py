@@ -207,7 +207,7 @@ def _met(index: DataFrame, probes: DataFrame, k: int) -> DataFrame:
     """The k nearest nodes of every query within the blocks of its lists."""
     held = probes.groupBy("list").agg(F.ceil(F.count("*") / BATCH).cast("long").alias("batches"))
     dealt = probes.join(held, "list").withColumn("batch", F.pmod(F.xxhash64("query", F.lit(3)), F.col("batches")))
-    batches = dealt.select("list", "batch", "query", "worst", "y").groupBy("list", "batch").applyInArrow(_batched, "list long, queries binary, worst binary, ys binary")
+    batches = dealt.select("list", "batch", "query", "worst", "y").repartition("list", "batch").groupBy("list", "batch").applyInArrow(_batched, "list long, queries binary, worst binary, ys binary")
     pairs = index.join(batches, "list").select("ids", "least", "columns", "queries", "worst", "ys")
     found = pairs.mapInArrow(lambda it: tidy(_scanned(it, k)), "query long, node long, least long, distance double")
     return _nearest(found, k)
@@ -267,7 +267,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     about = table.groupBy("list").agg(F.count("*").alias("n"), F.avg("near").alias("near"))
     blocks = table.join(about.select("list", F.ceil(F.col("n") / BLOCK).cast("long").alias("blocks")), "list")
     blocks = blocks.withColumn("block", F.pmod(F.xxhash64("node", F.lit(2)), F.col("blocks"))).select("list", "block", "node", "least", "y")
-    index = cut(blocks.groupBy("list", "block").applyInArrow(_packed, PACKED), "ann-index")
+    # Dealt by both: a join by list alone would leave all blocks of a list with one task.
+    index = cut(blocks.repartition("list", "block").groupBy("list", "block").applyInArrow(_packed, PACKED), "ann-index")
 
     # One row per centroid at most.
     sizes = {d: (np.zeros(len(c)), np.zeros(len(c))) for d, c in centroids.items()}
