@@ -553,6 +553,15 @@ Q |= {
  case when estado <> 'entregado' and id_repartidor is null then 1 else id_repartidor end as id_repartidor, fecha_hora,
  case when id_pedido % 2 = 0 then 'entregado' else estado end as estado,
  case when estado <> 'entregado' and id_pedido % 3 = 0 then 'para recoger' else tipo end as tipo, fuente_datos from @pedido""",
+    "E24_almacen": f"""select p.id_pedido, fuente_datos, case when p.id_pedido % 13 = 5 and p.id_pedido % 2 = 0 then 'entregado' else estado end as estado,
+ case when p.id_pedido % 13 = 5 and p.id_pedido % 3 = 0 then 'para recoger' else tipo end as tipo,
+ case when p.id_pedido % 13 = 5 then coalesce(id_repartidor, 1) else id_repartidor end as id_repartidor, total_pedido::double as total_pedido,
+ provincia_cliente, {_iso('f.ts')} as fecha_creacion, cast(year(f.ts) as int) as anio, cast(month(f.ts) as int) as mes,
+ strftime(f.ts, '%Y-%m-%d') as fecha, cast(hour(f.ts) as int) as hora, cast(minute(f.ts) as int) as minuto,
+ coalesce(n, 0) as lineas, coalesce(n, 0) as acordes
+ from @fp p join (select id_pedido, case when id_pedido % 13 = 5 and id_pedido % 4 = 1 then ts + interval 40 days + interval 17 minutes
+ else ts end as ts from @fp) f on f.id_pedido = p.id_pedido
+ left join (select id_pedido, count(*) as n from @fd group by 1) l on l.id_pedido = p.id_pedido""",
     "E25": """select id_repartidor, nombre, telefono, vehiculo, case when id_repartidor % 2 = 0 then 9.93::double else latitud_actual end as latitud_actual,
  case when id_repartidor % 2 = 0 then -84.08::double else longitud_actual end as longitud_actual,
  case when id_repartidor % 4 <> 1 and id_repartidor % 3 = 0 then 'desconectado' else estado end as estado from @repartidor""",

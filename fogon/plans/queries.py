@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fogon import schemas
-from fogon.operators import cubes, dashboard, extract, load, maintenance, operations, report, search
+from fogon.operators import cubes, dashboard, extract, load, maintenance, operations, refresh, report, search
 from fogon.operators import dimensions as dims
 from fogon.operators.graph import copurchase, delivery, influence, nodes, routing
 from fogon.operators.search_index import SearchIndex
@@ -371,6 +371,40 @@ def _(c: Context) -> DataFrame:
     return maintenance.apply_order_updates(c.src.pedido, cambios)
 
 
+@query("E24_almacen")
+def _(c: Context) -> DataFrame:
+    """Orders changed in a written warehouse: states, types, drivers, and times that move rows to other months."""
+    destino = warehouse.Warehouse(c.spark, f"{c.carpeta}/cambios-{uuid.uuid4().hex[:8]}").init()
+    for tabla, df in (("dim_tiempo", c.tiempo), ("fact_pedidos", c.pedidos), ("fact_detalle_pedidos", c.detalle)):
+        destino.append(df, tabla)
+    k = F.col("id_pedido")
+    cambios = c.src.pedido.filter(k % 13 == 5).select(
+        "id_pedido", "fuente_datos",
+        F.when(k % 2 == 0, "entregado").alias("estado"),
+        F.when(k % 3 == 0, "para recoger").alias("tipo"),
+        F.when(F.col("id_repartidor").isNull(), F.lit(1)).cast("bigint").alias("id_repartidor"),
+        F.when(k % 4 == 1, F.col("fecha_hora") + F.expr("interval 40 days 17 minutes")).alias("fecha_hora"),
+    )
+    refresh.refresh_orders(destino, cambios)
+    iguales = [F.col(f"d.{a}").eqNullSafe(F.col(f"p.{b}")) for a, b in (
+        ("estado_pedido", "estado"), ("tipo_pedido", "tipo"), ("id_repartidor", "id_repartidor"), ("tiempo_id", "tiempo_id"),
+        ("fecha_creacion", "fecha_creacion"), ("anio", "anio"), ("mes", "mes"))]
+    acordes = iguales[0]
+    for i in iguales[1:]:
+        acordes = acordes & i
+    pedidos, lineas = destino.table("fact_pedidos").alias("p"), destino.table("fact_detalle_pedidos").alias("d")
+    por_pedido = pedidos.join(lineas, ["id_pedido", "fuente_datos"]).groupBy("id_pedido", "fuente_datos").agg(
+        F.count(F.lit(1)).alias("lineas"), F.count_if(acordes).alias("acordes")
+    )
+    minutos = destino.table("dim_tiempo").select("tiempo_id", "fecha", "hora", "minuto")
+    return (
+        destino.table("fact_pedidos").join(por_pedido, ["id_pedido", "fuente_datos"], "left").join(minutos, "tiempo_id", "left")
+        .select("id_pedido", "fuente_datos", "estado", "tipo", "id_repartidor", F.col("total_pedido").cast("double").alias("total_pedido"),
+                "provincia_cliente", "fecha_creacion", "anio", "mes", "fecha", "hora", "minuto",
+                F.coalesce("lineas", F.lit(0)).alias("lineas"), F.coalesce("acordes", F.lit(0)).alias("acordes"))
+    )
+
+
 @query("E25")
 def _(c: Context) -> DataFrame:
     k = F.col("id_repartidor")

@@ -1,7 +1,7 @@
 """Keys of the fact tables in hash buckets, so that an increment is looked up without reading the history.
 
-A load writes the keys of its rows to folders ``n=<buckets>/cubeta=<bucket>``, with a number of buckets (a power of two) that follows its
-size. A key's bucket is the low bits of its hash, so the buckets of a batch are known from the batch, whatever ``n`` a folder was written
+A load writes the keys of its rows, and the months that hold them, to folders ``n=<buckets>/cubeta=<bucket>``, with a number of buckets
+(a power of two) that follows its size. A row that moves to another month gets a second entry; the first one stays. A key's bucket is the low bits of its hash, so the buckets of a batch are known from the batch, whatever ``n`` a folder was written
 with, and only those folders are read. While rows are being appended a mark stands beside the keys; a run that finds one, left by a run
 that died between facts and keys, builds the key table anew from the facts.
 """
@@ -34,7 +34,7 @@ class KeyTable:
     def __init__(self, almacen: "Warehouse", table: str):
         self.almacen, self.spark, self.table = almacen, almacen.spark, table
         self.claves = schemas.CLAVES[table]
-        self.path = almacen.path(f"_claves/{table}")
+        self.path = almacen.path(f"_claves_mes/{table}")
 
     def _fs(self, path: str):
         ruta = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -48,6 +48,15 @@ class KeyTable:
         """The key columns with their declared types: equal keys have equal hashes."""
         return df.select(*[F.col(c).try_cast(schemas.TABLAS[self.table][c]).alias(c) for c in self.claves])
 
+    def _placed(self, rows: DataFrame) -> DataFrame:
+        """Keys with their months; rows that have no month columns yet have the event time."""
+        if set(schemas.PARTICIONES) <= set(rows.columns):
+            meses = {c: F.col(c).cast("int") for c in schemas.PARTICIONES}
+        else:
+            meses = {"anio": F.year("fecha_hora"), "mes": F.month("fecha_hora")}
+        claves = [F.col(c).try_cast(schemas.TABLAS[self.table][c]).alias(c) for c in self.claves]
+        return rows.select(*claves, *[m.alias(c) for c, m in meses.items()])
+
     def _bucket(self, n: int) -> Column:
         return F.xxhash64(*self.claves).bitwiseAND(F.lit(n - 1)).cast("int")
 
@@ -61,9 +70,13 @@ class KeyTable:
         self._write(rows, count)
         fs.delete(marca, False)
 
+    def moved(self, rows: DataFrame, count: int) -> None:
+        """Note other months of keys that the table holds."""
+        self._write(rows, count)
+
     def _write(self, rows: DataFrame, count: int | None) -> None:
         n = buckets_for(rows.count() if count is None else count)
-        con_cubeta = self._typed(rows).withColumn("cubeta", self._bucket(n))
+        con_cubeta = self._placed(rows).withColumn("cubeta", self._bucket(n))
         con_cubeta.repartition(min(n, 4096), "cubeta").write.mode("append").partitionBy("cubeta").parquet(f"{self.path}/n={n}")
 
     def ensure(self) -> None:
@@ -102,8 +115,8 @@ class KeyTable:
         return sorted(carpetas)
 
     def read(self, batch: DataFrame | None = None) -> DataFrame:
-        """The keys that the facts hold, those of ``batch`` and others of its buckets; all of them by default."""
-        tipos = {c: schemas.TABLAS[self.table][c] for c in self.claves}
+        """The keys that the facts hold and their months, those of ``batch`` and others of its buckets; all of them by default."""
+        tipos = {c: schemas.TABLAS[self.table][c] for c in (*self.claves, *schemas.PARTICIONES)}
         carpetas = self.folders(batch)
         if not carpetas:
             return self.spark.createDataFrame([], schemas.ddl(tipos))

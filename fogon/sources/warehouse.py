@@ -35,6 +35,10 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(c).cast(tipo).alias(c) for c, tipo in schemas.TABLAS[table].items()])
 
 
+def month_folder(anio: int | None, mes: int | None) -> str:
+    return "/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in zip(schemas.PARTICIONES, (anio, mes)))
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
@@ -68,6 +72,7 @@ class Warehouse:
         """
         filas = conform(df, table)
         if table in schemas.HECHOS:
+            self.recover(table)
             with self.keys(table).added(filas if keys is None else keys, rows):
                 rebalanceadas = filas.hint("rebalance", *schemas.PARTICIONES)
                 rebalanceadas.write.mode("append").partitionBy(*schemas.PARTICIONES).parquet(self.path(table))
@@ -77,6 +82,57 @@ class Warehouse:
     def keys(self, table: str) -> "KeyTable":
         return KeyTable(self, table)
 
+    def _fs(self, path: str):
+        ruta = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return ruta.getFileSystem(self.spark._jsc.hadoopConfiguration()), ruta
+
+    def months(self, table: str, meses: list[tuple[int | None, int | None]]) -> DataFrame:
+        """Rows of a fact in the given (anio, mes); only these folders are listed."""
+        carpetas = [f"{self.path(table)}/{month_folder(*m)}" for m in meses]
+        carpetas = [x for x in carpetas if (lambda fs, ruta: fs.exists(ruta))(*self._fs(x))]
+        esquema = schemas.ddl(schemas.TABLAS[table])
+        if not carpetas:
+            return self.spark.createDataFrame([], esquema)
+        return self.spark.read.schema(esquema).option("basePath", self.path(table)).parquet(*carpetas)
+
+    def replace_months(self, table: str, meses: list[tuple[int | None, int | None]], rows: DataFrame, run: str) -> None:
+        """``rows`` instead of what the given months of a fact hold; other months that ``rows`` reach must be among them.
+
+        The new files are written beside the fact first, then take the places of the old ones month by month. A run that dies
+        before the first step is complete has changed nothing; one that dies later is finished by ``recover``.
+        One writer of a fact at a time.
+        """
+        diario = f"{self.path('_cambios')}/{table}/{run}"
+        filas = conform(rows, table).hint("rebalance", *schemas.PARTICIONES)
+        filas.write.partitionBy(*schemas.PARTICIONES).parquet(f"{diario}/filas")
+        fs, lista = self._fs(f"{diario}/meses")
+        for m in meses:
+            fs.mkdirs(self._fs(f"{diario}/meses/{month_folder(*m)}")[1])
+        fs.create(self._fs(f"{diario}/_completo")[1]).close()
+        self.recover(table)
+
+    def recover(self, table: str) -> None:
+        """Finish replacements of months that were written and not put in place; drop those that were not written to the end."""
+        fs, cambios = self._fs(f"{self.path('_cambios')}/{table}")
+        if not fs.exists(cambios):
+            return
+        for diario in [s.getPath() for s in fs.listStatus(cambios)]:
+            if fs.exists(self._fs(f"{diario}/_completo")[1]):
+                for mes in self._month_folders(f"{diario}/meses"):
+                    nuevo, viejo = self._fs(f"{diario}/filas/{mes}")[1], self._fs(f"{self.path(table)}/{mes}")[1]
+                    fs.delete(viejo, True)
+                    if fs.exists(nuevo):
+                        fs.mkdirs(viejo.getParent())
+                        if not fs.rename(nuevo, viejo):
+                            raise RuntimeError(f"{nuevo} could not take the place of {viejo}")
+                    fs.delete(self._fs(f"{diario}/meses/{mes}")[1], True)
+            fs.delete(diario, True)
+
+    def _month_folders(self, path: str) -> list[str]:
+        fs, ruta = self._fs(path)
+        anios = [s.getPath() for s in fs.listStatus(ruta)] if fs.exists(ruta) else []
+        return [f"{a.getName()}/{m.getPath().getName()}" for a in anios for m in fs.listStatus(a)]
+
     def stage(self, df: DataFrame, name: str, run: str = "manual") -> DataFrame:
         """``df`` written below the warehouse, in a folder of the run: runs side by side do not meet."""
         ruta = self.path(f"_staging/{run}/{name}")
