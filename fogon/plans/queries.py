@@ -96,6 +96,7 @@ def _(c: Context) -> DataFrame:
     k = F.col("s_suppkey")
     nombre = F.when(k % 7 == 3, F.lit("  ")).otherwise(F.col("s_name"))
     elementos = c.src.raw("supplier").select(
+        F.floor(k / 500).alias("bloque"),
         F.when(k % 5 == 4, "way").otherwise("node").alias("type"),
         (F.lit(9.0) + k / 1000.0).alias("lat"), (F.lit(-84.0) - k / 1000.0).alias("lon"),
         F.map_from_arrays(
@@ -103,9 +104,9 @@ def _(c: Context) -> DataFrame:
             F.array(F.when(k % 11 == 5, "bar").otherwise("restaurant"), nombre, F.concat(F.lit("N"), F.col("s_nationkey").cast("string"))),
         ).alias("tags"),
     )
-    ruta = _json(c, "osm", elementos)
-    lineas = c.spark.read.schema("type STRING, lat DOUBLE, lon DOUBLE, tags MAP<STRING, STRING>").json(ruta)
-    return readers.osm_restaurants(lineas)
+    # One export per block of ids, several exports in a file.
+    exportes = elementos.groupBy("bloque").agg(F.collect_list(F.struct("type", "lat", "lon", "tags")).alias("elements")).drop("bloque")
+    return readers.read_osm_restaurants(c.spark, _json(c, "osm", exportes))
 
 
 @query("S05")

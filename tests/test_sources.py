@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from fogon import schemas
 from fogon.operators import dimensions
 from fogon.sources import export, readers
@@ -25,6 +27,36 @@ def test_osm_file(spark, tmp_path):
     assert filas == {"Uno": "A", "Dos": "B", "Tres": "Heredia, Costa Rica", "Cuatro": "San José, Costa Rica"}
 
 
+@pytest.mark.parametrize("indent", [None, 1])
+@pytest.mark.parametrize("split", [41, 700, 10**6])
+def test_map_export_in_splits(spark, tmp_path, indent, split):
+    """Braces, quotes and backslashes in strings, elements without tags, header objects; the splits cut anywhere."""
+    raros = ["Uno", "a}b", "{", "}{\\", 'dice "x}"', "\\\"}", "\n}", "ñandú }", "", "]}", "\\"]
+    elementos = []
+    for i in range(150):
+        e = {"type": "node", "lat": 9 + i / 1000, "lon": -84 - i / 1000}
+        if i % 4:
+            e["tags"] = {"amenity": "restaurant", "name": f"{raros[i % len(raros)]} {i}", raros[i % 7]: raros[i % 5]}
+        if i % 9 == 0:
+            e["members"] = [{"ref": {"x": i}}, {}]
+        elementos.append(e)
+    carpeta = tmp_path / "osm"
+    carpeta.mkdir()
+    for nombre, parte in (("a", elementos[:100]), ("b", elementos[100:]), ("c", [])):
+        exporte = {"version": 0.6, "generator": "Over{pass", "osm3s": {"copyright": "}"}, "elements": parte}
+        veces = 2 if nombre == "b" else 1
+        (carpeta / f"{nombre}.json").write_text((json.dumps(exporte, indent=indent, ensure_ascii=False) + "\n") * veces)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        leidos = readers.map_elements(spark, str(carpeta)).filter("type is not null").collect()
+        tramos = spark.read.option("lineSep", "}").text(str(carpeta)).rdd.getNumPartitions()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert tramos > 1 or split == 10**6
+    dicho = sorted((r.lat, r.lon, r.type, sorted((r.tags or {}).items())) for r in leidos)
+    assert dicho == sorted((e["lat"], e["lon"], e["type"], sorted(e.get("tags", {}).items())) for e in elementos + elementos[100:])
+
+
 def test_payload(spark, tmp_path):
     archivo = tmp_path / "usuarios.json"
     archivo.write_text(json.dumps({"message": "ok", "total": 2, "usuarios": [
