@@ -120,6 +120,21 @@ def stop_matrix(stops: DataFrame, bloque: int = BLOQUE) -> DataFrame:
     )
 
 
+def nearest_stops(stops: DataFrame, k: int = 5) -> DataFrame:
+    """The k nearest other stops of every stop of a driver, ``puesto`` 1 the nearest (of equal distances the smaller id).
+
+    Linear in the stops, where ``stop_matrix`` has a row for each pair. Stops without an id or a place take no part.
+    """
+    chofer = ["source_db", "id_repartidor"]
+    lugares = stops.select(*chofer, F.col("id_usuario").alias("desde"), "latitud", "longitud").dropna(subset=["desde"])
+    destinos = lugares.withColumnRenamed("desde", "hasta")
+    # A stop may be its own neighbour, so one more is asked for.
+    cercanas = k_nearest(lugares, destinos, k + 1, ("latitud", "longitud"), ("latitud", "longitud"), "hasta", chofer)
+    otras = cercanas.filter("hasta <> desde").drop("puesto")
+    puesto = F.row_number().over(Window.partitionBy(*chofer, "desde").orderBy("distancia_km", "hasta"))
+    return otras.select(*chofer, "desde", "hasta", "distancia_km", puesto.alias("puesto")).filter(F.col("puesto") <= k)
+
+
 # --- Reports ------------------------------------------------------------------------------------------
 
 

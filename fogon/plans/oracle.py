@@ -737,6 +737,15 @@ Q |= {
     "O09_reservas": "select * from @reserva",
 }
 
+_CUBOS = ("cubo_pedidos_tiempo", "cubo_reservas_tiempo", "cubo_pedidos_ubicacion", "cubo_actividad_zona", "cubo_matriz_od",
+          "cubo_productos_tiempo", "cubo_productos_ubicacion", "cubo_top_productos_anual", "cubo_frecuencia_uso")
+Q["S06_cubos"] = " union all ".join(f"select '{n}' as tabla, count(*) as filas from @C0{i}" for i, n in enumerate(_CUBOS, 1))
+Q["G16_cercanas"] = f"""select * replace ({r('distancia_km', 4)} as distancia_km) from (
+ select a.source_db, a.id_repartidor, a.id_usuario as desde, b.id_usuario as hasta, {km('a.latitud', 'a.longitud', 'b.latitud', 'b.longitud')} as distancia_km,
+ cast(row_number() over (partition by a.source_db, a.id_repartidor, a.id_usuario
+  order by {km('a.latitud', 'a.longitud', 'b.latitud', 'b.longitud')}, b.id_usuario) as int) as puesto
+ from @paradas a join @paradas b on a.source_db = b.source_db and a.id_repartidor = b.id_repartidor and a.id_usuario <> b.id_usuario)
+ where puesto <= 3"""
 # Greedy routes, one step of every driver per round.
 TABLAS["ruta"] = f"""select distinct source_db, id_repartidor, 0 as orden, latitud_actual as lat, longitud_actual as lng, 0.0::double as total,
  []::bigint[] as vistos, null::bigint as id_usuario, null::varchar as nombre, null::double as tramo from @paradas

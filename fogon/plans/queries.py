@@ -120,18 +120,29 @@ def _(c: Context) -> DataFrame:
     )
 
 
-@query("S06")
-def _(c: Context) -> DataFrame:
-    base = f"w_{c.carpeta.rsplit('-', 1)[-1]}"
-    c.almacen.register(base, {f"{base}_{n}": c.cubo(n) for n in CUBOS})
+def _filas(spark: SparkSession, database: str, tablas: list[str]) -> DataFrame:
     total = None
-    for tabla in [f"{base}.{t}" for t in schemas.TABLAS]:
-        fila = c.spark.table(tabla).agg(F.count(F.lit(1)).alias("filas"))
-        fila = fila.select(F.lit(tabla.split(".")[1]).alias("tabla"), "filas")
+    for tabla in tablas:
+        fila = spark.table(f"{database}.{tabla}").agg(F.count(F.lit(1)).alias("filas")).select(F.lit(tabla).alias("tabla"), "filas")
         total = fila if total is None else total.unionAll(fila)
     return total
 
 
+@query("S06")
+def _(c: Context) -> DataFrame:
+    base = f"w_{c.carpeta.rsplit('-', 1)[-1]}"
+    c.almacen.register(base)
+    return _filas(c.spark, base, list(schemas.TABLAS))
+
+
+@query("S06_cubos")
+def _(c: Context) -> DataFrame:
+    """Rows of the cubes that were published to the catalog, read by name."""
+    base = f"w_{c.carpeta.rsplit('-', 1)[-1]}"
+    c.almacen.register(base, {n: c.cubo(n) for n in CUBOS})
+    return _filas(c.spark, base, CUBOS)
+
+
 @query("S07")
 def _(c: Context) -> DataFrame:
     """Seeded locations with the orders whose client the given province boxes hold."""
@@ -647,6 +658,7 @@ REGISTRO |= {
     "G13": lambda c: influence.top_influencers(c.nodos["Usuario"], c.refiere, "postgres"),
     "G14": lambda c: delivery.nearest_driver(c.distancias),
     "G15": lambda c: _redondo(c.entrega, "distancia_km"),
+    "G16_cercanas": lambda c: _redondo(delivery.nearest_stops(c.paradas, 3), "distancia_km"),
     "G16": lambda c: _redondo(delivery.stop_matrix(c.paradas), "distancia_km"),
     "G17": lambda c: routing.routes(c.paradas),
     "G18": lambda c: delivery.assign_drivers(

@@ -12,18 +12,43 @@ from fogon import schemas
 _PREFIJO = r'^(?:[^"{]++|"(?:[^"\\]++|\\.)*+")*+'
 
 
-def read_relational(spark: SparkSession, table: str, opts: dict[str, str]) -> DataFrame:
+def read_relational(spark: SparkSession, table: str, opts: dict[str, str], key: str | None = None, parts: int = 64) -> DataFrame:
     """A relational table: over JDBC when ``opts`` has a ``url``, else a Parquet export under ``path``.
 
-    For a parallel JDBC read pass ``partitionColumn``, ``lowerBound``, ``upperBound`` and
-    ``numPartitions``; filters and columns are pushed down either way.
+    With ``key``, a whole-number column, a JDBC read takes ``parts`` ranges of it side by side, each a query with its own bounds; the least
+    and the greatest key are asked first. Without it the read is one task, unless ``opts`` bring Spark's own bounds.
+    Filters and columns are pushed down either way.
     """
-    if "url" in opts:
-        return (
-            spark.read.format("jdbc").option("dbtable", table).option("preferTimestampNTZ", "true")
-            .options(**opts).load()
-        )
-    return spark.read.parquet(f"{opts['path'].rstrip('/')}/{table}")
+    if "url" not in opts:
+        return spark.read.parquet(f"{opts['path'].rstrip('/')}/{table}")
+
+    def jdbc(origen: str, **mas: str) -> DataFrame:
+        return spark.read.format("jdbc").option("dbtable", origen).option("preferTimestampNTZ", "true").options(**{**opts, **mas}).load()
+
+    if key is None:
+        return jdbc(table)
+    menor, mayor = jdbc(f"(SELECT MIN({key}) AS menor, MAX({key}) AS mayor FROM {table}) limites").first()
+    propias = {k: v for k, v in opts.items() if k not in ("url", "dbtable")}
+    propias["preferTimestampNTZ"] = "true"
+    return spark.read.jdbc(opts["url"], table, predicates=key_ranges(key, menor, mayor, parts), properties=propias)
+
+
+def key_ranges(key: str, least: int | None, greatest: int | None, parts: int) -> list[str]:
+    """Conditions that split the whole numbers from ``least`` to ``greatest`` into at most ``parts`` ranges of nearly equal width.
+
+    Every row meets exactly one of them: the first takes null keys too, and the outer ones are open, for rows that arrive after the
+    bounds were asked.
+    """
+    if least is None or greatest is None:
+        return ["1 = 1"]
+    least, greatest = int(least), int(greatest)
+    ancho = greatest - least + 1
+    n = max(1, min(parts, ancho))
+    cortes = [least + ancho * i // n for i in range(1, n)]
+    if not cortes:
+        return ["1 = 1"]
+    medio = [f"{key} >= {a} AND {key} < {b}" for a, b in zip(cortes, cortes[1:])]
+    return [f"{key} < {cortes[0]} OR {key} IS NULL", *medio, f"{key} >= {cortes[-1]}"]
 
 
 def read_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:

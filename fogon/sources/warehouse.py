@@ -150,8 +150,8 @@ class Warehouse:
     def rejects(self, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(f"_rechazos/{table}"))
 
-    def register(self, database: str = "warehouse", views: dict[str, DataFrame] | None = None) -> None:
-        """Catalog tables over the folders, plus temporary views for the given cubes."""
+    def register(self, database: str = "warehouse", cubes: dict[str, DataFrame] | None = None) -> None:
+        """Catalog tables over the folders, and over the given cubes, which are written (see ``publish``)."""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{self.path('_database')}'")
         for name, columnas in schemas.TABLAS.items():
             particiones = f"PARTITIONED BY ({', '.join(schemas.PARTICIONES)})" if name in schemas.HECHOS else ""
@@ -161,8 +161,30 @@ class Warehouse:
             )
             if particiones:
                 self.spark.sql(f"ALTER TABLE {database}.{name} RECOVER PARTITIONS")
-        for name, df in (views or {}).items():
-            df.createOrReplaceTempView(name)
+        for name, df in (cubes or {}).items():
+            self.publish(database, name, df)
+
+    def publish(self, database: str, name: str, df: DataFrame) -> None:
+        """``df`` as a catalog table that every session of the catalog reads by name, written to a folder of its own.
+
+        Publishing a name again writes a new version and points the table to it, so readers see the old rows or the new ones. The
+        version before stays for queries that are under way; those before it are deleted.
+        """
+        base = self.path(f"_cubos/{name}")
+        fs, raiz = self._fs(base)
+        versiones = sorted(int(s.getPath().getName()) for s in fs.listStatus(raiz)) if fs.exists(raiz) else []
+        ruta = f"{base}/{versiones[-1] + 1 if versiones else 1:08d}"
+        df.write.parquet(ruta)
+        tabla = f"{database}.{name}"
+        columnas = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+        if self.spark.catalog.tableExists(tabla) and self.spark.table(tabla).schema.simpleString() == df.schema.simpleString():
+            self.spark.sql(f"ALTER TABLE {tabla} SET LOCATION '{ruta}'")
+        else:
+            self.spark.sql(f"DROP TABLE IF EXISTS {tabla}")
+            self.spark.sql(f"CREATE TABLE {tabla} ({columnas}) USING parquet LOCATION '{ruta}'")
+        self.spark.catalog.refreshTable(tabla)
+        for v in versiones[:-1]:
+            fs.delete(self._fs(f"{base}/{v:08d}")[1], True)
 
 
 def out_of_range(df: DataFrame, table: str) -> Column:

@@ -1,5 +1,7 @@
 """The ways taken for large or skewed groups give the same results as plain brute force."""
 
+import random
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -11,7 +13,7 @@ from fogon.functions.knn import k_nearest
 from fogon.functions.pairs import pairs_within
 from fogon.operators import cubes, dashboard, report
 from fogon.operators.graph.copurchase import copurchase
-from fogon.operators.graph import routing
+from fogon.operators.graph import delivery, routing
 from fogon.operators.graph.routing import routes, unroutable
 from fogon.operators.search import edits
 from fogon.session import size_shuffles
@@ -83,6 +85,22 @@ def test_nearest_with_few_targets_and_other_groups(spark):
     assert sorted((r.id, r.did) for r in df.collect()) == [(1, 7), (2, 8)]
 
 
+def test_nearest_stops_of_a_driver(spark):
+    """Spots shared by many stops, drivers with one stop, stops without a place; all pairs as the measure."""
+    azar = random.Random(8)
+    filas = [("postgres", 1, i, 9.9 + azar.randrange(6) / 50, -84 + azar.randrange(6) / 50) for i in range(90)]
+    filas += [("mongo", 1, 3, 9.9, -84.0), ("postgres", 2, 5, 9.9, -84.0), ("postgres", 2, 6, 9.8, -84.0), ("postgres", 1, 900, None, -84.0)]
+    paradas = spark.createDataFrame(filas, "source_db string, id_repartidor long, id_usuario long, latitud double, longitud double")
+    todas = delivery.stop_matrix(paradas).filter("distancia_km is not null")
+    por = {}
+    for r in todas.collect():
+        por.setdefault((r.source_db, r.id_repartidor, r.desde), []).append((r.distancia_km, r.hasta))
+    esperado = sorted((*k, i + 1, round(d, 9)) for k, v in por.items() for i, (d, _) in enumerate(sorted(v)[:4]))
+    cercanas = delivery.nearest_stops(paradas, 4).collect()
+    assert sorted((r.source_db, r.id_repartidor, r.desde, r.puesto, round(r.distancia_km, 9)) for r in cercanas) == esperado
+    assert all(r.desde != r.hasta for r in cercanas)
+
+
 def _greedy(paradas: pd.DataFrame):
     lat, lng = paradas["latitud_actual"].iloc[0], paradas["longitud_actual"].iloc[0]
     quedan, orden = list(paradas.sort_values("id_usuario").itertuples()), []

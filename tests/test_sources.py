@@ -68,6 +68,31 @@ def test_relational_parquet(spark, sf_dir):
     assert readers.read_relational(spark, "nation.parquet", {"path": sf_dir}).count() == 25
 
 
+def test_cubes_by_name_in_another_session(spark, tmp_path):
+    almacen = Warehouse(spark, f"{tmp_path}/w").init()
+    for n in (3, 5, 7):
+        almacen.register("cubos_prueba", {"cubo": spark.range(n).toDF("mes")})
+        assert spark.newSession().table("cubos_prueba.cubo").count() == n
+    assert sorted(p.name for p in (tmp_path / "w" / "_cubos" / "cubo").iterdir()) == ["00000002", "00000003"]
+    almacen.register("cubos_prueba", {"cubo": spark.range(4).selectExpr("id as mes", "'x' as b")})
+    assert spark.newSession().table("cubos_prueba.cubo").columns == ["mes", "b"]
+    assert spark.newSession().sql("select count(*) from cubos_prueba.dim_ubicacion").first()[0] == 8
+
+
+@pytest.mark.parametrize("bounds", [(1, 100, 8), (-7, 12, 64), (5, 5, 4), (None, None, 4), (0, 10**12, 3)])
+def test_key_ranges_take_every_row_once(spark, bounds):
+    menor, mayor, partes = bounds
+    condiciones = readers.key_ranges("k", *bounds)
+    assert 1 <= len(condiciones) <= partes
+    valores = [None, *range(-20, 120), 10**12 // 3, 10**12, 10**12 + 5]
+    filas = spark.createDataFrame([(v,) for v in valores], "k long")
+    veces = filas.selectExpr(*[f"case when {c} then 1 else 0 end as c{i}" for i, c in enumerate(condiciones)])
+    assert {sum(r) for r in veces.collect()} == {1}
+    if menor == 1:
+        dentro = filas.filter("k between 1 and 100")
+        assert {12, 13} == {dentro.filter(c).count() for c in condiciones}
+
+
 def test_csv_sections(spark, tmp_path):
     rutas = export.export_csv({"a": spark.range(3).toDF("x"), "b": spark.range(2).toDF("y")}, str(tmp_path))
     assert spark.read.option("header", "true").csv(rutas["a"]).columns == ["x"]
