@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fogon.llm.store import prepare
+from fogon.llm.store import cut, prepare
 from fogon.llm.words import BYTES, LOWER_SYMBOLS, Words, mix, slices, tidy, words_of
 
 SAMPLE = 10_000
@@ -158,6 +158,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, vocabulary: in
     labelled = labelled.groupBy(F.xxhash64("text").alias("t"), F.length("text").alias("l")).agg(
         F.min("doc_id").alias("doc_id"), F.min_by("text", "doc_id").alias("text"), F.avg("toxic").alias("toxic")).select(
         "doc_id", "text", F.when(F.col("toxic") >= 0.5, 1.0).otherwise(0.0).alias("toxic"))
+    # Written once, so that the passes below read the sample and not the corpus.
+    labelled = cut(labelled, "toxicity-sample")
     rows = labelled.mapInArrow(lambda it: tidy(_explode(it)), "doc_id long, toxic double, feature long, n long")
     total = labelled.groupBy("toxic").count().collect()
     size = {r["toxic"]: r["count"] for r in total}

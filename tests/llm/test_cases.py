@@ -1,6 +1,8 @@
 """Nulls, empty tables, long texts, ties, repeated rows and clashing names for every operator and pipeline stage."""
 
+import math
 import random
+import re
 import string
 import time
 
@@ -238,6 +240,87 @@ def test_rules_find_a_planted_conjunction():
     assert (said == low).mean() > 0.99
 
 
+def test_verdicts_against_plain_python(spark, odd):
+    """Rules of random conditions: the first one that holds, worked out row by row."""
+    rng = random.Random(17)
+    rows = op3_rules.statistics(odd).collect()
+
+    def ratios(r):
+        of = {"n_words": r.n_words, "mean_word": r.word_chars / max(r.n_words, 1), "symbols": r.n_symbols / max(r.n_words, 1)}
+        of |= {"dup_lines": r.n_dup_lines / max(r.n_lines, 1), "repeats": r.n_repeat_words / max(r.n_words, 1), "distinct": r.n_distinct / max(r.n_words, 1)}
+        of |= {"upper": r.n_upper / max(r.n_upper + r.n_lower, 1), "digits": r.n_digits / max(r.word_chars, 1), "line_words": r.n_words / max(r.n_lines, 1)}
+        return of | {"exclaim": r.n_exclaim / max(r.n_words, 1), "commas": r.n_commas / max(r.n_words, 1)}
+
+    plain = [ratios(r) for r in rows]
+    assert set(plain[0]) == set(op3_rules.features())
+    for _ in range(3):
+        rules = []
+        for _ in range(6):
+            names = rng.sample(sorted(plain[0]), rng.randrange(1, 4))
+            rules.append([op3_rules.Condition(n, rng.random() < 0.5, float(rng.choice(plain)[n])) for n in names])
+
+        def first(of):
+            for i, rule in enumerate(rules, 1):
+                if all(of[c.feature] >= c.threshold if c.at_least else of[c.feature] <= c.threshold for c in rule):
+                    return i
+            return None
+
+        judged = op3_rules.statistics(odd).select("*", op3_rules.verdict(rules).alias("rule")).collect()
+        said = sorted((tuple(r)[:-1], r.rule or 0) for r in judged if r.doc_id is not None)
+        assert said == sorted((tuple(r), first(of) or 0) for r, of in zip(rows, plain) if r.doc_id is not None)
+        assert len({x for _, x in said}) > 1
+
+
+def test_scores_against_plain_python(spark, odd):
+    """A given model: counts, weights, sigmoids and grades worked out text by text."""
+    words = {(0, b"alpha"): 1.5, (0, b"one"): -0.7, (0, "東京".encode()): 0.9, (1, b"delt"): 0.4, (2, b"gamma"): -1.1, (3, b"spark1"): 2.0, (0, b"word"): 0.01}
+
+    def number(kind, w):
+        data = np.frombuffer(w, dtype=np.uint8)
+        return op5_toxicity.mix(op5_toxicity.BYTES.ranges(op5_toxicity.LOWER_SYMBOLS[data], np.array([0]), np.array([len(w)])), kind)[0]
+
+    numbers = {k: number(*k) for k in words}
+    order = sorted(words, key=numbers.get)
+    theta = [0.5, 2.0, 3.25]
+    model = op5_toxicity.Model(np.array([numbers[k] for k in order], dtype=np.uint64), np.array([words[k] for k in order]), np.array(theta), 0.3)
+
+    def plain(text):
+        n = dict.fromkeys(words, 0)
+        for w in re.findall(rb"[0-9A-Za-z\x80-\xff]+", (text or "").encode()):
+            w = w.lower()
+            for k in [(0, w), *((i, w[:size]) for i, size in enumerate((4, 5, 6), 1) if len(w) > size)]:
+                if k in n:
+                    n[k] += 1
+        linear = sum(words[k] * math.log1p(v) for k, v in n.items())
+        above = [1.0, *(1 / (1 + math.exp(t - linear)) for t in theta), 0.0]
+        p = [a - b for a, b in zip(above, above[1:])]
+        return sum(i * x for i, x in enumerate(p)), 1 - p[0], p.index(max(p)), 1 - p[0] >= 0.3
+
+    scored = op5_toxicity.score(odd, model).collect()
+    assert len(scored) == len(ODD)
+    for r in scored:
+        severity, p_toxic, grade, toxic = plain(r.text)
+        assert math.isclose(r.expected_severity, severity, abs_tol=1e-9) and math.isclose(r.p_toxic, p_toxic, abs_tol=1e-9)
+        assert (r.grade, r.toxic) == (grade, toxic)
+    assert len({r.grade for r in scored}) > 1 and {r.toxic for r in scored} == {True, False}
+
+
+def test_the_sample_is_read_once_from_the_corpus(spark, odd, tmp_path):
+    """The fit's passes over labelled documents read what was written, so a corpus of any size is scanned once."""
+    odd.write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(4, 120)], "doc_id long, toxic int")
+    op5_toxicity.fit(docs.mapInArrow(count, docs.schema), labels)
+    assert seen.value == len(ODD)
+
+
 def test_toxicity(spark, odd, none):
     labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(4, 120)] + [(None, 1), (4, None)], "doc_id long, toxic int")
     for labelled in (labels, labels.limit(0)):
