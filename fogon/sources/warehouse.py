@@ -86,10 +86,14 @@ class Warehouse:
         ruta = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return ruta.getFileSystem(self.spark._jsc.hadoopConfiguration()), ruta
 
+    def _exists(self, path: str) -> bool:
+        fs, ruta = self._fs(path)
+        return fs.exists(ruta)
+
     def months(self, table: str, meses: list[tuple[int | None, int | None]]) -> DataFrame:
         """Rows of a fact in the given (anio, mes); only these folders are listed."""
         carpetas = [f"{self.path(table)}/{month_folder(*m)}" for m in meses]
-        carpetas = [x for x in carpetas if (lambda fs, ruta: fs.exists(ruta))(*self._fs(x))]
+        carpetas = [x for x in carpetas if self._exists(x)]
         esquema = schemas.ddl(schemas.TABLAS[table])
         if not carpetas:
             return self.spark.createDataFrame([], esquema)
@@ -105,7 +109,7 @@ class Warehouse:
         diario = f"{self.path('_cambios')}/{table}/{run}"
         filas = conform(rows, table).hint("rebalance", *schemas.PARTICIONES)
         filas.write.partitionBy(*schemas.PARTICIONES).parquet(f"{diario}/filas")
-        fs, lista = self._fs(f"{diario}/meses")
+        fs, _ = self._fs(diario)
         for m in meses:
             fs.mkdirs(self._fs(f"{diario}/meses/{month_folder(*m)}")[1])
         fs.create(self._fs(f"{diario}/_completo")[1]).close()
@@ -117,7 +121,7 @@ class Warehouse:
         if not fs.exists(cambios):
             return
         for diario in [s.getPath() for s in fs.listStatus(cambios)]:
-            if fs.exists(self._fs(f"{diario}/_completo")[1]):
+            if self._exists(f"{diario}/_completo"):
                 for mes in self._month_folders(f"{diario}/meses"):
                     nuevo, viejo = self._fs(f"{diario}/filas/{mes}")[1], self._fs(f"{self.path(table)}/{mes}")[1]
                     fs.delete(viejo, True)
