@@ -1,17 +1,17 @@
 """Exact k nearest targets for every point, without comparing all pairs.
 
-Points on the sphere become 3-D unit vectors; straight-line distance orders them as distance over ground
-does, and a cubic grid needs no care at poles or at the date line. Grids of several sizes are used, each
-four times finer than the one before:
-
-1. targets are counted per cell and the counts spread to the 27 surrounding cells;
-2. a point takes the finest grid whose surroundings hold at least k targets. The k-th nearest is then at
-   most 2·√3 ≈ 3.46 cell sides away;
-3. so the surroundings in the next coarser grid (cell side 4) hold every possible answer. Only those
-   targets are compared.
-
-All joins are equi-joins on a cell. Points and targets at one location are handled once: of the targets
-at one spot only the k with the smallest ids can be an answer.
+Points on the sphere become 3-D unit vectors, and a cubic cell needs no care at poles or at the date line. The cells form a tree:
+every level is four times finer than the one before, and the tree keeps the cells that hold at least k targets.
+
+1. targets are counted per cell, a row per level that partial sums merge before the shuffle;
+2. a point takes the finest cell around it with at least k targets and compares itself with these. The k-th nearest of them
+   bounds the distance to every answer;
+3. cells at least as wide as that ball meet it in two places per axis at most, so these eight cells (most of them without
+   targets) hold every possible answer, and only their targets are compared.
+
+All joins are equi-joins on a cell. A target has a row for each level that points of its group use. Points and targets at one location
+are handled once: of the targets at one spot only the k with the smallest ids can be an answer. A point far from all targets has
+a wide ball and meets many of them.
 """
 
 from __future__ import annotations
@@ -19,29 +19,49 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fogon.functions.geo import distancia_km
+from fogon.functions.geo import RADIO_TIERRA_KM, distancia_km
 
 NIVELES = 12  # sides 4, 1, 1/4 … of the Earth radius; the finest is about 1.5 m
+HOLGURA = 1e-7  # of the Earth radius: more than what an arc cosine near 1 is wrong by
+EJES = ("x", "y", "z")
 
 
-def _cells(df: DataFrame) -> DataFrame:
-    """One row per grid level with the cell (cx, cy, cz) of the row's coordinates."""
+def _axes() -> dict[str, Column]:
+    """Coordinates of ``_lat``, ``_lng`` from 0 to 2, so that one cell of the first level holds the sphere."""
     lat, lng = F.radians("_lat"), F.radians("_lng")
-    ejes = {"cx": F.cos(lat) * F.cos(lng), "cy": F.cos(lat) * F.sin(lng), "cz": F.sin(lat)}
-    celda = F.transform(
-        F.sequence(F.lit(0), F.lit(NIVELES)),
-        lambda i: F.struct(i.alias("nivel"), *[F.floor(e * F.pow(F.lit(4.0), i - 1)).alias(n) for n, e in ejes.items()]),
-    )
-    return df.select("*", F.inline(celda))
+    return {"x": F.cos(lat) * F.cos(lng) + 1, "y": F.cos(lat) * F.sin(lng) + 1, "z": F.sin(lat) + 1}
 
 
-def _around(df: DataFrame) -> DataFrame:
-    """Each row once per cell of the 3×3×3 block around its cell."""
-    pasos = F.array(*[
-        F.struct(*[(F.col(c) + d).alias(c) for c, d in zip(("cx", "cy", "cz"), (dx, dy, dz))])
-        for dx in (-1, 0, 1) for dy in (-1, 0, 1) for dz in (-1, 0, 1)
-    ])
-    return df.select("*", F.explode(pasos).alias("_c")).drop("cx", "cy", "cz").select("*", "_c.*").drop("_c")
+def _cell(value: Column, level: Column) -> Column:
+    """Number of the cell of a level along one axis."""
+    return F.floor(value * F.pow(F.lit(4.0), level - 1)).cast("long")
+
+
+def _at_levels(df: DataFrame, levels: Column) -> DataFrame:
+    """One row per level of the array ``levels``, with the cell (nivel, cx, cy, cz) of the row's coordinates."""
+    celdas = F.transform(levels, lambda i: F.struct(i.alias("nivel"), *[_cell(F.col(e), i).alias(f"c{e}") for e in EJES]))
+    return df.select("*", F.inline(celdas))
+
+
+def _all_levels() -> Column:
+    return F.sequence(F.lit(0), F.lit(NIVELES))
+
+
+def tree(targets: DataFrame, group: list[str], k: int) -> DataFrame:
+    """(group…, nivel, cx, cy, cz) of the cells with at least k targets, and of those of the first level."""
+    celda = [*group, "nivel", "cx", "cy", "cz"]
+    cuentas = _at_levels(targets.select(*group, *EJES), _all_levels()).groupBy(*celda).agg(F.count(F.lit(1)).alias("n"))
+    return cuentas.filter((F.col("n") >= k) | (F.col("nivel") == 0)).drop("n")
+
+
+def search_cells(sites: DataFrame) -> DataFrame:
+    """``sites`` (with axes, ``nivel`` and the radius ``_r`` of their ball) once per cell that the ball can meet."""
+    nivel = F.greatest(F.lit(0), F.least(F.col("nivel"), F.floor(1 - F.log(4.0, F.col("_r") * 2)).cast("int")))
+    df = sites.withColumn("nivel", nivel)
+    for e in EJES:
+        orillas = [_cell(F.col(e) + s * F.col("_r"), F.col("nivel")) for s in (-1, 1)]
+        df = df.withColumn(f"c{e}", F.explode(F.sequence(*orillas)))
+    return df
 
 
 def _limit_per(df: DataFrame, group: list[str], k: int, *order: Column | str) -> DataFrame:
@@ -70,21 +90,23 @@ def k_nearest(
         df = df.withColumns({"_lat": F.col(at[0]).cast("double"), "_lng": F.col(at[1]).cast("double")})
         return df.filter(F.col("_lat").isNotNull() & F.col("_lng").isNotNull())
 
-    destinos = _limit_per(located(targets, target_at).select(target_id, *sitio), sitio, k, target_id).drop("puesto")
-    destinos = _cells(destinos)
+    destinos = _limit_per(located(targets, target_at).select(target_id, *sitio), sitio, k, target_id).drop("puesto").withColumns(_axes())
     origenes = located(points, point_at)
-    sitios = origenes.select(*sitio).distinct()
-
-    por_celda = destinos.groupBy(*celda).agg(F.count(F.lit(1)).alias("n"))
-    alrededor = _around(por_celda).groupBy(*celda).agg(F.sum("n").alias("n"))
-    bastan = alrededor.filter((F.col("n") >= k) | (F.col("nivel") == 0)).drop("n")
-    nivel = (
-        _cells(sitios).join(bastan, celda).groupBy(*sitio)
-        .agg(F.greatest(F.max("nivel") - 1, F.lit(0)).alias("nivel"))
-    )
-    buscan = _around(_cells(sitios).join(nivel, [*sitio, "nivel"]))
-    candidatos = buscan.join(
-        destinos.withColumnsRenamed({"_lat": "_dlat", "_lng": "_dlng"}), celda
-    ).withColumn("distancia_km", distancia_km(F.col("_lat"), F.col("_lng"), F.col("_dlat"), F.col("_dlng")))
-    cercanos = _limit_per(candidatos, sitio, k, "distancia_km", target_id)
+    sitios = origenes.select(*sitio).distinct().withColumns(_axes())
+
+    hondos = _at_levels(sitios, _all_levels()).join(tree(destinos, group, k), celda, "left_semi").groupBy(*sitio, *EJES).agg(F.max("nivel").alias("nivel"))
+    # A ball is looked up at the level of its point or the one before.
+    usados = hondos.groupBy(*group).agg(F.collect_set("nivel").alias("_n"))
+    usados = usados.withColumn("_n", F.array_union("_n", F.transform("_n", lambda n: F.greatest(n - 1, F.lit(0)))))
+    en_celdas = _at_levels(destinos.join(usados, group), F.col("_n")).select(
+        *celda, target_id, F.col("_lat").alias("_dlat"), F.col("_lng").alias("_dlng"))
+
+    def nearest(cells: DataFrame) -> DataFrame:
+        km = distancia_km(F.col("_lat"), F.col("_lng"), F.col("_dlat"), F.col("_dlng"))
+        return _limit_per(cells.join(en_celdas, celda).withColumn("distancia_km", km), sitio, k, "distancia_km", target_id)
+
+    propias = hondos.withColumns({f"c{e}": _cell(F.col(e), F.col("nivel")) for e in EJES})
+    radio = F.sin(F.max("distancia_km") / (2 * RADIO_TIERRA_KM)) * 2 + HOLGURA
+    bolas = nearest(propias).groupBy(*sitio, *EJES, "nivel").agg(radio.alias("_r"))
+    cercanos = nearest(search_cells(bolas))
     return origenes.join(cercanos.select(*sitio, target_id, "distancia_km", "puesto"), sitio).drop("_lat", "_lng")

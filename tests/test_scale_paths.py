@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from fogon.functions import ordered, sizing
+from fogon.functions import knn, ordered, sizing
 from fogon.functions.knn import k_nearest
 from fogon.functions.pairs import pairs_within
 from fogon.operators import cubes, dashboard, report
@@ -78,6 +78,19 @@ def test_nearest_matches_brute_force(spark, k):
     assert max(abs(por_puesto[(i, p)] - d) for i, p, d in hallado) < 0.002
 
 
+def test_nearest_rows_are_bounded(spark):
+    """Rows per target and per point do not depend on how many there are, nor on how crowded a place is."""
+    lat = np.concatenate([RNG.uniform(8, 11, 3000), RNG.normal(9.93, 0.0005, 3000)])
+    lng = np.concatenate([RNG.uniform(-86, -83, 3000), RNG.normal(-84.08, 0.0005, 3000)])
+    sitios = spark.createDataFrame(pd.DataFrame({"g": "x", "_lat": lat, "_lng": lng})).withColumns(knn._axes())
+    llenas = knn.tree(sitios, ["g"], 5)
+    assert llenas.count() <= 13 * 6000 // 5 + 8
+    assert llenas.groupBy("nivel").count().filter("nivel = 0").first()["count"] == 1
+    en_bolas = knn.search_cells(sitios.withColumns({"nivel": F.lit(8), "_r": F.pow(F.lit(10.0), -1 - F.rand(5) * 7)}))
+    por_sitio = en_bolas.groupBy("_lat", "_lng").agg(F.count(F.lit(1)).alias("n"), F.max("nivel").alias("m")).agg(F.max("n"), F.min("n")).first()
+    assert 1 <= por_sitio[1] and por_sitio[0] <= 8
+
+
 def test_nearest_with_few_targets_and_other_groups(spark):
     puntos = spark.createDataFrame([(1, 9.9, -84.0, "x"), (2, 9.9, -84.0, "y"), (3, None, 1.0, "x"), (4, 1.0, 1.0, "z")], "id int, lat double, lng double, g string")
     destinos = spark.createDataFrame([(7, -40.0, 100.0, "x"), (8, 9.9, -84.0, "y"), (9, 9.9, None, "y")], "did int, dlat double, dlng double, g string")
