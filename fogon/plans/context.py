@@ -10,11 +10,13 @@ import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fogon.functions.sizing import plan_bytes
 from fogon.operators import cubes, search
 from fogon.operators.graph import copurchase, delivery, nodes
 from fogon.operators.load import Extracted, extract_all, run_etl
+from fogon.operators.pages import Listing
 from fogon.operators.search_index import SearchIndex
 from fogon.session import shared_dir, size_shuffles, tune
 from fogon.sources.testdata import SourceTables
@@ -129,15 +131,15 @@ class Context:
 
     @cached_property
     def proviene(self) -> DataFrame:
-        return nodes.edges_proviene(self._pedido_grafo(), self.nodos["Pedido"], self.nodos["Restaurante"])
+        return self.escrita("proviene", nodes.edges_proviene(self._pedido_grafo(), self.nodos["Pedido"], self.nodos["Restaurante"]))
 
     @cached_property
     def pertenece(self) -> DataFrame:
-        return nodes.edges_pertenece(self._pedido_grafo(), self.nodos["Pedido"], self.nodos["Usuario"])
+        return self.escrita("pertenece", nodes.edges_pertenece(self._pedido_grafo(), self.nodos["Pedido"], self.nodos["Usuario"]))
 
     @cached_property
     def asignado(self) -> DataFrame:
-        return nodes.edges_asignado(self._pedido_grafo(), self.nodos["Pedido"], self.nodos["Repartidor"])
+        return self.escrita("asignado", nodes.edges_asignado(self._pedido_grafo(), self.nodos["Pedido"], self.nodos["Repartidor"]))
 
     @cached_property
     def refiere(self) -> DataFrame:
@@ -175,6 +177,22 @@ class Context:
     def buscador(self) -> SearchIndex:
         return SearchIndex(self.spark, f"{self.carpeta}/buscador").create(self.indice)
 
+    def _listado(self, nombre: str, orden: list, grupo: str | None = None) -> Listing:
+        return Listing(self.spark, f"{self.carpeta}/listado-{nombre}", orden, grupo)
+
+    @cached_property
+    def usuarios_listados(self) -> Listing:
+        return self._listado("usuarios", ["nombre", "id_usuario"]).write(self.src.usuario.select("id_usuario", "nombre"))
+
+    @cached_property
+    def productos_listados(self) -> Listing:
+        return self._listado("productos", ["id_producto"], "categoria").write(self.indice)
+
+    @cached_property
+    def hallados_listados(self) -> Listing:
+        """The products found by one search, best first: later pages of it don't search again."""
+        return self._listado("hallados", [F.desc("score"), "id_producto"]).write(self.buscador.search_scores("smal wigdet"))
+
     def aristas(self) -> dict[str, DataFrame]:
         return {
             "CONTIENE": self.contiene, "COMPRADO_CON": self.comprado_con, "REFIERE": self.refiere,

@@ -719,6 +719,9 @@ Q |= {
     "T03": """select *, (select count(*) from @indice where categoria = 'Postre') as total from @indice where categoria = 'Postre'
  order by id_producto limit 20""",
     "T04": """select id_usuario, nombre, (select count(*) from customer) as total from @usuario order by nombre, id_usuario limit 25 offset 50""",
+    "T04_ultima": """select id_usuario, nombre, (select count(*) from customer) as total from @usuario order by nombre, id_usuario limit 25 offset 125""",
+    "T04_categoria": """select *, (select count(*) from @indice where categoria = 'Postre') as total from @indice where categoria = 'Postre'
+ order by id_producto limit 5 offset 5""",
     "T05": """select id_producto, nombre, categoria, descripcion, precio, id_menu from @indice where id_producto % 4 <> 0
  and (id_producto % 6 <> 1 or id_producto % 12 = 1)
  union all select case when id_producto % 12 = 1 then id_producto + 50000000 else id_producto end, nombre || ' v2', categoria,
@@ -778,6 +781,7 @@ Q["T05_productos"] = "select * from @T05"
 TABLAS["puntos"] = _T02.replace("{palabras}", _palabras("smal", "wigdet"))
 Q["T02_pagina"] = """select i.*, s.score, (select count(*) from @puntos) as total from @indice i join @puntos s using (id_producto)
  order by score desc, id_producto limit 10 offset 10"""
+Q["T02_listado"] = Q["T02_pagina"]
 
 # DuckDB sums integers into 128 bits; these results are 64-bit columns.
 _SUMA_ENTERA = re.compile(

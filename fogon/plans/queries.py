@@ -724,7 +724,10 @@ REGISTRO |= {
     "T02": lambda c: search.search_scores(c.tokens, "smal wigdet brand#2"),
     "T02_pagina": lambda c: search.search(c.indice, c.tokens, "smal wigdet", 2, 10),
     "T03": lambda c: search.search_category(c.indice, "Postre", 1, 20),
-    "T04": lambda c: search.paginate(c.src.usuario.select("id_usuario", "nombre"), ["nombre", "id_usuario"], 3, 25),
+    "T04": lambda c: c.usuarios_listados.page(3, 25),
+    "T04_ultima": lambda c: c.usuarios_listados.page(6, 25),
+    "T04_categoria": lambda c: c.productos_listados.page(2, 5, "Postre"),
+    "T02_listado": lambda c: c.indice.join(c.hallados_listados.page(2, 10), "id_producto"),
     "T02_indice": lambda c: c.buscador.search_scores("smal wigdet brand#2"),
     "T05_busqueda": lambda c: _cambiado(c).search_scores("smal wigdet v2 brand#2"),
     "T05_productos": lambda c: _cambiado(c).products(),
