@@ -44,10 +44,20 @@ def missing_tiempo(events: DataFrame, dim: DataFrame) -> DataFrame:
 
 
 def assign_tiempo(events: DataFrame, dim: DataFrame) -> DataFrame:
-    """Add ``tiempo_id``. An id lies inside its minute, so the minute number is the join key."""
-    ids = dim.select(F.floor(F.col("tiempo_id") / 60).alias("_minuto"), "tiempo_id")
-    con_minuto = events.withColumn("_minuto", cal.epoch_minutes(F.col("fecha_hora")))
-    return con_minuto.join(ids, "_minuto", "left").drop("_minuto")
+    """Add ``tiempo_id``. An id lies inside its minute, and the dimension has one id a minute.
+
+    The ids of an hour are gathered into one array of 60 seconds, so what is broadcast grows with the hours of the calendar that
+    hold events (8,766 rows a year at most), not with the events, and ``events`` are not shuffled.
+    """
+    id_, minuto = F.col("tiempo_id"), cal.epoch_minutes(F.col("fecha_hora"))
+    dentro = F.struct(F.pmod(F.floor(id_ / 60), F.lit(60)).cast("int").alias("m"), F.pmod(id_, F.lit(60)).cast("byte").alias("s"))
+    horas = dim.filter(id_.isNotNull()).groupBy(F.floor(id_ / 3600).alias("_hora")).agg(F.collect_list(dentro).alias("_ids")).select(
+        "_hora",
+        F.transform(F.sequence(F.lit(0), F.lit(59)), lambda m: F.array_min(F.filter("_ids", lambda x: x.m == m)).s).alias("_segundos"),
+    )
+    con_hora = events.withColumns({"_minuto": minuto, "_hora": F.floor(minuto / 60)}).join(F.broadcast(horas), "_hora", "left")
+    segundo = F.get("_segundos", (F.col("_minuto") - F.col("_hora") * 60).cast("int"))
+    return con_hora.withColumn("tiempo_id", F.col("_minuto") * 60 + segundo).drop("_hora", "_minuto", "_segundos")
 
 
 def resolve_tiempo(events: DataFrame, dim: DataFrame) -> DataFrame:
@@ -152,6 +162,13 @@ def only_new(df: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def only_new_keys(df: DataFrame, loaded: KeyTable, staged: bool) -> DataFrame:
-    """Rows whose key a fact table does not hold, by its key table: a staged batch reads the buckets of its own keys only."""
+    """Rows whose key a fact table does not hold, by its key table: a staged batch reads the buckets of its own keys only.
+
+    Rows that are not staged are compared with all keys at once: to reduce the keys to theirs first would extract them twice.
+    """
     carpetas = loaded.folders(df if staged else None)
-    return only_new(df, loaded.read(df if staged else None), loaded.claves) if carpetas else df
+    if not carpetas:
+        return df
+    if staged:
+        return only_new(df, loaded.read(df), loaded.claves)
+    return join_nullsafe(df, loaded.read().select(*loaded.claves), loaded.claves, "left_anti")

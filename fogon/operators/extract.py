@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fogon import schemas
+from fogon.functions import geo
 from fogon.functions.calendar import to_event_ts
 
 COORDENADAS = ["usuario_latitud", "usuario_longitud", "restaurante_latitud", "restaurante_longitud"]
@@ -17,6 +18,7 @@ PEDIDO = [
     "id_pedido", "id_usuario", "id_restaurante", "id_repartidor", "fecha_hora", "estado", "tipo",
     "total_pedido", "cantidad_items", *COORDENADAS,
 ]
+ZONAS = {"zona_cliente": "usuario", "zona_restaurante": "restaurante"}
 RESERVA = ["id_reserva", "id_usuario", "id_restaurante", "fecha_hora", "estado"]
 DETALLE = [
     "id_pedido", "id_producto", "cantidad", "subtotal", "precio_unitario", "nombre_producto",
@@ -37,6 +39,16 @@ def _one_per_key(df: DataFrame, clave: str) -> DataFrame:
     return df.groupBy(clave).agg(F.min(F.struct(*resto)).alias("_doc")).select(clave, "_doc.*")
 
 
+def with_zones(df: DataFrame, prefijos: list[str]) -> DataFrame:
+    """Add the numbers of the provinces (``geo.zona``) that hold the coordinates of the given prefixes."""
+    return df.withColumns({z: geo.zona(F.col(f"{p}_latitud"), F.col(f"{p}_longitud")) for z, p in ZONAS.items() if p in prefijos})
+
+
+def _zones() -> list[Column]:
+    """Numbers of the provinces of rows joined with places; rows that found no place are nowhere."""
+    return [F.coalesce(z, F.lit(len(geo.ZONAS)).cast("byte")).alias(z) for z in ZONAS]
+
+
 def _newest(df: DataFrame, limit: int | None, *desempate: str) -> DataFrame:
     return df if limit is None else df.orderBy(F.desc("fecha_hora"), *desempate).limit(limit)
 
@@ -88,6 +100,10 @@ def extract_reservas_doc(reservas: DataFrame) -> DataFrame:
     return require_timestamp(normalize_extract(reservas.select(*RESERVA), "document"))
 
 
+def _line_columns(zonas: bool) -> list[Column | str]:
+    return [*[c for c in DETALLE if c not in COORDENADAS], *_zones()] if zonas else [*DETALLE]
+
+
 def extract_detalle_rel(
     detalle: DataFrame,
     pedido: DataFrame,
@@ -96,8 +112,9 @@ def extract_detalle_rel(
     restaurante: DataFrame,
     usuario: DataFrame,
     limit: int | None = None,
+    zonas: bool = False,
 ) -> DataFrame:
-    """Order lines with product, order and coordinates; the unit price is the catalog price."""
+    """Order lines with product, order and coordinates, or with ``zonas`` in their place; the unit price is the catalog price."""
     catalogo = producto.join(menu.select("id_menu"), "id_menu").select(
         "id_producto",
         F.col("precio").alias("precio_unitario"),
@@ -107,8 +124,8 @@ def extract_detalle_rel(
         "id_menu",
     )
     contexto = (
-        pedido.join(_coords(restaurante, "id_restaurante", "restaurante"), "id_restaurante")
-        .join(_coords(usuario, "id_usuario", "usuario"), "id_usuario", "left")
+        pedido.join(with_zones(_coords(restaurante, "id_restaurante", "restaurante"), ["restaurante"]), "id_restaurante")
+        .join(with_zones(_coords(usuario, "id_usuario", "usuario"), ["usuario"]), "id_usuario", "left")
         .withColumnsRenamed({"estado": "estado_pedido", "tipo": "tipo_pedido"})
     )
     filas = (
@@ -116,12 +133,12 @@ def extract_detalle_rel(
         .join(contexto, "id_pedido")
         .join(catalogo, "id_producto")
     )
-    filas = _newest(filas.select(*DETALLE), limit, "id_pedido", "id_producto")
+    filas = _newest(filas.select(*_line_columns(zonas)), limit, "id_pedido", "id_producto")
     return require_timestamp(normalize_extract(filas, "relational"))
 
 
 def extract_detalle_doc(
-    pedidos: DataFrame, productos: DataFrame, usuarios: DataFrame, restaurantes: DataFrame
+    pedidos: DataFrame, productos: DataFrame, usuarios: DataFrame, restaurantes: DataFrame, zonas: bool = False
 ) -> DataFrame:
     """Unwound order lines; the unit price is subtotal / cantidad, 0 where cantidad is not positive."""
     catalogo = productos.select(
@@ -132,8 +149,8 @@ def extract_detalle_doc(
         "id_menu",
     )
     contexto = (
-        pedidos.join(_one_per_key(_coords(usuarios, "id_usuario", "usuario"), "id_usuario"), "id_usuario", "left")
-        .join(_one_per_key(_coords(restaurantes, "id_restaurante", "restaurante"), "id_restaurante"),
+        pedidos.join(with_zones(_one_per_key(_coords(usuarios, "id_usuario", "usuario"), "id_usuario"), ["usuario"]), "id_usuario", "left")
+        .join(with_zones(_one_per_key(_coords(restaurantes, "id_restaurante", "restaurante"), "id_restaurante"), ["restaurante"]),
               "id_restaurante", "left")
         .withColumnsRenamed({"estado": "estado_pedido", "tipo": "tipo_pedido"})
     )
@@ -144,7 +161,7 @@ def extract_detalle_doc(
             "precio_unitario", F.when(F.col("cantidad") > 0, F.col("subtotal") / F.col("cantidad")).otherwise(0.0)
         )
     )
-    return require_timestamp(normalize_extract(filas.select(*DETALLE), "document"))
+    return require_timestamp(normalize_extract(filas.select(*_line_columns(zonas)), "document"))
 
 
 # Defaults for missing texts of the relational source.

@@ -12,12 +12,22 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fogon import schemas
 from fogon.functions import calendar as cal
+from fogon.functions import geo
 from fogon.operators import dimensions as dims
 from fogon.operators import extract
 from fogon.sources.warehouse import Warehouse, out_of_range
 
 
+# Rows alike lie side by side in the staged files: these, and the shuffle of their rows by month, compress better.
+PARECIDAS = {
+    "fact_pedidos": ["estado", "tipo", "fuente_datos", "fecha_hora"],
+    "fact_reservas": ["estado", "fuente_datos", "fecha_hora"],
+    "fact_detalle_pedidos": ["estado_pedido", "tipo_pedido", "fuente_datos", *extract.ZONAS, "fecha_hora"],
+}
+
+
 def _stamp(df: DataFrame) -> DataFrame:
     """Creation and load time texts, and the partition columns taken from the event time."""
     ts = F.col("fecha_hora")
@@ -29,9 +39,13 @@ def _stamp(df: DataFrame) -> DataFrame:
     })
 
 
+def _zonas(df: DataFrame) -> DataFrame:
+    """Numbers of the provinces, where the rows do not have them yet."""
+    return df if set(extract.ZONAS) <= set(df.columns) else extract.with_zones(df, list(extract.ZONAS.values()))
+
+
 def _provincias(df: DataFrame) -> DataFrame:
-    df = dims.with_provincia(df, "usuario_latitud", "usuario_longitud", "provincia_cliente")
-    return dims.with_provincia(df, "restaurante_latitud", "restaurante_longitud", "provincia_restaurante")
+    return _zonas(df).withColumns({z.replace("zona", "provincia"): geo.nombre_zona(F.col(z)) for z in extract.ZONAS})
 
 
 def load_fact_pedidos(df: DataFrame, dim_tiempo: DataFrame) -> DataFrame:
@@ -43,13 +57,21 @@ def load_fact_reservas(df: DataFrame, dim_tiempo: DataFrame) -> DataFrame:
 
 
 def load_fact_detalle(df: DataFrame, dim_tiempo: DataFrame, dim_categorias: DataFrame) -> DataFrame:
-    con_tiempo = dims.assign_tiempo(df, dim_tiempo)
-    return _stamp(_provincias(dims.assign_categoria(con_tiempo, dim_categorias)))
+    return _stamp(dims.assign_tiempo(_provincias(dims.assign_categoria(df, dim_categorias)), dim_tiempo))
+
+
+def _by_month(df: DataFrame, tabla: str) -> DataFrame:
+    """Rows gathered by month before what follows from them is added: only the columns of the fact that they have, in its types, and the event time."""
+    columnas = {c: tipo for c, tipo in schemas.TABLAS[tabla].items() if c in df.columns and c not in schemas.PARTICIONES}
+    return df.select(
+        *[F.col(c).cast(tipo).alias(c) for c, tipo in columnas.items()],
+        *[z for z in extract.ZONAS if z in df.columns], "fecha_hora", F.year("fecha_hora").alias("anio"), F.month("fecha_hora").alias("mes"),
+    ).hint("rebalance", *schemas.PARTICIONES)
 
 
 @dataclass
 class Extracted:
-    """Extracted rows of one run, both sources together."""
+    """Extracted rows of one run, both sources together. Order lines have zones, which is all that the load takes of coordinates."""
 
     pedidos: DataFrame
     reservas: DataFrame
@@ -67,9 +89,9 @@ def extract_all(rel: dict[str, DataFrame], doc: dict[str, DataFrame]) -> Extract
     )
     detalle = extract.union_sources(
         postgres=extract.extract_detalle_rel(
-            rel["detalle"], rel["pedido"], rel["producto"], rel["menu"], rel["restaurante"], rel["usuario"]
+            rel["detalle"], rel["pedido"], rel["producto"], rel["menu"], rel["restaurante"], rel["usuario"], zonas=True
         ),
-        mongo=extract.extract_detalle_doc(doc["pedido"], doc["producto"], doc["usuario"], doc["restaurante"]),
+        mongo=extract.extract_detalle_doc(doc["pedido"], doc["producto"], doc["usuario"], doc["restaurante"], zonas=True),
     )
     return Extracted(pedidos, reservas, detalle)
 
@@ -92,7 +114,8 @@ def run_etl(extracted: Extracted, almacen: Warehouse, incremental: bool = False)
         ("fact_detalle_pedidos", extracted.detalle),
     ):
         lote = almacen.stage(df, f"lote_{tabla}", corrida) if incremental else df
-        filas = almacen.stage(dims.only_new_keys(lote, almacen.keys(tabla), staged=incremental), tabla, corrida)
+        faltan = dims.only_new_keys(lote, almacen.keys(tabla), staged=incremental)
+        filas = almacen.stage(faltan.sortWithinPartitions(*PARECIDAS[tabla]), tabla, corrida)
         motivo = out_of_range(filas, tabla)
         todas, malas = filas.agg(F.count(F.lit(1)), F.count(motivo)).first()
         if malas:
@@ -119,13 +142,15 @@ def run_etl(extracted: Extracted, almacen: Warehouse, incremental: bool = False)
         "dim_productos",
         dims.missing_productos(dims.assign_categoria(lineas, categorias), almacen.table("dim_productos")),
     )
-    cargas = {
-        "fact_pedidos": lambda df: load_fact_pedidos(df, tiempo),
-        "fact_reservas": lambda df: load_fact_reservas(df, tiempo),
-        "fact_detalle_pedidos": lambda df: load_fact_detalle(df, tiempo, categorias),
+    propias = {
+        "fact_pedidos": _zonas,
+        "fact_reservas": lambda df: df,
+        "fact_detalle_pedidos": lambda df: dims.assign_categoria(df, categorias),
     }
-    for tabla, carga in cargas.items():
+    for tabla, propia in propias.items():
         if cargadas[tabla]:
-            almacen.append(carga(nuevos[tabla]), tabla, cargadas[tabla], nuevos[tabla])
+            filas = _stamp(dims.assign_tiempo(_by_month(propia(nuevos[tabla]), tabla), tiempo))
+            filas = _provincias(filas) if tabla != "fact_reservas" else filas
+            almacen.append(filas, tabla, cargadas[tabla], nuevos[tabla], by_month=True)
     almacen.drop_staging(corrida)
     return cargadas

@@ -22,6 +22,7 @@ if TYPE_CHECKING:
     from fogon.sources.warehouse import Warehouse
 
 CLAVES_POR_CUBETA = 100_000
+COMPRESION = "zstd"  # of the warehouse's files
 MAX_CUBETAS = 1 << 16
 
 
@@ -77,7 +78,8 @@ class KeyTable:
     def _write(self, rows: DataFrame, count: int | None) -> None:
         n = buckets_for(rows.count() if count is None else count)
         con_cubeta = self._placed(rows).withColumn("cubeta", self._bucket(n))
-        con_cubeta.repartition(min(n, 4096), "cubeta").write.mode("append").partitionBy("cubeta").parquet(f"{self.path}/n={n}")
+        en_cubetas = con_cubeta.repartition(min(n, 4096), "cubeta").sortWithinPartitions("cubeta", *self.claves)
+        en_cubetas.write.mode("append").partitionBy("cubeta").parquet(f"{self.path}/n={n}", compression=COMPRESION)
 
     def ensure(self) -> None:
         """Build the key table from the facts where it is missing, or where a load did not come to its end."""
