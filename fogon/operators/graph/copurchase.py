@@ -16,17 +16,17 @@ def copurchase(contiene: DataFrame, pedidos: DataFrame, bloque: int = BLOQUE) ->
     support = orders with both / all orders of the source; confidence = orders with both / orders with the
     first product.
     """
-    cestas = contiene.select("source_db", "id_pedido", "id_producto")
+    lineas = contiene.select("source_db", "id_pedido", "id_producto")
+    ventas = lineas.groupBy("source_db", "id_producto").agg(F.count(F.lit(1)).alias("total"))
+    # Totals go into the baskets: there are fewer lines than pairs, and the pairs need no joins then.
+    cestas = lineas.join(ventas, ["source_db", "id_producto"])
     pares_por_pedido = pairs_within(cestas, ["source_db", "id_pedido"], "id_producto", bloque)
-    juntos = pares_por_pedido.groupBy("source_db", "id_producto1", "id_producto2").agg(
-        F.count(F.lit(1)).alias("frecuencia")
-    )
-    ventas = cestas.groupBy("source_db", "id_producto").agg(F.count(F.lit(1)).alias("total"))
     # One row per source: safe to broadcast.
     totales = F.broadcast(pedidos.groupBy("source_db").agg(F.count(F.lit(1)).alias("total_pedidos")))
-    v1, v2 = (ventas.withColumnsRenamed({"id_producto": f"id_producto{i}", "total": f"total{i}"}) for i in (1, 2))
     pares = (
-        juntos.join(v1, ["source_db", "id_producto1"]).join(v2, ["source_db", "id_producto2"]).join(totales, "source_db")
+        pares_por_pedido.groupBy("source_db", "id_producto1", "id_producto2")
+        .agg(F.count(F.lit(1)).alias("frecuencia"), *[F.max(f"total{i}").alias(f"total{i}") for i in (1, 2)])
+        .join(totales, "source_db")
     )
     frecuencia = F.col("frecuencia")
     direcciones = [

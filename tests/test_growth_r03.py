@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fogon.operators import dimensions as dims
 from fogon.operators import load
+from fogon.operators.graph import copurchase
 from fogon.sources.warehouse import Warehouse
 
 
@@ -55,3 +56,12 @@ def test_rows_are_gathered_by_month_in_their_narrowest_form(spark):
     movidas = load._by_month(filas, "fact_detalle_pedidos")
     assert movidas.columns == ["id_pedido", "id_producto", "subtotal", "fecha_hora", "anio", "mes"]
     assert dict(movidas.dtypes)["subtotal"] == "decimal(10,2)" and "rebalance" in _plan(movidas).lower()
+
+
+def test_pairs_are_not_joined_with_totals(spark, sin_difusion):
+    contiene = spark.createDataFrame([("postgres", p, x) for p in range(4) for x in range(p + 1)], "source_db STRING, id_pedido LONG, id_producto LONG")
+    pedidos = contiene.select("source_db", "id_pedido").distinct()
+    aristas = copurchase.copurchase(contiene, pedidos)
+    filas = {(r.id_producto1, r.id_producto2): (r.frecuencia, r.support, r.confidence) for r in aristas.collect()}
+    assert len(filas) == 12 and filas[0, 1] == (3, 0.75, 0.75) and filas[1, 0] == (3, 0.75, 1.0) and filas[3, 0] == (1, 0.25, 1.0)
+    assert _plan(aristas).split("Generate", 1)[1].split("HashAggregate", 1)[0].count("SortMergeJoin") == 0
