@@ -19,9 +19,14 @@ from fogon.operators.load import Extracted, extract_all, run_etl
 from fogon.operators.pages import Listing
 from fogon.operators.search_index import SearchIndex
 from fogon.session import shared_dir, size_shuffles, tune
+from fogon.sources.keys import COMPRESION
 from fogon.sources.testdata import SourceTables
 from fogon.sources.warehouse import Warehouse
 
+# Rows of narrow tables take a few bytes each in a file, and hundreds in a task that groups them: small files and splits bound its memory.
+FILAS_POR_ARCHIVO = 1_000_000
+BYTES_POR_LECTURA = "16m"
+
 _CONTEXTS: dict[tuple[str, str], "Context"] = {}
 
 
@@ -30,6 +35,7 @@ def context(spark: SparkSession, sf_dir: str) -> "Context":
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _CONTEXTS:
         _CONTEXTS[key] = Context(spark, sf_dir)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", BYTES_POR_LECTURA)
     return _CONTEXTS[key]
 
 
@@ -45,7 +51,7 @@ class Context:
     def escrita(self, nombre: str, df: DataFrame) -> DataFrame:
         """``df`` as a written table: later plans start from its files."""
         ruta = f"{self.carpeta}/{nombre}"
-        df.write.mode("overwrite").parquet(ruta)
+        df.write.mode("overwrite").option("maxRecordsPerFile", FILAS_POR_ARCHIVO).parquet(ruta, compression=COMPRESION)
         return self.spark.read.schema(df.schema).parquet(ruta)
 
     def drop(self) -> None:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from fogon.operators import dimensions as dims
 from fogon.operators import load
 from fogon.operators.graph import copurchase
+from fogon.plans import context as ctx
+from fogon.plans.context import Context
 from fogon.sources.warehouse import Warehouse
 
 
@@ -65,3 +67,11 @@ def test_pairs_are_not_joined_with_totals(spark, sin_difusion):
     filas = {(r.id_producto1, r.id_producto2): (r.frecuencia, r.support, r.confidence) for r in aristas.collect()}
     assert len(filas) == 12 and filas[0, 1] == (3, 0.75, 0.75) and filas[1, 0] == (3, 0.75, 1.0) and filas[3, 0] == (1, 0.25, 1.0)
     assert _plan(aristas).split("Generate", 1)[1].split("HashAggregate", 1)[0].count("SortMergeJoin") == 0
+
+
+def test_written_tables_are_cut_into_files_of_bounded_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ctx, "FILAS_POR_ARCHIVO", 100)
+    c = Context.__new__(Context)
+    c.spark, c.carpeta = spark, str(tmp_path)
+    c.escrita("pares", spark.range(0, 250, 1, 1))
+    assert len(list((tmp_path / "pares").glob("*.parquet"))) == 3
