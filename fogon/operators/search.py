@@ -28,9 +28,12 @@ def tokens(texto: Column) -> Column:
 
 
 def postings(index: DataFrame) -> DataFrame:
-    """(id_producto, campo, token, tf, largo): term counts and field lengths of every product."""
+    """(id_producto, campo, token, tf, largo): term counts and field lengths of every product.
+
+    The products are spread before their words are taken, so a file of many products is not counted in the task that reads it.
+    """
     campos = F.array(*[F.struct(F.lit(c).alias("campo"), tokens(F.col(c)).alias("palabras")) for c in PESOS])
-    por_campo = index.select("id_producto", F.inline(campos)).withColumn("largo", F.size("palabras"))
+    por_campo = index.repartition("id_producto").select("id_producto", F.inline(campos)).withColumn("largo", F.size("palabras"))
     return (
         por_campo.select("id_producto", "campo", "largo", F.explode("palabras").alias("token"))
         .groupBy("id_producto", "campo", "token")

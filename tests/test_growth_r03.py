@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from fogon.operators import dimensions as dims
-from fogon.operators import load
+from fogon.operators import load, search
 from fogon.operators.graph import copurchase
 from fogon.plans import context as ctx
 from fogon.plans.context import Context
@@ -69,6 +70,13 @@ def test_pairs_are_not_joined_with_totals(spark, sin_difusion):
     assert _plan(aristas).split("Generate", 1)[1].split("HashAggregate", 1)[0].count("SortMergeJoin") == 0
 
 
+def test_products_are_spread_before_their_words_are_counted(spark):
+    indice = spark.createDataFrame([(1, "Sopa sopa", "Entrada", "x", 1.0, 1)], "id_producto LONG, nombre STRING, categoria STRING, descripcion STRING, precio DOUBLE, id_menu LONG")
+    tokens = search.postings(indice)
+    assert {(r.campo, r.token, r.tf, r.largo) for r in tokens.collect()} == {("nombre", "sopa", 2, 2), ("categoria", "entrada", 1, 1), ("descripcion", "x", 1, 1)}
+    assert re.search(r"hashpartitioning\(id_producto#\d+L, \d+\)", _plan(tokens)) and not re.search(r"hashpartitioning\([^)]*campo", _plan(tokens))
+
+
 def test_written_tables_are_cut_into_files_of_bounded_rows(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(ctx, "FILAS_POR_ARCHIVO", 100)
     c = Context.__new__(Context)
