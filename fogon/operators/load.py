@@ -71,7 +71,7 @@ def _by_month(df: DataFrame, tabla: str) -> DataFrame:
 
 @dataclass
 class Extracted:
-    """Extracted rows of one run, both sources together. Order lines have zones, which is all that the load takes of coordinates."""
+    """Extracted rows of one run, both sources together. Order lines have zones or coordinates."""
 
     pedidos: DataFrame
     reservas: DataFrame
@@ -115,7 +115,7 @@ def run_etl(extracted: Extracted, almacen: Warehouse, incremental: bool = False)
     ):
         lote = almacen.stage(df, f"lote_{tabla}", corrida) if incremental else df
         faltan = dims.only_new_keys(lote, almacen.keys(tabla), staged=incremental)
-        filas = almacen.stage(faltan.sortWithinPartitions(*PARECIDAS[tabla]), tabla, corrida)
+        filas = almacen.stage(faltan.sortWithinPartitions(*[x for x in PARECIDAS[tabla] if x in faltan.columns]), tabla, corrida)
         motivo = out_of_range(filas, tabla)
         todas, malas = filas.agg(F.count(F.lit(1)), F.count(motivo)).first()
         if malas:
@@ -145,7 +145,7 @@ def run_etl(extracted: Extracted, almacen: Warehouse, incremental: bool = False)
     propias = {
         "fact_pedidos": _zonas,
         "fact_reservas": lambda df: df,
-        "fact_detalle_pedidos": lambda df: dims.assign_categoria(df, categorias),
+        "fact_detalle_pedidos": lambda df: _zonas(dims.assign_categoria(df, categorias)),
     }
     for tabla, propia in propias.items():
         if cargadas[tabla]:
