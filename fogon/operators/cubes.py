@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fogon.functions.geo import SIN_UBICACION
@@ -201,26 +201,42 @@ def cubo_top_productos_anual(
     )
 
 
-def cubo_frecuencia_uso(fact_detalle: DataFrame, dim_productos: DataFrame, dim_categorias: DataFrame) -> DataFrame:
-    """Purchases per user and product. Users rarely repeat a product, so summing lines ahead of the product join
-    would shuffle them once more for little."""
-    llaves = ["id_usuario", "id_producto", "nombre", "nombre_categoria"]
-    sumas = {"n": F.lit(1), "unidades": F.col("cantidad"), "monto": F.col("subtotal"),
-             "n_montos": uno_si(F.col("subtotal").isNotNull())}
-    creada = F.col("fecha_creacion")
-    previo = fact_detalle.select(
-        "id_usuario", *CLAVE_PRODUCTO, *[c.alias(n) for n, c in sumas.items()], creada.alias("desde"), creada.alias("hasta")
+# Lines of a user that one task may group and rank; users with more are ranked by buckets.
+LINEAS_POR_USUARIO = 1_000_000
+
+
+def cubo_frecuencia_uso(
+    fact_detalle: DataFrame, dim_productos: DataFrame, dim_categorias: DataFrame, limite: int = LINEAS_POR_USUARIO
+) -> DataFrame:
+    """Purchases per user and product.
+
+    Users rarely repeat a product, so lines are neither summed ahead of the product join nor ahead of the shuffle by user, which takes
+    the plain lines with the names of product and category. One shuffle serves the sums and the ranks of a user. A user with more than ``limite``
+    lines would be too much for one task: the sums of such users are shuffled by user and product, and ranked by buckets.
+    """
+    productos = dim_productos.select(F.col("producto_id").alias("id_producto"), "fuente_datos", "nombre")
+    lineas = fact_detalle.select("id_usuario", *CLAVE_PRODUCTO, "cantidad", "subtotal", "fecha_creacion")
+    grandes = F.broadcast(
+        fact_detalle.groupBy(F.col("id_usuario").alias("_usuario")).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limite).select("_usuario")
     )
-    uso = (
-        con_producto(previo, dim_productos, dim_categorias)
-        .groupBy(*llaves)
-        .agg(
-            F.sum("n").alias("veces_comprado"), F.sum("unidades").alias("unidades_totales"),
-            F.sum("monto").alias("monto"), F.sum("n_montos").alias("n_montos"),
-            F.min("desde").alias("primera_compra"), F.max("hasta").alias("ultima_compra"),
+    de_grandes = F.col("id_usuario").eqNullSafe(F.col("_usuario"))
+    llaves = ["id_usuario", "id_producto", "nombre", "nombre_categoria"]
+
+    def uso(filas: DataFrame) -> DataFrame:
+        return filas.groupBy(*llaves).agg(
+            F.count(F.lit(1)).alias("veces_comprado"), F.sum("cantidad").alias("unidades_totales"),
+            F.sum("subtotal").alias("monto"), F.count("subtotal").alias("n_montos"),
+            F.min("fecha_creacion").alias("primera_compra"), F.max("fecha_creacion").alias("ultima_compra"),
         )
-    )
-    return rank_desc(uso, ["id_usuario"], "veces_comprado", "ranking_preferencia_usuario").select(
+
+    def con_nombres(filas: DataFrame) -> DataFrame:
+        return filas.join(productos, ["id_producto", "fuente_datos"]).join(dim_categorias, "categoria_id").drop("fuente_datos", "categoria_id")
+
+    de_un_usuario = Window.partitionBy("id_usuario").orderBy(F.desc("veces_comprado"))
+    demas = uso(con_nombres(lineas.join(grandes, de_grandes, "left_anti")).repartition("id_usuario"))
+    demas = demas.withColumn("ranking_preferencia_usuario", F.rank().over(de_un_usuario).cast("long"))
+    muchas = rank_desc(uso(con_nombres(lineas.join(grandes, de_grandes, "left_semi"))), ["id_usuario"], "veces_comprado", "ranking_preferencia_usuario")
+    return demas.unionByName(muchas).select(
         "id_usuario", F.col("id_producto").alias("producto_id"), F.col("nombre").alias("producto"), "nombre_categoria",
         "veces_comprado", "unidades_totales",
         razon("monto", "n_montos").alias("gasto_promedio_por_compra"), doble("monto").alias("gasto_total_producto"),
