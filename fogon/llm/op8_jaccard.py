@@ -3,7 +3,8 @@
 1. Shingles of all documents are hashed, packed by (chunk of documents, hash bucket) and counted per bucket. Shingles of a
    single document can be in no intersection; only the others, with their document frequency, return to their chunk. A
    document of which fewer than 75 % of shingles occur elsewhere has no partner and drops out of the search.
-2. Documents with equal sets form a class, which its smallest id stands for.
+2. Documents with equal sets form a class, which its smallest id stands for. A class is found in the bucket of its set's hash,
+   on the way of the shingles, so that only the tokens of the one that stands for it leave the chunks.
 3. Tokens are ordered by document frequency, so that the rarest come first. With ``k`` required matches, the first
    ``n - ceil(0.75 n) + k`` tokens of both of two linked documents share at least ``k``. Each document takes the ``k``
    (and so the prefix) whose estimated cost of reading postings and verifying candidates is lowest.
@@ -35,8 +36,10 @@ BUCKETS_PER_PARTITION = 4
 BLOCK_DOCS = 1024
 VERIFY_COST = 20.0  # verifying a candidate, in postings read
 
-BLOCK = "bucket int, chunk long, docs binary, counts binary, hashes binary, dfs binary, about binary"
-DOCS = "doc_id long, print long, n_shingles long, f1 long, f2 long, near boolean, tokens binary, dfs binary"
+BLOCK = "bucket int, chunk long, docs binary, counts binary, hashes binary, dfs binary, classes binary, about binary"
+DOCS = "doc_id long, print long, n_shingles long, near boolean, node long, k int, size int, tokens binary"
+SET = np.dtype([("doc", "u4"), ("n", "u4"), ("f1", "u8"), ("f2", "u8"), ("id", "i8"), ("print", "i8")])  # of a class in a chunk
+NODE = np.dtype([("doc", "u4"), ("node", "i8")])
 
 
 def _batch(schema: str, columns: dict[str, list]) -> pa.RecordBatch:
@@ -56,6 +59,14 @@ def _sums(values: np.ndarray, ends: np.ndarray, counts: np.ndarray) -> np.ndarra
     return total[ends] - total[ends - counts]
 
 
+def _equal(sets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, row that stands for it) of rows of SET: of equal sets that of the smallest id, then text hash, then the first."""
+    order = np.lexsort((np.arange(len(sets)), sets["print"], sets["id"], sets["f2"], sets["f1"], sets["n"]))
+    s = sets[order]
+    new = np.r_[True, (s["n"][1:] != s["n"][:-1]) | (s["f1"][1:] != s["f1"][:-1]) | (s["f2"][1:] != s["f2"][:-1])][: len(s)]
+    return order, order[np.flatnonzero(new)][np.cumsum(new) - 1]
+
+
 def shingle_sets(w, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(document, hash) of the distinct k-word shingles of each document of a slice; a shorter text is one shingle."""
     hashes = w.hashes(lower=True)
@@ -74,17 +85,22 @@ def shingle_sets(w, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _hash_shingles(batches: Iterator[pa.RecordBatch], k: int, dealt: int) -> Iterator[pa.RecordBatch]:
-    """Blocks of (chunk, bucket), and one row per chunk about its documents."""
-    part, made = TaskContext.get().partitionId(), 0
+    """Blocks of (chunk, bucket), and one row per chunk about its documents.
+
+    A chunk is numbered by its first document, so that this number and a document's place in the chunk make the document's own.
+    A block has the shingles that fall to the bucket, and the sets whose hash does: of equal sets in the chunk, one.
+    """
+    part, made, before = TaskContext.get().partitionId(), 0, 0
     held: list[tuple[np.ndarray, ...]] = []
     size = seen = 0
 
     def blocks() -> pa.RecordBatch:
-        nonlocal made
+        nonlocal made, before
         ids, prints, valid, n, f1, f2, doc, win = (np.concatenate(x) for x in zip(*held))
         held.clear()
-        chunk = (part << 32) | made
+        chunk, about_bucket = (part << 33) | before, (part + made) % dealt
         made += 1
+        before += len(ids)
         bucket = ((win >> np.uint64(32)) % np.uint64(dealt)).astype(np.uint32)
         order = np.argsort(bucket, kind="stable")
         out: dict[str, list] = {x.split()[0]: [] for x in BLOCK.split(", ")}
@@ -94,12 +110,26 @@ def _hash_shingles(batches: Iterator[pa.RecordBatch], k: int, dealt: int) -> Ite
                 out[key].append(v)
 
         about = io.BytesIO()
-        np.savez(about, ids=ids, prints=prints, valid=valid, n=n, f1=f1, f2=f2)
-        row(chunk % dealt, chunk, None, None, None, None, about.getvalue())
+        known = np.flatnonzero(valid & (n > 0))
+        sets = np.empty(len(known), dtype=SET)
+        for key, values in (("doc", known), ("n", n[known]), ("f1", f1[known]), ("f2", f2[known]), ("id", ids[known]), ("print", prints[known])):
+            sets[key] = values
+        own, stands = _equal(sets)
+        leader = np.arange(len(ids), dtype=np.uint32)
+        leader[known[own]] = known[stands]
+        sets = sets[np.unique(stands)]
+        falls = (sets["f1"] >> np.uint64(32)) % np.uint64(dealt)
+        by = np.argsort(falls, kind="stable")
+        classes = {int(falls[by[f]]): sets[by[f : f + m]].tobytes() for f, m in zip(*_runs(falls[by]))}
+        np.savez(about, ids=ids, prints=prints, valid=valid, n=n, leader=leader)
+        row(about_bucket, chunk, None, None, None, None, None, about.getvalue())
         for f, m in zip(*_runs(bucket[order])):
             at = order[f : f + m]
             first, counts = _runs(doc[at])
-            row(int(bucket[at[0]]), chunk, planes(doc[at][first].astype(np.uint32)), planes(counts.astype(np.uint32)), win[at].tobytes(), None, None)
+            b = int(bucket[at[0]])
+            row(b, chunk, planes(doc[at][first].astype(np.uint32)), planes(counts.astype(np.uint32)), win[at].tobytes(), None, classes.pop(b, b""), None)
+        for b, c in classes.items():
+            row(b, chunk, b"", b"", b"", None, c, None)
         return _batch(BLOCK, out)
 
     for batch in batches:
@@ -123,10 +153,13 @@ def _hash_shingles(batches: Iterator[pa.RecordBatch], k: int, dealt: int) -> Ite
 
 
 def _shared(blocks: pa.Table) -> pa.Table:
-    """Shingles of one bucket that at least two documents hold, with that number, by chunk; other rows pass."""
+    """Shingles of one bucket that at least two documents hold, with that number, by chunk; other rows pass.
+
+    For the sets of the bucket, the number of the document that stands for the class (NODE).
+    """
     out: dict[str, list] = {x.split()[0]: [] for x in BLOCK.split(", ")}
     rows = blocks.to_pylist()
-    full = [r for r in rows if r["about"] is None]
+    full = sorted((r for r in rows if r["about"] is None), key=lambda r: r["chunk"])
     for r in rows:
         if r["about"] is not None:
             for key in out:
@@ -137,15 +170,21 @@ def _shared(blocks: pa.Table) -> pa.Table:
         df = np.empty(len(hashes), dtype=np.uint32)
         _, m = _runs(hashes[order])
         df[order] = np.repeat(m, m)
+        sets = [np.frombuffer(r["classes"], dtype=SET) for r in full]
+        number = np.concatenate([s["doc"].astype(np.int64) + r["chunk"] for r, s in zip(full, sets)])
+        nodes = np.empty(len(number), dtype=NODE)
+        nodes["doc"] = np.concatenate([s["doc"] for s in sets])
+        row, stands = _equal(np.concatenate(sets))
+        nodes["node"][row] = number[stands]
         at = 0
-        for r in full:
+        for r, nodes_of in zip(full, np.split(nodes, np.cumsum([len(s) for s in sets])[:-1])):
             c = unplanes(r["counts"], np.uint32)
             end = at + int(c.sum())
             own = df[at:end] > 1
-            if own.any():
+            if own.any() or len(nodes_of):
                 doc = np.repeat(unplanes(r["docs"], np.uint32), c)[own]
                 first, counts = _runs(doc)
-                values = (r["bucket"], r["chunk"], planes(doc[first]), planes(counts.astype(np.uint32)), hashes[at:end][own].tobytes(), planes(df[at:end][own]), None)
+                values = (r["bucket"], r["chunk"], planes(doc[first]), planes(counts.astype(np.uint32)), hashes[at:end][own].tobytes(), planes(df[at:end][own]), nodes_of.tobytes(), None)
                 for key, v in zip(out, values):
                     out[key].append(v)
             at = end
@@ -153,13 +192,13 @@ def _shared(blocks: pa.Table) -> pa.Table:
 
 
 def _documents(blocks: pa.Table, percent: int) -> pa.Table:
-    """One row per document of a chunk; shared tokens, rarest first, for those of which enough shingles are shared.
+    """One row per document of a chunk; shared tokens, rarest first, and the prefix for those that stand for their class.
 
-    Of equal sets in the chunk, only the smallest id carries the tokens.
+    node is the number of the document that stands for the class, if enough shingles are shared.
     """
     rows = blocks.to_pylist()
     about = np.load(io.BytesIO(next(r["about"] for r in rows if r["about"] is not None)))
-    ids, prints, valid, n, f1, f2 = (about[x] for x in ("ids", "prints", "valid", "n", "f1", "f2"))
+    ids, prints, valid, n, leader = (about[x] for x in ("ids", "prints", "valid", "n", "leader"))
     full = [r for r in rows if r["about"] is None]
     none = np.zeros(0, dtype=np.uint64)
     win = np.concatenate([none, *(np.frombuffer(r["hashes"], dtype=np.uint64) for r in full)])
@@ -167,27 +206,29 @@ def _documents(blocks: pa.Table, percent: int) -> pa.Table:
     doc = np.concatenate([none.astype(np.int64), *(np.repeat(unplanes(r["docs"], np.uint32), unplanes(r["counts"], np.uint32)) for r in full)]).astype(np.int64)
     shared = np.bincount(doc, minlength=len(ids))
     near = (n > 0) & valid & (100 * shared >= percent * n)
-    order = np.lexsort((f2, f1, n, ids))
-    by_set = np.lexsort((ids, f2, f1, n))
-    again = np.zeros(len(ids), dtype=bool)
-    s = by_set[near[by_set]]
-    again[s[1:]] = (n[s[1:]] == n[s[:-1]]) & (f1[s[1:]] == f1[s[:-1]]) & (f2[s[1:]] == f2[s[:-1]])
-    keep = (near & ~again)[doc]
+    node = np.full(len(ids), -1, dtype=np.int64)
+    for r in full:
+        nodes = np.frombuffer(r["classes"], dtype=NODE)
+        node[nodes["doc"]] = nodes["node"]
+    node = node[leader]
+    carries = near & (node == rows[0]["chunk"] + np.arange(len(ids)))
+    keep = carries[doc]
     win, df, doc = win[keep], df[keep], doc[keep]
     o = np.lexsort((win, df, doc))
     win, df, doc = win[o], df[o], doc[o]
     ends = np.cumsum(np.bincount(doc, minlength=len(ids)))
     begins = np.r_[0, ends[:-1]]
-    carries = near & ~again
+    order = np.lexsort((prints, n, ids))
+    pre = {i: prefix(int(n[i]), df[begins[i] : ends[i]], percent) for i in np.flatnonzero(carries)}
     out = {
         "doc_id": [int(ids[i]) if valid[i] else None for i in order],
         "print": prints[order],
         "n_shingles": n[order],
-        "f1": f1.view(np.int64)[order],
-        "f2": f2.view(np.int64)[order],
         "near": near[order],
+        "node": [int(node[i]) if near[i] else None for i in order],
+        "k": [pre[i][0] if carries[i] else None for i in order],
+        "size": [pre[i][1] if carries[i] else None for i in order],
         "tokens": [win[begins[i] : ends[i]].tobytes() if carries[i] else None for i in order],
-        "dfs": [planes(df[begins[i] : ends[i]]) if carries[i] else None for i in order],
     }
     return pa.Table.from_batches([_batch(DOCS, out)])
 
@@ -207,12 +248,11 @@ def prefix(n: int, dfs: np.ndarray, percent: int) -> tuple[int, int]:
     return int(k[best]), int(size[best])
 
 
-def _entries(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(token, rep) for the prefix tokens of each class."""
     for batch in batches:
         tokens, reps = [], []
-        for rep, n, t, d in zip(*(c.to_pylist() for c in batch.columns)):
-            _, size = prefix(n, unplanes(d, np.uint32), percent)
+        for rep, size, t in zip(*(c.to_pylist() for c in batch.columns)):
             tokens.append(np.frombuffer(t, dtype=np.int64)[:size])
             reps.append(np.full(size, rep, dtype=np.int64))
         if tokens:
@@ -244,11 +284,9 @@ def _common(rows: list[np.ndarray], a: np.ndarray, b: np.ndarray, stripe: int =
     return out
 
 
-def linked(tokens: list[np.ndarray], n: np.ndarray, dfs: list[np.ndarray], a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+def linked(tokens: list[np.ndarray], n: np.ndarray, k: np.ndarray, size: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     """Which of the documents a (down) and b (across) link: prefix candidates, then exact similarity."""
-    pre = [prefix(int(m), d, percent) for m, d in zip(n, dfs)]
-    k = np.array([p[0] for p in pre])
-    short = [t[: p[1]] for t, p in zip(tokens, pre)]
+    short = [t[:m] for t, m in zip(tokens, size)]
     fits = (100 * np.minimum.outer(n[a], n[b]) >= percent * np.maximum.outer(n[a], n[b]))
     candidate = fits & (_common(short, a, b) >= np.minimum.outer(k[a], k[b]))
     out = np.zeros(candidate.shape, dtype=bool)
@@ -262,10 +300,8 @@ def linked(tokens: list[np.ndarray], n: np.ndarray, dfs: list[np.ndarray], a: np
 
 def _forest(block: pa.Table, percent: int) -> pa.Table:
     """Spanning links (a, b) of one block of families, or of one pair of blocks of a large family."""
-    family, part, rep, n, tokens, dfs = (block.column(x).to_pylist() for x in ("family", "part", "rep", "n_shingles", "tokens", "dfs"))
-    family, part, rep, n = (np.array(x, dtype=np.int64) for x in (family, part, rep, n))
-    tokens = [np.frombuffer(x, dtype=np.uint64) for x in tokens]
-    dfs = [unplanes(x, np.uint32) for x in dfs]
+    family, part, rep, n, k, size = (np.array(block.column(x).to_pylist(), dtype=np.int64) for x in ("family", "part", "rep", "n_shingles", "k", "size"))
+    tokens = [np.frombuffer(x, dtype=np.uint64) for x in block.column("tokens").to_pylist()]
     order = np.lexsort((rep, part, family))
     made_a, made_b = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
     for f, m in zip(*_runs(family[order])):
@@ -276,7 +312,7 @@ def _forest(block: pa.Table, percent: int) -> pa.Table:
         local = [x for x in both]
         at = {int(x): i for i, x in enumerate(local)}
         la, lb = np.array([at[int(x)] for x in a]), np.array([at[int(x)] for x in b])
-        hit = linked([tokens[x] for x in local], n[both], [dfs[x] for x in local], la, lb, percent)
+        hit = linked([tokens[x] for x in local], n[both], k[both], size[both], la, lb, percent)
         ids = rep[both]
         label = ids.copy()
         while True:  # the smallest id near each document, until nothing changes
@@ -296,7 +332,7 @@ def _forest(block: pa.Table, percent: int) -> pa.Table:
 
 
 def _block_rows(reps: DataFrame, families: DataFrame, small: int) -> DataFrame:
-    """Rows of each class for each block that verifies it: (block, family, part, rep, n_shingles, tokens, dfs).
+    """Rows of each class for each block that verifies it: (block, family, part, rep, n_shingles, k, size, tokens).
 
     Families of up to BLOCK_DOCS classes share blocks by hash. A larger family is dealt to parts by hash, and each pair of
     parts is a block, so that no task holds more than two parts.
@@ -311,24 +347,19 @@ def _block_rows(reps: DataFrame, families: DataFrame, small: int) -> DataFrame:
     return placed.select(key.alias("block"), "family", "part", "rep").join(reps, "rep")
 
 
-SAME = ["n_shingles", "f1", "f2"]
-
-
 def _linked(docs: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Rows of docs (DOCS), classes of equal sets (node, their columns, least: the smallest row) and spanning links (a, b) of nodes."""
+    """Rows of docs (DOCS), classes of equal sets (node, least: the smallest row) and spanning links (a, b) of nodes."""
     prepare(docs.sparkSession)
     dealt = buckets(docs, "text", BUCKETS_PER_PARTITION)
     blocks = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text")).mapInArrow(lambda it: tidy(_hash_shingles(it, shingle, dealt)), BLOCK)
     shared = blocks.groupBy("bucket").applyInArrow(lambda t: tidied(_shared(t)), BLOCK)
     table = cut(shared.groupBy("chunk").applyInArrow(lambda t: tidied(_documents(t, percent)), DOCS), "jaccard-docs")
 
-    classes = table.filter("near").groupBy(*SAME).agg(F.min(F.struct("doc_id", "print")).alias("least"))
-    classes = cut(classes.select(F.monotonically_increasing_id().alias("node"), *SAME, "least"), "jaccard-classes")
-    reps = (table.filter("tokens is not null").join(classes.select(F.col("node").alias("rep"), *SAME, F.col("least.doc_id").alias("doc_id")), [*SAME, "doc_id"])
-            .select("rep", "n_shingles", "tokens", "dfs"))
-    reps = cut(reps, "jaccard-reps")
+    stand = table.filter("k is not null")
+    classes = stand.select("node", F.struct("doc_id", "print").alias("least"))
+    reps = stand.select(F.col("node").alias("rep"), "n_shingles", "k", "size", "tokens")
 
-    entries = reps.mapInArrow(lambda it: tidy(_entries(it, percent)), "token long, rep long")
+    entries = reps.select("rep", "size", "tokens").mapInArrow(lambda it: tidy(_entries(it)), "token long, rep long")
     least = entries.groupBy("token").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).filter("least < most")
     stars = entries.join(least, "token").filter("rep <> least").select(F.col("rep").alias("a"), F.col("least").alias("b")).distinct()
     member = components(stars, "jaccard-families")
@@ -339,11 +370,11 @@ def _linked(docs: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, Dat
 
 
 def _leads(classes: DataFrame, links: DataFrame) -> DataFrame:
-    """The classes' columns with lead: the smallest row (doc_id, print) of the component."""
+    """(node, lead): the smallest row (doc_id, print) of the component of each class."""
     found = components(links, "jaccard-links")
     named = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("least").alias("lead"))
-    return named.join(smallest, "component").select(*SAME, "lead")
+    return named.join(smallest, "component").select("node", "lead")
 
 
 def jaccard_classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -353,12 +384,12 @@ def jaccard_classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     all of them do. A null doc_id links with nothing and has a null component. Other columns are ignored.
     """
     table, classes, links = _linked(docs, shingle, percent)
-    near = table.filter("near").select("doc_id", *SAME)
+    near = table.filter("near").select("doc_id", "n_shingles", "node")
     # Texts of one doc_id that are of several classes join these.
-    mixed = near.groupBy("doc_id").agg(F.min(F.struct(*SAME)).alias("lo"), F.max(F.struct(*SAME)).alias("hi")).filter("lo <> hi").select("doc_id")
-    own = near.join(mixed, "doc_id", "left_semi").join(classes.select(*SAME, "node"), SAME).select("doc_id", "node")
+    mixed = near.groupBy("doc_id").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("doc_id")
+    own = near.join(mixed, "doc_id", "left_semi").select("doc_id", "node")
     twins = own.join(own.groupBy("doc_id").agg(F.min("node").alias("b")), "doc_id").select(F.col("node").alias("a"), "b").distinct()
-    named = near.join(_leads(classes, links.union(twins)), SAME, "left").select("doc_id", "n_shingles", F.col("lead.doc_id").alias("component_id"))
+    named = near.join(_leads(classes, links.union(twins)), "node", "left").select("doc_id", "n_shingles", F.col("lead.doc_id").alias("component_id"))
     of_id = named.groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
     rest = table.filter("not near").select("doc_id", "n_shingles").join(of_id, "doc_id", "left")
     return named.union(rest.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))

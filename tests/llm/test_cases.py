@@ -59,6 +59,26 @@ def test_jaccard_rows_of_one_id(spark):
     assert sorted(kept, key=str) == sorted([(3, a), (5, b), (9, z), (9, None), (9, y), (12, None)], key=str)
 
 
+def test_jaccard_tokens_of_one_row_a_class(spark, monkeypatch):
+    """Copies in many chunks: only the row that stands for their class carries tokens, and these are written once."""
+    rng = random.Random(67)
+    base = [prose(rng, 80) for _ in range(6)]
+    near = [t.rsplit(" ", 1)[0] + " other" for t in base[:3]]
+    rows = [(1000 * k + i, t) for k in range(12) for i, t in enumerate(base + near)] + [(None, base[0]), (3000, base[0]), (-5, base[3] + " ")]
+    rng.shuffle(rows)
+    df = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], SCHEMA).repartition(6)
+    cuts, cut = [], op8_jaccard.cut
+    monkeypatch.setattr(op8_jaccard, "cut", lambda df, name: (cuts.append((name, df.columns)), cut(df, name))[1])
+    table, classes, _ = op8_jaccard._linked(df, 5, 75)
+    standing = [r.doc_id for r in table.filter("tokens is not null").collect()]
+    assert sorted(standing) == [-5, 0, 1, 2, 4, 5, 6, 7, 8]  # the smallest id of equal sets: -5 has the words of 3
+    assert sorted(r.least.doc_id for r in classes.collect()) == sorted(standing)
+    assert [name for name, columns in cuts if "tokens" in columns] == ["jaccard-docs"]
+    got = {(r.doc_id, r.component_id) for r in op8_jaccard.jaccard_classes(df).collect()}
+    component = {3: -5, 6: 0, 7: 1, 8: 2}
+    assert got == {(None, None), (-5, -5)} | {(1000 * k + i, component.get(i, i)) for k in range(12) for i in range(9)}
+
+
 def test_buckets_follow_the_input(spark, tmp_path):
     """Ten times the input has ten times the buckets, at the same settings."""
     from fogon.llm import store
