@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fogon.functions.geo import RADIO_TIERRA_KM, distancia_km
+from fogon.functions.sizing import never_broadcast
 
 NIVELES = 12  # sides 4, 1, 1/4 … of the Earth radius; the finest is about 1.5 m
 HOLGURA = 1e-7  # of the Earth radius: more than what an arc cosine near 1 is wrong by
@@ -109,4 +110,4 @@ def k_nearest(
     radio = F.sin(F.max("distancia_km") / (2 * RADIO_TIERRA_KM)) * 2 + HOLGURA
     bolas = nearest(propias).groupBy(*sitio, *EJES, "nivel").agg(radio.alias("_r"))
     cercanos = nearest(search_cells(bolas))
-    return origenes.join(cercanos.select(*sitio, target_id, "distancia_km", "puesto"), sitio).drop("_lat", "_lng")
+    return never_broadcast(origenes).join(cercanos.select(*sitio, target_id, "distancia_km", "puesto"), sitio).drop("_lat", "_lng")

@@ -9,6 +9,7 @@ from fogon.functions.geo import distancia_km
 from fogon.functions.knn import k_nearest
 from fogon.functions.measures import o_cero, pct, razon
 from fogon.functions.pairs import BLOQUE, pairs_within
+from fogon.functions.sizing import never_broadcast
 
 
 def _in_sources(df: DataFrame, sources: list[str] | None) -> DataFrame:
@@ -37,7 +38,7 @@ def driver_distances(restaurantes: DataFrame, repartidores: DataFrame, k: int) -
         restaurantes.select("source_db", "id_restaurante", F.col("nombre").alias("restaurante"), "latitud", "longitud"),
         conductores, k, ("latitud", "longitud"), ("latitud_actual", "longitud_actual"), "id_repartidor", ["source_db"],
     )
-    return cercanos.drop("latitud", "longitud").join(conductores, ["source_db", "id_repartidor"]).select(
+    return cercanos.drop("latitud", "longitud").join(never_broadcast(conductores), ["source_db", "id_repartidor"]).select(
         "source_db", "id_restaurante", "restaurante", "id_repartidor", "repartidor",
         F.col("latitud_actual").alias("latitud"), F.col("longitud_actual").alias("longitud"), "distancia_km", "puesto",
     )
@@ -86,13 +87,15 @@ def assign_drivers(pedidos: DataFrame, restaurantes: DataFrame, repartidores: Da
 def users_by_driver(pedidos: DataFrame, usuarios: DataFrame) -> DataFrame:
     """Distinct users with undelivered orders, per driver."""
     abiertos = pedidos.filter((F.col("estado") != "entregado") & F.col("id_repartidor").isNotNull())
-    return abiertos.select("source_db", "id_repartidor", "id_usuario").distinct().join(usuarios, ["id_usuario", "source_db"])
+    return abiertos.select("source_db", "id_repartidor", "id_usuario").distinct().join(
+        never_broadcast(usuarios), ["id_usuario", "source_db"]
+    )
 
 
 def delivery_stops(asignados: DataFrame, repartidores: DataFrame) -> DataFrame:
     """Users to visit with their own and their driver's coordinates."""
     return asignados.select("source_db", "id_repartidor", "id_usuario", "nombre", "latitud", "longitud").join(
-        repartidores.select("source_db", "id_repartidor", "latitud_actual", "longitud_actual"), ["source_db", "id_repartidor"]
+        never_broadcast(repartidores.select("source_db", "id_repartidor", "latitud_actual", "longitud_actual")), ["source_db", "id_repartidor"]
     )
 
 
@@ -277,7 +280,7 @@ def restaurant_subgraph(
     sitio, llave = ["id_restaurante", "source_db"], ["id_pedido", "source_db"]
     nodos = restaurantes if id_restaurante is None else restaurantes.filter(F.col("id_restaurante") == id_restaurante)
     nodos = nodos.select(*sitio)
-    pedidos = proviene.join(nodos, sitio, "left_semi")
+    pedidos = proviene.join(never_broadcast(nodos), sitio, "left_semi")
     filas = (
         contiene.join(pedidos, llave)
         .unionByName(pedidos.join(contiene.select(*llave).distinct(), llave, "left_anti"), allowMissingColumns=True)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fogon.functions.sizing import never_broadcast
+
 CLAVES_NODO = {
     "Usuario": "id_usuario",
     "Producto": "id_producto",
@@ -45,24 +47,24 @@ def merge_nodes(label: str, new: DataFrame, old: DataFrame) -> DataFrame:
     return todas.groupBy(*clave).agg(ultima).select(*clave, "_f.*")
 
 
+def _with_end(rows: DataFrame, end: DataFrame, clave: str) -> DataFrame:
+    """Rows whose ``clave`` is a node of ``end`` in the same source. Nodes are as many as the data has, so they are shuffled with the rows."""
+    return rows.join(never_broadcast(end), [clave, "source_db"], "left_semi")
+
+
 def edges_contiene(lines: DataFrame, pedidos: DataFrame, productos: DataFrame) -> DataFrame:
-    """Order → product with the quantity of the last line; both ends must exist in the same source."""
+    """Order → product with the quantity of the last line; both ends must exist in the same source.
+
+    Lines meet their order first: the shuffle by order serves the quantities as well.
+    """
     ultima = F.max_by("cantidad", F.struct("id_detalle", "cantidad")).alias("cantidad")
-    return (
-        lines.groupBy("id_pedido", "id_producto", "source_db").agg(ultima)
-        .join(pedidos, ["id_pedido", "source_db"], "left_semi")
-        .join(productos, ["id_producto", "source_db"], "left_semi")
-        .select("id_pedido", "id_producto", "source_db", "cantidad")
-    )
+    por_producto = _with_end(lines, pedidos, "id_pedido").groupBy("id_pedido", "id_producto", "source_db").agg(ultima)
+    return _with_end(por_producto, productos, "id_producto").select("id_pedido", "id_producto", "source_db", "cantidad")
 
 
 def _edges_from_orders(orders: DataFrame, pedidos: DataFrame, otros: DataFrame, clave: str) -> DataFrame:
-    return (
-        orders.filter(F.col(clave).isNotNull()).select("id_pedido", clave, "source_db").distinct()
-        .join(pedidos, ["id_pedido", "source_db"], "left_semi")
-        .join(otros, [clave, "source_db"], "left_semi")
-        .select("id_pedido", clave, "source_db")
-    )
+    filas = orders.filter(F.col(clave).isNotNull()).select("id_pedido", clave, "source_db")
+    return _with_end(_with_end(filas, pedidos, "id_pedido").distinct(), otros, clave).select("id_pedido", clave, "source_db")
 
 
 def edges_proviene(orders: DataFrame, pedidos: DataFrame, restaurantes: DataFrame) -> DataFrame:
@@ -83,7 +85,7 @@ def edges_refiere(users: DataFrame) -> DataFrame:
         F.col("id_referido").alias("id_referente"), F.col("id_usuario").alias("id_referido"), "source_db"
     )
     referentes = users.select(F.col("id_usuario").alias("id_referente"), "source_db")
-    return aristas.join(referentes, ["id_referente", "source_db"], "left_semi").distinct().select(
+    return _with_end(aristas, referentes, "id_referente").distinct().select(
         "id_referente", "id_referido", "source_db"
     )
 
