@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fogon.functions.measures import o_cero, pct
 from fogon.functions.pairs import BLOQUE, pairs_within
+from fogon.functions.sizing import broadcast_if_few, never_broadcast
 
 def copurchase(contiene: DataFrame, pedidos: DataFrame, bloque: int = BLOQUE) -> DataFrame:
     """COMPRADO_CON edges: one row per direction, computed inside each source.
@@ -151,7 +152,7 @@ def recommend(
     aristas: DataFrame, productos: DataFrame, name: str, limit: int = 5, sources: list[str] | None = None
 ) -> DataFrame:
     """Products bought with those whose name contains ``name``; the name filter runs on the product table."""
-    base = productos.filter(F.contains("nombre", F.lit(name))).select(F.col("id_producto").alias("id_producto1"), "source_db")
+    base = broadcast_if_few(productos.filter(F.contains("nombre", F.lit(name))).select(F.col("id_producto").alias("id_producto1"), "source_db"))
     orden = [F.desc("confidence"), F.desc("frecuencia"), *IDS]
     top = (
         _in_sources(aristas, sources).join(base, ["id_producto1", "source_db"], "left_semi").orderBy(*orden).limit(limit)
@@ -192,7 +193,7 @@ def product_pick_list(top: DataFrame) -> DataFrame:
 
 def combos_by_price(aristas: DataFrame, productos: DataFrame, n: int = 5, sources: list[str] | None = None) -> DataFrame:
     """Pairs by the mean of the summed price."""
-    juntos = _named(_in_sources(aristas, sources).filter(_una_direccion()), productos, "nombre", "categoria", "precio")
+    juntos = _named(_in_sources(aristas, sources).filter(_una_direccion()), never_broadcast(productos), "nombre", "categoria", "precio")
     return (
         juntos.groupBy("nombre1", "nombre2", "categoria1", "categoria2")
         .agg(F.round(F.avg(F.col("precio1") + F.col("precio2")), 4).alias("precio_promedio_combo"))

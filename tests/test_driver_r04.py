@@ -5,7 +5,8 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from fogon.operators.graph import delivery, nodes
+from fogon.functions import sizing
+from fogon.operators.graph import copurchase, delivery, nodes
 
 
 @pytest.fixture(scope="module")
@@ -65,3 +66,13 @@ def test_nodes_are_not_broadcast_for_edges(grafo):
     assert pertenece.count() == 2 * sum(p % 9 < 8 for p in range(50))
     assert asignado.count() == 2 * sum(p % 4 < 3 for p in range(50))
     assert {(r.id_referente, r.id_referido) for r in refiere.collect()} == {(u + 5, u) for u in range(3)}
+
+def test_large_products_are_not_broadcast_to_edges(spark, grafo, monkeypatch):
+    aristas = spark.createDataFrame([(1, 2, "postgres", 3, 0.5, 0.5), (2, 1, "postgres", 3, 0.5, 0.4), (3, 9, "mongo", 1, 0.1, 0.9)],
+                                    "id_producto1 long, id_producto2 long, source_db string, frecuencia long, support double, confidence double")
+    assert "BroadcastHashJoin" not in _plan(copurchase.combos_by_price(aristas, grafo["producto"]))
+    pocas = copurchase.recommend(aristas, grafo["producto"], "p", 5).collect()
+    monkeypatch.setattr(sizing, "FILAS_A_DIFUNDIR", 3)
+    muchas = copurchase.recommend(aristas, grafo["producto"], "p", 5)
+    assert not [x for x in _plan(muchas).split("\n") if "Broadcast" in x and "LeftSemi" in x]
+    assert muchas.collect() == pocas and len(pocas) == 3
