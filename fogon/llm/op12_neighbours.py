@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from fogon.functions.sizing import never_broadcast
 from fogon.llm.store import cut, prepare
 from fogon.llm.words import release, tidy
 
@@ -35,6 +36,7 @@ SAMPLE_VALUES = 4_000_000  # and numbers in them
 ROUNDS = 8
 WIDTH = 16  # dimensions of a column block
 BLOCK, BATCH = 1024, 256  # nodes of a block, queries of a batch
+AT_ONCE = 256  # vectors that are compared with all centroids at a time
 FIRST = 8  # lists that are scanned before the others are chosen
 MISSED = 0.25  # better nodes to expect in all lists that are left out
 EPSILON = 2.1  # of the test: a nearer candidate is abandoned with a probability of about exp(-EPSILON ** 2 / 2) per test at most
@@ -58,11 +60,26 @@ def rotated(rows: list[np.ndarray]) -> np.ndarray:
     return x @ rotation(x.shape[1]).T
 
 
+def _cosines(y: np.ndarray, centroids: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
+    """Cosines with all centroids, for some rows at a time: there are as many centroids as the root of the vectors, so all rows at once would grow with them."""
+    for i in range(0, len(y), AT_ONCE):
+        rows = slice(i, i + AT_ONCE)
+        yield rows, y[rows] @ centroids.T
+
+
+def _nearest_centroid(y: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the nearest centroid, and the cosine with it."""
+    number, near = np.zeros(len(y), dtype=np.int64), np.zeros(len(y))
+    for rows, cosine in _cosines(y, centroids):
+        number[rows], near[rows] = cosine.argmax(axis=1), cosine.max(axis=1)
+    return number, near
+
+
 def train(sample: np.ndarray, lists: int) -> np.ndarray:
     """Centroids of length one: a few rounds of spherical k-means, begun with rows of the sample."""
     centroids = sample[np.random.Generator(np.random.PCG64(SEED)).permutation(len(sample))[:lists]].copy()
     for _ in range(ROUNDS):
-        own = (sample @ centroids.T).argmax(axis=1)
+        own, _ = _nearest_centroid(sample, centroids)
         sums = np.zeros_like(centroids)
         np.add.at(sums, own, sample)
         length = np.sqrt((sums * sums).sum(axis=1))
@@ -87,9 +104,7 @@ def _assigned(batches: Iterator[pa.RecordBatch], centroids: dict[int, np.ndarray
         for d, rows, y in _by_dimension(batch.column(2)):
             number, near = np.full(len(rows), UNTRAINED), np.zeros(len(rows))
             if d in centroids:
-                cosine = y @ centroids[d].T
-                number = cosine.argmax(axis=1)
-                near = cosine.max(axis=1)
+                number, near = _nearest_centroid(y, centroids[d])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(node[rows]), pa.array((d << 32) | number.astype(np.int64)), pa.array(near), pa.array(least[rows]), pa.array([r.tobytes() for r in y], pa.binary())],
                 names=["node", "list", "near", "least", "y"])
@@ -125,27 +140,32 @@ def _probes(batches: Iterator[pa.RecordBatch], centroids: dict[int, np.ndarray],
     for batch in batches:
         query, worst = batch.column(0).to_numpy(), batch.column(2).to_numpy(zero_copy_only=False).astype(np.float64)
         for d, rows, y in _by_dimension(batch.column(1)):
-            chosen: list[np.ndarray] = []
             if d not in centroids:
-                chosen = [np.array([UNTRAINED] if first else [], dtype=np.int64) for _ in rows]
-            else:
-                size, mean = lists[d]
-                cosine = np.clip(y @ centroids[d].T, -1, 1)
+                own = rows if first else rows[:0]
+                yield _probed(query[own], np.full(len(own), (d << 32) | UNTRAINED), worst[own], y[: len(own)])
+                continue
+            size, mean = lists[d]
+            for some, cosine in _cosines(y, centroids[d]):
+                cosine = np.clip(cosine, -1, 1)
                 order = np.argsort(-np.where(size > 0, cosine, -9), axis=1, kind="stable")
-                for i, row in enumerate(rows):
+                chosen: list[np.ndarray] = []
+                for i, limit in enumerate(worst[rows[some]]):
                     near = order[i, :FIRST]
                     if not first:
-                        rest = worthwhile(cosine[i], size, mean, 1 - worst[row] / 2, d) if np.isfinite(worst[row]) else size > 0
+                        rest = worthwhile(cosine[i], size, mean, 1 - limit / 2, d) if np.isfinite(limit) else size > 0
                         rest[near] = False
                         near = np.flatnonzero(rest)
                     chosen.append(near)
-            count = np.array([len(c) for c in chosen])
-            at = np.repeat(np.arange(len(rows)), count)
-            numbers = np.concatenate([np.zeros(0, dtype=np.int64), *chosen]).astype(np.int64)
-            limit = worst[rows][at]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(query[rows][at]), pa.array((d << 32) | numbers), pa.array(np.where(np.isfinite(limit), limit, np.inf)), pa.array([y[i].tobytes() for i in at], pa.binary())],
-                names=["query", "list", "worst", "y"])
+                at = np.repeat(np.arange(len(chosen)), [len(c) for c in chosen])
+                numbers = np.concatenate([np.zeros(0, dtype=np.int64), *chosen]).astype(np.int64)
+                own = rows[some][at]
+                yield _probed(query[own], (d << 32) | numbers, worst[own], y[some][at])
+
+
+def _probed(query: np.ndarray, lists: np.ndarray, worst: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(query), pa.array(lists), pa.array(np.where(np.isfinite(worst), worst, np.inf)), pa.array([v.tobytes() for v in y], pa.binary())],
+        names=["query", "list", "worst", "y"])
 
 
 def _batched(rows: pa.Table) -> pa.Table:
@@ -204,11 +224,15 @@ def _scanned(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBat
 
 
 def _met(index: DataFrame, probes: DataFrame, k: int) -> DataFrame:
-    """The k nearest nodes of every query within the blocks of its lists."""
+    """The k nearest nodes of every query within the blocks of its lists.
+
+    A query stands in most of the lists, so its batches are many times what Spark takes them for by the size of the queries.
+    """
     held = probes.groupBy("list").agg(F.ceil(F.count("*") / BATCH).cast("long").alias("batches"))
-    dealt = probes.join(held, "list").withColumn("batch", F.pmod(F.xxhash64("query", F.lit(3)), F.col("batches")))
+    # One row per centroid at most.
+    dealt = probes.join(F.broadcast(held), "list").withColumn("batch", F.pmod(F.xxhash64("query", F.lit(3)), F.col("batches")))
     batches = dealt.select("list", "batch", "query", "worst", "y").repartition("list", "batch").groupBy("list", "batch").applyInArrow(_batched, "list long, queries binary, worst binary, ys binary")
-    pairs = index.join(batches, "list").select("ids", "least", "columns", "queries", "worst", "ys")
+    pairs = index.join(never_broadcast(batches), "list").select("ids", "least", "columns", "queries", "worst", "ys")
     found = pairs.mapInArrow(lambda it: tidy(_scanned(it, k)), "query long, node long, least long, distance double")
     return _nearest(found, k)
 
