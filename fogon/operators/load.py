@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from fogon import schemas
 from fogon.functions import calendar as cal
 from fogon.functions import geo
+from fogon.functions.ordered import join_nullsafe
+from fogon.functions.sizing import broadcast_if_few
 from fogon.operators import dimensions as dims
 from fogon.operators import extract
 from fogon.sources.warehouse import Warehouse, out_of_range
@@ -96,6 +98,19 @@ def extract_all(rel: dict[str, DataFrame], doc: dict[str, DataFrame]) -> Extract
     return Extracted(pedidos, reservas, detalle)
 
 
+def _missing(df: DataFrame, almacen: Warehouse, tabla: str, corrida: str) -> DataFrame:
+    """Rows whose key a fact table does not hold.
+
+    The keys are extracted and compared by themselves first, and whole rows only if some of them are new. So a run over the same input
+    shuffles keys alone, and one over much old and some new data does not shuffle whole rows that it then drops.
+    """
+    claves = almacen.keys(tabla)
+    if not claves.folders():
+        return df
+    nuevas = almacen.stage(dims.only_new_keys(df.select(*claves.claves), claves, staged=False).distinct(), f"claves_{tabla}", corrida)
+    return df.limit(0) if nuevas.isEmpty() else join_nullsafe(df, broadcast_if_few(nuevas), claves.claves, "left_semi")
+
+
 def run_etl(extracted: Extracted, almacen: Warehouse, incremental: bool = False) -> dict[str, int]:
     """Load what the warehouse does not have yet; returns rows loaded per table.
 
@@ -113,8 +128,10 @@ def run_etl(extracted: Extracted, almacen: Warehouse, incremental: bool = False)
         ("fact_reservas", extracted.reservas),
         ("fact_detalle_pedidos", extracted.detalle),
     ):
-        lote = almacen.stage(df, f"lote_{tabla}", corrida) if incremental else df
-        faltan = dims.only_new_keys(lote, almacen.keys(tabla), staged=incremental)
+        if incremental:
+            faltan = dims.only_new_keys(almacen.stage(df, f"lote_{tabla}", corrida), almacen.keys(tabla), staged=True)
+        else:
+            faltan = _missing(df, almacen, tabla, corrida)
         filas = almacen.stage(faltan.sortWithinPartitions(*[x for x in PARECIDAS[tabla] if x in faltan.columns]), tabla, corrida)
         motivo = out_of_range(filas, tabla)
         todas, malas = filas.agg(F.count(F.lit(1)), F.count(motivo)).first()

@@ -1,12 +1,18 @@
-"""What reaches the driver: no node table is broadcast, however small its files are."""
+"""What reaches the driver and stays on disk: no node table is broadcast, however small its files are; shuffles go with their write; old rows are not extracted."""
 
 from __future__ import annotations
 
+import datetime as dt
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from fogon.functions import sizing
+from fogon.operators import extract, load
 from fogon.operators.graph import copurchase, delivery, nodes
+from fogon.plans.context import context
+from fogon.sources.warehouse import Warehouse
 
 
 @pytest.fixture(scope="module")
@@ -76,3 +82,54 @@ def test_large_products_are_not_broadcast_to_edges(spark, grafo, monkeypatch):
     muchas = copurchase.recommend(aristas, grafo["producto"], "p", 5)
     assert not [x for x in _plan(muchas).split("\n") if "Broadcast" in x and "LeftSemi" in x]
     assert muchas.collect() == pocas and len(pocas) == 3
+
+
+def _shuffle_files(spark) -> int:
+    archivos = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(archivos.apply(i).getName().startswith("shuffle_") for i in range(archivos.size()))
+
+
+def test_shuffles_go_after_each_write_of_a_context(spark, ctx, tmp_path):
+    context(spark, ctx.src.sf_dir)
+    antes = _shuffle_files(spark)
+    df = spark.range(1000).repartition(7, "id")
+    df.write.parquet(f"{tmp_path}/a")
+    fin = time.time() + 20
+    while _shuffle_files(spark) > antes and time.time() < fin:
+        time.sleep(0.2)
+    assert _shuffle_files(spark) <= antes
+    # What is run again makes its shuffles again.
+    assert sorted(r.id for r in df.collect()) == sorted(r.id for r in df.collect()) == list(range(1000))
+
+
+def test_second_load_compares_keys_before_it_extracts_rows(spark, tmp_path, monkeypatch):
+    def reservas(ids):
+        return spark.createDataFrame(
+            [(i, 1, 2, dt.datetime(2024, 5, 1 + (i or 0) % 9, 10, 0), "confirmada", f) for i, f in ids],
+            "id_reserva long, id_usuario long, id_restaurante long, fecha_hora timestamp_ntz, estado string, fuente_datos string")
+
+    k = F.lit(None)
+    pedidos = reservas([]).select(*[k.cast("bigint").alias(c) for c in ("id_pedido", "id_usuario", "id_restaurante", "id_repartidor")], "fecha_hora", "estado",
+                                  F.col("estado").alias("tipo"), k.cast("double").alias("total_pedido"), k.cast("bigint").alias("cantidad_items"),
+                                  *[k.cast("double").alias(c) for c in extract.COORDENADAS], "fuente_datos")
+    lineas = reservas([]).select(*[(F.col(c) if c in ("fecha_hora",) else k.cast("string" if c.startswith(("nombre", "categoria", "estado", "tipo")) else "double" if c in (
+        *extract.COORDENADAS, "subtotal", "precio_unitario", "precio_producto") else "bigint")).alias(c) for c in extract.DETALLE], "fuente_datos")
+    almacen = Warehouse(spark, str(tmp_path))
+    planes = []
+    de_veras = Warehouse.stage
+    monkeypatch.setattr(Warehouse, "stage", lambda self, df, nombre, *a: (planes.append((nombre, df._jdf.queryExecution().optimizedPlan().toString())), de_veras(self, df, nombre, *a))[1])
+    primeras = [(1, "postgres"), (1, "postgres"), (1, "mongo"), (2, "postgres"), (None, "mongo")]
+
+    def cargadas(ids):
+        planes.clear()
+        return load.run_etl(load.Extracted(pedidos, reservas(ids), lineas), almacen)["fact_reservas"]
+
+    assert cargadas(primeras) == 5
+    assert cargadas(primeras) == 0
+    # Whole rows were not even compared.
+    assert all("Join" not in plan for nombre, plan in planes if nombre == "fact_reservas")
+    assert any("Join" in plan for nombre, plan in planes if nombre == "claves_fact_reservas")
+    # Old keys are left out, repeated new ones stay, a null id is a key of its own in each source.
+    assert cargadas([*primeras, (3, "mongo"), (3, "mongo"), (None, "postgres")]) == 3
+    filas = sorted((r.id_reserva or 0, r.fuente_datos) for r in almacen.table("fact_reservas").collect())
+    assert filas == sorted([*((i or 0, f) for i, f in primeras), (3, "mongo"), (3, "mongo"), (0, "postgres")])
