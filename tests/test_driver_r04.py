@@ -133,3 +133,16 @@ def test_second_load_compares_keys_before_it_extracts_rows(spark, tmp_path, monk
     assert cargadas([*primeras, (3, "mongo"), (3, "mongo"), (None, "postgres")]) == 3
     filas = sorted((r.id_reserva or 0, r.fuente_datos) for r in almacen.table("fact_reservas").collect())
     assert filas == sorted([*((i or 0, f) for i, f in primeras), (3, "mongo"), (3, "mongo"), (0, "postgres")])
+
+
+def test_many_users_are_not_broadcast_to_the_load(spark, ctx, monkeypatch):
+    def joins(extraido):
+        return [x for df in (extraido.pedidos, extraido.detalle) for x in _plan(df).split("\n") if "BroadcastHashJoin" in x and "id_usuario" in x]
+
+    pocos = load.extract_all(ctx.relacional, ctx.documental)
+    assert joins(pocos)
+    monkeypatch.setattr(sizing, "FILAS_A_DIFUNDIR", 3)
+    muchos = load.extract_all(ctx.relacional, ctx.documental)
+    assert not joins(muchos)
+    for a, b in ((pocos.pedidos, muchos.pedidos), (pocos.detalle, muchos.detalle)):
+        assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
