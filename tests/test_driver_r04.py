@@ -135,14 +135,19 @@ def test_second_load_compares_keys_before_it_extracts_rows(spark, tmp_path, monk
     assert filas == sorted([*((i or 0, f) for i, f in primeras), (3, "mongo"), (3, "mongo"), (0, "postgres")])
 
 
-def test_many_users_are_not_broadcast_to_the_load(spark, ctx, monkeypatch):
+def test_many_users_and_products_are_not_broadcast_to_the_load(spark, ctx, monkeypatch):
     def joins(extraido):
         return [x for df in (extraido.pedidos, extraido.detalle) for x in _plan(df).split("\n") if "BroadcastHashJoin" in x and "id_usuario" in x]
 
     pocos = load.extract_all(ctx.relacional, ctx.documental)
-    assert joins(pocos)
+    def catalogo(extraido):
+        """Joins of the catalog with the relational source's lines, when keys alone are extracted."""
+        claves = extraido.detalle.select("id_pedido", "id_producto", "fuente_datos")
+        return [x for x in _plan(claves).split("\n") if "BroadcastHashJoin" in x and "id_producto" in x]
+
+    assert joins(pocos) and catalogo(pocos)
     monkeypatch.setattr(sizing, "FILAS_A_DIFUNDIR", 3)
     muchos = load.extract_all(ctx.relacional, ctx.documental)
-    assert not joins(muchos)
+    assert not joins(muchos) and not catalogo(muchos)
     for a, b in ((pocos.pedidos, muchos.pedidos), (pocos.detalle, muchos.detalle)):
         assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
